@@ -30,6 +30,15 @@ def clip(x: str | Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     )
 
 
+def clip_fast(x: str | Column, lo: float = 0.0, hi: float = 1.0) -> Column:
+    """Single-reference clip for inputs known to be non-null (fixture paths).
+
+    Keeps substituted expressions small when the optimizer pushes a filter
+    through a chain of projections.
+    """
+    return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), col(x)))
+
+
 def thermal_stress_index(t: str | Column = "water_temperature_c") -> Column:
     return clip((col(t) - 28.5) / 4.5)
 
@@ -104,7 +113,7 @@ _RESTORATION_TERMS = [
 ]
 
 
-def _with_weighted_score(df, terms, out: str, digits: int | None):
+def _with_weighted_score(df, terms, out: str, digits: int | None, null_safe: bool = True):
     """Staged projection: raw components -> clipped components -> clipped sum.
 
     Staging keeps every null-safe clip over a column reference, so the
@@ -112,24 +121,25 @@ def _with_weighted_score(df, terms, out: str, digits: int | None):
     """
     names = [f"__{out}_{i}" for i in range(len(terms))]
     df = df.withColumns({n: t[1]() for n, t in zip(names, terms)})
-    df = df.withColumns({n: clip(n) for n, t in zip(names, terms) if t[2]})
+    cl = clip if null_safe else clip_fast
+    df = df.withColumns({n: cl(n) for n, t in zip(names, terms) if t[2]})
     raw = None
     for n, (w, _, _) in zip(names, terms):
         raw = F.lit(w) * F.col(n) if raw is None else raw + F.lit(w) * F.col(n)
     df = df.withColumn(f"__{out}_raw", raw)
-    score = clip(f"__{out}_raw")
+    score = cl(f"__{out}_raw")
     if digits is not None:
         score = F.round(score, digits)
     return df.withColumn(out, score).drop(*names, f"__{out}_raw")
 
 
-def with_health_score(df, out: str = "health_score", digits: int | None = None):
+def with_health_score(df, out: str = "health_score", digits: int | None = None, null_safe: bool = True):
     """Noise-free reef health stress score in [0, 1] (higher = worse)."""
-    return _with_weighted_score(df, _HEALTH_TERMS, out, digits)
+    return _with_weighted_score(df, _HEALTH_TERMS, out, digits, null_safe)
 
 
-def with_restoration_score(df, out: str = "restoration_score", digits: int | None = None):
-    return _with_weighted_score(df, _RESTORATION_TERMS, out, digits)
+def with_restoration_score(df, out: str = "restoration_score", digits: int | None = None, null_safe: bool = True):
+    return _with_weighted_score(df, _RESTORATION_TERMS, out, digits, null_safe)
 
 
 def health_class(score: str | Column) -> Column:

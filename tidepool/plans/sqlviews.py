@@ -272,25 +272,65 @@ def with_views(body: str, *extra: CTE) -> str:
 CTE = tuple  # (name, sql)
 
 
-def _scorer_sql(task: str) -> str:
+def _scorer_sql(task: str, name: str | None = None, src: str = "obs_base") -> str:
     from tidepool.sources.fixtures import SCORER_CENTRES
 
     s = f"round({health_score() if task == 'health' else restoration_score()}, 9)"
     cs = SCORER_CENTRES[task]
-    ws = [f"(1.0 / (1.0 + 100.0 * ({s} - {c}) * ({s} - {c})))" for c in cs.values()]
+    names, cv = list(cs), list(cs.values())
+    order = sorted(range(len(cv)), key=lambda i: cv[i])
+    whens = []
+    for a, b in zip(order, order[1:]):
+        mid = (cv[a] + cv[b]) / 2
+        op = "<=" if a < b else "<"
+        whens.append(f"WHEN s {op} {mid!r} THEN {q(names[a])}")
+    pred = "CASE " + " ".join(whens) + f" ELSE {q(names[order[-1]])} END"
+    ws = [f"(1.0 / (1.0 + 100.0 * (s - {c}) * (s - {c})))" for c in cv]
     total = "(" + " + ".join(ws) + ")"
-    ps = [f"({w} / {total})" for w in ws]
-    m = "greatest(" + ", ".join(ps) + ")"
-    pred = "CASE " + " ".join(f"WHEN {p} = {m} THEN {q(c)}" for c, p in zip(cs, ps)) + " END"
-    keys = ", ".join(q(c) for c in cs)
-    vals = ", ".join(f"round({p}, 6)" for p in ps)
+    dmin = "least(" + ", ".join(f"abs(s - {c})" for c in cv) + ")"
+    keys = ", ".join(q(c) for c in names)
+    vals = ", ".join(f"round({w} / {total}, 6)" for w in ws)
+    conf = f"round((1.0 / (1.0 + 100.0 * {dmin} * {dmin})) / {total}, 6)"
+    name = name or f"predictions_{task}"
     return (
-        f"\npredictions_{task} AS (SELECT obs_id, region, {q(task)} AS task, {pred} AS predicted_class, "
-        f"map([{keys}], [{vals}]) AS probabilities, round({m}, 6) AS confidence FROM obs_base)"
+        f"\n{name} AS (SELECT obs_id, region, {q(task)} AS task, {pred} AS predicted_class, "
+        f"map([{keys}], [{vals}]) AS probabilities, {conf} AS confidence FROM (SELECT *, {s} AS s FROM {src}))"
     )
 
 
+def window_filter(slice_hex: str, seed: int = 42) -> str:
+    return f"substr(md5('{seed}|' || obs_id), 1, 1) = '{slice_hex}'"
+
+
+def shift_select(scale: float = 1.0) -> str:
+    from tidepool import schema as S
+
+    parts = []
+    for c, mag in S.SHIFTS.items():
+        lo, hi = S.SHIFT_CLIP[c]
+        parts.append(f"{clip(f'{c} + {scale} * {mag}', lo, hi)} AS {c}")
+    return ", ".join(parts)
+
+
+VIEWS["ref_window"] = (
+    "\nref_window AS (SELECT * EXCLUDE (reef_health, restoration_suitability) FROM observations WHERE "
+    + window_filter("0")
+    + ")"
+)
+DEPENDS["ref_window"] = ["observations"]
+VIEWS["prod_window"] = (
+    "\nprod_window AS (SELECT * EXCLUDE (reef_health, restoration_suitability) REPLACE ("
+    + shift_select(1.0)
+    + ") FROM observations WHERE "
+    + window_filter("1")
+    + ")"
+)
+DEPENDS["prod_window"] = ["observations"]
 for _t in ("health", "restoration"):
     VIEWS[f"predictions_{_t}"] = _scorer_sql(_t)
     DEPENDS[f"predictions_{_t}"] = ["obs_base"]
+    VIEWS[f"ref_pred_{_t}"] = _scorer_sql(_t, f"ref_pred_{_t}", "ref_window")
+    DEPENDS[f"ref_pred_{_t}"] = ["ref_window"]
+    VIEWS[f"prod_pred_{_t}"] = _scorer_sql(_t, f"prod_pred_{_t}", "prod_window")
+    DEPENDS[f"prod_pred_{_t}"] = ["prod_window"]
 _ORDER[:] = list(VIEWS)

@@ -94,7 +94,7 @@ def observations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_labels(df: DataFrame) -> DataFrame:
     """Attach both class labels from the noise-free score formulas (9 dp)."""
-    df = C.with_restoration_score(C.with_health_score(df, "__hs", 9), "__rs", 9)
+    df = C.with_restoration_score(C.with_health_score(df, "__hs", 9, False), "__rs", 9, False)
     return df.withColumns(
         {
             "reef_health": C.health_class("__hs"),
@@ -120,9 +120,9 @@ def scored_pairs(spark: SparkSession, sf_dir: str, task: str = "health") -> Data
     """(obs_id, region, y_true, y_pred): truth from score+offset, prediction from score."""
     b = observations_base(spark, sf_dir)
     if task == "health":
-        b, to_class = C.with_health_score(b, "__s"), C.health_class
+        b, to_class = C.with_health_score(b, "__s", None, False), C.health_class
     else:
-        b, to_class = C.with_restoration_score(b, "__s"), C.restoration_class
+        b, to_class = C.with_restoration_score(b, "__s", None, False), C.restoration_class
     return b.select(
         "obs_id",
         "region",
@@ -290,31 +290,33 @@ def fixture_scorer(df: DataFrame, task: str) -> DataFrame:
 
     Adds ``task, predicted_class, probabilities, confidence``.
     """
-    scored = (C.with_health_score if task == "health" else C.with_restoration_score)(df, "__score", 9)
+    scored = (C.with_health_score if task == "health" else C.with_restoration_score)(df, "__score", 9, False)
     centres = SCORER_CENTRES[task]
-    score = F.col("__score")
-    wn = [f"__w{i}" for i in range(len(centres))]
-    pn = [f"__p{i}" for i in range(len(centres))]
-    scored = scored.withColumns(
-        {n: F.lit(1.0) / (F.lit(1.0) + 100.0 * (score - c) * (score - c)) for n, c in zip(wn, centres.values())}
-    )
-    scored = scored.withColumn("__total", reduce(lambda a, b: a + b, [F.col(n) for n in wn]))
-    scored = scored.withColumns({p: F.col(w) / F.col("__total") for p, w in zip(pn, wn)})
-    scored = scored.withColumn("__m", F.greatest(*[F.col(p) for p in pn]))
-    m = F.col("__m")
+    names, cs = list(centres), list(centres.values())
+    s = F.col("__score")
+    # argmax of the weights == nearest centre; ties go to the earlier class
+    order = sorted(range(len(cs)), key=lambda i: cs[i])
     pred = None
-    for cls, p in zip(centres, pn):
-        pred = F.when(F.col(p) == m, cls) if pred is None else pred.when(F.col(p) == m, cls)
+    for a, b in zip(order, order[1:]):
+        mid = (cs[a] + cs[b]) / 2
+        cond = s <= mid if a < b else s < mid
+        pred = F.when(cond, names[a]) if pred is None else pred.when(cond, names[a])
+    pred = pred.otherwise(names[order[-1]])
+    dmin = F.least(*[F.abs(s - c) for c in cs])
+    wn = [f"__w{i}" for i in range(len(cs))]
+    scored = scored.withColumns({n: F.lit(1.0) / (F.lit(1.0) + 100.0 * (s - c) * (s - c)) for n, c in zip(wn, cs)})
+    scored = scored.withColumn("__total", reduce(lambda a, b: a + b, [F.col(n) for n in wn]))
+    wmax = F.lit(1.0) / (F.lit(1.0) + 100.0 * dmin * dmin)
     return scored.withColumns(
         {
             "task": F.lit(task),
             "predicted_class": pred,
             "probabilities": F.map_from_arrays(
-                F.array(*[F.lit(c) for c in centres]), F.array(*[F.round(p, 6) for p in pn])
+                F.array(*[F.lit(c) for c in names]), F.array(*[F.round(F.col(w) / F.col("__total"), 6) for w in wn])
             ),
-            "confidence": F.round(m, 6),
+            "confidence": F.round(wmax / F.col("__total"), 6),
         }
-    ).drop("__score", "__total", "__m", *wn, *pn)
+    ).drop("__score", "__total", *wn)
 
 
 def predictions(spark: SparkSession, sf_dir: str, task: str = "health") -> DataFrame:
