@@ -1 +1,276 @@
-"""Queries."""
+"""Group C queries (and D01): validation over ``observations_dirty``."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidepool import schema as S
+from tidepool.functions import columns as C
+from tidepool.operators import aggregate as A
+from tidepool.operators import validate as VL
+from tidepool.plans import sqlviews as V
+from tidepool.plans.registry import register
+from tidepool.sources import fixtures as X
+
+RAW_TEXT = {"depth_text": "depth_m"}
+
+
+def _dirty(spark, sf_dir):
+    return X.observations_dirty(spark, sf_dir)
+
+
+def _sel(ctx, column, check, case_sql, cond, src="observations_dirty"):
+    col_sql = "CAST(NULL AS VARCHAR)" if column is None else V.q(column)
+    return (
+        f"SELECT obs_id, {V.q(ctx)} AS schema_context, {col_sql} AS \"column\", {V.q(check)} AS \"check\", "
+        f"CAST({case_sql} AS VARCHAR) AS failure_case FROM {src} WHERE {cond}"
+    )
+
+
+def _range_sql():
+    parts = []
+    for c, (lo, hi) in S.COLUMN_BOUNDS.items():
+        parts.append(_sel("Column", c, f"greater_than_or_equal_to({VL._fmt(lo)})", c, f"{c} < {lo}"))
+        parts.append(_sel("Column", c, f"less_than_or_equal_to({VL._fmt(hi)})", c, f"{c} > {hi}"))
+    return parts
+
+
+def _notnull_sql():
+    return [_sel("Column", c, "not_nullable", "NULL", f"{c} IS NULL") for c in S.REQUIRED_COLUMNS]
+
+
+def _domain_sql():
+    return [
+        _sel("Column", c, f"isin({vals!r})", c, f"{c} IS NOT NULL AND {c} NOT IN {V.in_list(vals)}")
+        for c, vals in VL.DOMAINS.items()
+    ]
+
+
+def _types_sql():
+    return [
+        _sel("Column", c, "coerce_dtype('float64')", raw, f"{raw} IS NOT NULL AND TRY_CAST({raw} AS DOUBLE) IS NULL")
+        for raw, c in RAW_TEXT.items()
+    ]
+
+
+_BOUNDS_SRC = "(SELECT d.*, b.lat_min, b.lat_max, b.lon_min, b.lon_max FROM observations_dirty d LEFT JOIN region_bounds b ON d.region = b.region)"
+
+
+def _bounds_sql():
+    cond = (
+        "lat_min IS NOT NULL AND NOT coalesce(latitude >= lat_min AND latitude <= lat_max "
+        "AND longitude >= lon_min AND longitude <= lon_max, false)"
+    )
+    return [_sel("DataFrameSchema", None, "coordinates_within_region_bounds", "false", cond, _BOUNDS_SRC)]
+
+
+def _union(parts):
+    return " UNION ALL ".join(parts)
+
+
+_ALL_SQL = _union(_range_sql() + _notnull_sql() + _domain_sql() + _types_sql() + _bounds_sql())
+
+
+@register("validate_ranges", _union(_range_sql()))
+def validate_ranges(spark, sf_dir):
+    return VL.violations_only(spark, _dirty(spark, sf_dir), "range")
+
+
+@register("validate_not_null", _union(_notnull_sql()))
+def validate_not_null(spark, sf_dir):
+    return VL.violations_only(spark, _dirty(spark, sf_dir), "not_null")
+
+
+@register("validate_domain", _union(_domain_sql()))
+def validate_domain(spark, sf_dir):
+    return VL.violations_only(spark, _dirty(spark, sf_dir), "domain")
+
+
+@register("validate_types", _union(_types_sql()))
+def validate_types(spark, sf_dir):
+    return VL.violations_only(spark, _dirty(spark, sf_dir), "types", RAW_TEXT)
+
+
+@register("validate_region_bounds", _union(_bounds_sql()))
+def validate_region_bounds(spark, sf_dir):
+    return VL.region_bound_violations(spark, _dirty(spark, sf_dir))
+
+
+@register("validate_all", _ALL_SQL)
+def validate_all(spark, sf_dir):
+    return VL.validate_all(spark, _dirty(spark, sf_dir), RAW_TEXT)
+
+
+_ORDER_SQL = 'ORDER BY obs_id, "column" NULLS FIRST, "check", failure_case NULLS FIRST'
+
+
+@register("validate_first", f"SELECT * FROM ({_ALL_SQL}) {_ORDER_SQL} LIMIT 1")
+def validate_first(spark, sf_dir):
+    """Fail-fast form: the first violation in a deterministic order."""
+    v = validate_all(spark, sf_dir)
+    return v.orderBy("obs_id", "column", "check", "failure_case").limit(1)
+
+
+@register(
+    "violation_report",
+    f"""WITH v AS ({_ALL_SQL}), n AS (SELECT count(*) AS total FROM v)
+    SELECT *, CAST(greatest(total - 30, 0) AS BIGINT) AS more FROM (SELECT * FROM v {_ORDER_SQL} LIMIT 30) CROSS JOIN n""",
+)
+def violation_report(spark, sf_dir):
+    v = validate_all(spark, sf_dir)
+    head = v.orderBy("obs_id", "column", "check", "failure_case").limit(30)
+    n = v.agg(F.count(F.lit(1)).alias("total"))
+    return head.crossJoin(n).withColumn("more", F.greatest(F.col("total") - 30, F.lit(0)).cast("long"))
+
+
+_NULL_COLS = S.OBSERVATION_COLUMNS + ["depth_text"]
+
+
+@register(
+    "null_summary",
+    "SELECT count(*) AS rows, "
+    + str(len(_NULL_COLS))
+    + " AS columns, CAST("
+    + " + ".join(f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in _NULL_COLS)
+    + " AS BIGINT) AS total_nulls FROM observations_dirty",
+)
+def null_summary(spark, sf_dir):
+    return VL.null_summary(_dirty(spark, sf_dir).select(*_NULL_COLS))
+
+
+@register(
+    "violation_counts",
+    f'SELECT "column", "check", count(*) AS failures FROM ({_ALL_SQL}) GROUP BY 1, 2',
+)
+def violation_counts(spark, sf_dir):
+    return validate_all(spark, sf_dir).groupBy("column", "check").agg(F.count(F.lit(1)).alias("failures"))
+
+
+# --- C15: API request contract -------------------------------------------
+_API_BATCH_MAX = 50
+
+
+def _request_reasons_spark():
+    reasons = [F.when(~F.col("region").isin(S.REGIONS) | F.col("region").isNull(), F.lit("region"))]
+    for c in S.SENSOR_COLUMNS:
+        lo, hi = S.COLUMN_BOUNDS[c]
+        reasons.append(F.when(~C.is_finite(c), F.lit(f"non_finite:{c}")))
+        reasons.append(F.when(C.is_finite(c) & ((F.col(c) < lo) | (F.col(c) > hi)), F.lit(f"range:{c}")))
+    for c in ("latitude", "longitude"):  # optional, checked when present
+        lo, hi = S.COLUMN_BOUNDS[c]
+        reasons.append(F.when(F.col(c).isNotNull() & ((F.col(c) < lo) | (F.col(c) > hi)), F.lit(f"range:{c}")))
+    reasons.append(F.when((F.col("batch_n") < 1) | (F.col("batch_n") > _API_BATCH_MAX), F.lit("batch_size")))
+    return F.concat_ws(",", *reasons)
+
+
+def _request_reasons_sql():
+    parts = [f"CASE WHEN region IS NULL OR region NOT IN {V.in_list(S.REGIONS)} THEN 'region' END"]
+    for c in S.SENSOR_COLUMNS:
+        lo, hi = S.COLUMN_BOUNDS[c]
+        fin = f"({c} IS NOT NULL AND isfinite({c}))"
+        parts.append(f"CASE WHEN NOT {fin} THEN 'non_finite:{c}' END")
+        parts.append(f"CASE WHEN {fin} AND ({c} < {lo} OR {c} > {hi}) THEN 'range:{c}' END")
+    for c in ("latitude", "longitude"):
+        lo, hi = S.COLUMN_BOUNDS[c]
+        parts.append(f"CASE WHEN {c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi}) THEN 'range:{c}' END")
+    parts.append(f"CASE WHEN batch_n < 1 OR batch_n > {_API_BATCH_MAX} THEN 'batch_size' END")
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+@register(
+    "request_validation",
+    f"""WITH r AS (SELECT d.*, CAST(d.timestamp AS DATE) AS batch FROM observations_dirty d),
+    n AS (SELECT batch, count(*) AS batch_n FROM r GROUP BY 1),
+    x AS (SELECT r.*, n.batch_n FROM r JOIN n USING (batch))
+    SELECT obs_id, batch, CASE WHEN {_request_reasons_sql()} = '' THEN 'accepted' ELSE 'quarantined' END AS status,
+           {_request_reasons_sql()} AS reasons FROM x""",
+)
+def request_validation(spark, sf_dir):
+    """Accept / quarantine split: one frame, ``status`` tells the side."""
+    r = _dirty(spark, sf_dir).withColumn("batch", F.to_date("timestamp"))
+    n = r.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_n"))
+    x = r.join(n, "batch")
+    reasons = _request_reasons_spark()
+    return x.select(
+        "obs_id",
+        "batch",
+        F.when(reasons == "", "accepted").otherwise("quarantined").alias("status"),
+        reasons.alias("reasons"),
+    )
+
+
+# --- C16: retraining input checks ------------------------------------------
+def _checks_sql():
+    fin = " AND ".join(f"({c} IS NOT NULL AND isfinite({c}))" for c in S.SENSOR_COLUMNS)
+    allc = ", ".join(S.OBSERVATION_COLUMNS)
+    return f"""WITH s AS (SELECT count(*) AS n,
+        sum(CASE WHEN {fin} THEN 0 ELSE 1 END) AS nonfinite_rows,
+        sum(CASE WHEN reef_health IS NULL THEN 1 ELSE 0 END) AS null_target,
+        sum(CASE WHEN region IN {V.in_list(S.REGIONS)} THEN 0 ELSE 1 END) AS bad_region FROM observations),
+    d AS (SELECT coalesce(sum(c - 1), 0) AS dups FROM (SELECT count(*) AS c FROM observations GROUP BY {allc})),
+    k AS (SELECT count(DISTINCT reef_health) AS present, min(c) AS min_class FROM (SELECT reef_health, count(*) AS c FROM observations GROUP BY 1))
+    SELECT * FROM (VALUES (1, 'region_domain'), (2, 'schema'), (3, 'min_rows'), (4, 'duplicates'), (5, 'non_finite'),
+                          (6, 'target_present'), (7, 'all_classes_present'), (8, 'min_per_class')) c(check_order, "check")
+    CROSS JOIN s CROSS JOIN d CROSS JOIN k"""
+
+
+@register(
+    "retrain_input_checks",
+    f"""WITH x AS ({_checks_sql()})
+    SELECT check_order, "check",
+      CASE "check" WHEN 'region_domain' THEN bad_region = 0 WHEN 'schema' THEN true WHEN 'min_rows' THEN n >= 250
+        WHEN 'duplicates' THEN dups <= n * 0.5 WHEN 'non_finite' THEN nonfinite_rows = 0
+        WHEN 'target_present' THEN null_target = 0 WHEN 'all_classes_present' THEN present = 4
+        ELSE min_class >= 5 END AS passed,
+      CASE "check" WHEN 'region_domain' THEN CAST(bad_region AS VARCHAR) WHEN 'schema' THEN '0'
+        WHEN 'min_rows' THEN CAST(n AS VARCHAR) WHEN 'duplicates' THEN CAST(dups AS VARCHAR)
+        WHEN 'non_finite' THEN CAST(nonfinite_rows AS VARCHAR) WHEN 'target_present' THEN CAST(null_target AS VARCHAR)
+        WHEN 'all_classes_present' THEN CAST(present AS VARCHAR) ELSE CAST(min_class AS VARCHAR) END AS detail
+    FROM x""",
+)
+def retrain_input_checks(spark, sf_dir):
+    from tidepool.operators.retrain import input_checks
+
+    return input_checks(spark, X.observations(spark, sf_dir), "reef_health", S.HEALTH_CLASSES)
+
+
+@register(
+    "prediction_checks",
+    f"""SELECT count(*) AS rows,
+       CAST(sum(CASE WHEN predicted_class IN {V.in_list(S.HEALTH_CLASSES)} THEN 0 ELSE 1 END) AS BIGINT) AS bad_class,
+       CAST(sum(CASE WHEN abs(list_sum(map_values(probabilities)) - 1.0) > 1e-5 THEN 1 ELSE 0 END) AS BIGINT) AS bad_probability_sum
+    FROM predictions_health""",
+)
+def prediction_checks(spark, sf_dir):
+    p = X.predictions(spark, sf_dir, "health")
+    psum = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, b: a + b)
+    return p.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum((~F.col("predicted_class").isin(S.HEALTH_CLASSES)).cast("long")).alias("bad_class"),
+        F.sum((F.abs(psum - 1.0) > 1e-5).cast("long")).alias("bad_probability_sum"),
+    )
+
+
+@register(
+    "join_region_bounds",
+    f"""SELECT obs_id, region, lat_min, lat_max, lon_min, lon_max,
+       CASE WHEN lat_min IS NULL THEN true ELSE coalesce(latitude >= lat_min AND latitude <= lat_max
+            AND longitude >= lon_min AND longitude <= lon_max, false) END AS in_bounds
+    FROM {_BOUNDS_SRC}""",
+)
+def join_region_bounds(spark, sf_dir):
+    j = VL.join_region_bounds(spark, _dirty(spark, sf_dir))
+    inside = (
+        (F.col("latitude") >= F.col("lat_min"))
+        & (F.col("latitude") <= F.col("lat_max"))
+        & (F.col("longitude") >= F.col("lon_min"))
+        & (F.col("longitude") <= F.col("lon_max"))
+    )
+    return j.select(
+        "obs_id", "region", "lat_min", "lat_max", "lon_min", "lon_max",
+        F.when(F.col("lat_min").isNull(), F.lit(True)).otherwise(F.coalesce(inside, F.lit(False))).alias("in_bounds"),
+    )
+
+
+__all__ = ["A", "Window"]
