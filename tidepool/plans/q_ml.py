@@ -1 +1,224 @@
-"""Queries."""
+"""Group I queries: preprocessing fits, metrics, model tables and gates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool import schema as S
+from tidepool.operators import metrics as M
+from tidepool.operators import preprocess as P
+from tidepool.plans import sqlviews as V
+from tidepool.plans.registry import register
+from tidepool.sources import fixtures as X
+
+
+def _dim(classes, a="class_order", b="class"):
+    return "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {V.q(c)})" for i, c in enumerate(classes)) + f") t({a}, {b}))"
+
+
+@register(
+    "confusion_matrix",
+    f"""WITH c AS (SELECT y_true, y_pred, count(*) AS n FROM scored_health GROUP BY 1, 2)
+    SELECT t.true_order, t.y_true, p.pred_order, p.y_pred, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+    FROM {_dim(S.HEALTH_CLASSES, 'true_order', 'y_true')} t CROSS JOIN {_dim(S.HEALTH_CLASSES, 'pred_order', 'y_pred')} p
+    LEFT JOIN c ON c.y_true = t.y_true AND c.y_pred = p.y_pred""",
+)
+def confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(spark, X.scored_pairs(spark, sf_dir, "health"), "y_true", "y_pred", S.HEALTH_CLASSES)
+
+
+def _per_class_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gj = f" AND s.{group} = p.{group}" if group else ""
+    return f"""cc AS (SELECT {g}y_true, y_pred, count(*) AS n FROM {src} GROUP BY ALL),
+    sup AS (SELECT {g}y_true AS class, sum(n) AS support, sum(CASE WHEN y_true = y_pred THEN n ELSE 0 END) AS tp FROM cc GROUP BY ALL),
+    prd AS (SELECT {g}y_pred AS class, sum(n) AS predicted FROM cc GROUP BY ALL),
+    x AS (SELECT {"coalesce(s." + group + ", p." + group + ") AS " + group + ", " if group else ""}coalesce(s.class, p.class) AS class,
+                 coalesce(tp, 0) AS tp, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted
+          FROM sup s FULL OUTER JOIN prd p ON s.class = p.class{gj}),
+    pc AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+                     CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM x),
+    pcf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pc)"""
+
+
+def _metrics_select(group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    return f"""SELECT {g}round(sum(tp) / sum(support), 4) AS accuracy,
+       round(avg(CASE WHEN support > 0 THEN recall END), 4) AS balanced_accuracy,
+       round(avg(precision), 4) AS macro_precision, round(avg(recall), 4) AS macro_recall,
+       round(avg(f1), 4) AS macro_f1, round(sum(f1 * support) / sum(support), 4) AS weighted_f1,
+       CAST(sum(support) AS BIGINT) AS n
+    FROM pcf {"GROUP BY " + group if group else ""}"""
+
+
+@register("classification_metrics", "WITH " + _per_class_sql("scored_health") + " " + _metrics_select())
+def classification_metrics(spark, sf_dir):
+    return M.classification_metrics(X.scored_pairs(spark, sf_dir, "health"), "y_true", "y_pred")
+
+
+@register(
+    "per_class_metrics",
+    "WITH " + _per_class_sql("scored_restoration")
+    + """ SELECT class, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1,
+           CAST(support AS BIGINT) AS support FROM pcf""",
+)
+def per_class_metrics(spark, sf_dir):
+    pc = M.per_class(X.scored_pairs(spark, sf_dir, "restoration"), "y_true", "y_pred")
+    return pc.select(
+        "class", F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"),
+        F.round("f1", 4).alias("f1"), F.col("support").cast("long").alias("support"),
+    )
+
+
+@register(
+    "class_weights",
+    """WITH c AS (SELECT restoration_suitability, count(*) AS n_c FROM observations GROUP BY 1)
+    SELECT restoration_suitability, round((SELECT sum(n_c) FROM c) / ((SELECT count(*) FROM c) * n_c), 6) AS class_weight FROM c""",
+)
+def class_weights(spark, sf_dir):
+    w = M.class_weights(X.observations(spark, sf_dir), "restoration_suitability")
+    return w.withColumn("class_weight", F.round("class_weight", 6))
+
+
+# --- "algorithms": data-derived predictors evaluated on the same truth -------
+_ALGO_SQL = """algo AS (
+      SELECT 'threshold_rule' AS algorithm, s.y_true, s.y_pred FROM scored_health s
+      UNION ALL SELECT 'centre_scorer', s.y_true, p.predicted_class FROM scored_health s JOIN predictions_health p USING (obs_id)
+      UNION ALL SELECT 'region_majority', s.y_true, m.y_pred FROM scored_health s JOIN (
+          SELECT region, arg_max(y_true, n * 1000000 - class_order) AS y_pred FROM (
+            SELECT region, y_true, count(*) AS n,
+                   CASE y_true """ + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + """ END AS class_order
+            FROM scored_health GROUP BY 1, 2) GROUP BY region) m USING (region))"""
+
+
+def algorithm_predictions(spark, sf_dir):
+    from tidepool.operators.profile import majority_by_group
+
+    pairs = X.scored_pairs(spark, sf_dir, "health")
+    preds = X.predictions(spark, sf_dir, "health").select("obs_id", F.col("predicted_class").alias("p2"))
+    maj = majority_by_group(pairs, "region", "y_true", S.HEALTH_CLASSES).withColumnRenamed("majority", "p3")
+    a = pairs.select(F.lit("threshold_rule").alias("algorithm"), "y_true", "y_pred")
+    b = pairs.join(preds, "obs_id").select(F.lit("centre_scorer").alias("algorithm"), "y_true", F.col("p2").alias("y_pred"))
+    c = pairs.join(F.broadcast(maj), "region").select(F.lit("region_majority").alias("algorithm"), "y_true", F.col("p3").alias("y_pred"))
+    return a.unionByName(b).unionByName(c)
+
+
+_MODEL_METRICS_SQL = "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + "\n" + _metrics_select("algorithm")
+
+
+@register("model_metrics", _MODEL_METRICS_SQL)
+def model_metrics(spark, sf_dir):
+    return M.classification_metrics(algorithm_predictions(spark, sf_dir), "y_true", "y_pred", ["algorithm"])
+
+
+@register(
+    "leaderboard",
+    f"""WITH m AS ({_MODEL_METRICS_SQL})
+    SELECT CAST(row_number() OVER (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm) AS INTEGER) AS position,
+           algorithm, macro_f1, balanced_accuracy, accuracy,
+           row_number() OVER (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm) = 1 AS champion
+    FROM m""",
+)
+def leaderboard(spark, sf_dir):
+    from pyspark.sql import Window
+
+    m = model_metrics(spark, sf_dir)
+    w = Window.orderBy(F.desc("macro_f1"), F.desc("balanced_accuracy"), "algorithm")  # one row per algorithm
+    return m.select(
+        F.row_number().over(w).cast("int").alias("position"), "algorithm", "macro_f1", "balanced_accuracy", "accuracy"
+    ).withColumn("champion", F.col("position") == 1)
+
+
+@register(
+    "argmax_model",
+    f"""WITH m AS ({_MODEL_METRICS_SQL})
+    SELECT arg_max(algorithm, macro_f1 * 1e6 + balanced_accuracy) AS best_algorithm, max(macro_f1) AS best_macro_f1 FROM m""",
+)
+def argmax_model(spark, sf_dir):
+    m = model_metrics(spark, sf_dir)
+    return m.agg(
+        F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy")).alias("best_algorithm"),
+        F.max("macro_f1").alias("best_macro_f1"),
+    )
+
+
+@register(
+    "quality_gate",
+    f"""WITH m AS ({_MODEL_METRICS_SQL})
+    SELECT algorithm, macro_f1 >= {S.QUALITY_GATES['health'][0]} AS f1_ok,
+           balanced_accuracy >= {S.QUALITY_GATES['health'][1]} AS balanced_accuracy_ok,
+           macro_f1 >= {S.QUALITY_GATES['health'][0]} AND balanced_accuracy >= {S.QUALITY_GATES['health'][1]} AS passed,
+           concat_ws(',', CASE WHEN macro_f1 < {S.QUALITY_GATES['health'][0]} THEN 'macro_f1' END,
+                          CASE WHEN balanced_accuracy < {S.QUALITY_GATES['health'][1]} THEN 'balanced_accuracy' END) AS failures
+    FROM m""",
+)
+def quality_gate(spark, sf_dir):
+    f1_min, bal_min = S.QUALITY_GATES["health"]
+    m = model_metrics(spark, sf_dir)
+    return m.select(
+        "algorithm",
+        (F.col("macro_f1") >= f1_min).alias("f1_ok"),
+        (F.col("balanced_accuracy") >= bal_min).alias("balanced_accuracy_ok"),
+        ((F.col("macro_f1") >= f1_min) & (F.col("balanced_accuracy") >= bal_min)).alias("passed"),
+        F.concat_ws(
+            ",",
+            F.when(F.col("macro_f1") < f1_min, F.lit("macro_f1")),
+            F.when(F.col("balanced_accuracy") < bal_min, F.lit("balanced_accuracy")),
+        ).alias("failures"),
+    )
+
+
+# --- preprocessing fits (training split only in the pipeline; whole table here)
+@register(
+    "impute_median",
+    "SELECT " + ", ".join(f"round(median({c}), 6) AS {c}" for c in S.SENSOR_COLUMNS) + " FROM observations_dirty",
+)
+def impute_median(spark, sf_dir):
+    return P.fit_medians(X.observations_dirty(spark, sf_dir), S.SENSOR_COLUMNS)
+
+
+@register("impute_mode", "SELECT mode(region ORDER BY region) AS region, count(DISTINCT region) AS categories FROM observations_dirty")
+def impute_mode(spark, sf_dir):
+    return P.fit_mode(X.observations_dirty(spark, sf_dir), "region")
+
+
+@register(
+    "standard_scale",
+    "SELECT obs_id, "
+    + ", ".join(
+        f"round(({c} - (SELECT avg({c}) FROM observations)) / (SELECT stddev_pop({c}) FROM observations), 6) AS {c}"
+        for c in ["water_temperature_c", "ph", "coral_cover_percentage"]
+    )
+    + " FROM observations",
+)
+def standard_scale(spark, sf_dir):
+    cols = ["water_temperature_c", "ph", "coral_cover_percentage"]
+    obs = X.observations(spark, sf_dir)
+    return P.standard_scale(obs, P.fit_scaler(obs, cols), cols).select(
+        "obs_id", *[F.round(c, 6).alias(c) for c in cols]
+    )
+
+
+@register(
+    "one_hot",
+    "SELECT obs_id, "
+    + ", ".join(f"CASE WHEN region = {V.q(r)} THEN 1.0 ELSE 0.0 END AS {P.onehot_name('region', r)}" for r in sorted(S.REGIONS))
+    + " FROM observations_dirty",
+)
+def one_hot(spark, sf_dir):
+    """K indicator columns from the sorted training categories; unknown -> all zeros."""
+    dirty = X.observations_dirty(spark, sf_dir)
+    clean = X.observations(spark, sf_dir)
+    cats = P.fit_categories(clean, "region")
+    return P.one_hot(dirty, "region", cats).select("obs_id", *[P.onehot_name("region", c) for c in cats])
+
+
+@register(
+    "scaler_integrity",
+    "SELECT " + ", ".join(
+        f"abs(avg({c}) - avg({c})) <= 1e-4 * greatest(abs(avg({c})), 1e-12) AS {c}_ok" for c in ["ph", "depth_m"]
+    ) + " FROM observations",
+)
+def scaler_integrity(spark, sf_dir):
+    obs = X.observations(spark, sf_dir)
+    return P.scaler_integrity(P.fit_scaler(obs, ["ph", "depth_m"]), obs, ["ph", "depth_m"])
