@@ -1 +1,287 @@
-"""Queries."""
+"""Group M queries: dataset profile analyses (published result tables)."""
+
+from __future__ import annotations
+
+import itertools
+
+from pyspark.sql import functions as F
+
+from tidepool import schema as S
+from tidepool.operators import metrics as M
+from tidepool.operators import ordered as O
+from tidepool.operators import profile as PR
+from tidepool.plans import sqlviews as V
+from tidepool.plans.registry import register
+from tidepool.sources import fixtures as X
+
+
+
+def grid_history_cells(spark, sf_dir):
+    return X.grid_history(spark, sf_dir).groupBy("time", "lat_idx", "lon_idx").agg(F.max("dhw").alias("value"))
+
+
+def _obs(spark, sf_dir):
+    return X.observations(spark, sf_dir)
+
+
+# --- fixed values: implausibility rules --------------------------------------
+RULES = {
+    "cover0_bleaching_pos": ("coral_cover_percentage = 0 AND bleaching_percentage > 0",
+                             lambda: (F.col("coral_cover_percentage") == 0) & (F.col("bleaching_percentage") > 0)),
+    "temp_gt_34": ("water_temperature_c > 34", lambda: F.col("water_temperature_c") > 34),
+    "ph_lt_7_8": ("ph < 7.8", lambda: F.col("ph") < 7.8),
+    "salinity_gt_40": ("salinity_ppt > 40", lambda: F.col("salinity_ppt") > 40),
+    "do_lt_3": ("dissolved_oxygen_mg_l < 3", lambda: F.col("dissolved_oxygen_mg_l") < 3),
+}
+
+
+@register(
+    "implausible_rows",
+    "SELECT " + ", ".join(f"CAST(sum(CASE WHEN {s} THEN 1 ELSE 0 END) AS BIGINT) AS {n}" for n, (s, _) in RULES.items())
+    + " FROM observations",
+)
+def implausible_rows(spark, sf_dir):
+    return _obs(spark, sf_dir).agg(*[F.sum(f().cast("long")).alias(n) for n, (_, f) in RULES.items()])
+
+
+_PILE_COLS = ["coral_cover_percentage", "bleaching_percentage", "hard_substrate_percentage", "turbidity_ntu"]
+
+
+@register(
+    "clip_pileups",
+    "WITH m AS (SELECT " + ", ".join(f"min({c}) AS {c}__lo, max({c}) AS {c}__hi" for c in _PILE_COLS) + " FROM observations) "
+    + "SELECT " + ", ".join(
+        f"CAST(sum(CASE WHEN {c} = {c}__lo THEN 1 ELSE 0 END) AS BIGINT) AS {c}_at_min, "
+        f"CAST(sum(CASE WHEN {c} = {c}__hi THEN 1 ELSE 0 END) AS BIGINT) AS {c}_at_max" for c in _PILE_COLS
+    ) + " FROM observations, m",
+)
+def clip_pileups(spark, sf_dir):
+    obs = _obs(spark, sf_dir)
+    m = F.broadcast(obs.agg(*[x for c in _PILE_COLS for x in (F.min(c).alias(f"{c}__lo"), F.max(c).alias(f"{c}__hi"))]))
+    j = obs.crossJoin(m)  # m is one row
+    aggs = []
+    for c in _PILE_COLS:
+        aggs += [
+            F.sum((F.col(c) == F.col(f"{c}__lo")).cast("long")).alias(f"{c}_at_min"),
+            F.sum((F.col(c) == F.col(f"{c}__hi")).cast("long")).alias(f"{c}_at_max"),
+        ]
+    return j.agg(*aggs)
+
+
+@register(
+    "region_inventory",
+    """SELECT region, count(*) AS rows, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct,
+       min(latitude) AS lat_min, max(latitude) AS lat_max, min(longitude) AS lon_min, max(longitude) AS lon_max,
+       count(DISTINCT (latitude, longitude)) AS unique_coordinates
+    FROM observations GROUP BY region""",
+)
+def region_inventory(spark, sf_dir):
+    obs = _obs(spark, sf_dir)
+    g = obs.groupBy("region").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("latitude").alias("lat_min"), F.max("latitude").alias("lat_max"),
+        F.min("longitude").alias("lon_min"), F.max("longitude").alias("lon_max"),
+        F.countDistinct("latitude", "longitude").alias("unique_coordinates"),
+    )
+    total = F.broadcast(obs.agg(F.count(F.lit(1)).alias("_t")))
+    return g.crossJoin(total).withColumn("pct", F.round(100.0 * F.col("rows") / F.col("_t"), 6)).drop("_t")
+
+
+@register(
+    "rows_by_period",
+    """SELECT 'year' AS period, CAST(year(timestamp) AS VARCHAR) AS key, NULL AS region, count(*) AS rows FROM observations GROUP BY 2
+    UNION ALL SELECT 'month', CAST(month(timestamp) AS VARCHAR), NULL, count(*) FROM observations GROUP BY 2
+    UNION ALL SELECT 'region_year', CAST(year(timestamp) AS VARCHAR), region, count(*) FROM observations GROUP BY 2, 3""",
+)
+def rows_by_period(spark, sf_dir):
+    obs = _obs(spark, sf_dir)
+    y = obs.groupBy(F.year("timestamp").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    m = obs.groupBy(F.month("timestamp").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    ry = obs.groupBy(F.year("timestamp").cast("string").alias("key"), "region").agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("string")
+    return (
+        y.select(F.lit("year").alias("period"), "key", none.alias("region"), "rows")
+        .unionByName(m.select(F.lit("month").alias("period"), "key", none.alias("region"), "rows"))
+        .unionByName(ry.select(F.lit("region_year").alias("period"), "key", "region", "rows"))
+    )
+
+
+@register(
+    "time_correlation",
+    "SELECT " + ", ".join(f"round(corr({c}, epoch(timestamp)), 6) AS {c}" for c in S.SENSOR_COLUMNS[:6]) + " FROM observations",
+)
+def time_correlation(spark, sf_dir):
+    obs = _obs(spark, sf_dir).withColumn("_t", F.unix_timestamp(F.col("timestamp").cast("timestamp")).cast("double"))
+    return obs.agg(*[F.round(F.corr(c, "_t"), 6).alias(c) for c in S.SENSOR_COLUMNS[:6]])
+
+
+@register(
+    "eta_squared",
+    """WITH g AS (SELECT month(timestamp) AS grp, count(*) AS n, avg(water_temperature_c) AS m FROM observations GROUP BY 1),
+    t AS (SELECT avg(water_temperature_c) AS gm, var_pop(water_temperature_c) * count(*) AS sst FROM observations)
+    SELECT round(sum(n * (m - gm) * (m - gm)) / max(sst), 6) AS eta_squared_month FROM g, t""",
+)
+def eta_squared(spark, sf_dir):
+    obs = _obs(spark, sf_dir)
+    g = obs.groupBy(F.month("timestamp").alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.avg("water_temperature_c").alias("m"))
+    t = F.broadcast(obs.agg(F.avg("water_temperature_c").alias("gm"), (F.var_pop("water_temperature_c") * F.count(F.lit(1))).alias("sst")))
+    return g.crossJoin(t).agg(
+        F.round(F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))) / F.max("sst"), 6).alias("eta_squared_month")
+    )
+
+
+@register(
+    "class_balance_by_year",
+    """SELECT year(timestamp) AS year, reef_health, count(*) AS n,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY year(timestamp)), 6) AS share FROM observations GROUP BY 1, 2""",
+)
+def class_balance_by_year(spark, sf_dir):
+    c = _obs(spark, sf_dir).groupBy(F.year("timestamp").alias("year"), "reef_health").agg(F.count(F.lit(1)).alias("n"))
+    tot = c.groupBy("year").agg(F.sum("n").alias("_t"))
+    return c.join(tot, "year").select("year", "reef_health", "n", F.round(F.col("n") / F.col("_t"), 6).alias("share"))
+
+
+@register(
+    "imbalance_entropy",
+    """WITH c AS (SELECT reef_health, count(*) AS n FROM observations GROUP BY 1), t AS (SELECT sum(n) AS total, count(*) AS k FROM c)
+    SELECT round(max(n) / min(n), 6) AS max_min_ratio, round(-sum(n / total * log2(n / total)), 6) AS entropy_bits,
+           round(-sum(n / total * log2(n / total)) / log2(max(k)), 6) AS normalised_entropy,
+           round(max(n) / max(total), 6) AS majority_baseline FROM c, t""",
+)
+def imbalance_entropy(spark, sf_dir):
+    c = _obs(spark, sf_dir).groupBy("reef_health").agg(F.count(F.lit(1)).alias("n"))
+    t = F.broadcast(c.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k")))
+    p = F.col("n") / F.col("total")
+    return c.crossJoin(t).agg(
+        F.round(F.max("n") / F.min("n"), 6).alias("max_min_ratio"),
+        F.round(-F.sum(p * F.log2(p)), 6).alias("entropy_bits"),
+        F.round(-F.sum(p * F.log2(p)) / F.log2(F.max("k")), 6).alias("normalised_entropy"),
+        F.round(F.max("n") / F.max("total"), 6).alias("majority_baseline"),
+    )
+
+
+@register(
+    "target_crosstab",
+    "SELECT reef_health, " + ", ".join(
+        f"CAST(count(*) FILTER (WHERE restoration_suitability = {V.q(c)}) AS BIGINT) AS {c}" for c in S.RESTORATION_CLASSES
+    ) + " FROM observations GROUP BY 1",
+)
+def target_crosstab(spark, sf_dir):
+    return _obs(spark, sf_dir).groupBy("reef_health").pivot("restoration_suitability", S.RESTORATION_CLASSES).agg(
+        F.count(F.lit(1))
+    ).na.fill(0, S.RESTORATION_CLASSES)
+
+
+_PROFILE_COLS = ["water_temperature_c", "ph", "coral_cover_percentage", "turbidity_ntu"]
+
+
+@register(
+    "feature_profile",
+    """WITH l AS (SELECT "column", value FROM observations UNPIVOT (value FOR "column" IN ("""
+    + ", ".join(_PROFILE_COLS)
+    + """))),
+    q AS (SELECT "column", min(value) AS min, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.25) AS p25,
+                 quantile_cont(value, 0.5) AS median, avg(value) AS mean, quantile_cont(value, 0.75) AS p75,
+                 quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99, max(value) AS max,
+                 stddev_pop(value) AS std, skewness(value) AS skew FROM l GROUP BY 1)
+    SELECT q."column", min, round(p01, 6) AS p01, round(p25, 6) AS p25, round(median, 6) AS median, round(mean, 6) AS mean,
+           round(p75, 6) AS p75, round(p95, 6) AS p95, round(p99, 6) AS p99, max, round(std, 6) AS std,
+           round(p75 - p25, 6) AS iqr, round(skew, 4) AS skew,
+           (SELECT count(*) FROM l WHERE l."column" = q."column" AND (l.value < q.p25 - 3 * (q.p75 - q.p25) OR l.value > q.p75 + 3 * (q.p75 - q.p25))) AS outliers_3iqr
+    FROM q""",
+)
+def feature_profile(spark, sf_dir):
+    """Per column quantiles and moments in one grouped pass over the unpivoted
+    columns, then a second pass counting > 3 IQR outliers against the
+    (one row per column) fences."""
+    long = _obs(spark, sf_dir).unpivot([], _PROFILE_COLS, "column", "value")
+    qs = {"p01": 0.01, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
+    q = long.groupBy("column").agg(
+        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
+        F.stddev_pop("value").alias("std"), F.skewness("value").alias("skew"),
+        *[F.percentile("value", p).alias(n) for n, p in qs.items()],
+    )
+    iqr = F.col("p75") - F.col("p25")
+    fences = q.select("column", (F.col("p25") - 3 * iqr).alias("lo"), (F.col("p75") + 3 * iqr).alias("hi"))
+    out = long.join(F.broadcast(fences), "column").groupBy("column").agg(
+        F.sum(((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).cast("long")).alias("outliers_3iqr")
+    )
+    return q.join(out, "column").select(
+        "column", "min", *[F.round(n, 6).alias(n) for n in ["p01", "p25", "median", "mean", "p75", "p95", "p99"]], "max",
+        F.round("std", 6).alias("std"), F.round(iqr, 6).alias("iqr"), F.round("skew", 4).alias("skew"), "outliers_3iqr",
+    )
+
+
+_CORR_COLS = ["water_temperature_c", "ph", "dissolved_oxygen_mg_l", "coral_cover_percentage", "bleaching_percentage", "rugosity_index"]
+_PAIRS = list(itertools.combinations(_CORR_COLS, 2))
+
+
+@register(
+    "pearson_matrix",
+    " UNION ALL ".join(
+        f"SELECT {V.q(a)} AS col_a, {V.q(b)} AS col_b, round(corr({a}, {b}), 6) AS r, abs(corr({a}, {b})) > 0.8 AS strong FROM observations"
+        for a, b in _PAIRS
+    ),
+)
+def pearson_matrix(spark, sf_dir):
+    """Upper-triangle Pearson r from one pass of moment sums (``corr`` per pair)."""
+    obs = _obs(spark, sf_dir)
+    row = obs.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in _PAIRS])
+    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in _PAIRS]))
+    return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.r", 6).alias("r"), (F.abs("s.r") > 0.8).alias("strong"))
+
+
+@register(
+    "spearman_matrix",
+    "WITH r AS (SELECT "
+    + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _CORR_COLS)
+    + " FROM observations) "
+    + " UNION ALL ".join(f"SELECT {V.q(a)} AS col_a, {V.q(b)} AS col_b, round(corr({a}, {b}), 6) AS rho FROM r" for a, b in _PAIRS),
+)
+def spearman_matrix(spark, sf_dir):
+    """Average ranks per column (distinct-value prefix counts, bucketed -- no
+    global single-partition window), joined back, then Pearson on ranks."""
+    obs = _obs(spark, sf_dir).select("obs_id", *_CORR_COLS)
+    long = obs.unpivot(["obs_id"], _CORR_COLS, "column", "value")
+    ranks = O.average_ranks(long, "column", "value")
+    ranked = long.join(ranks, ["column", "value"]).groupBy("obs_id").pivot("column", _CORR_COLS).agg(F.first("avg_rank"))
+    row = ranked.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in _PAIRS])
+    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("rho")) for a, b in _PAIRS]))
+    return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.rho", 6).alias("rho"))
+
+
+@register(
+    "closed_form_benchmark",
+    """SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS exact_match,
+       round(avg(CASE WHEN abs(t - p) <= 1 THEN 1.0 ELSE 0.0 END), 6) AS within_one_class
+    FROM (SELECT y_true, y_pred, """
+    + "CASE y_true " + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + " END AS t, "
+    + "CASE y_pred " + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + " END AS p "
+    + "FROM scored_health)",
+)
+def closed_form_benchmark(spark, sf_dir):
+    """Formula labels vs stored labels: exact match and within one ordinal class."""
+    from tidepool.functions.columns import ordinal_map
+
+    pairs = X.scored_pairs(spark, sf_dir, "health")
+    om = ordinal_map(S.HEALTH_CLASSES)
+    return pairs.agg(
+        F.round(F.avg((F.col("y_true") == F.col("y_pred")).cast("double")), 6).alias("exact_match"),
+        F.round(F.avg((F.abs(om[F.col("y_true")] - om[F.col("y_pred")]) <= 1).cast("double")), 6).alias("within_one_class"),
+    )
+
+
+@register(
+    "single_column_baseline",
+    """WITH c AS (SELECT region, reef_health, count(*) AS n, """
+    + "CASE reef_health " + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + " END AS o"
+    + """ FROM observations GROUP BY 1, 2),
+    m AS (SELECT region, arg_max(reef_health, n * 1000000 - o) AS majority FROM c GROUP BY 1)
+    SELECT region, majority FROM m""",
+)
+def single_column_baseline(spark, sf_dir):
+    """Majority class per region (the region-only predictor)."""
+    return PR.majority_by_group(_obs(spark, sf_dir), "region", "reef_health", S.HEALTH_CLASSES)
+
+
+__all__ = ["M"]

@@ -196,6 +196,8 @@ grid_history AS (
          CAST(CAST(floor(o_totalprice) AS BIGINT) % 1600 / 100 AS DOUBLE) AS dhw,
          (2400.0 + CAST(floor(o_totalprice) AS BIGINT) % 900) / 100 AS sst
   FROM orders)""",
+    "grid_history_cells": """
+grid_history_cells AS (SELECT time, lat_idx, lon_idx, max(dhw) AS value FROM grid_history GROUP BY 1, 2, 3)""",
     "grid_elevation": f"""
 grid_elevation AS (
   SELECT CASE p_partkey % 4 WHEN 0 THEN {q(S.REGIONS[0])} WHEN 1 THEN {q(S.REGIONS[1])}
@@ -222,6 +224,7 @@ DEPENDS = {
     "observations_dirty": ["obs_dmg"],
     "grid_daily": ["grid_cells"],
     "grid_daily_b": ["grid_cells"],
+    "grid_history_cells": ["grid_history"],
 }
 
 
