@@ -1 +1,135 @@
-"""Queries."""
+"""Group A queries: scans, parsing and sinks (sinks write to the shared checkpoint dir and read back)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool import schema as S
+from tidepool.operators import metrics as M
+from tidepool.plans import q_ml, q_ordered, q_validate
+from tidepool.plans.registry import register
+from tidepool.sources import fixtures as X
+from tidepool.sources import io as IO
+
+
+@register("scan_observations", "SELECT * FROM observations")
+def scan_observations(spark, sf_dir):
+    """Scan with the required-column check (raises on a missing column)."""
+    return IO.require_columns(X.observations(spark, sf_dir))
+
+
+@register(
+    "parse_timestamps",
+    """SELECT o_orderkey, TRY_CAST(CASE WHEN o_orderkey % 97 = 0 THEN 'not a date'
+                                      ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS parsed
+    FROM orders""",
+)
+def parse_timestamps(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 97 == 0, F.lit("not a date")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    )
+    df = o.select("o_orderkey", text.alias("parsed"))
+    return IO.parse_timestamps(df, "parsed").withColumn("parsed", F.col("parsed").cast("timestamp_ntz"))
+
+
+@register(
+    "scan_json_records",
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+)
+def scan_json_records(spark, sf_dir):
+    ev = X.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.k")
+
+
+@register("evaluation_best_model")
+def evaluation_best_model(spark, sf_dir):
+    """Nested evaluation document (map algorithm -> metrics) serialised to
+    JSON, parsed back, and the best model's metrics looked up by name."""
+    m = q_ml.model_metrics(spark, sf_dir)
+    doc = m.agg(
+        F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy")).alias("best_model_name"),
+        F.map_from_entries(F.collect_list(F.struct("algorithm", F.struct("macro_f1", "balanced_accuracy", "accuracy")))).alias("models"),
+    )
+    js = doc.select(F.to_json(F.struct("best_model_name", "models")).alias("json"))
+    schema = "best_model_name string, models map<string, struct<macro_f1: double, balanced_accuracy: double, accuracy: double>>"
+    parsed = js.select(F.from_json("json", schema).alias("d"))
+    best = F.element_at("d.models", F.col("d.best_model_name"))
+    return parsed.select(
+        F.col("d.best_model_name").alias("best_model_name"),
+        F.round(best["macro_f1"], 6).alias("macro_f1"),
+        F.round(best["balanced_accuracy"], 6).alias("balanced_accuracy"),
+        F.round(best["accuracy"], 6).alias("accuracy"),
+    )
+
+
+@register("write_splits")
+def write_splits(spark, sf_dir):
+    """Feature/target rows per task and split, partitioned on write, read back."""
+    obs = X.observations(spark, sf_dir)
+    splits = q_ordered.stratified_split(spark, sf_dir)
+    df = splits.join(obs.select("obs_id", *S.SENSOR_COLUMNS, "region"), "obs_id")
+    path = IO.write_partitioned(df, IO.shared_dir(spark, "splits"), ["task", "split"])
+    return spark.read.parquet(path).groupBy("task", "split", "class").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("write_if_valid")
+def write_if_valid(spark, sf_dir):
+    """Write the coerced table only when validation finds zero violations."""
+    obs = X.observations(spark, sf_dir)
+    from tidepool.operators import validate as VL
+
+    path = IO.shared_dir(spark, "validated")
+    ok = IO.write_if_valid(obs, VL.validate_all(spark, obs), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("written", F.lit(ok)) if ok else spark.createDataFrame(
+        [(0, False)], "rows long, written boolean"
+    )
+
+
+@register("write_window")
+def write_window(spark, sf_dir):
+    from tidepool.plans import q_drift
+
+    ref, cur = q_drift.windows(spark, sf_dir)
+    p1, p2 = IO.shared_dir(spark, "reference_window"), IO.shared_dir(spark, "production_window")
+    ref.write.mode("overwrite").parquet(p1)
+    cur.write.mode("overwrite").parquet(p2)
+    return spark.read.parquet(p1).select(F.lit("reference").alias("window"), "obs_id").unionByName(
+        spark.read.parquet(p2).select(F.lit("production").alias("window"), "obs_id")
+    )
+
+
+@register("write_summary_json")
+def write_summary_json(spark, sf_dir):
+    from tidepool.plans import q_drift
+
+    s = q_drift.drift_share(spark, sf_dir).crossJoin(q_drift.drift_recommendation(spark, sf_dir))
+    path = IO.write_summary_json(s, IO.shared_dir(spark, "drift_summary"))
+    return spark.read.json(path)
+
+
+@register("receipts_latest")
+def receipts_latest(spark, sf_dir):
+    """Append-only comparison receipts (one JSON file per model), newest first."""
+    g = q_ml.quality_gate(spark, sf_dir)
+    base = IO.shared_dir(spark, "receipts")
+    g.repartition(3, "algorithm").write.mode("overwrite").json(base)
+    schema = "algorithm string, f1_ok boolean, balanced_accuracy_ok boolean, passed boolean, failures string"
+    return IO.read_receipts(spark, f"{base}/*.json", schema)
+
+
+@register("dataset_fingerprint")
+def dataset_fingerprint(spark, sf_dir):
+    return IO.fingerprint(X.observations(spark, sf_dir))
+
+
+@register("file_profile")
+def file_profile(spark, sf_dir):
+    obs = X.observations(spark, sf_dir)
+    fp = IO.fingerprint(obs)
+    return fp.withColumn("columns", F.lit(len(obs.columns))).withColumn(
+        "checksum_prefix", F.substring(F.sha2(F.concat_ws("|", "rows", "hash_sum_a", "hash_sum_b"), 256), 1, 12)
+    )
+
+
+__all__ = ["M", "q_validate"]
