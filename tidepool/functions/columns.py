@@ -133,6 +133,32 @@ def _with_weighted_score(df, terms, out: str, digits: int | None, null_safe: boo
     return df.withColumn(out, score).drop(*names, f"__{out}_raw")
 
 
+def with_scores(df, specs: dict, digits: int | None = None, null_safe: bool = True):
+    """Several weighted scores in the same three projection stages
+    ({out: terms}); keeps the plan shallow when both labels are needed."""
+    cl = clip if null_safe else clip_fast
+    raw_cols, clipped, sums = {}, {}, {}
+    for out, terms in specs.items():
+        names = [f"__{out}_{i}" for i in range(len(terms))]
+        raw_cols.update({n: t[1]() for n, t in zip(names, terms)})
+        clipped.update({n: cl(n) for n, t in zip(names, terms) if t[2]})
+        total = None
+        for n, (w, _, _) in zip(names, terms):
+            total = F.lit(w) * F.col(n) if total is None else total + F.lit(w) * F.col(n)
+        sums[f"__{out}_raw"] = total
+    df = df.withColumns(raw_cols).withColumns(clipped).withColumns(sums)
+    finals = {}
+    for out in specs:
+        sc = cl(f"__{out}_raw")
+        finals[out] = F.round(sc, digits) if digits is not None else sc
+    drop = list(raw_cols) + list(sums)
+    return df.withColumns(finals).drop(*drop)
+
+
+HEALTH_TERMS = _HEALTH_TERMS
+RESTORATION_TERMS = _RESTORATION_TERMS
+
+
 def with_health_score(df, out: str = "health_score", digits: int | None = None, null_safe: bool = True):
     """Noise-free reef health stress score in [0, 1] (higher = worse)."""
     return _with_weighted_score(df, _HEALTH_TERMS, out, digits, null_safe)

@@ -37,7 +37,9 @@ def rank_within(
     adds the group size.
     """
     bkt = F.conv(F.substring(F.col(key), 1, _BUCKET_HEX), 16, 10).cast("int")
-    d = df.withColumn("__bkt", bkt)
+    # one shuffle on (groups, bucket): the bucket counts, the offset join and
+    # the rank window all reuse this partitioning, so the input is read once
+    d = df.withColumn("__bkt", bkt).repartition(*groups, "__bkt")
     counts = d.groupBy(*groups, "__bkt").agg(F.count(F.lit(1)).alias("__n"))
     wg = Window.partitionBy(*groups).orderBy("__bkt")
     offs = counts.withColumn(

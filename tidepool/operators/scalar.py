@@ -15,8 +15,35 @@ from tidepool.functions import columns as C
 def add_derived_features(
     df: DataFrame, constants: Mapping[str, float] = S.TRAINING_FEATURE_CONSTANTS
 ) -> DataFrame:
-    """Append the six derived features; original columns and row count unchanged."""
-    return df.withColumns(C.derived_feature_columns(constants))
+    """Append the six derived features; original columns and row count unchanged.
+
+    Staged projections: base indices first, then the water quality index over
+    them, so each null-safe clip wraps a column reference and the generated
+    code stays small.
+    """
+    rug = (F.col("rugosity_index") - 1.0) / 9.0
+    out = df.withColumns(
+        {
+            "thermal_stress_index": C.thermal_stress_index(),
+            "oxygen_stress_index": C.oxygen_stress_index(),
+            "acidity_deviation": C.acidity_deviation(),
+            "substrate_stability_score": C.clip(0.60 * (F.col("hard_substrate_percentage") / 100.0) + 0.40 * rug),
+            "structural_complexity_score": C.clip(0.5 * F.col("acoustic_complexity_index") + 0.5 * rug),
+            "__ph_raw": C.acidity_deviation() / constants["ph_normaliser"],
+            "__turb_raw": F.col("turbidity_ntu") / constants["turbidity_normaliser"],
+        }
+    )
+    out = out.withColumns({"__ph_stress": C.clip("__ph_raw"), "__turb_stress": C.clip("__turb_raw")})
+    raw = (
+        0.40 * F.col("thermal_stress_index")
+        + 0.30 * F.col("oxygen_stress_index")
+        + 0.20 * F.col("__ph_stress")
+        + 0.10 * F.col("__turb_stress")
+    )
+    out = out.withColumn("__wqi_raw", F.lit(1.0) - raw).withColumn("water_quality_index", C.clip("__wqi_raw"))
+    out = out.drop("__ph_raw", "__turb_raw", "__ph_stress", "__turb_stress", "__wqi_raw")
+    ordered = [c for c in df.columns if c not in S.DERIVED_COLUMNS] + S.DERIVED_COLUMNS
+    return out.select(*ordered)
 
 
 def apply_shift(df: DataFrame, scale: float = 1.0, fraction: float = 1.0, seed: int = 42) -> DataFrame:

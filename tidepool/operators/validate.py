@@ -89,14 +89,54 @@ def join_region_bounds(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(region_bounds(spark)), "region", "left")
 
 
+def _check_specs(raw_text: dict[str, str]):
+    """(context, column, check, failed condition, failure-case column) for every check."""
+    specs = []
+    for c, (lo, hi) in S.COLUMN_BOUNDS.items():
+        x = F.col(c)
+        specs.append(("Column", c, f"greater_than_or_equal_to({_fmt(lo)})", x < lo, x))
+        specs.append(("Column", c, f"less_than_or_equal_to({_fmt(hi)})", x > hi, x))
+    for c in S.REQUIRED_COLUMNS:
+        specs.append(("Column", c, "not_nullable", F.col(c).isNull(), F.lit(None)))
+    for c, values in DOMAINS.items():
+        x = F.col(c)
+        specs.append(("Column", c, f"isin({values!r})", x.isNotNull() & ~x.isin(values), x))
+    for raw, c in raw_text.items():
+        x = F.col(raw)
+        specs.append(("Column", c, "coerce_dtype('float64')", x.isNotNull() & x.try_cast("double").isNull(), x))
+    inside = (
+        (F.col("latitude") >= F.col("lat_min"))
+        & (F.col("latitude") <= F.col("lat_max"))
+        & (F.col("longitude") >= F.col("lon_min"))
+        & (F.col("longitude") <= F.col("lon_max"))
+    )
+    specs.append(
+        ("DataFrameSchema", None, "coordinates_within_region_bounds",
+         F.col("lat_min").isNotNull() & ~F.coalesce(inside, F.lit(False)), F.lit(False))
+    )
+    return specs
+
+
 def validate_all(
     spark: SparkSession, df: DataFrame, raw_text: dict[str, str] | None = None, id_col: str = "obs_id"
 ) -> DataFrame:
-    """All violations as a long frame (obs_id, schema_context, column, check, failure_case)."""
-    checks = range_checks() + not_null_checks() + domain_checks() + type_checks(raw_text or {})
+    """All violations as a long frame (obs_id, schema_context, column, check, failure_case).
+
+    The per-row pass only builds a compact array of failing check ids;
+    failure values are materialised after the explode (failing rows only)
+    and check metadata comes from a broadcast dimension of fixed size.
+    """
+    specs = _check_specs(raw_text or {})
     joined = join_region_bounds(spark, df)
-    arr = F.filter(F.array(*checks, region_bounds_check()), lambda v: v.isNotNull())
-    return joined.select(F.col(id_col), F.explode(arr).alias("v")).select(id_col, "v.*")
+    ids = F.filter(F.array(*[F.when(cond, F.lit(i)) for i, (_, _, _, cond, _) in enumerate(specs)]), lambda v: v.isNotNull())
+    cases = F.array(*[case.cast("string") for (_, _, _, _, case) in specs])
+    exploded = joined.select(F.col(id_col), F.explode(ids).alias("__id"), cases.alias("__cases"))
+    out = exploded.select(id_col, "__id", F.element_at("__cases", F.col("__id") + 1).alias("failure_case"))
+    meta = spark.createDataFrame(
+        [(i, ctx, col, chk) for i, (ctx, col, chk, _, _) in enumerate(specs)],
+        "__id int, schema_context string, column string, check string",
+    )
+    return out.join(F.broadcast(meta), "__id").select(id_col, "schema_context", "column", "check", "failure_case")
 
 
 def violations_only(spark: SparkSession, df: DataFrame, kind: str, raw_text: dict[str, str] | None = None) -> DataFrame:

@@ -29,7 +29,12 @@ def _case(key: Column, mapping: dict, default) -> Column:
 
 
 def observations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation rows plus the helper columns ``_ok`` and ``_ep``."""
+    """Observation rows plus the helper columns ``_ok`` and ``_ep`` (from the table at rest)."""
+    return labelled_base(spark, sf_dir).drop(*S.TARGET_COLUMNS)
+
+
+def _observations_base_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observation rows plus ``_ok``/``_ep``, computed from the driver tables."""
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("ok"),
         F.col("l_linenumber").alias("ln"),
@@ -94,7 +99,7 @@ def observations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_labels(df: DataFrame) -> DataFrame:
     """Attach both class labels from the noise-free score formulas (9 dp)."""
-    df = C.with_restoration_score(C.with_health_score(df, "__hs", 9, False), "__rs", 9, False)
+    df = C.with_scores(df, {"__hs": C.HEALTH_TERMS, "__rs": C.RESTORATION_TERMS}, 9, False)
     return df.withColumns(
         {
             "reef_health": C.health_class("__hs"),
@@ -103,8 +108,34 @@ def with_labels(df: DataFrame) -> DataFrame:
     ).drop("__hs", "__rs")
 
 
+_MATERIALISED: dict[tuple, str] = {}
+
+
 def labelled_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_labels(observations_base(spark, sf_dir))
+    """The labelled observation table at rest.
+
+    Built once per application from the driver tables and written as
+    Parquet into the shared checkpoint folder (this also cuts the join
+    lineage); every query then scans it with column pruning and filter
+    pushdown instead of re-running the four-way join and both score chains.
+    """
+    from tidepool.sources.io import shared_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _MATERIALISED.get(key)
+    if path is None:
+        path = shared_dir(spark, "observations")
+        # the label projection is long; fused into one generated method it
+        # exceeds the JIT's huge-method limit and runs slower than the
+        # interpreted operators, so this single write runs without fusion
+        prev = spark.conf.get("spark.sql.codegen.wholeStage")
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+        try:
+            with_labels(_observations_base_raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        finally:
+            spark.conf.set("spark.sql.codegen.wholeStage", prev)
+        _MATERIALISED[key] = path
+    return spark.read.parquet(path)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
