@@ -1,0 +1,4 @@
+"""Streaming: the monitored system has no streams, watermarks or stateful
+operators, so nothing is built here. The B/C/E operators are pure
+``DataFrame -> DataFrame`` functions and would run unchanged over a
+``readStream`` source."""
