@@ -222,3 +222,113 @@ def one_hot(spark, sf_dir):
 def scaler_integrity(spark, sf_dir):
     obs = X.observations(spark, sf_dir)
     return P.scaler_integrity(P.fit_scaler(obs, ["ph", "depth_m"]), obs, ["ph", "depth_m"])
+
+
+# --- I21: champion vs challenger gates ---------------------------------------
+_GATES = S.COMPARISON_GATES["health"]
+_RECALL_SQL = """rec AS (SELECT algorithm, y_true AS class, avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) AS recall
+                   FROM algo GROUP BY 1, 2)"""
+
+
+@register(
+    "compare_champion",
+    "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + ",\n" + _RECALL_SQL + f""",
+    m AS ({_metrics_select("algorithm")}),
+    ch AS (SELECT * FROM m WHERE algorithm = 'threshold_rule'), cl AS (SELECT * FROM m WHERE algorithm = 'centre_scorer'),
+    rr AS (SELECT max(greatest(c.recall - h.recall, 0.0)) AS worst_recall_drop FROM rec c JOIN rec h ON c.class = h.class
+           WHERE c.algorithm = 'threshold_rule' AND h.algorithm = 'centre_scorer'),
+    g AS (SELECT * FROM (VALUES (1, 'min_abs_macro_f1'), (2, 'max_macro_f1_regression'), (3, 'min_balanced_accuracy'),
+                                (4, 'max_per_class_recall_regression')) t(gate_order, gate)),
+    gx AS (SELECT g.gate_order, g.gate,
+            CASE g.gate WHEN 'min_abs_macro_f1' THEN cl.macro_f1 WHEN 'max_macro_f1_regression' THEN round(greatest(ch.macro_f1 - cl.macro_f1, 0.0), 6)
+                        WHEN 'min_balanced_accuracy' THEN cl.balanced_accuracy ELSE round(rr.worst_recall_drop, 6) END AS value,
+            CASE g.gate WHEN 'min_abs_macro_f1' THEN {_GATES['min_abs_macro_f1']} WHEN 'max_macro_f1_regression' THEN {_GATES['max_macro_f1_regression']}
+                        WHEN 'min_balanced_accuracy' THEN {_GATES['min_balanced_accuracy']} ELSE {_GATES['max_per_class_recall_regression']} END AS threshold,
+            round(cl.macro_f1 - ch.macro_f1, 6) AS f1_diff
+          FROM g, ch, cl, rr)
+    SELECT gate_order, gate, value, threshold,
+           CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END AS passed,
+           CASE WHEN bool_and(CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END) OVER () = false THEN 'reject'
+                WHEN f1_diff <= 0 THEN 'review_required' ELSE 'eligible' END AS outcome
+    FROM gx""",
+)
+def compare_champion(spark, sf_dir):
+    """Gates as a long table (one row per gate) plus the overall outcome:
+    reject if any gate fails, review_required when the challenger is not
+    better, else eligible. Champion = threshold rule, challenger = centre scorer."""
+    from pyspark.sql import Window
+
+    preds = algorithm_predictions(spark, sf_dir)
+    m = M.classification_metrics(preds, "y_true", "y_pred", ["algorithm"])
+    ch = m.filter(F.col("algorithm") == "threshold_rule").select(F.col("macro_f1").alias("ch_f1"))
+    cl = m.filter(F.col("algorithm") == "centre_scorer").select(F.col("macro_f1").alias("cl_f1"), F.col("balanced_accuracy").alias("cl_bal"))
+    rec = preds.groupBy("algorithm", F.col("y_true").alias("class")).agg(F.avg((F.col("y_pred") == F.col("y_true")).cast("double")).alias("recall"))
+    rc = rec.filter(F.col("algorithm") == "threshold_rule").select("class", F.col("recall").alias("rc"))
+    rh = rec.filter(F.col("algorithm") == "centre_scorer").select("class", F.col("recall").alias("rh"))
+    rr = rc.join(rh, "class").agg(F.max(F.greatest(F.col("rc") - F.col("rh"), F.lit(0.0))).alias("drop"))
+    x = ch.crossJoin(cl).crossJoin(rr)
+    gates = spark.createDataFrame(
+        [(1, "min_abs_macro_f1"), (2, "max_macro_f1_regression"), (3, "min_balanced_accuracy"), (4, "max_per_class_recall_regression")],
+        "gate_order int, gate string",
+    )
+    g = F.col("gate")
+    value = (
+        F.when(g == "min_abs_macro_f1", F.col("cl_f1"))
+        .when(g == "max_macro_f1_regression", F.round(F.greatest(F.col("ch_f1") - F.col("cl_f1"), F.lit(0.0)), 6))
+        .when(g == "min_balanced_accuracy", F.col("cl_bal"))
+        .otherwise(F.round("drop", 6))
+    )
+    threshold = (
+        F.when(g == "min_abs_macro_f1", F.lit(_GATES["min_abs_macro_f1"]))
+        .when(g == "max_macro_f1_regression", F.lit(_GATES["max_macro_f1_regression"]))
+        .when(g == "min_balanced_accuracy", F.lit(_GATES["min_balanced_accuracy"]))
+        .otherwise(F.lit(_GATES["max_per_class_recall_regression"]))
+    )
+    t = F.broadcast(gates).crossJoin(x).select("gate_order", "gate", value.alias("value"), threshold.alias("threshold"),
+                                               F.round(F.col("cl_f1") - F.col("ch_f1"), 6).alias("f1_diff"))
+    passed = F.when(F.col("gate").startswith("min"), F.col("value") >= F.col("threshold")).otherwise(F.col("value") <= F.col("threshold"))
+    t = t.withColumn("passed", passed)
+    all_ok = F.min(F.col("passed").cast("int")).over(Window.partitionBy())  # over the 4 gate rows
+    return t.select(
+        "gate_order", "gate", "value", "threshold", "passed",
+        F.when(all_ok == 0, "reject").when(F.col("f1_diff") <= 0, "review_required").otherwise("eligible").alias("outcome"),
+    )
+
+
+@register(
+    "champion_as_of",
+    """SELECT model_name, max(version) FILTER (WHERE rn = 1) AS champion_version,
+              max(version) FILTER (WHERE rn = 2) AS previous_version, count(*) AS alias_events
+    FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, version DESC) AS rn FROM alias_events)
+    GROUP BY model_name""",
+)
+def champion_as_of(spark, sf_dir):
+    """Current and previous champion per model from the append-only alias-event table:
+    the two latest events per model via max_by / a top-2 per group aggregate
+    (no window over a whole model's history)."""
+    ev = X.alias_events(spark, sf_dir)
+    top = ev.groupBy("model_name").agg(
+        F.max_by("version", F.struct("ts", "version")).alias("champion_version"),
+        F.max_by(F.struct("ts", "version"), F.struct("ts", "version")).alias("_last"),
+        F.count(F.lit(1)).alias("alias_events"),
+    )
+    prev = ev.join(top.select("model_name", "_last"), "model_name").filter(
+        F.struct("ts", "version") < F.col("_last")
+    ).groupBy("model_name").agg(F.max_by("version", F.struct("ts", "version")).alias("previous_version"))
+    return top.drop("_last").join(prev, "model_name", "left").select("model_name", "champion_version", "previous_version", "alias_events")
+
+
+@register(
+    "duplicate_registration",
+    """SELECT model_name, count(*) AS registered_runs FROM alias_events a
+    WHERE EXISTS (SELECT 1 FROM events e WHERE 'run-' || CAST(e.event_id AS VARCHAR) = a.run_id AND e.event_type = 'purchase')
+    GROUP BY model_name""",
+)
+def duplicate_registration(spark, sf_dir):
+    """Runs already registered: left semi join of candidate runs (purchase
+    events) against the registration table on run id."""
+    ev = X.table(spark, sf_dir, "events")
+    cand = ev.filter(F.col("event_type") == "purchase").select(F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"))
+    return X.alias_events(spark, sf_dir).join(cand, "run_id", "left_semi").groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("registered_runs")
+    )
