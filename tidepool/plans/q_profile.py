@@ -285,3 +285,69 @@ def single_column_baseline(spark, sf_dir):
 
 
 __all__ = ["M"]
+
+
+_ALL_OBS = ", ".join(S.OBSERVATION_COLUMNS[1:])
+
+
+@register(
+    "quality_checks",
+    f"""WITH base AS (SELECT * FROM observations),
+    n AS (SELECT count(*) AS rows FROM base),
+    dup AS (SELECT coalesce(sum(c - 1), 0) AS duplicate_rows FROM (SELECT count(*) AS c FROM base GROUP BY {_ALL_OBS})),
+    coord AS (SELECT coalesce(sum(c - 1), 0) AS duplicate_coordinates FROM (SELECT count(*) AS c FROM base GROUP BY latitude, longitude)),
+    ts AS (SELECT coalesce(sum(c - 1), 0) AS duplicate_timestamps FROM (SELECT count(*) AS c FROM base GROUP BY timestamp)),
+    nulls AS (SELECT {" + ".join(f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in S.OBSERVATION_COLUMNS)} AS null_cells FROM base),
+    box AS (SELECT count(*) AS outside_bbox FROM base o JOIN region_bounds b ON o.region = b.region
+            WHERE NOT (latitude BETWEEN lat_min AND lat_max AND longitude BETWEEN lon_min AND lon_max))
+    SELECT rows, CAST(null_cells AS BIGINT) AS null_cells, CAST(duplicate_rows AS BIGINT) AS duplicate_rows,
+           CAST(duplicate_coordinates AS BIGINT) AS duplicate_coordinates, CAST(duplicate_timestamps AS BIGINT) AS duplicate_timestamps,
+           outside_bbox FROM n, nulls, dup, coord, ts, box""",
+)
+def quality_checks(spark, sf_dir):
+    """Nulls, duplicate rows / coordinate pairs / timestamps, rows outside
+    their region box: one aggregate pass plus three grouped duplicate counts."""
+    from tidepool.operators import validate as VL
+
+    obs = _obs(spark, sf_dir)
+
+    def dups(*cols):
+        return obs.groupBy(*cols).agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("long"))
+
+    base = obs.agg(
+        F.count(F.lit(1)).alias("rows"),
+        sum((F.sum(F.col(c).isNull().cast("long")) for c in S.OBSERVATION_COLUMNS), F.lit(0)).cast("long").alias("null_cells"),
+    )
+    j = VL.join_region_bounds(spark, obs)
+    inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col("longitude").between(F.col("lon_min"), F.col("lon_max"))
+    box = j.filter(F.col("lat_min").isNotNull() & ~inside).agg(F.count(F.lit(1)).alias("outside_bbox"))
+    return (
+        base.crossJoin(dups(*S.OBSERVATION_COLUMNS[1:]).toDF("duplicate_rows"))
+        .crossJoin(dups("latitude", "longitude").toDF("duplicate_coordinates"))
+        .crossJoin(dups("timestamp").toDF("duplicate_timestamps"))
+        .crossJoin(box)
+    )
+
+
+@register(
+    "time_gap_profile",
+    """WITH d AS (SELECT DISTINCT CAST(timestamp AS DATE) AS day FROM observations),
+    g AS (SELECT day, datediff('day', lag(day) OVER (ORDER BY day), day) AS gap FROM d)
+    SELECT min(day) AS first_day, max(day) AS last_day, datediff('day', min(day), max(day)) AS span_days,
+           quantile_cont(gap, 0.5) AS median_gap_days, max(gap) AS max_gap_days,
+           CAST(sum(CASE WHEN gap > 1 THEN 1 ELSE 0 END) AS BIGINT) AS gaps_over_24h FROM g""",
+)
+def time_gap_profile(spark, sf_dir):
+    """Span, median / max gap and gaps over 24 h between observation days.
+    Rows collapse to distinct days first; the ordered window then runs over
+    the day axis (one row per calendar day, thousands per century)."""
+    from pyspark.sql import Window
+
+    d = _obs(spark, sf_dir).select(F.to_date("timestamp").alias("day")).distinct()
+    g = d.withColumn("gap", F.datediff(F.col("day"), F.lag("day").over(Window.orderBy("day"))))
+    return g.agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+        F.datediff(F.max("day"), F.min("day")).alias("span_days"),
+        F.percentile("gap", 0.5).alias("median_gap_days"), F.max("gap").alias("max_gap_days"),
+        F.sum((F.col("gap") > 1).cast("long")).alias("gaps_over_24h"),
+    )
