@@ -332,3 +332,44 @@ def duplicate_registration(spark, sf_dir):
     return X.alias_events(spark, sf_dir).join(cand, "run_id", "left_semi").groupBy("model_name").agg(
         F.count(F.lit(1)).alias("registered_runs")
     )
+
+
+def _train_test(spark, sf_dir, task="health"):
+    from tidepool.plans.q_ordered import stratified_split
+
+    label = S.TASK_TARGET[task]
+    obs = X.observations(spark, sf_dir)
+    split = stratified_split(spark, sf_dir).filter(F.col("task") == task).select("obs_id", "split")
+    d = obs.join(split, "obs_id")
+    return d.filter(F.col("split") == "train").drop("split"), d.filter(F.col("split") == "test").drop("split"), label
+
+
+@register("train_logistic")
+def train_logistic(spark, sf_dir):
+    """Multinomial LR (balanced weights, quick iterations) fitted on the
+    training split; test-split metrics from the confusion counts."""
+    from tidepool.operators import ml as ML
+
+    train, test, label = _train_test(spark, sf_dir)
+    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES, max_iter=ML.QUICK["max_iter"])
+    preds = ML.score(model, test, label).join(test.select("obs_id", label), "obs_id")
+    return M.classification_metrics(preds, label, "predicted_class").withColumn("algorithm", F.lit("logistic_regression"))
+
+
+@register("score_batch")
+def score_batch(spark, sf_dir):
+    """Fitted pipeline applied to the test split: class, probability map, confidence."""
+    from tidepool.operators import ml as ML
+
+    train, test, label = _train_test(spark, sf_dir, "restoration")
+    model = ML.fit_logistic(train, label, S.RESTORATION_CLASSES, max_iter=ML.QUICK["max_iter"])
+    return ML.score(model, test.drop(*S.TARGET_COLUMNS), label)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    from tidepool.operators import ml as ML
+
+    train, _, label = _train_test(spark, sf_dir)
+    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES, max_iter=ML.QUICK["max_iter"])
+    return ML.coefficient_importance(model, spark)
