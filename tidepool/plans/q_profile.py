@@ -351,3 +351,51 @@ def time_gap_profile(spark, sf_dir):
         F.percentile("gap", 0.5).alias("median_gap_days"), F.max("gap").alias("max_gap_days"),
         F.sum((F.col("gap") > 1).cast("long")).alias("gaps_over_24h"),
     )
+
+
+_MI_COLS = ["water_temperature_c", "bleaching_percentage", "coral_cover_percentage", "disease_percentage", "ph"]
+
+
+@register(
+    "mutual_information",
+    """WITH l AS (SELECT reef_health AS y, "column", value FROM observations UNPIVOT (value FOR "column" IN ("""
+    + ", ".join(_MI_COLS)
+    + """))),
+    r AS (SELECT "column", min(value) AS lo, max(value) AS hi FROM l GROUP BY 1),
+    b AS (SELECT l."column", y, CAST(least(9, greatest(0, floor((value - lo) / ((CASE WHEN hi <= lo THEN lo + 1.0 ELSE hi END - lo) / 10)))) AS INTEGER) AS bin
+          FROM l JOIN r ON l."column" = r."column"),
+    j AS (SELECT "column", bin, y, count(*) AS n FROM b GROUP BY 1, 2, 3),
+    t AS (SELECT "column", sum(n) AS total FROM j GROUP BY 1),
+    px AS (SELECT "column", bin, sum(n) AS nx FROM j GROUP BY 1, 2),
+    py AS (SELECT "column", y, sum(n) AS ny FROM j GROUP BY 1, 2),
+    h AS (SELECT "column", -sum(ny / total * log2(ny / total)) AS hy FROM py JOIN t USING ("column") GROUP BY 1),
+    mi AS (SELECT j."column", sum(n / total * log2((n * total) / (nx * ny))) AS mi
+           FROM j JOIN t USING ("column") JOIN px USING ("column", bin) JOIN py USING ("column", y) GROUP BY 1)
+    SELECT mi."column", round(mi, 6) AS mutual_information_bits, round(100 * mi / hy, 4) AS pct_of_label_entropy
+    FROM mi JOIN h USING ("column")""",
+)
+def mutual_information(spark, sf_dir):
+    """Binned plug-in mutual information of each feature with the health label
+    (10 equal-width bins; differs from a kNN estimator by construction)."""
+    long = _obs(spark, sf_dir).select(F.col("reef_health").alias("y"), *_MI_COLS).unpivot(["y"], _MI_COLS, "column", "value")
+    r = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi0"))
+    r = r.withColumn("hi", F.when(F.col("hi0") <= F.col("lo"), F.col("lo") + 1.0).otherwise(F.col("hi0")))
+    b = long.join(F.broadcast(r), "column").select(  # one row per feature column
+        "column", "y",
+        F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("value") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 10)))).cast("int").alias("bin"),
+    )
+    j = b.groupBy("column", "bin", "y").agg(F.count(F.lit(1)).alias("n"))
+    t = j.groupBy("column").agg(F.sum("n").alias("total"))
+    px = j.groupBy("column", "bin").agg(F.sum("n").alias("nx"))
+    py = j.groupBy("column", "y").agg(F.sum("n").alias("ny"))
+    hy = py.join(t, "column").groupBy("column").agg(
+        (-F.sum(F.col("ny") / F.col("total") * F.log2(F.col("ny") / F.col("total")))).alias("hy")
+    )
+    mi = (
+        j.join(t, "column").join(px, ["column", "bin"]).join(py, ["column", "y"])
+        .groupBy("column")
+        .agg(F.sum(F.col("n") / F.col("total") * F.log2((F.col("n") * F.col("total")) / (F.col("nx") * F.col("ny")))).alias("mi"))
+    )
+    return mi.join(hy, "column").select(
+        "column", F.round("mi", 6).alias("mutual_information_bits"), F.round(100 * F.col("mi") / F.col("hy"), 4).alias("pct_of_label_entropy")
+    )
