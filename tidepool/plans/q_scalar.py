@@ -236,3 +236,10 @@ def format_number(spark, sf_dir):
 )
 def round_coordinates(spark, sf_dir):
     return O.round_coordinates(_obs(spark, sf_dir))
+
+
+@register("prediction_envelope")
+def prediction_envelope(spark, sf_dir):
+    """Each prediction with task, model identity and one run timestamp (rows-only: wall clock)."""
+    p = X.predictions(spark, sf_dir, "health").select("obs_id", "predicted_class", "probabilities", "confidence")
+    return O.prediction_envelope(p, "health", "reef_health_model", "1", "champion", "run-fixture-scorer")
