@@ -399,3 +399,30 @@ def mutual_information(spark, sf_dir):
     return mi.join(hy, "column").select(
         "column", F.round("mi", 6).alias("mutual_information_bits"), F.round(100 * F.col("mi") / F.col("hy"), 4).alias("pct_of_label_entropy")
     )
+
+
+@register(
+    "ks_uniform",
+    """WITH c AS (SELECT region, latitude AS v, count(*) AS n FROM observations GROUP BY 1, 2),
+    e AS (SELECT c.region, v, n, sum(n) OVER (PARTITION BY c.region ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum,
+                 sum(n) OVER (PARTITION BY c.region) AS total, b.lat_min, b.lat_max
+          FROM c JOIN region_bounds b ON c.region = b.region)
+    SELECT region, round(max(greatest(cum / total - (v - lat_min) / (lat_max - lat_min),
+                                      (v - lat_min) / (lat_max - lat_min) - (cum - n) / total)), 6) AS ks_statistic,
+           CAST(max(total) AS BIGINT) AS n
+    FROM e GROUP BY region""",
+)
+def ks_uniform(spark, sf_dir):
+    """One-sample KS of latitude against the uniform distribution on the
+    region's box: distinct values per region, bucketed prefix counts, then
+    D = max(F_n(v) - U(v), U(v) - F_n(v-))."""
+    from tidepool.operators.validate import join_region_bounds
+
+    obs = _obs(spark, sf_dir)
+    c = obs.groupBy("region", F.col("latitude").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    pre = O.value_prefix(c, "region", "v", ["n"])
+    tot = c.groupBy("region").agg(F.sum("n").alias("total"))
+    e = join_region_bounds(spark, pre.join(tot, "region"))
+    u = (F.col("v") - F.col("lat_min")) / (F.col("lat_max") - F.col("lat_min"))
+    d = F.greatest(F.col("cum_n") / F.col("total") - u, u - (F.col("cum_n") - F.col("n")) / F.col("total"))
+    return e.groupBy("region").agg(F.round(F.max(d), 6).alias("ks_statistic"), F.max("total").cast("long").alias("n"))
