@@ -230,8 +230,7 @@ _RECALL_SQL = """rec AS (SELECT algorithm, y_true AS class, avg(CASE WHEN y_pred
                    FROM algo GROUP BY 1, 2)"""
 
 
-@register(
-    "compare_champion",
+_COMPARE_SQL = (
     "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + ",\n" + _RECALL_SQL + f""",
     m AS ({_metrics_select("algorithm")}),
     ch AS (SELECT * FROM m WHERE algorithm = 'threshold_rule'), cl AS (SELECT * FROM m WHERE algorithm = 'centre_scorer'),
@@ -250,8 +249,12 @@ _RECALL_SQL = """rec AS (SELECT algorithm, y_true AS class, avg(CASE WHEN y_pred
            CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END AS passed,
            CASE WHEN bool_and(CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END) OVER () = false THEN 'reject'
                 WHEN f1_diff <= 0 THEN 'review_required' ELSE 'eligible' END AS outcome
-    FROM gx""",
+    FROM gx"""
 )
+ORACLE_BODIES = {"compare_champion": _COMPARE_SQL}
+
+
+@register("compare_champion", _COMPARE_SQL)
 def compare_champion(spark, sf_dir):
     """Gates as a long table (one row per gate) plus the overall outcome:
     reject if any gate fails, review_required when the challenger is not
@@ -373,3 +376,38 @@ def feature_importance(spark, sf_dir):
     train, _, label = _train_test(spark, sf_dir)
     model = ML.fit_logistic(train, label, S.HEALTH_CLASSES, max_iter=ML.QUICK["max_iter"])
     return ML.coefficient_importance(model, spark)
+
+
+def _promotion_sql(approver: str, reason: str, force: bool, dry_run: bool) -> str:
+    cmp_sql = ORACLE_BODIES["compare_champion"]
+    return f"""WITH c AS (SELECT * FROM ({cmp_sql})),
+    o AS (SELECT max(outcome) AS outcome, bool_and(passed) AS gates_ok FROM c)
+    SELECT outcome, gates_ok,
+      CASE WHEN trim({V.q(approver)}) = '' OR trim({V.q(reason)}) = '' THEN 'blocked_missing_approval'
+           WHEN outcome = 'reject' THEN 'blocked_rejected'
+           WHEN outcome = 'review_required' AND NOT {str(force).lower()} THEN 'blocked_review_required'
+           WHEN NOT gates_ok THEN 'blocked_gates'
+           WHEN {str(dry_run).lower()} THEN 'dry_run_ok'
+           ELSE 'promote' END AS decision
+    FROM o"""
+
+
+_PROMOTION = {"approver": "reef-ops", "reason": "scheduled review", "force": False, "dry_run": True}
+
+
+@register("promotion_decision", _promotion_sql(**_PROMOTION))
+def promotion_decision(spark, sf_dir):
+    """Promotion gate over the comparison: missing approver/reason blocks,
+    reject blocks, review_required needs force, gates re-checked, dry run."""
+    c = compare_champion(spark, sf_dir)
+    o = c.agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
+    a, r, force, dry = (_PROMOTION[k] for k in ("approver", "reason", "force", "dry_run"))
+    decision = (
+        F.when(F.lit(a.strip() == "" or r.strip() == ""), "blocked_missing_approval")
+        .when(F.col("outcome") == "reject", "blocked_rejected")
+        .when((F.col("outcome") == "review_required") & F.lit(not force), "blocked_review_required")
+        .when(~F.col("gates_ok"), "blocked_gates")
+        .when(F.lit(dry), "dry_run_ok")
+        .otherwise("promote")
+    )
+    return o.select("outcome", "gates_ok", decision.alias("decision"))
