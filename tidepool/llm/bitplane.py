@@ -161,7 +161,7 @@ def write_ids(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = END_ID,
-    planes: str = "bit",
+    planes: str = "byte",
     folder: str | None = None,
 ) -> DataFrame:
     """Encode every text, append end_id, write ids in ascending id order; the manifest (part, path, n_docs, n_ids, start).

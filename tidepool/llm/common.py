@@ -74,7 +74,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("p", ())) < n:
-        n = max(n, STEP_BYTES * 2)
+        n = max(n, STEP_BYTES + 2)
         inverse = pow(_P, -1, 1 << 64)
         for name, base in (("p", _P), ("q", inverse)):
             t = np.full(n, base, dtype=np.uint64)
@@ -153,3 +153,54 @@ def extend(batch: pa.RecordBatch, names: list[str], more: dict[str, pa.Array]) -
     """The batch with more columns, which replace those of the same name."""
     kept = [(n, c) for n, c in zip(names, batch.columns) if n.lower() not in {m.lower() for m in more}]
     return pa.RecordBatch.from_arrays([c for _, c in kept] + list(more.values()), [n for n, _ in kept] + list(more))
+
+
+def grouped(batches, keys: list[str], rows: int = 1):
+    """Whole groups of rows that are sorted by keys, as record batches of at least `rows` rows where the input has them."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        last = {k: table.column(k)[n - 1].as_py() for k in keys}
+        same = np.ones(n, dtype=bool)
+        for k in keys:
+            same &= table.column(k).to_numpy() == last[k]
+        change = np.flatnonzero(~same)
+        done = int(change[-1]) + 1 if len(change) else 0
+        if done:
+            yield table.slice(0, done).combine_chunks().to_batches()[0]
+        rest = table.slice(done).combine_chunks()
+        held, n = rest.to_batches(), n - done
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def block_pairs(df: DataFrame, keys: list[str], size: str, salt: Column, rows: int) -> DataFrame:
+    """df's rows dealt to blocks of two chunks of their group: columns `_a` <= `_b` name the block's chunks, `_c` the row's own.
+
+    A group of `size` rows (a column) has ceil(size / rows) chunks, filled by the
+    hash `salt`; a row goes to every block that its chunk is part of. A group of
+    one chunk is one block. No block holds more than about 2 * rows rows.
+    """
+    chunks = F.ceil(F.col(size) / rows).cast("int")
+    own = df.withColumn("_c", F.pmod(salt, chunks).cast("int"))
+    return own.withColumn("_o", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumns({"_a": F.least("_c", "_o"), "_b": F.greatest("_c", "_o")}).drop("_o")
+
+
+def local_components(linked: np.ndarray) -> np.ndarray:
+    """The least row number reachable from each row of a symmetric boolean matrix."""
+    label = np.arange(len(linked))
+    while True:
+        low = np.where(linked, label[None, :], len(linked)).min(axis=1, initial=len(linked))
+        new = np.minimum(label, low)
+        new = np.minimum(new, new[new])
+        if np.array_equal(new, label):
+            return label
+        label = new

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import WORD_PATTERN, cut
 
 #: A document's hash has LEVELS digits of DIGIT_BITS bits.
-DIGIT_BITS, LEVELS = 15, 4
+DIGIT_BITS, LEVELS = 12, 5
 
 
 def word_count(text: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, compression, langid, mixing, sentencepiece_codec
+from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, sentencepiece_codec, superkmer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,34 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids", "parity", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
+@query
+def op2_cap_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op2_cap_neardup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  coalesce(vec_id = least(vec_id, coalesce(low, vec_id)), true) AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -71,13 +99,45 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmer.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op6_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM s),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first FROM k),
+h AS (SELECT doc_id, unnest(range(i, i + 50)) AS i FROM f WHERE first < doc_id),
+r AS (SELECT doc_id, list(DISTINCT i) AS gone FROM h GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS g, list_transform(list_filter(range(1, len(w) + 1), lambda i: gone IS NULL OR NOT list_contains(gone, i)), lambda i: w[i]) AS kept FROM d LEFT JOIN r USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_words, g::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM o
+"""
+
+
 @query
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bitplane.ids_digest(bitplane.encode_to_files(spark, docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = icws.near_duplicates(docs)
+    return found.select(F.col("doc").alias("doc_id"), "class_id", F.coalesce(F.col("doc") == F.col("class_id"), F.lit(True)).alias("kept"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return compression.quality_rules(docs).select("doc_id", "quality.*")
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(True), 256).alias("base_sha256"), pii.span_text(False).alias("spans"))
