@@ -198,8 +198,8 @@ def write_ids(
                 sink = fs.open_output_stream(temp)
                 writer = Writer(sink, planes)
                 encode = per_process(f"word-encoder-{crc32(tokenizer.value.encode())}", lambda: word_encoder(tokenizer.value))
-            for at in range(0, batch.num_rows, 2000):
-                some = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
                 ids, sizes = encode(some.column(1))
                 writer.add(some.column(0).to_pylist(), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1)
         if writer is not None:
@@ -240,8 +240,9 @@ def read_ids(manifest: DataFrame, id_type: str = "long") -> DataFrame:
                             yield pa.RecordBatch.from_arrays([pa.array(names[doc : doc + n], kind), pa.array(start + offsets[:-1].astype(np.int64)), ids], ["doc_id", "start", "ids"])
                             start, doc, rest = start + used, doc + n, rest[used:]
 
-    files = manifest.select("path", "start")
-    return files.repartition("path").mapInArrow(read, f"doc_id {id_type}, start long, ids array<int>")
+    # as many tasks as files, of which there are as many as the writing job had tasks
+    files = manifest.select("path", "start").repartition(max(1, manifest.count()), "path")
+    return files.mapInArrow(read, f"doc_id {id_type}, start long, ids array<int>")
 
 
 def ids_digest(ids: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,23 +19,41 @@ SPARSITY = 8
 #: Vectors of a chunk of a crowded filter.
 CHUNK = 1024
 SEED = 20240607
+#: Standard deviations by which a cap's edge may part linked vectors.
+EDGE = 0.8
+
+
+def cap_share(dim: int, alpha: float) -> float:
+    """Share of the unit sphere whose inner product with a fixed direction is at least alpha."""
+    if dim == 1:
+        return 0.5
+    angle = np.linspace(0, np.pi, 20001)
+    density = np.sin(angle) ** (dim - 2)
+    return float(np.interp(np.arccos(alpha), angle, np.cumsum(density) / density.sum()))
 
 
 class ProductCode:
     """Filters c = (c_1, ..., c_m) / sqrt(m), each c_i one of `words` unit vectors of its block of coordinates."""
 
-    def __init__(self, dim: int, n_vectors: int, seed: int = SEED):
+    def __init__(self, dim: int, n_vectors: int, threshold: float = 0.98, seed: int = SEED):
         self.dim = dim
         self.blocks = np.array_split(np.arange(dim), max(1, min(4, dim // 8)))
         m = len(self.blocks)
-        self.words = int(max(8, np.ceil((SPARSITY * MEAN_FILTERS * max(1, n_vectors)) ** (1 / m))))
+        # near vectors must stay near a cap's edge: no cap may be so small that one of two linked vectors
+        # on its edge leaves the other outside by more than EDGE standard deviations
+        slope = EDGE * np.sqrt((1 - threshold**2) / max(1, dim - 1)) / max(1e-9, 1 - threshold)
+        widest = slope / np.sqrt(1 + slope**2)
+        wanted = min(SPARSITY * MEAN_FILTERS * max(1, n_vectors), MEAN_FILTERS / cap_share(dim, widest))
+        self.words = int(max(2, np.ceil(wanted ** (1 / m))))
         rng = np.random.default_rng([seed, dim])
         self.code = []
         for b in self.blocks:
             c = rng.standard_normal((self.words, len(b)))
             self.code.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(m))
-        n_filters = self.words**m
-        self.alpha = NormalDist().inv_cdf(1 - min(0.5, MEAN_FILTERS / n_filters)) / np.sqrt(dim)
+        low, high = -1.0, 1.0
+        for _ in range(50):  # the cap that MEAN_FILTERS of all filters' centres fall into
+            self.alpha = (low + high) / 2
+            low, high = (self.alpha, high) if cap_share(dim, self.alpha) * self.words**m > MEAN_FILTERS else (low, self.alpha)
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
         """For each unit vector the sorted numbers of all filters with inner product of at least alpha, and of its LEAST_FILTERS best.
@@ -73,14 +90,14 @@ class ProductCode:
         return total
 
 
-def _codes(n_vectors: int):
+def _codes(n_vectors: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, ProductCode] = {}
         for batch in batches:
             ids, dims = batch.column(0), batch.column(1).value_lengths().to_numpy()
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
-                code = codes.setdefault(dim, ProductCode(dim, n_vectors))
+                code = codes.get(dim) or codes.setdefault(dim, ProductCode(dim, n_vectors, threshold))
                 x = batch.column(1).take(pa.array(rows)).flatten().to_numpy().reshape(-1, dim)
                 for at in range(0, len(rows), 256):
                     filters = code.decode(x[at : at + 256])
@@ -159,7 +176,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     reps = cut(reps.select("h1", "h2", "rep", "weight", "o.label", "o.unit"), "vectors")
 
     n_vectors = reps.count()
-    codes = cut(reps.select("rep", "unit").mapInArrow(_codes(n_vectors), "rep long, filters array<long>").join(reps.select("rep", F.xxhash64("label", F.size("unit")).alias("group")), "rep"), "filters")
+    codes = cut(reps.select("rep", "unit").mapInArrow(_codes(n_vectors, threshold), "rep long, filters array<long>").join(reps.select("rep", F.xxhash64("label", F.size("unit")).alias("group")), "rep"), "filters")
     entry = codes.select("rep", F.explode("filters").alias("filter"), "group")
     crowd = entry.groupBy("group", "filter").agg(F.count("*").alias("size")).where("size > 1")
     entry = entry.join(crowd, ["group", "filter"]).withColumn("group", F.xxhash64("group", "filter"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,20 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keys (_id, _th) of a row: its id and a hash of its text. Rows equal in both are one document."""
-    return df.withColumns({"_id": F.col(id_col), "_th": F.xxhash64(F.col(text_col))})
+def shield(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str], Callable[..., DataFrame]]:
+    """docs with columns renamed by position, so that no helper's name clashes with one; the new names of `cols`; and what gives the old names back.
 
+    The last takes a frame with the renamed columns and further ones: those named
+    in `new` stay, and replace columns of docs of the same name; others go.
+    """
+    names = [f"_col{i}" for i in range(len(docs.columns))]
+    old = {n.lower(): c for n, c in zip(docs.columns, names)}
+
+    def back(df: DataFrame, *new: str) -> DataFrame:
+        lost = {n.lower() for n in new}
+        return df.select(*[F.col(c).alias(n) for c, n in zip(names, docs.columns) if c in df.columns and n.lower() not in lost], *new)
 
-def null_safe(left: DataFrame, right: DataFrame, *cols: str) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+    return docs.toDF(*names), [old[c.lower()] for c in cols], back
 
 
 def words_of(text: str | None) -> list[str]:

@@ -13,9 +13,9 @@ LEVEL = 3
 CHUNK_BYTES = 4096
 #: (bytes below which the band holds, least ratio, greatest ratio): short texts carry the frame's
 #: overhead and little history, so both limits fall with length.
-BANDS = ((100, 0.60, 1.60), (200, 0.45, 1.25), (800, 0.33, 1.00), (3200, 0.27, 0.85), (20000, 0.22, 0.80), (float("inf"), 0.18, 0.75))
+BANDS = ((100, 0.60, 1.60), (200, 0.45, 1.25), (800, 0.33, 1.00), (3200, 0.27, 0.80), (20000, 0.22, 0.70), (float("inf"), 0.18, 0.65))
 #: Limits of a full chunk; a document goes if more than this share of its chunks lies outside.
-CHUNK_BAND, CHUNK_SHARE = (0.22, 0.80), 0.25
+CHUNK_BAND, CHUNK_SHARE = (0.22, 0.70), 0.25
 #: Base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"

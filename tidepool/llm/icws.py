@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_pairs, cut, grouped, local_components, mix64, steps, windows_hash
+from .common import Words, block_pairs, cut, grouped, local_components, mix64, shield, steps, windows_hash
 from .components import connected_components
 
 #: Words of a shingle, least similarity, bands and samples of a band.
@@ -282,9 +282,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Rows equal in id and text stay once; rows with a null id all stay.
     """
+    docs, (id_col, text_col), back = shield(docs, id_col, text_col)
     classes = near_duplicates(docs, id_col, text_col, **how)
-    first = classes.where("doc is not null").groupBy("class_id").agg(F.min(F.struct("doc", "h1")).alias("one")).select(F.col("one.doc").alias("_keep_doc"), F.col("one.h1").alias("_keep_hash"))
-    keyed = docs.withColumns({"_keep_id": F.col(id_col).cast("long"), "_keep_text": F.xxhash64(F.col(text_col))})
-    kept = keyed.join(first, (F.col("_keep_id") == F.col("_keep_doc")) & (F.col("_keep_text") == F.col("_keep_hash"))).dropDuplicates(["_keep_id", "_keep_text"])
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*names).unionByName(docs.where(F.col(id_col).isNull()))
+    first = classes.where("doc is not null").groupBy("class_id").agg(F.min(F.struct("doc", "h1")).alias("one")).select("one.doc", "one.h1")
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_th": F.xxhash64(F.col(text_col))})
+    kept = keyed.join(first, (F.col("_id") == F.col("doc")) & (F.col("_th") == F.col("h1"))).dropDuplicates(["_id", "_th"])
+    return back(kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull())))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_pairs, cut, extend, grouped, plus
+from .common import block_pairs, cut, extend, grouped, plus, shield
 
 #: Edits up to which lines are near copies, and the code points a line must have to be compared at all.
 THRESHOLD, MIN_CHARS = 2, 20
@@ -258,6 +258,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the text, and rows equal in both are one document that keeps the same lines.
     Columns named like the new ones are replaced. An empty table stays empty.
     """
+    docs, (id_col, text_col), back = shield(docs, id_col, text_col)
     own = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))})
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
@@ -284,6 +285,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         every = own.repartition(spread, "_id", "_th")
     else:  # the same rows as for the lines: dealt once
         every = dealt.withColumns({text_col: F.col("text"), id_col: F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType)})
-    joined = every.join(per_doc, (F.col("_id") == F.col("_fid")) & (F.col("_th") == F.col("_fth")), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_firsts")
+    joined = every.join(per_doc, (F.col("_id") == F.col("_fid")) & (F.col("_th") == F.col("_fth")), "left").select(*docs.columns, "_firsts")
     out = joined.mapInArrow(_rewrite(joined.columns, text_col, min_chars), plus(joined.schema, "n_lines long, n_removed long, n_near long, kept_text string"))
-    return out.drop("_firsts")
+    return back(out, "n_lines", "n_removed", "n_near", "kept_text")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from .common import Words, steps
 
 #: Bytes of text encoded together: the more, the more often a word repeats.
-STEP = 2 << 20
+STEP = 1 << 20
 
 
 def per_process(name: str, make: Callable):
@@ -45,7 +45,7 @@ def spread(at: np.ndarray, start: np.ndarray, size: np.ndarray, flat: np.ndarray
 class Memo:
     """Ids of words, learnt by encode(words) -> (ids of all, how many each has); forgets all beyond `limit` words."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], blanks: bytes = b" \t\n\x0b\x0c\r", limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], blanks: bytes = b" \t\n\x0b\x0c\r", limit: int = 300_000):
         self.encode, self.blanks, self.limit = encode, blanks, limit
         self.forget()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, cut
+from .common import WORD_PATTERN, cut, shield
 
 #: A document's hash has LEVELS digits of DIGIT_BITS bits.
 DIGIT_BITS, LEVELS = 12, 5
@@ -115,7 +115,8 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Each row meets its source's threshold only; sizes and thresholds are read
     from written tables, never joined by document.
     """
-    t = mix_thresholds(_sized(docs, id_col, text_col, source_col), **how).select(F.col("_s").alias("_mix_source"), F.col("whole").alias("_mix_whole"), F.col("below").alias("_mix_below"))
-    copies = F.col("_mix_whole") + F.when(place(F.col(id_col), F.col(text_col)) < F.col("_mix_below"), 1).otherwise(0)
-    taken = docs.join(t, F.col(source_col).eqNullSafe(F.col("_mix_source"))).withColumn("_mix_times", F.array_repeat(F.lit(0), copies.cast("int")))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("_mix_times").alias("_mix_time")).drop("_mix_time")
+    docs, (id_col, text_col, source_col), back = shield(docs, id_col, text_col, source_col)
+    t = mix_thresholds(_sized(docs, id_col, text_col, source_col), **how)
+    copies = F.col("whole") + F.when(place(F.col(id_col), F.col(text_col)) < F.col("below"), 1).otherwise(0)
+    taken = docs.join(t, F.col(source_col).eqNullSafe(F.col("_s")))
+    return back(taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), copies.cast("int")))))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, extend, plus
+from .common import cut, extend, plus, shield
 
 #: Base kinds and their patterns, then the kinds that the method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -234,10 +234,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", least: float = 0
     table stays empty; a column already named spans is replaced, others stay.
     Every pattern is tried in time linear in the text.
     """
-    names = docs.columns
-    kept = [n for n in names if n not in (text_col, "spans")]
+    docs, (text_col,), back = shield(docs, text_col)
     kind = "_spans array<struct<kind: string, start: bigint, end: bigint, features: string>>"
-    docs = docs.select(*[F.col(f"`{n}`") for n in [*kept, text_col]])
     found = cut(docs.mapInArrow(_scan(docs.columns, text_col), plus(docs.drop(text_col).schema, kind)), "spans")
     rows = found.select(F.explode("_spans.features").alias("f")).where("f is not null").groupBy("f").count().collect()
     model = SpanClassifier({r["f"]: float(r["count"]) for r in rows})
@@ -255,7 +253,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", least: float = 0
             yield extend(batch, columns, {"spans": pa.array(lists, out)})
 
     done = found.mapInArrow(decide, plus(found.schema, "spans array<struct<kind: string, start: bigint, end: bigint, probability: double>>"))
-    return done.drop("_spans")
+    return back(done, "spans")
 
 
 def span_text(base_only: bool):

@@ -167,14 +167,15 @@ def _codec(model: bytes, threads: int) -> Codec:
     return per_process(f"codec-{crc32(model)}", lambda: Codec(model))
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", threads: int = 2, verify_every: int = 16, rows: int = 2000) -> DataFrame:
-    """All columns of docs with `ids` (array of int), `n_tokens` and `parity`.
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", threads: int = 2, verify_every: int = 16, rows: int = 1000) -> DataFrame:
+    """All columns of docs with `ids` (array of int), `n_tokens`, `round_trip` and `parity`.
 
-    Whole texts are encoded in batches of `rows`. `parity` compares the ids of
-    every `verify_every`-th text, by CRC of the text, with the sentencepiece
-    library's own (null: not compared); verify_every=1 compares all.
+    Whole texts are encoded in batches of `rows`. `round_trip` says whether the
+    ids decode to the text. `parity` compares the ids of every `verify_every`-th
+    text, by CRC of the text, with the sentencepiece library's own (null: not
+    compared); verify_every=1 compares all.
 
-    A null text has null ids, count and parity; an empty one has no ids. Equal
+    A null text has null ids, count, round trip and parity; an empty one has no ids. Equal
     texts get equal ids, the table may be empty, columns named like the new ones
     are replaced. Each row stands alone: one pass, no shuffle.
     """
@@ -200,12 +201,13 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", threads: in
                     parity[i] = np.array_equal(flat[edge[i] : edge[i + 1]], other)
                 missing = np.array([t is None for t in texts], dtype=bool)
                 offsets = pa.array(edge.astype(np.int32), mask=np.append(missing, False))
-                yield extend(batch, names, {"ids": pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))), "n_tokens": pa.array(sizes, mask=missing), "parity": pa.array(parity, pa.bool_())})
+                back = [None if t is None else t == d for t, d in zip(texts, codec.decode(flat, sizes))]
+                yield extend(batch, names, {"ids": pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))), "n_tokens": pa.array(sizes, mask=missing), "round_trip": pa.array(back, pa.bool_()), "parity": pa.array(parity, pa.bool_())})
 
-    return docs.mapInArrow(run, plus(docs.schema, "ids array<int>, n_tokens long, parity boolean"))
+    return docs.mapInArrow(run, plus(docs.schema, "ids array<int>, n_tokens long, round_trip boolean, parity boolean"))
 
 
-def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded", threads: int = 2, rows: int = 2000) -> DataFrame:
+def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded", threads: int = 2, rows: int = 1000) -> DataFrame:
     """All columns of tokens with the decoded text. Null ids decode to null, no ids to an empty text."""
     with open(model_path, "rb") as f:
         model = tokens.sparkSession.sparkContext.broadcast(f.read())

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, _power_tables, cut, extend, grouped, mix64, null_safe, plus, steps, windows_hash, words_of
+from .common import Words, _power_tables, cut, extend, grouped, mix64, plus, shield, steps, windows_hash, words_of
 
 #: Words of a window, and of the sub-windows whose least hash is a window's minimiser.
 WINDOW, SEED = 50, 8
@@ -202,14 +201,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other. Columns named like the new ones are replaced, all others stay. An
     empty table stays empty.
     """
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns]).withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.xxhash64(F.col(text_col))})
+    docs, (id_col, text_col), back = shield(docs, id_col, text_col)
+    own = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.xxhash64(F.col(text_col))})
     light = own.select("_id", "_th", F.col(text_col).cast("string").alias("text")).mapInArrow(_scan(window, seed), "_id long, _th long, first long, n long, least long, digest long")
     light = cut(light, "super-kmers")
     key = ["least", "digest", "n"]
-    kinds = light.groupBy(*key).agg(F.min(F.struct("_id", "_th", "first")).alias("one"), F.max("_id").alias("high"))
-    kinds = kinds.select(*key, F.col("one._id").alias("low"), "high", "one")
-    buckets = kinds.groupBy("least").agg(F.count("*").alias("kinds"), F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low < _high").select("least", "kinds")
-    kinds = cut(kinds.join(buckets, "least"), "shared-kmers")
+    shared = light.groupBy("least").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high").select("least")
+    light = cut(light.join(shared, "least"), "shared-kmers")
+    kinds = light.groupBy(*key).agg(F.min(F.struct("_id", "_th", "first")).alias("one")).withColumn("low", F.col("one._id"))
+    buckets = kinds.groupBy("least").agg(F.count("*").alias("kinds"))
+    kinds = cut(kinds.join(buckets, "least"), "kinds")
 
     texts = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -236,10 +237,6 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     else:
         every = texts.select("_id", "_th", F.col("text").alias(text_col))
         every = every.withColumn(id_col, F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType))
-    joined = every.join(found, (F.col("_id") == F.col("_fid")) & F.col("_th").eqNullSafe(F.col("_fth")), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_found")
+    joined = every.join(found, (F.col("_id") == F.col("_fid")) & F.col("_th").eqNullSafe(F.col("_fth")), "left").select(*docs.columns, "_found")
     out = joined.mapInArrow(_remove(window, joined.columns, text_col), plus(joined.schema, "n_words long, n_removed long, kept_text string"))
-    return out.drop("_found")
-
-
-def sha(text: str) -> str:
-    return sha256(text.encode()).hexdigest()
+    return back(out, "n_words", "n_removed", "kept_text")
