@@ -60,17 +60,45 @@ def test_kfold_balanced(spark):
     assert max(sizes) - min(sizes) <= 4
 
 
-def test_wasserstein_and_ks_match_numpy(spark):
+def both(ref, cur):
+    return ref.withColumn("side", F.lit("reference")).unionByName(cur.withColumn("side", F.lit("current")))
+
+
+@pytest.mark.parametrize("outlier", [0.0, 1e9])
+def test_wasserstein_and_ks_match_numpy(spark, outlier):
     rng = np.random.default_rng(0)
     a, b = rng.normal(0, 1, 400).round(3), rng.normal(0.5, 1, 300).round(3)
+    a[:150] = 0.0  # one value held by a great part of the rows
+    a[-1] = outlier
     ref = spark.createDataFrame([(float(x),) for x in a], "v double")
     cur = spark.createDataFrame([(float(x),) for x in b], "v double")
-    d = D.distribution_distances(D.stack_windows(ref, cur, ["v"])).first()
+    d = D.distances(spark, D.value_counts(both(ref, cur), ["v"]), ["v"]).first()
     grid = np.sort(np.unique(np.concatenate([a, b])))
     fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
     fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
     assert d["ks_statistic"] == pytest.approx(np.max(np.abs(fa - fb)))
     assert d["wasserstein"] == pytest.approx(np.sum(np.abs(fa - fb)[:-1] * np.diff(grid)))
+    assert d["std_reference"] == pytest.approx(a.std())
+    assert (d["mean_reference"], d["mean_current"]) == (pytest.approx(a.mean()), pytest.approx(b.mean()))
+    flags = {m: D.feature_drift(D.distances(spark, D.value_counts(both(ref, cur), ["v"]), ["v"]), m).first() for m in D.METHODS}
+    assert flags["ks"]["method"] == "ks" and flags["ks"]["drifted"] == (flags["ks"]["value"] < 0.1)
+    assert flags["wasserstein_normed"]["drifted"] == (flags["wasserstein_normed"]["value"] >= 0.1)
+
+
+def test_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(1)
+    rows = [("a", float(x)) for x in rng.normal(0, 1, 301).round(2)] + [("b", 5.0)] * 7 + [("a", 1e12), ("c", None), ("b", None)]
+    rows += [("a", 0.0)] * 400
+    got = {r["g"]: r for r in O.exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], ["v"], {"low": 0.25, "mid": 0.5, "high": 0.99}).collect()}
+    for g in ("a", "b"):
+        v = [x for k, x in rows if k == g and x is not None]
+        assert [got[g][n] for n in ("low", "mid", "high")] == pytest.approx(np.quantile(v, [0.25, 0.5, 0.99]).tolist())
+    assert "c" not in got
+
+
+def counted(spark, classes, ref, cur):
+    rows = [(side, c) for side, counts in (("reference", ref), ("current", cur)) for c, n in zip(classes, counts) for _ in range(n)]
+    return spark.createDataFrame(rows, "side string, predicted_class string")
 
 
 @pytest.mark.parametrize(
@@ -81,23 +109,75 @@ def test_wasserstein_and_ks_match_numpy(spark):
     ],
 )
 def test_chi2_reproduces_published_statistics(spark, classes, ref, cur, expected):
-    def frame(counts):
-        rows = [(c,) for c, n in zip(classes, counts) for _ in range(n)]
-        return spark.createDataFrame(rows, "predicted_class string")
-
-    r = D.prediction_drift(spark, frame(ref), frame(cur), classes).first()
+    r = D.prediction_drift(counted(spark, classes, ref, cur), {"t": ("predicted_class", classes)}).first()
     assert r["statistic"] == pytest.approx(expected, abs=0.02)
     assert r["p_value"] == pytest.approx(0.0, abs=1e-6)
+    assert sum(r["reference_distribution"].values()) == pytest.approx(1.0, abs=1e-3)
+
+
+def test_chi2_survival_function(spark):
+    # published table values: P(X > x) = 0.05
+    df = spark.createDataFrame([(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (2000.0, 3, 0.0), (0.0, 2, 1.0), (1.0, 0, 1.0)], "x double, k int, p double")
+    for r in df.withColumn("got", D.chi2_sf(F.col("x"), F.col("k"), 4)).collect():
+        assert r["got"] == pytest.approx(r["p"], abs=1e-6)
 
 
-def test_chi2_degenerate_cases(spark):
-    one = spark.createDataFrame([("healthy",)] * 5, "predicted_class string")
-    r = D.prediction_drift(spark, one, one, S.HEALTH_CLASSES).first()
-    assert r["statistic"] == 0.0 and r["p_value"] == 1.0
+def test_empty_sides_are_neutral(spark):
+    classes = S.HEALTH_CLASSES
+    for ref, cur in (([5, 0, 0, 0], [5, 0, 0, 0]), ([5, 3, 0, 0], [0, 0, 0, 0]), ([0, 0, 0, 0], [0, 0, 0, 0])):
+        r = D.prediction_drift(counted(spark, classes, ref, cur), {"t": ("predicted_class", classes)}).first()
+        assert (r["statistic"], r["p_value"], r["drifted"]) == (0.0, 1.0, False)
+    for rows in ([], [("reference", 0.5)], [("current", 0.5)]):
+        r = D.confidence_drift(spark, spark.createDataFrame(rows, "side string, c double"), {"health": "c"}).first()
+        assert (r["task"], r["statistic"], r["p_value_asymptotic"], r["drifted"]) == ("health", 0.0, 1.0, False)
+
+
+def test_windows_hold_every_row(spark):
+    obs = X.observations(spark, SMALL)
+    ref, cur = D.split_windows(obs)
+    assert ref.count() > 0 and cur.count() > 0 and ref.count() + cur.count() == obs.count()
+    assert D.sided(obs).groupBy("side").count().count() == 2
+    ids = obs.select("obs_id")
+    for n in (0, 1, 100, 5999):
+        expected = ids.orderBy(O.hash_key(42, "obs_id"), "obs_id").limit(n)
+        got = O.seeded_sample(ids, n)
+        assert got.count() == min(n, ids.count()) and got.exceptAll(expected).count() == 0
+    assert D.reference_window(obs, 10**9).count() == obs.count()
 
 
 def test_no_drift_on_same_window(spark):
     obs = X.observations(spark, SMALL)
-    ref = D.reference_window(obs)
-    fd = D.feature_drift(ref, ref, S.SENSOR_COLUMNS)
-    assert fd.filter(F.col("drifted")).count() == 0
+    fd = D.feature_drift(D.distances(spark, D.value_counts(both(obs, obs), S.SENSOR_COLUMNS), S.SENSOR_COLUMNS))
+    assert fd.count() == len(S.SENSOR_COLUMNS) and fd.filter(F.col("drifted")).count() == 0
+
+
+def test_constant_columns(spark):
+    from tidepool.operators import preprocess as P
+
+    df = spark.createDataFrame([(3.0, 1.0), (3.0, 2.0)], "a double, b double")
+    scaled = P.standard_scale(df, P.fit_scaler(df, ["a", "b"]), ["a", "b"]).collect()
+    assert sorted((r["a"], r["b"]) for r in scaled) == [(0.0, -1.0), (0.0, 1.0)]
+    r = df.agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
+    idx, _ = A.cut_right_closed(F.col("a"), F.col("lo"), F.col("hi"), 10)
+    assert len({x[0] for x in df.crossJoin(r).select(idx).collect()}) == 1
+
+
+def test_filters(spark):
+    df = spark.createDataFrame([("x", 1.0), ("y", float("nan")), (None, None)], "c string, v double")
+    assert B.filter_values(df, "c", []).count() == 3 and B.filter_values(df, "c", ["x"]).count() == 1
+    assert B.filter_finite(df, ["v"]).count() == 1
+
+
+def test_shared_folder_is_required_beyond_one_machine(spark, monkeypatch):
+    from tidepool.sources import io as IO
+
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(ValueError):
+        IO.shared_dir(Cluster, "x")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import columns as C
+from tidepool.operators import ordered as O
 
 
 def pct1(n: Column, total: Column) -> Column:
@@ -67,11 +68,14 @@ def min_max(df: DataFrame, c: str) -> DataFrame:
 
 def cut_right_closed(x: Column, lo: Column, hi: Column, bins: int) -> tuple[Column, Column]:
     """``pd.cut(bins=N)``: equal bins over [min, max], right-closed, first edge
-    lowered by 0.1 % of the range. Returns (bin index, interval midpoint rounded 1)."""
+    lowered by 0.1 % of the range. Returns (bin index, interval midpoint rounded 1).
+    A constant column gets a range of 0.1 % of its value (0.001 for 0) to either side."""
+    room = F.when(hi > lo, 0.0).when(lo == 0, 0.001).otherwise(F.abs(lo) * 0.001)
+    lo, hi, lowered = lo - room, hi + room, F.when(hi > lo, (hi - lo) * 0.001).otherwise(0.0)
     w = (hi - lo) / bins
     idx = F.greatest(F.lit(0), F.ceil((x - lo) / w) - 1).cast("int")
     idx = F.least(F.lit(bins - 1), idx)
-    left = F.when(idx == 0, lo - (hi - lo) * 0.001).otherwise(lo + idx * w)
+    left = F.when(idx == 0, lo - lowered).otherwise(lo + idx * w)
     right = lo + (idx + 1) * w
     return idx, F.round((left + right) / 2, 1)
 
@@ -215,18 +219,18 @@ def grouped_histogram(spark: SparkSession, df: DataFrame, group: str, c: str, bi
     )
 
 
-def quantiles_by_group(df: DataFrame, group: str, spec: dict, count_col: str | None = None, exact: bool = True) -> DataFrame:
-    """Linear-interpolated quantiles per group.
-
-    ``exact`` uses ``percentile`` (memory per group grows with the number of
-    distinct values, not rows); otherwise ``percentile_approx``.
-    """
-    fn = (lambda c, q: F.percentile(c, q)) if exact else (lambda c, q: F.percentile_approx(c, q, 10000))
-    aggs = [F.round(fn(F.col(c), q), 6).alias(name) for name, (c, q) in spec.items()]
+def quantiles_by_group(df: DataFrame, group: str, spec: dict, count_col: str | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group, from counts of distinct values dealt by ranges."""
     if count_col:
         df = df.filter(C.is_finite(count_col))
-        aggs = [F.count(count_col).alias("n")] + aggs
-    return df.groupBy(group).agg(*aggs)
+    cols = sorted({c for c, _ in spec.values()})
+    probs = {f"q{i}": q for i, q in enumerate(sorted({q for _, q in spec.values()}))}
+    names = {q: n for n, q in probs.items()}
+    q = O.exact_quantiles(df, [group], cols, probs)
+    wide = q.groupBy(group).agg(*[F.round(F.max(F.when(F.col("column") == c, F.col(names[p]))), 6).alias(name) for name, (c, p) in spec.items()])
+    if not count_col:
+        return wide
+    return df.groupBy(group).agg(F.count(count_col).alias("n")).join(wide, group, "left")
 
 
 def value_range(df: DataFrame, c: str) -> DataFrame:

@@ -1,67 +1,66 @@
-"""Drift monitoring (group J) as grouped Spark aggregates.
+"""Drift monitoring (group J): two windows of one table, told apart by a ``side`` column.
 
-Both windows are stacked with a ``side`` marker and unpivoted to
-``(column, side, value)``; every statistic is then one grouped job over all
-columns at once. Only scalar finishes (p-values from a statistic) run in a
-small Arrow-batched pandas UDF over one row per column/task.
+One scan collapses both windows to counts per distinct value; sizes, means,
+deviations, distances and quantiles all come from that table. Every finish is a
+column expression. A side without rows gives the neutral result: statistic 0,
+p-value 1, no drift.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool import schema as S
 from tidepool.functions import columns as C
 from tidepool.operators import ordered as O
 from tidepool.operators import scalar as B
 
-KS_MAX_ROWS = 1000  # reference windows up to this size use KS, larger ones normed Wasserstein
+METHODS = ("ks", "wasserstein_normed")
 
 
-def reference_window(df: DataFrame, seed: int = 42, slices: tuple[int, int] = (0, 1)) -> DataFrame:
-    """Deterministic reference window (a 1/16 hash slice by default), labels dropped."""
-    return B.drop_labels(O.hash_window(df, *slices, seed=seed))
+def reference_window(df: DataFrame, n: int = S.SAMPLE_WINDOW_ROWS, seed: int = 42) -> DataFrame:
+    """``min(n, rows)`` rows in md5 order of the seed, labels dropped."""
+    return B.drop_labels(O.seeded_sample(df, n, seed))
 
 
-def production_window(
-    df: DataFrame, seed: int = 42, scale: float = 1.0, slices: tuple[int, int] = (1, 2)
-) -> DataFrame:
-    """Another hash slice, shifted by ``scale`` and with labels dropped."""
-    return B.drop_labels(B.apply_shift(O.hash_window(df, *slices, seed=seed), scale))
+def production_window(df: DataFrame, n: int = S.SAMPLE_WINDOW_ROWS, seed: int = 43, scale: float = 1.0) -> DataFrame:
+    """``min(n, rows)`` rows of another seed, shifted by ``scale``, labels dropped."""
+    return B.drop_labels(B.apply_shift(O.seeded_sample(df, n, seed), scale))
 
 
-def stack_windows(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, side, value) for the requested numeric columns; non-finite dropped."""
-    cols = [c for c in columns if c in ref.columns and c in cur.columns]
-    both = ref.select(F.lit("reference").alias("side"), *[F.col(c).cast("double") for c in cols]).unionByName(
-        cur.select(F.lit("current").alias("side"), *[F.col(c).cast("double") for c in cols])
-    )
-    long = both.unpivot(["side"], cols, "column", "value")
-    return long.filter(C.is_finite("value"))
+def split_windows(df: DataFrame, cut: str = S.WINDOW_CUT, scale: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Rows before the cut as they are, rows from the cut on shifted; labels dropped."""
+    before = F.col("timestamp") < F.lit(cut).cast("timestamp")
+    return B.drop_labels(df.where(before)), B.drop_labels(B.apply_shift(df.where(~before), scale))
 
 
-def _ecdf_table(long: DataFrame) -> DataFrame:
-    """Per (column, distinct value): counts, running counts and next value per side."""
-    nn = F.col("value").isNotNull()
-    counts = long.groupBy("column", "value").agg(
-        F.sum(((F.col("side") == "reference") & nn).cast("long")).alias("n_ref"),
-        F.sum(((F.col("side") == "current") & nn).cast("long")).alias("n_cur"),
-    )
-    pre = O.value_prefix(counts, "column", "value", ["n_ref", "n_cur"])
-    totals = long.groupBy("column").agg(
-        F.sum(((F.col("side") == "reference") & nn).cast("long")).alias("tot_ref"),
-        F.sum(((F.col("side") == "current") & nn).cast("long")).alias("tot_cur"),
-    )
-    return pre.join(totals, "column").withColumns(
-        {
-            "F_ref": F.col("cum_n_ref") / F.col("tot_ref"),
-            "F_cur": F.col("cum_n_cur") / F.col("tot_cur"),
-        }
+def sided(df: DataFrame, cut: str = S.WINDOW_CUT, scale: float = 1.0) -> DataFrame:
+    """Both windows of ``split_windows`` in one frame, with ``side`` (reference or current): one scan."""
+    current = F.col("timestamp") >= F.lit(cut).cast("timestamp")
+    shifted = {}
+    for c, magnitude in S.SHIFTS.items():
+        low, high = S.SHIFT_CLIP[c]
+        if c in df.columns and scale:
+            shifted[c] = F.when(current, C.clip(F.col(c) + scale * magnitude, low, high)).otherwise(F.col(c))
+    return B.drop_labels(df.withColumns({"side": F.when(current, "current").otherwise("reference"), **shifted}))
+
+
+def stack(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
+    """Two windows with equal columns in one frame with ``side``."""
+    return ref.select(F.lit("reference").alias("side"), *columns).unionByName(cur.select(F.lit("current").alias("side"), *columns))
+
+
+def value_counts(both: DataFrame, columns: list[str], finite: bool = True) -> DataFrame:
+    """(column, value, n_ref, n_cur) per distinct value; non-finite values dropped or kept."""
+    long = both.select("side", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(["side"], columns, "column", "value")
+    if finite:
+        long = long.filter(C.is_finite("value"))
+    return long.groupBy("column", "value").agg(
+        F.sum((F.col("side") == "reference").cast("long")).alias("n_ref"),
+        F.sum((F.col("side") == "current").cast("long")).alias("n_cur"),
     )
 
 
@@ -75,50 +74,60 @@ def ks_p_asymptotic(d, n1, n2):
         lambda acc, k: acc
         + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(-2.0 * k * k * lam * lam),
     )
-    return F.when(d <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), terms)))
-
-
-def distribution_distances(long: DataFrame) -> DataFrame:
-    """Per column: KS D, Wasserstein-1, reference population std, sizes, means."""
-    e = _ecdf_table(long)
-    diff = F.abs(F.col("F_ref") - F.col("F_cur"))
-    dist = e.groupBy("column").agg(
-        F.max(diff).alias("ks_statistic"),
-        F.sum(diff * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("wasserstein"),
-        F.first("tot_ref").alias("n_reference"),
-        F.first("tot_cur").alias("n_current"),
+    return F.when((d <= 0) | (n1 <= 0) | (n2 <= 0), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), terms)))
+
+
+def distances(spark: SparkSession, counts: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column: KS D, Wasserstein-1, sizes, means, the reference's population std. Every column has a row."""
+    pre = O.value_prefix(counts, "column", "value", ["n_ref", "n_cur"])
+    totals = pre.groupBy("column").agg(
+        F.max("cum_n_ref").alias("n_reference"),
+        F.max("cum_n_cur").alias("n_current"),
+        F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("mean_reference"),
+        F.try_divide(F.sum(F.col("value") * F.col("n_cur")), F.sum("n_cur")).alias("mean_current"),
     )
-    moments = long.groupBy("column").agg(
-        F.stddev_pop(F.when(F.col("side") == "reference", F.col("value"))).alias("std_reference"),
-        F.avg(F.when(F.col("side") == "reference", F.col("value"))).alias("mean_reference"),
-        F.avg(F.when(F.col("side") == "current", F.col("value"))).alias("mean_current"),
+    apart = F.abs(F.try_divide("cum_n_ref", "n_reference") - F.try_divide("cum_n_cur", "n_current"))
+    away = F.col("value") - F.col("mean_reference")
+    found = pre.join(totals, "column").groupBy("column").agg(
+        F.max(apart).alias("ks_statistic"),
+        F.sum(apart * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("wasserstein"),
+        F.first("n_reference").alias("n_reference"),
+        F.first("n_current").alias("n_current"),
+        F.first("mean_reference").alias("mean_reference"),
+        F.first("mean_current").alias("mean_current"),
+        F.sqrt(F.try_divide(F.sum(F.col("n_ref") * away * away), F.sum("n_ref"))).alias("std_reference"),
+    )
+    every = spark.createDataFrame([(c,) for c in columns], "column string").join(found, "column", "left")
+    return every.select(
+        "column",
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ks_statistic", "wasserstein", "mean_reference", "mean_current", "std_reference")],
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_reference", "n_current")],
+    ).withColumns(
+        {
+            "normed": F.col("wasserstein") / F.greatest(F.col("std_reference"), F.lit(0.001)),
+            "ks_p": ks_p_asymptotic(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")),
+        }
     )
-    return dist.join(moments, "column")
 
 
-def feature_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = None, threshold: float = 0.1) -> DataFrame:
-    """Per numeric column: method, value, threshold, drifted, legacy_flag.
+def feature_drift(d: DataFrame, method: str = "wasserstein_normed", threshold: float = 0.1) -> DataFrame:
+    """Of ``distances``: per column the method's value, the threshold, drifted, legacy_flag, and both statistics.
 
-    Method by reference size: KS p-value up to ``KS_MAX_ROWS`` rows, normed
-    Wasserstein above. ``drifted`` uses the comparison that fits the method
-    (p < threshold, distance >= threshold); ``legacy_flag`` keeps the old
-    ``value < threshold`` reading.
+    ``drifted`` uses the comparison that fits the method (p < threshold,
+    distance >= threshold); ``legacy_flag`` keeps the old ``value < threshold``.
     """
-    columns = columns or [c for c, t in ref.dtypes if t in ("double", "float", "int", "bigint") and c in cur.columns]
-    d = distribution_distances(stack_windows(ref, cur, columns))
-    normed = F.col("wasserstein") / F.greatest(F.col("std_reference"), F.lit(0.001))
-    use_ks = F.col("n_reference") <= KS_MAX_ROWS
-    ks_p = ks_p_asymptotic(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
-    value = F.when(use_ks, ks_p).otherwise(normed)
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    value = F.col("ks_p" if method == "ks" else "normed")
     return d.select(
         "column",
-        F.when(use_ks, F.lit("ks")).otherwise(F.lit("wasserstein_normed")).alias("method"),
+        F.lit(method).alias("method"),
         F.round(value, 6).alias("value"),
         F.lit(float(threshold)).alias("threshold"),
-        F.when(use_ks, value < threshold).otherwise(value >= threshold).alias("drifted"),
+        ((value < threshold) if method == "ks" else (value >= threshold)).alias("drifted"),
         (value < threshold).alias("legacy_flag"),
         F.round("ks_statistic", 6).alias("ks_statistic"),
-        F.round(normed, 6).alias("wasserstein_normed"),
+        F.round("normed", 6).alias("wasserstein_normed"),
     )
 
 
@@ -130,168 +139,133 @@ def drift_share(per_column: DataFrame) -> DataFrame:
     )
 
 
-# --- chi-squared survival function (regularised upper incomplete gamma) ------
-def _gammainc_upper(a: float, x: float) -> float:
-    if x <= 0:
-        return 1.0
-    if x < a + 1:
-        term = total = 1.0 / a
-        n = a
-        for _ in range(10000):
-            n += 1
-            term *= x / n
-            total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - math.lgamma(a)))
-    b = x + 1 - a
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
-
-
-def chi2_sf(stat: float, dof: int) -> float:
-    if dof <= 0:
-        return 1.0
-    return _gammainc_upper(dof / 2.0, stat / 2.0)
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_sf_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(float(s), int(d)) if pd.notna(s) else None for s, d in zip(stat, dof)])
-
-
-def prediction_drift(spark: SparkSession, ref: DataFrame, cur: DataFrame, classes: list[str], threshold: float = 0.1, label: str = "predicted_class") -> DataFrame:
-    """Chi-squared test on the 2 x k table of predicted-class counts.
-
-    Zero columns dropped; fewer than two classes or an empty side -> p = 1,
-    statistic 0; Yates correction when exactly two classes remain.
-    Returns one row: statistic, dof, p_value, drifted, and both share maps.
+def chi2_sf(stat: Column, dof: Column, most: int) -> Column:
+    """Chi-squared survival function for 1 to ``most`` degrees of freedom, as an expression.
+
+    One less the regularised lower incomplete gamma function, summed by its
+    power series, each term from the one before; 1 without freedom.
     """
-    counts = (
-        ref.select(F.lit("r").alias("s"), F.col(label).alias("class"))
-        .unionByName(cur.select(F.lit("c").alias("s"), F.col(label).alias("class")))
-        .groupBy("class")
-        .agg(
-            F.sum((F.col("s") == "r").cast("long")).alias("o_ref"),
-            F.sum((F.col("s") == "c").cast("long")).alias("o_cur"),
-        )
+    a, x = dof / 2.0, stat / 2.0
+    gammas = F.array(*[F.lit(math.gamma(k / 2 + 1)) for k in range(1, most + 1)])
+    first = F.pow(x, a) * F.exp(-x) / F.try_element_at(gammas, dof.cast("int"))
+    start = F.struct(first.alias("term"), first.alias("total"))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(1500)),
+        start,
+        lambda acc, n: F.struct((acc["term"] * x / (a + n)).alias("term"), (acc["total"] + acc["term"] * x / (a + n)).alias("total")),
+        lambda acc: F.greatest(F.lit(0.0), 1.0 - acc["total"]),
     )
-    order = {c: i for i, c in enumerate(classes)}
-
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one group holding at most len(classes) rows: the 2 x k table
-        by = dict(zip(pdf["class"], zip(pdf["o_ref"], pdf["o_cur"])))
-        o_ref = [float(by.get(c, (0, 0))[0]) for c in classes]
-        o_cur = [float(by.get(c, (0, 0))[1]) for c in classes]
-        R, Q = sum(o_ref), sum(o_cur)
-        cols = [(a, b) for a, b in zip(o_ref, o_cur) if a + b > 0]
-        stat, dof = 0.0, 0
-        if R > 0 and Q > 0 and len(cols) >= 2:
-            N = R + Q
-            yates = 0.5 if len(cols) == 2 else 0.0
-            for a, b in cols:
-                for o, tot in ((a, R), (b, Q)):
-                    e = tot * (a + b) / N
-                    dev = max(abs(o - e) - yates, 0.0)
-                    stat += dev * dev / e
-            dof = len(cols) - 1
-        p = chi2_sf(stat, dof) if dof > 0 else 1.0
-        return pd.DataFrame(
-            {
-                "statistic": [round(stat, 4)],
-                "dof": [dof],
-                "p_value": [round(p, 6)],
-                "drifted": [bool(round(p, 6) < threshold)],
-                "n_reference": [int(R)],
-                "n_current": [int(Q)],
-                "reference_distribution": [{c: (round(v / R, 4) if R else 0.0) for c, v in zip(classes, o_ref)}],
-                "current_distribution": [{c: (round(v / Q, 4) if Q else 0.0) for c, v in zip(classes, o_cur)}],
-            }
-        )
-
-    schema = (
-        "statistic double, dof int, p_value double, drifted boolean, n_reference long, n_current long, "
-        "reference_distribution map<string,double>, current_distribution map<string,double>"
-    )
-    del order
-    return counts.groupBy(F.lit(1).alias("_g")).applyInPandas(finish, schema)
+    return F.when((dof <= 0) | (stat <= 0), F.lit(1.0)).when(x > 650, F.lit(0.0)).otherwise(series)
+
 
+def prediction_drift(both: DataFrame, tasks: dict[str, tuple[str, list[str]]], threshold: float = 0.1) -> DataFrame:
+    """Chi-squared test on the 2 x k counts of predicted classes, one row per task, in one aggregate.
 
-def confidence_drift(ref: DataFrame, cur: DataFrame, threshold: float = 0.1, col: str = "confidence") -> DataFrame:
-    """Two-sample KS on confidence: D (exact), asymptotic p, means and delta."""
-    long = ref.select(F.lit("reference").alias("side"), F.lit(col).alias("column"), F.col(col).cast("double").alias("value")).unionByName(
-        cur.select(F.lit("current").alias("side"), F.lit(col).alias("column"), F.col(col).cast("double").alias("value"))
+    ``tasks`` names each task's class column and classes. Classes without rows
+    are left out; fewer than two classes or a side without rows give statistic 0
+    and p 1; Yates' correction when two classes remain. Both share maps are
+    included, rounded to 4 places.
+    """
+    sums = {}
+    for task, (column, classes) in tasks.items():
+        for i, c in enumerate(classes):
+            for side in ("reference", "current"):
+                hit = (F.col(column) == c) & (F.col("side") == side)
+                sums[f"{task}_{i}_{side}"] = F.coalesce(F.sum(hit.cast("long")), F.lit(0))
+    one = both.agg(*[v.alias(k) for k, v in sums.items()])
+    rows = []
+    for task, (_, classes) in tasks.items():
+        cells = F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"{task}_{i}_reference").alias("r"), F.col(f"{task}_{i}_current").alias("c")) for i, c in enumerate(classes)])
+        rows.append(F.struct(F.lit(task).alias("task"), cells.alias("cells")))
+    t = one.select(F.explode(F.array(*rows)).alias("t")).select("t.*")
+
+    def total(side: str) -> Column:
+        return F.aggregate("cells", F.lit(0).cast("long"), lambda acc, x: acc + x[side])
+
+    t = t.withColumns({"n_reference": total("r"), "n_current": total("c"), "k": F.size(F.filter("cells", lambda x: x["r"] + x["c"] > 0))})
+    able = (F.col("n_reference") > 0) & (F.col("n_current") > 0) & (F.col("k") >= 2)
+    every = F.col("n_reference") + F.col("n_current")
+    yates = F.when(F.col("k") == 2, 0.5).otherwise(0.0)
+
+    def part(x: Column, side: str, n: str) -> Column:
+        expected = F.col(n) * (x["r"] + x["c"]) / every
+        off = F.greatest(F.abs(x[side] - expected) - yates, F.lit(0.0))
+        return F.when(expected > 0, off * off / expected).otherwise(0.0)
+
+    stat = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + part(x, "r", "n_reference") + part(x, "c", "n_current"))
+    most = max(len(classes) for _, classes in tasks.values())
+    t = t.withColumns({"stat": F.when(able, stat).otherwise(0.0), "dof": F.when(able, F.col("k") - 1).otherwise(0)})
+    t = t.withColumn("p", F.round(chi2_sf(F.col("stat"), F.col("dof"), most), 6))
+
+    def shares(side: str, n: str) -> Column:
+        return F.map_from_entries(F.transform("cells", lambda x: F.struct(x["class"], F.round(F.coalesce(F.try_divide(x[side], F.col(n)), F.lit(0.0)), 4))))
+
+    return t.select(
+        "task",
+        F.round("stat", 4).alias("statistic"),
+        "dof",
+        F.col("p").alias("p_value"),
+        (F.col("p") < threshold).alias("drifted"),
+        "n_reference",
+        "n_current",
+        shares("r", "n_reference").alias("reference_distribution"),
+        shares("c", "n_current").alias("current_distribution"),
     )
-    # no row filter here: a filter over scorer output would be pushed (and
-    # inlined) through the whole scoring projection chain; nulls are skipped
-    # by the null-aware counts instead
-    d = distribution_distances(long)
-    p = ks_p_asymptotic(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+
+
+def confidence_drift(spark: SparkSession, both: DataFrame, columns: dict[str, str], threshold: float = 0.1) -> DataFrame:
+    """Two-sample KS on each task's confidence column: D (exact), asymptotic p, means and their difference."""
+    d = distances(spark, value_counts(both, list(columns.values())), list(columns.values()))
+    name = F.create_map(*[F.lit(x) for task, c in columns.items() for x in (c, task)])
     return d.select(
+        name[F.col("column")].alias("task"),
         F.round("ks_statistic", 4).alias("statistic"),
-        F.round(p, 6).alias("p_value_asymptotic"),
-        (p < threshold).alias("drifted"),
+        F.round("ks_p", 6).alias("p_value_asymptotic"),
+        (F.col("ks_p") < threshold).alias("drifted"),
         F.round("mean_reference", 4).alias("mean_reference"),
         F.round("mean_current", 4).alias("mean_current"),
         F.round(F.col("mean_current") - F.col("mean_reference"), 4).alias("delta"),
-        F.col("n_reference"),
-        F.col("n_current"),
+        "n_reference",
+        "n_current",
     )
 
 
-def recommendation(feature_flag, prediction_flag):
-    return C.recommendation(feature_flag, prediction_flag)
-
-
-def data_summary(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column and window: count, nulls, mean, population std, min, quartiles, max."""
-    cols = [c for c in columns if c in ref.columns and c in cur.columns]
-    both = ref.select(F.lit("reference").alias("side"), *[F.col(c).cast("double") for c in cols]).unionByName(
-        cur.select(F.lit("current").alias("side"), *[F.col(c).cast("double") for c in cols])
+def data_summary(both: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column and window: count, nulls, mean, population std, min, quartiles, max, all from the count table."""
+    long = both.select("side", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(["side"], columns, "column", "value")
+    counts = long.groupBy("column", "side", "value").agg(F.count(F.lit(1)).alias("n"))
+    pre = O.value_prefix(counts, ["column", "side"], "value", ["n"])
+    there = F.col("value").isNotNull()
+    # nulls sort first: places of values start after them
+    totals = pre.groupBy(F.col("column").alias("__c"), F.col("side").alias("__s")).agg(
+        F.sum(F.when(there, F.col("n")).otherwise(0)).alias("count"),
+        F.sum(F.when(there, 0).otherwise(F.col("n"))).alias("nulls"),
+        F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum(F.when(there, F.col("n")))).alias("avg"),
     )
-    long = both.unpivot(["side"], cols, "column", "value")
-    return long.groupBy("column", "side").agg(
-        F.count("value").alias("count"),
-        F.sum(F.col("value").isNull().cast("long")).alias("nulls"),
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_pop("value"), 6).alias("std"),
+    d = pre.join(totals, (F.col("column") == F.col("__c")) & (F.col("side") == F.col("__s"))).withColumn("cum", F.col("cum_n") - F.col("nulls"))
+    away = F.col("value") - F.col("avg")
+    return d.groupBy("column", "side").agg(
+        F.first("count").alias("count"),
+        F.first("nulls").alias("nulls"),
+        F.round(F.first("avg"), 6).alias("mean"),
+        F.round(F.sqrt(F.try_divide(F.sum(F.col("n") * away * away), F.first("count"))), 6).alias("std"),
         F.min("value").alias("min"),
-        F.round(F.percentile("value", 0.25), 6).alias("p25"),
-        F.round(F.percentile("value", 0.5), 6).alias("p50"),
-        F.round(F.percentile("value", 0.75), 6).alias("p75"),
+        *[F.round(O.quantile_of("value", "cum", "count", q), 6).alias(n) for n, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))],
         F.max("value").alias("max"),
     )
 
 
-__all__ = ["S"]
-
-
-def share_change_flags(ref: DataFrame, cur: DataFrame, label: str, min_change: float = 0.05) -> DataFrame:
-    """Full outer join of class shares (missing -> 0), flag |change| >= min_change."""
-    def shares(df, name):
-        total = F.broadcast(df.agg(F.count(F.lit(1)).alias("_t")))
-        return (
-            df.groupBy(F.col(label).alias("class"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .crossJoin(total)
-            .select("class", (F.col("_n") / F.col("_t")).alias(name))
-        )
-
-    j = shares(ref, "_r").join(shares(cur, "_c"), "class", "full").na.fill(0.0, subset=["_r", "_c"])
+def share_change_flags(both: DataFrame, label: str, min_change: float = 0.05) -> DataFrame:
+    """Class shares of both windows side by side (missing -> 0), flag |change| >= min_change."""
+    n = both.groupBy(F.col(label).alias("class")).agg(
+        F.sum((F.col("side") == "reference").cast("long")).alias("r"), F.sum((F.col("side") == "current").cast("long")).alias("c")
+    )
+    totals = n.agg(F.sum("r").alias("all_r"), F.sum("c").alias("all_c"))
+    j = n.crossJoin(totals).select(
+        "class",
+        F.coalesce(F.try_divide("r", "all_r"), F.lit(0.0)).alias("_r"),
+        F.coalesce(F.try_divide("c", "all_c"), F.lit(0.0)).alias("_c"),
+    )
     return j.select(
         "class",
         F.round("_r", 6).alias("reference_share"),

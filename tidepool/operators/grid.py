@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators import ordered as O
+
 from tidepool.functions import columns as C
 
 CELL = ["lat_idx", "lon_idx"]
@@ -24,16 +26,17 @@ def normalise_values(df: DataFrame, fill: float = -327.68, col: str = "value") -
 
 def grid_stats(df: DataFrame, keys: list[str]) -> DataFrame:
     v = F.col("value")
-    return df.groupBy(*keys).agg(
+    median = O.exact_quantiles(df, keys, ["value"], {"median": 0.5}).select(*keys, F.round("median", 6).alias("median"))
+    stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"),
         F.count(v).alias("valid"),
         F.round(100.0 * (F.count(F.lit(1)) - F.count(v)) / F.count(F.lit(1)), 6).alias("nan_pct"),
         F.round(F.min(v), 6).alias("min"),
         F.round(F.max(v), 6).alias("max"),
         F.round(F.avg(v), 6).alias("mean"),
-        F.round(F.median(v), 6).alias("median"),
         F.round(F.stddev_pop(v), 6).alias("std"),
     )
+    return stats.join(median, keys, "left")
 
 
 def cross_check(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 1e-5) -> DataFrame:

@@ -7,9 +7,10 @@ window over that small table; (2) rank rows inside their (group, bucket)
 and add the offset. Hash buckets are uniform, so even a group holding a
 third of all rows is spread over 65,536 tasks-worth of slices.
 
-Cumulative distributions over values (KS, Wasserstein, Spearman ranks)
-first collapse rows to distinct values, then use the same bucket-offset
-trick with equal-width value buckets.
+Cumulative distributions over values (KS, Wasserstein, Spearman ranks, exact
+quantiles) first collapse rows to distinct values, so a repeated value is one
+row; the distinct values are dealt by sampled ranges, so an outlier or a skewed
+column does not crowd one task, and range totals give the offsets.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.sources.io import cut
+
 _BUCKET_HEX = 4  # 16 bits of the md5 prefix -> 65,536 buckets
 
 
@@ -76,14 +79,22 @@ def stratified_kfold(
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement: the n smallest md5
-    keys (TakeOrdered: each task keeps its top n, the driver merges n per task)."""
-    return (
-        df.withColumn("__h", hash_key(seed, id_col))
-        .orderBy("__h", id_col)
-        .limit(n)
-        .drop("__h")
-    )
+    """Exactly ``min(n, rows)`` rows without replacement: the n smallest (md5 key, id).
+
+    Counts per key prefix (at most 16**5 rows) name the prefix in which the n-th
+    key lies; rows below it are taken by a filter, and only that prefix's rows
+    are ranked.
+    """
+    d = df.withColumn("__h", hash_key(seed, id_col)).withColumn("__p", F.substring("__h", 1, 5))
+    counts = d.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy().orderBy("__p").rowsBetween(Window.unboundedPreceding, 0))
+    edge = counts.withColumn("__upto", upto).where(F.col("__upto") >= n)
+    # one row; no prefix reaches n: all rows lie below the edge
+    edge = edge.agg(F.coalesce(F.min("__p"), F.lit("g")).alias("__edge"), F.min_by(F.lit(n) - F.col("__upto") + F.col("__n"), "__p").alias("__left"))
+    d = d.crossJoin(F.broadcast(edge))
+    place = F.row_number().over(Window.partitionBy("__p").orderBy("__h", id_col))
+    last = d.where("__p = __edge").withColumn("__place", place).where("__place <= __left").drop("__place")
+    return d.where("__p < __edge").unionByName(last).select(*df.columns)
 
 
 def sample_bounded(df: DataFrame, max_n: int, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
@@ -97,46 +108,63 @@ def shuffle(df: DataFrame, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
     return rank_within(d, [], "__h", id_col, "position").drop("__h")
 
 
-def hash_window(df: DataFrame, lo: int, hi: int, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
-    """Rows whose md5 key falls in the 1/16th slices [lo, hi) (a data-sized window)."""
-    first = F.conv(F.substring(hash_key(seed, id_col), 1, 1), 16, 10).cast("int")
-    return df.filter((first >= lo) & (first < hi))
-
-
-def value_prefix(
-    counts: DataFrame, group: str, value: str, sums: list[str], buckets: int = 1024
-) -> DataFrame:
+def value_prefix(counts: DataFrame, group: str | list[str], value: str, sums: list[str]) -> DataFrame:
     """Running sums of ``sums`` over ascending ``value`` inside ``group``, plus
     ``next_value`` (the following distinct value, null for the last).
 
-    ``counts`` holds one row per distinct (group, value). Two passes: equal-width
-    value buckets -> bucket totals and offsets on a small table -> window
-    inside (group, bucket).
+    ``counts`` holds one row per distinct (group, value). They are dealt by
+    ranges of (group, value) and written, which fixes the ranges; totals of the
+    ranges (one row per group and range) turn into offsets, and a window inside
+    each (group, range) does the rest.
     """
-    rng = counts.groupBy(group).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / buckets
-    b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
-        F.least(F.lit(buckets - 1), F.floor((F.col(value) - F.col("__lo")) / width))
-    ).cast("int")
-    d = counts.join(rng, group).withColumn("__b", b).drop("__lo", "__hi")
-    bt = d.groupBy(group, "__b").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums], F.min(value).alias("__first"))
-    wb = Window.partitionBy(group).orderBy("__b")
+    groups = [group] if isinstance(group, str) else group
+    spread = max(2, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    d = cut(counts.repartitionByRange(spread, *groups, value).withColumn("__b", F.spark_partition_id()), "value-ranges")
+    bt = d.groupBy(*groups, "__b").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums], F.min(value).alias("__first"))
+    wb = Window.partitionBy(*groups).orderBy("__b")
     prev = wb.rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(
-        group,
-        "__b",
+        *[F.col(g).alias(f"__g_{g}") for g in groups],
+        F.col("__b").alias("__gb"),
         *[F.coalesce(F.sum(f"__t_{s}").over(prev), F.lit(0)).alias(f"__o_{s}") for s in sums],
         F.lead("__first").over(wb).alias("__next_first"),
     )
-    d = d.join(bt, [group, "__b"])
-    wv = Window.partitionBy(group, "__b").orderBy(value)
+    on = F.col("__b") == F.col("__gb")
+    for g in groups:
+        on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    d = d.join(bt, on)
+    wv = Window.partitionBy(*groups, "__b").orderBy(value)
     run = wv.rowsBetween(Window.unboundedPreceding, 0)
-    out = d.select(
+    return d.select(
         *[c for c in counts.columns],
         *[(F.col(f"__o_{s}") + F.sum(s).over(run)).alias(f"cum_{s}") for s in sums],
         F.coalesce(F.lead(value).over(wv), F.col("__next_first")).alias("next_value"),
     )
-    return out
+
+
+def quantile_of(value: str, cum: str, total: str, q: float) -> Column:
+    """Aggregate over a ``value_prefix`` frame: the linearly interpolated ``q``-quantile.
+
+    The value at 0-based place k is the least one with more than k rows up to it.
+    """
+    place = (F.col(total) - 1) * F.lit(float(q))
+    low = F.min(F.when(F.col(cum) > F.floor(place), F.col(value)))
+    high = F.min(F.when(F.col(cum) > F.ceil(place), F.col(value)))
+    return low + (high - low) * F.max(place - F.floor(place))
+
+
+def exact_quantiles(df: DataFrame, groups: list[str], columns: list[str], probs: dict[str, float]) -> DataFrame:
+    """(groups, column, one field per name in ``probs``): exact quantiles of the
+    non-null values of each column, without holding a group's values in one task."""
+    long = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(groups, columns, "column", "value")
+    counts = long.where(F.col("value").isNotNull()).groupBy(*groups, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    keys = [*groups, "column"]
+    pre = value_prefix(counts, keys, "value", ["n"])
+    totals = pre.groupBy(*keys).agg(F.max("cum_n").alias("__total")).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__total")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return pre.join(totals, on).groupBy(*keys).agg(*[quantile_of("value", "cum_n", "__total", q).alias(n) for n, q in probs.items()])
 
 
 def average_ranks(df: DataFrame, group: str, value: str) -> DataFrame:

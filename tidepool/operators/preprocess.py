@@ -7,11 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators import ordered as O
+
 
 def fit_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: exact median per column (``median`` keeps a value->count map
-    per column, so memory follows distinct values, not rows)."""
-    return df.agg(*[F.round(F.median(c), 6).alias(c) for c in cols])
+    """One row: exact median per column, from counts of distinct values."""
+    q = O.exact_quantiles(df, [], cols, {"median": 0.5})
+    return q.agg(*[F.round(F.max(F.when(F.col("column") == c, F.col("median"))), 6).alias(c) for c in cols])
 
 
 def impute(df: DataFrame, fitted: DataFrame, cols: list[str]) -> DataFrame:
@@ -36,7 +38,7 @@ def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def standard_scale(df: DataFrame, fitted: DataFrame, cols: list[str]) -> DataFrame:
     j = df.crossJoin(F.broadcast(fitted))  # fitted has exactly one row
-    out = j.withColumns({c: (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__std") for c in cols})
+    out = j.withColumns({c: F.coalesce(F.try_divide(F.col(c) - F.col(f"{c}__mean"), F.col(f"{c}__std")), F.col(c) - F.col(f"{c}__mean")) for c in cols})
     return out.drop(*[f"{c}__{s}" for c in cols for s in ("mean", "std")])
 
 

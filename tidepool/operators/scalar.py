@@ -46,6 +46,19 @@ def add_derived_features(
     return out.select(*ordered)
 
 
+def filter_values(df: DataFrame, col: str, chosen: list[str]) -> DataFrame:
+    """Rows whose ``col`` is one of ``chosen``; no choice is no filter."""
+    return df.where(F.col(col).isin(list(chosen))) if chosen else df
+
+
+def filter_finite(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows in which every column is a finite number."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & C.is_finite(c)
+    return df.where(cond)
+
+
 def apply_shift(df: DataFrame, scale: float = 1.0, fraction: float = 1.0, seed: int = 42) -> DataFrame:
     """Add ``scale * magnitude`` to the shifted columns and clip to bounds.
 

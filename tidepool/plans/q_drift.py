@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
 from tidepool.functions import columns as C
 from tidepool.operators import drift as D
-from tidepool.operators import scalar as B
+from tidepool.operators import validate as VL
 from tidepool.plans import sqlviews as V
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
 
 
+TASKS = {t: (f"{t}_class", S.TASK_CLASSES[t]) for t in ("health", "restoration")}
+
+
 def windows(spark, sf_dir):
-    obs = X.observations(spark, sf_dir)
-    return D.reference_window(obs), D.production_window(obs)
+    """All rows before the cut date, and all from it on, shifted."""
+    return D.split_windows(X.observations(spark, sf_dir))
+
+
+def sided(spark, sf_dir):
+    return D.sided(X.observations(spark, sf_dir))
+
+
+def scored(spark, sf_dir):
+    """Both windows with each task's predicted class and confidence, scored in one pass."""
+    both = sided(spark, sf_dir)
+    for task in TASKS:
+        both = X.fixture_scorer(both, task).withColumnsRenamed({"predicted_class": f"{task}_class", "confidence": f"{task}_confidence"}).drop("task", "probabilities")
+    return both.select("side", *[f"{t}_{c}" for t in TASKS for c in ("class", "confidence")])
 
 
 def scored_windows(spark, sf_dir, task):
@@ -23,17 +39,21 @@ def scored_windows(spark, sf_dir, task):
     return X.fixture_scorer(ref, task), X.fixture_scorer(cur, task)
 
 
-@register("reference_window", "SELECT * FROM ref_window")
+def feature_distances(spark, sf_dir):
+    return D.distances(spark, D.value_counts(sided(spark, sf_dir), S.SENSOR_COLUMNS), S.SENSOR_COLUMNS)
+
+
+@register("reference_window", "SELECT * FROM ref_sample")
 def reference_window(spark, sf_dir):
-    return windows(spark, sf_dir)[0]
+    return D.reference_window(X.observations(spark, sf_dir))
 
 
 @register(
     "production_window",
-    "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in S.SHIFTS) + ") FROM prod_window",
+    "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in S.SHIFTS) + ") FROM prod_sample",
 )
 def production_window(spark, sf_dir):
-    return windows(spark, sf_dir)[1].withColumns({c: F.round(c, 6) for c in S.SHIFTS})
+    return D.production_window(X.observations(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in S.SHIFTS})
 
 
 def _ks_p_sql(d: str, n1: str, n2: str) -> str:
@@ -74,21 +94,52 @@ _FEATURE_DRIFT_SQL = (
     "WITH "
     + _distance_sql(_FEATURE_LONG)
     + f""",
-    fd AS (SELECT "column", n_reference <= {D.KS_MAX_ROWS} AS use_ks, ks_statistic,
-                  wasserstein / greatest(std_reference, 0.001) AS normed,
-                  {_ks_p_sql('ks_statistic', 'n_reference', 'n_current')} AS ks_p FROM dd),
-    fv AS (SELECT *, CASE WHEN use_ks THEN ks_p ELSE normed END AS v FROM fd)"""
+    fv AS (SELECT *, wasserstein / greatest(std_reference, 0.001) AS normed,
+                  {_ks_p_sql('ks_statistic', 'n_reference', 'n_current')} AS ks_p FROM dd)"""
 )
-_FEATURE_DRIFT_SELECT = """SELECT "column", CASE WHEN use_ks THEN 'ks' ELSE 'wasserstein_normed' END AS method,
-       round(v, 6) AS value, 0.1 AS threshold, CASE WHEN use_ks THEN v < 0.1 ELSE v >= 0.1 END AS drifted,
-       v < 0.1 AS legacy_flag, round(ks_statistic, 6) AS ks_statistic, round(normed, 6) AS wasserstein_normed
-    FROM fv"""
+_FEATURE_DRIFT_SELECT = """SELECT "column", 'wasserstein_normed' AS method, round(normed, 6) AS value, 0.1 AS threshold,
+       normed >= 0.1 AS drifted, normed < 0.1 AS legacy_flag, round(ks_statistic, 6) AS ks_statistic,
+       round(normed, 6) AS wasserstein_normed FROM fv"""
 
 
 @register("feature_drift", _FEATURE_DRIFT_SQL + "\n" + _FEATURE_DRIFT_SELECT)
 def feature_drift(spark, sf_dir):
-    ref, cur = windows(spark, sf_dir)
-    return D.feature_drift(ref, cur, S.SENSOR_COLUMNS, 0.1)
+    return D.feature_drift(feature_distances(spark, sf_dir), "wasserstein_normed", 0.1)
+
+
+@register(
+    "ks_two_sample",
+    _FEATURE_DRIFT_SQL
+    + """ SELECT "column", n_reference, n_current, round(ks_statistic, 6) AS ks_statistic, round(ks_p, 6) AS p_value, ks_p < 0.1 AS drifted FROM fv""",
+)
+def ks_two_sample(spark, sf_dir):
+    return feature_distances(spark, sf_dir).select(
+        "column", "n_reference", "n_current", F.round("ks_statistic", 6).alias("ks_statistic"), F.round("ks_p", 6).alias("p_value"), (F.col("ks_p") < 0.1).alias("drifted")
+    )
+
+
+@register(
+    "wasserstein_normed",
+    _FEATURE_DRIFT_SQL
+    + """ SELECT "column", round(wasserstein, 6) AS wasserstein, round(std_reference, 6) AS std_reference, round(normed, 6) AS normed, normed >= 0.1 AS drifted FROM fv""",
+)
+def wasserstein_normed(spark, sf_dir):
+    return feature_distances(spark, sf_dir).select(
+        "column", F.round("wasserstein", 6).alias("wasserstein"), F.round("std_reference", 6).alias("std_reference"), F.round("normed", 6).alias("normed"), (F.col("normed") >= 0.1).alias("drifted")
+    )
+
+
+@register(
+    "drift_pvalues_sorted",
+    _FEATURE_DRIFT_SQL
+    + """ SELECT CAST(row_number() OVER (ORDER BY round(ks_p, 6), round(normed, 6) DESC, "column") AS INTEGER) AS rank, "column",
+          round(ks_p, 6) AS p_value, round(normed, 6) AS wasserstein_normed FROM fv""",
+)
+def drift_pvalues_sorted(spark, sf_dir):
+    """Columns by ascending p-value, the farther apart first among equals (one row per column)."""
+    d = feature_distances(spark, sf_dir).select("column", F.round("ks_p", 6).alias("p_value"), F.round("normed", 6).alias("wasserstein_normed"))
+    order = Window.partitionBy().orderBy("p_value", F.desc("wasserstein_normed"), "column")
+    return d.withColumn("rank", F.row_number().over(order)).orderBy("rank")
 
 
 @register(
@@ -138,25 +189,23 @@ _PRED_DRIFT_SQL = (
 
 @register("prediction_drift", _PRED_DRIFT_SQL)
 def prediction_drift(spark, sf_dir):
-    out = None
-    for task in ("health", "restoration"):
-        r, c = scored_windows(spark, sf_dir, task)
-        d = D.prediction_drift(spark, r, c, S.TASK_CLASSES[task], 0.1).select(
-            F.lit(task).alias("task"), "statistic", "dof", "p_value", "drifted", "n_reference", "n_current"
-        )
-        out = d if out is None else out.unionByName(d)
-    return out
+    return D.prediction_drift(scored(spark, sf_dir), TASKS, 0.1).drop("reference_distribution", "current_distribution")
+
 
+def _class_shares_sql(task: str) -> str:
+    return f"""SELECT {V.q(task)} AS task, class, round(coalesce(o_ref / nullif(R, 0), 0), 4) AS reference_share,
+        round(coalesce(o_cur / nullif(Q, 0), 0), 4) AS current_share FROM c_{task}, t_{task}"""
 
-@register("prediction_drift_shares")
+
+@register(
+    "prediction_drift_shares",
+    "WITH " + _chi2_sql("health") + ", " + _chi2_sql("restoration") + _class_shares_sql("health") + " UNION ALL " + _class_shares_sql("restoration"),
+)
 def prediction_drift_shares(spark, sf_dir):
-    """Full J05 record including both share maps (rows-only: map order)."""
-    out = None
-    for task in ("health", "restoration"):
-        r, c = scored_windows(spark, sf_dir, task)
-        d = D.prediction_drift(spark, r, c, S.TASK_CLASSES[task], 0.1).withColumn("task", F.lit(task))
-        out = d if out is None else out.unionByName(d)
-    return out
+    """The share maps of J05, a row per task and class."""
+    d = D.prediction_drift(scored(spark, sf_dir), TASKS, 0.1)
+    long = d.select("task", "current_distribution", F.explode("reference_distribution").alias("class", "reference_share"))
+    return long.select("task", "class", "reference_share", F.element_at("current_distribution", F.col("class")).alias("current_share"))
 
 
 def _conf_long(task):
@@ -184,12 +233,7 @@ def _conf_sql(task):
     "SELECT * FROM (" + _conf_sql("health") + ") UNION ALL SELECT * FROM (" + _conf_sql("restoration") + ")",
 )
 def confidence_drift(spark, sf_dir):
-    out = None
-    for task in ("health", "restoration"):
-        r, c = scored_windows(spark, sf_dir, task)
-        d = D.confidence_drift(r, c, 0.1).select(F.lit(task).alias("task"), "*")
-        out = d if out is None else out.unionByName(d)
-    return out
+    return D.confidence_drift(spark, scored(spark, sf_dir), {t: f"{t}_confidence" for t in TASKS}, 0.1)
 
 
 def _recommendation_sql(f: str, p: str) -> str:
@@ -238,24 +282,60 @@ def recommendation(spark, sf_dir):
     return f.withColumn("recommendation", C.recommendation("feature_flag", "prediction_flag"))
 
 
-@register("drift_summary")
+_SUMMARY_SQL = (
+    _FEATURE_DRIFT_SQL
+    + f", fr AS ({_FEATURE_DRIFT_SELECT}),\n"
+    + _chi2_sql("health")
+    + ",\n"
+    + _chi2_sql("restoration")
+    + f""",
+    flags AS (SELECT CAST(sum(CAST(drifted AS INTEGER)) AS BIGINT) AS drifted_count, count(*) AS total_columns,
+                     (SELECT round(p, 6) < 0.1 FROM p_health) OR (SELECT round(p, 6) < 0.1 FROM p_restoration) AS prediction_drifted FROM fr)
+    SELECT (SELECT count(*) FROM ref_window) AS reference_n, (SELECT count(*) FROM prod_window) AS production_n, drifted_count, total_columns,
+           round(drifted_count / total_columns, 4) AS drifted_share, prediction_drifted,
+           (SELECT round(st, 4) FROM p_health) AS health_statistic, (SELECT round(st, 4) FROM p_restoration) AS restoration_statistic,
+           {_recommendation_sql('drifted_count > 0', 'prediction_drifted')} AS recommendation, 1.0 AS shift_scale, 0.1 AS drift_threshold
+    FROM flags"""
+)
+
+
+@register("drift_summary", _SUMMARY_SQL)
 def drift_summary(spark, sf_dir):
-    """One nested summary row (J08): feature, prediction, confidence drift and the recommendation."""
-    fd = feature_drift(spark, sf_dir)
-    share = D.drift_share(fd)
-    per_col = fd.agg(F.collect_list(F.struct(*fd.columns)).alias("per_column"))
-    pred = prediction_drift_shares(spark, sf_dir).agg(F.collect_list(F.struct("*")).alias("prediction_drift"))
-    conf = confidence_drift(spark, sf_dir).agg(F.collect_list(F.struct("*")).alias("confidence_drift"))
-    rec = drift_recommendation(spark, sf_dir)
-    ref, cur = windows(spark, sf_dir)
-    sizes = ref.agg(F.count(F.lit(1)).alias("reference_n")).crossJoin(cur.agg(F.count(F.lit(1)).alias("production_n")))
-    return (
-        sizes.crossJoin(share)
-        .crossJoin(per_col)
-        .crossJoin(pred)
-        .crossJoin(conf)
-        .crossJoin(rec)
-        .withColumns({"shift_scale": F.lit(1.0), "drift_threshold": F.lit(0.1), "generated_at": F.current_timestamp()})
+    """One summary row (J08): sizes, feature and prediction drift, and the recommendation, each part computed once."""
+    share = drift_share(spark, sf_dir)
+    pred = prediction_drift(spark, sf_dir).agg(
+        F.max("n_reference").alias("reference_n"),
+        F.max("n_current").alias("production_n"),
+        F.bool_or("drifted").alias("prediction_drifted"),
+        *[F.max(F.when(F.col("task") == t, F.col("statistic"))).alias(f"{t}_statistic") for t in TASKS],
+    )
+    return share.crossJoin(pred).withColumns(
+        {
+            "recommendation": C.recommendation(F.col("drifted_count") > 0, "prediction_drifted"),
+            "shift_scale": F.lit(1.0),
+            "drift_threshold": F.lit(0.1),
+        }
+    )
+
+
+@register(
+    "retraining_permission",
+    f"""WITH f AS (SELECT region, avg(bleaching_percentage) > 25 AS feature_flag,
+                         avg(CASE WHEN reef_health = 'healthy' THEN 1.0 ELSE 0.0 END) < 0.15 AS prediction_flag, min(region) LIKE 'G%' AS asked
+                  FROM observations GROUP BY region),
+    r AS (SELECT region, {_recommendation_sql('feature_flag', 'prediction_flag')} AS recommendation, CASE WHEN asked THEN ' new sensors ' ELSE '  ' END AS reason FROM f)
+    SELECT region, recommendation, reason, upper(recommendation) LIKE 'RETRAIN%' OR trim(reason) <> '' AS permitted,
+           CASE WHEN upper(recommendation) LIKE 'RETRAIN%' THEN 'drift' WHEN trim(reason) <> '' THEN 'manual' ELSE 'none' END AS ground FROM r""",
+)
+def retraining_permission(spark, sf_dir):
+    """C17 on each region's recommendation; the two gulfs come with a reason given by hand, the others with a blank one."""
+    r = recommendation(spark, sf_dir).select("region", "recommendation", F.when(F.col("region").startswith("G"), " new sensors ").otherwise("  ").alias("reason"))
+    drift = VL.retraining_permission(F.col("recommendation"), F.lit(None))
+    return r.withColumns(
+        {
+            "permitted": VL.retraining_permission(F.col("recommendation"), F.col("reason")),
+            "ground": F.when(drift, "drift").when(F.trim("reason") != "", "manual").otherwise("none"),
+        }
     )
 
 
@@ -274,8 +354,7 @@ _SUMMARY_COLS = ", ".join(S.SENSOR_COLUMNS)
     FROM lw GROUP BY 1, 2""",
 )
 def data_summary(spark, sf_dir):
-    ref, cur = windows(spark, sf_dir)
-    return D.data_summary(ref, cur, S.SENSOR_COLUMNS)
+    return D.data_summary(sided(spark, sf_dir), S.SENSOR_COLUMNS)
 
 
 @register(
@@ -291,8 +370,7 @@ def data_summary(spark, sf_dir):
     FROM r FULL OUTER JOIN c ON r.class = c.class""",
 )
 def share_change_flags(spark, sf_dir):
-    r, c = scored_windows(spark, sf_dir, "health")
-    return D.share_change_flags(r, c, "predicted_class", 0.05)
+    return D.share_change_flags(scored(spark, sf_dir), "health_class", 0.05)
 
 
 @register(
@@ -312,5 +390,3 @@ def feature_skew(spark, sf_dir):
     )
     return D.feature_skew(t, "wqi_train", "wqi_serve")
 
-
-__all__ = ["B"]

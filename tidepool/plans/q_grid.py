@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidepool import schema as S
 from tidepool.operators import grid as G
+from tidepool.operators import ordered as O
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
 
@@ -131,15 +132,16 @@ def grid_bbox(spark, sf_dir):
 )
 def marine_land_counts(spark, sf_dir):
     e = F.col("elevation")
-    return X.grid_elevation(spark, sf_dir).groupBy("region").agg(
+    grid = X.grid_elevation(spark, sf_dir)
+    median = O.exact_quantiles(grid, ["region"], ["elevation"], {"median_elevation": 0.5}).drop("column")
+    return grid.groupBy("region").agg(
         F.sum((e < 0).cast("long")).alias("marine"),
         F.sum((e >= 0).cast("long")).alias("land"),
         F.sum(e.isNull().cast("long")).alias("nodata"),
         F.round(100.0 * F.sum((e < 0).cast("long")) / F.count(F.lit(1)), 6).alias("marine_pct"),
         F.min(e).alias("min_elevation"),
-        F.median(e).alias("median_elevation"),
         F.max(e).alias("max_elevation"),
-    )
+    ).join(median, "region", "left")
 
 
 _BANDS = [("0_10", 0, 10), ("10_30", 10, 30), ("30_100", 30, 100), ("100_plus", 100, None)]

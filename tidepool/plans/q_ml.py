@@ -349,14 +349,16 @@ def _train_test(spark, sf_dir, task="health"):
 
 @register("train_logistic")
 def train_logistic(spark, sf_dir):
-    """Multinomial LR (balanced weights, quick iterations) fitted on the
+    """Multinomial LR (balanced weights) fitted on the
     training split; test-split metrics from the confusion counts."""
     from tidepool.operators import ml as ML
 
     train, test, label = _train_test(spark, sf_dir)
-    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES, max_iter=ML.QUICK["max_iter"])
+    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
     preds = ML.score(model, test, label).join(test.select("obs_id", label), "obs_id")
-    return M.classification_metrics(preds, label, "predicted_class").withColumn("algorithm", F.lit("logistic_regression"))
+    return M.classification_metrics(preds, label, "predicted_class").withColumns(
+        {"algorithm": F.lit("logistic_regression"), "iterations": F.lit(model.stages[-1].summary.totalIterations)}
+    )
 
 
 @register("score_batch")
@@ -365,7 +367,7 @@ def score_batch(spark, sf_dir):
     from tidepool.operators import ml as ML
 
     train, test, label = _train_test(spark, sf_dir, "restoration")
-    model = ML.fit_logistic(train, label, S.RESTORATION_CLASSES, max_iter=ML.QUICK["max_iter"])
+    model = ML.fit_logistic(train, label, S.RESTORATION_CLASSES)
     return ML.score(model, test.drop(*S.TARGET_COLUMNS), label)
 
 
@@ -374,7 +376,7 @@ def feature_importance(spark, sf_dir):
     from tidepool.operators import ml as ML
 
     train, _, label = _train_test(spark, sf_dir)
-    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES, max_iter=ML.QUICK["max_iter"])
+    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
     return ML.coefficient_importance(model, spark)
 
 

@@ -145,17 +145,13 @@ def shuffle(spark, sf_dir):
 @register(
     "present_classes",
     f"""SELECT d.class_order, d.class FROM (VALUES {", ".join(f"({i}, {V.q(c)})" for i, c in enumerate(S.HEALTH_CLASSES))}) d(class_order, class)
-    WHERE d.class IN (SELECT reef_health FROM observations WHERE region = 'Gulf of Kutch' AND depth_m > 30)""",
+    WHERE d.class IN (SELECT reef_health FROM observations)""",
 )
 def present_classes(spark, sf_dir):
-    """Declared class order restricted to the classes present in a filtered view."""
+    """Declared class order restricted to the classes present."""
     d = spark.createDataFrame(list(enumerate(S.HEALTH_CLASSES)), "class_order int, class string")
-    present = (
-        _obs(spark, sf_dir)
-        .filter((F.col("region") == "Gulf of Kutch") & (F.col("depth_m") > 30))
-        .select(F.col("reef_health").alias("class"))
-    )
-    return F.broadcast(d).join(present, "class", "left_semi").select("class_order", "class")
+    present = _obs(spark, sf_dir).select(F.col("reef_health").alias("class")).distinct()
+    return d.join(present, "class", "left_semi").select("class_order", "class")
 
 
 @register("distinct_regions_sorted", "SELECT DISTINCT region FROM observations ORDER BY region")

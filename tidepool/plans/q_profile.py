@@ -13,6 +13,7 @@ from tidepool.operators import profile as PR
 from tidepool.plans import sqlviews as V
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
+from tidepool.sources.io import cut
 
 
 
@@ -44,7 +45,7 @@ def implausible_rows(spark, sf_dir):
     return _obs(spark, sf_dir).agg(*[F.sum(f().cast("long")).alias(n) for n, (_, f) in RULES.items()])
 
 
-_PILE_COLS = ["coral_cover_percentage", "bleaching_percentage", "hard_substrate_percentage", "turbidity_ntu"]
+_PILE_COLS = S.SENSOR_COLUMNS
 
 
 @register(
@@ -108,11 +109,11 @@ def rows_by_period(spark, sf_dir):
 
 @register(
     "time_correlation",
-    "SELECT " + ", ".join(f"round(corr({c}, epoch(timestamp)), 6) AS {c}" for c in S.SENSOR_COLUMNS[:6]) + " FROM observations",
+    "SELECT " + ", ".join(f"round(corr({c}, epoch(timestamp)), 6) AS {c}" for c in S.SENSOR_COLUMNS) + " FROM observations",
 )
 def time_correlation(spark, sf_dir):
     obs = _obs(spark, sf_dir).withColumn("_t", F.unix_timestamp(F.col("timestamp").cast("timestamp")).cast("double"))
-    return obs.agg(*[F.round(F.corr(c, "_t"), 6).alias(c) for c in S.SENSOR_COLUMNS[:6]])
+    return obs.agg(*[F.round(F.corr(c, "_t"), 6).alias(c) for c in S.SENSOR_COLUMNS])
 
 
 @register(
@@ -130,32 +131,40 @@ def eta_squared(spark, sf_dir):
     )
 
 
+_LABELS_SQL = "l AS (SELECT year(timestamp) AS year, label, class FROM observations UNPIVOT (class FOR label IN (reef_health, restoration_suitability)))"
+
+
+def _labels(spark, sf_dir):
+    """(year, label, class): both labels of every row."""
+    return _obs(spark, sf_dir).select(F.year("timestamp").alias("year"), *S.TARGET_COLUMNS).unpivot(["year"], S.TARGET_COLUMNS, "label", "class")
+
+
 @register(
     "class_balance_by_year",
-    """SELECT year(timestamp) AS year, reef_health, count(*) AS n,
-       round(count(*) / sum(count(*)) OVER (PARTITION BY year(timestamp)), 6) AS share FROM observations GROUP BY 1, 2""",
+    f"""WITH {_LABELS_SQL}
+    SELECT year, label, class, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY year, label), 6) AS share FROM l GROUP BY 1, 2, 3""",
 )
 def class_balance_by_year(spark, sf_dir):
-    c = _obs(spark, sf_dir).groupBy(F.year("timestamp").alias("year"), "reef_health").agg(F.count(F.lit(1)).alias("n"))
-    tot = c.groupBy("year").agg(F.sum("n").alias("_t"))
-    return c.join(tot, "year").select("year", "reef_health", "n", F.round(F.col("n") / F.col("_t"), 6).alias("share"))
+    c = _labels(spark, sf_dir).groupBy("year", "label", "class").agg(F.count(F.lit(1)).alias("n"))
+    tot = c.groupBy("year", "label").agg(F.sum("n").alias("_t"))
+    return c.join(tot, ["year", "label"]).select("year", "label", "class", "n", F.round(F.col("n") / F.col("_t"), 6).alias("share"))
 
 
 @register(
     "imbalance_entropy",
-    """WITH c AS (SELECT reef_health, count(*) AS n FROM observations GROUP BY 1), t AS (SELECT sum(n) AS total, count(*) AS k FROM c)
-    SELECT round(max(n) / min(n), 6) AS max_min_ratio, round(-sum(n / total * log2(n / total)), 6) AS entropy_bits,
+    f"""WITH {_LABELS_SQL}, c AS (SELECT label, class, count(*) AS n FROM l GROUP BY 1, 2), t AS (SELECT label, sum(n) AS total, count(*) AS k FROM c GROUP BY 1)
+    SELECT label, round(max(n) / min(n), 6) AS max_min_ratio, round(-sum(n / total * log2(n / total)), 6) AS entropy_bits,
            round(-sum(n / total * log2(n / total)) / log2(max(k)), 6) AS normalised_entropy,
-           round(max(n) / max(total), 6) AS majority_baseline FROM c, t""",
+           round(max(n) / max(total), 6) AS majority_baseline FROM c JOIN t USING (label) GROUP BY label""",
 )
 def imbalance_entropy(spark, sf_dir):
-    c = _obs(spark, sf_dir).groupBy("reef_health").agg(F.count(F.lit(1)).alias("n"))
-    t = F.broadcast(c.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k")))
+    c = _labels(spark, sf_dir).groupBy("label", "class").agg(F.count(F.lit(1)).alias("n"))
+    t = c.groupBy("label").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
     p = F.col("n") / F.col("total")
-    return c.crossJoin(t).agg(
+    return c.join(t, "label").groupBy("label").agg(
         F.round(F.max("n") / F.min("n"), 6).alias("max_min_ratio"),
         F.round(-F.sum(p * F.log2(p)), 6).alias("entropy_bits"),
-        F.round(-F.sum(p * F.log2(p)) / F.log2(F.max("k")), 6).alias("normalised_entropy"),
+        F.round(F.coalesce(F.try_divide(-F.sum(p * F.log2(p)), F.log2(F.max("k"))), F.lit(0.0)), 6).alias("normalised_entropy"),
         F.round(F.max("n") / F.max("total"), 6).alias("majority_baseline"),
     )
 
@@ -172,7 +181,7 @@ def target_crosstab(spark, sf_dir):
     ).na.fill(0, S.RESTORATION_CLASSES)
 
 
-_PROFILE_COLS = ["water_temperature_c", "ph", "coral_cover_percentage", "turbidity_ntu"]
+_PROFILE_COLS = S.SENSOR_COLUMNS
 
 
 @register(
@@ -191,16 +200,18 @@ _PROFILE_COLS = ["water_temperature_c", "ph", "coral_cover_percentage", "turbidi
     FROM q""",
 )
 def feature_profile(spark, sf_dir):
-    """Per column quantiles and moments in one grouped pass over the unpivoted
-    columns, then a second pass counting > 3 IQR outliers against the
-    (one row per column) fences."""
-    long = _obs(spark, sf_dir).unpivot([], _PROFILE_COLS, "column", "value")
+    """Per column moments, exact quantiles from counts of distinct values, then a
+    second pass counting > 3 IQR outliers against the (one row per column) fences."""
+    obs = _obs(spark, sf_dir)
+    long = obs.select(*_PROFILE_COLS).unpivot([], _PROFILE_COLS, "column", "value")
     qs = {"p01": 0.01, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
-    q = long.groupBy("column").agg(
+    moments = long.groupBy("column").agg(
         F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"), F.skewness("value").alias("skew"),
-        *[F.percentile("value", p).alias(n) for n, p in qs.items()],
+        F.stddev_pop("value").alias("std"), F.skewness("value").alias("g1"), F.count("value").alias("n"),
     )
+    # the sample skewness, adjusted for the number of rows
+    moments = moments.withColumn("skew", F.try_divide(F.col("g1") * F.sqrt(F.col("n") * (F.col("n") - 1)), F.col("n") - 2)).drop("g1", "n")
+    q = moments.join(cut(O.exact_quantiles(obs, [], _PROFILE_COLS, qs), "quantiles"), "column")
     iqr = F.col("p75") - F.col("p25")
     fences = q.select("column", (F.col("p25") - 3 * iqr).alias("lo"), (F.col("p75") + 3 * iqr).alias("hi"))
     out = long.join(F.broadcast(fences), "column").groupBy("column").agg(
@@ -284,8 +295,6 @@ def single_column_baseline(spark, sf_dir):
     return PR.majority_by_group(_obs(spark, sf_dir), "region", "reef_health", S.HEALTH_CLASSES)
 
 
-__all__ = ["M"]
-
 
 _ALL_OBS = ", ".join(S.OBSERVATION_COLUMNS[1:])
 
@@ -353,7 +362,7 @@ def time_gap_profile(spark, sf_dir):
     )
 
 
-_MI_COLS = ["water_temperature_c", "bleaching_percentage", "coral_cover_percentage", "disease_percentage", "ph"]
+_MI_COLS = S.SENSOR_COLUMNS
 
 
 @register(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepool import schema as S
 from tidepool.operators import aggregate as A
+from tidepool.operators import drift as D
 from tidepool.operators import scalar as B
 from tidepool.plans import q_drift as QD
 from tidepool.plans import sqlviews as V
@@ -61,10 +62,7 @@ def _shares(src, label):
     FULL OUTER JOIN ({_shares('prod_pred_restoration', 'predicted_class')}) c ON r.class = c.class""",
 )
 def join_label_shares(spark, sf_dir):
-    r, c = QD.scored_windows(spark, sf_dir, "restoration")
-    from tidepool.operators.drift import share_change_flags
-
-    return share_change_flags(r, c, "predicted_class").select("class", "reference_share", "current_share")
+    return D.share_change_flags(QD.scored(spark, sf_dir), "restoration_class").select("class", "reference_share", "current_share")
 
 
 def _recall_sql(src_expr):
@@ -112,7 +110,7 @@ def join_class_weights(spark, sf_dir):
 
 @register(
     "complete_domain",
-    f"""WITH c AS (SELECT region, reef_health, count(*) AS n FROM observations WHERE depth_m > 30 GROUP BY 1, 2),
+    f"""WITH c AS (SELECT region, reef_health, count(*) AS n FROM observations GROUP BY 1, 2),
     g AS (SELECT r.region, d.class_order, d.reef_health FROM (VALUES {", ".join(f"({V.q(r)})" for r in S.REGIONS)}) r(region)
           CROSS JOIN {_dim(S.HEALTH_CLASSES, "reef_health")} d)
     SELECT g.region, g.class_order, g.reef_health, CAST(coalesce(c.n, 0) AS BIGINT) AS n
@@ -120,7 +118,7 @@ def join_class_weights(spark, sf_dir):
 )
 def complete_domain(spark, sf_dir):
     """Fixed region x class grid (16 rows), missing -> 0."""
-    c = _obs(spark, sf_dir).filter(F.col("depth_m") > 30).groupBy("region", "reef_health").agg(F.count(F.lit(1)).alias("n"))
+    c = _obs(spark, sf_dir).groupBy("region", "reef_health").agg(F.count(F.lit(1)).alias("n"))
     regions = spark.createDataFrame([(r,) for r in S.REGIONS], "region string")
     dim = regions.crossJoin(A.class_dim(spark, S.HEALTH_CLASSES, "reef_health"))
     return F.broadcast(dim).join(c, ["region", "reef_health"], "left").na.fill(0, ["n"]).select(
@@ -154,16 +152,16 @@ def grid_complete_bins(spark, sf_dir):
 
 @register(
     "missing_classes",
-    f"""SELECT r.region, d.reef_health FROM (VALUES {", ".join(f"({V.q(r)})" for r in S.REGIONS)}) r(region)
-    CROSS JOIN {_dim(S.HEALTH_CLASSES, "reef_health")} d
-    WHERE NOT EXISTS (SELECT 1 FROM observations o WHERE o.region = r.region AND o.reef_health = d.reef_health AND o.depth_m > 30)""",
+    f"""WITH o AS (SELECT DISTINCT CAST(timestamp AS DATE) AS day, reef_health FROM observations)
+    SELECT day, d.reef_health FROM (SELECT DISTINCT day FROM o) CROSS JOIN {_dim(S.HEALTH_CLASSES, "reef_health")} d
+    EXCEPT SELECT day, reef_health FROM o""",
 )
 def missing_classes(spark, sf_dir):
-    """Left anti: required (region, class) pairs absent from deep sites."""
-    present = _obs(spark, sf_dir).filter(F.col("depth_m") > 30).select("region", "reef_health")
-    regions = spark.createDataFrame([(r,) for r in S.REGIONS], "region string")
-    req = regions.crossJoin(spark.createDataFrame([(c,) for c in S.HEALTH_CLASSES], "reef_health string"))
-    return F.broadcast(req).join(present, ["region", "reef_health"], "left_anti")
+    """Left anti: classes that a day with observations lacks. Both sides are distinct (day, class) pairs."""
+    present = _obs(spark, sf_dir).select(F.to_date("timestamp").alias("day"), "reef_health").distinct()
+    declared = F.array(*[F.lit(c) for c in S.HEALTH_CLASSES])
+    required = present.select("day").distinct().select("day", F.explode(declared).alias("reef_health"))
+    return required.join(present, ["day", "reef_health"], "left_anti")
 
 
 @register(
@@ -216,15 +214,43 @@ def label_union(spark, sf_dir):
 
 @register(
     "label_except",
-    f"""SELECT class FROM {_dim(S.HEALTH_CLASSES)} d EXCEPT
-    SELECT reef_health FROM observations WHERE region = 'Gulf of Kutch' AND depth_m > 30""",
+    f"""SELECT class FROM (SELECT class FROM {_dim(S.HEALTH_CLASSES)} UNION ALL SELECT class FROM {_dim(S.RESTORATION_CLASSES)}) d
+    EXCEPT SELECT reef_health FROM observations""",
 )
 def label_except(spark, sf_dir):
-    req = spark.createDataFrame([(c,) for c in S.HEALTH_CLASSES], "class string")
-    present = _obs(spark, sf_dir).filter((F.col("region") == "Gulf of Kutch") & (F.col("depth_m") > 30)).select(
-        F.col("reef_health").alias("class")
-    )
-    return req.subtract(present)
+    """Declared classes of both labels that never occur as a health label."""
+    declared = spark.createDataFrame([(c,) for c in S.HEALTH_CLASSES + S.RESTORATION_CLASSES], "class string")
+    return declared.subtract(_obs(spark, sf_dir).select(F.col("reef_health").alias("class")).distinct())
+
+
+@register(
+    "filter_regions",
+    f"SELECT obs_id, region FROM observations WHERE region IN {V.in_list(S.REGIONS[:2])}",
+)
+def filter_regions(spark, sf_dir):
+    """Rows of the chosen regions; an empty choice is no filter."""
+    return B.filter_values(_obs(spark, sf_dir), "region", S.REGIONS[:2]).select("obs_id", "region")
 
 
-__all__ = ["B"]
+@register(
+    "filter_classes",
+    f"""SELECT 'chosen' AS choice, reef_health, count(*) AS n FROM observations WHERE reef_health IN {V.in_list(S.HEALTH_CLASSES[:2])} GROUP BY 2
+    UNION ALL SELECT 'none', reef_health, count(*) FROM observations GROUP BY 2""",
+)
+def filter_classes(spark, sf_dir):
+    """Rows of the chosen classes beside the unfiltered rows of an empty choice."""
+    obs = _obs(spark, sf_dir).select("reef_health")
+    out = None
+    for name, chosen in (("chosen", S.HEALTH_CLASSES[:2]), ("none", [])):
+        n = B.filter_values(obs, "reef_health", chosen).groupBy("reef_health").agg(F.count(F.lit(1)).alias("n")).withColumn("choice", F.lit(name))
+        out = n if out is None else out.unionByName(n)
+    return out.select("choice", "reef_health", "n")
+
+
+@register(
+    "filter_finite",
+    f"""SELECT obs_id FROM observations_dirty WHERE {" AND ".join(f"{c} IS NOT NULL AND isfinite({c})" for c in S.SENSOR_COLUMNS)}""",
+)
+def filter_finite(spark, sf_dir):
+    """Rows whose every sensor column is a finite number."""
+    return B.filter_finite(X.observations_dirty(spark, sf_dir), S.SENSOR_COLUMNS).select("obs_id")

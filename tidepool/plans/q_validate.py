@@ -180,15 +180,15 @@ def _request_reasons_sql():
 
 @register(
     "request_validation",
-    f"""WITH r AS (SELECT d.*, CAST(d.timestamp AS DATE) AS batch FROM observations_dirty d),
+    f"""WITH r AS (SELECT d.*, CAST(split_part(d.obs_id, '-', 1) AS BIGINT) AS batch FROM observations_dirty d),
     n AS (SELECT batch, count(*) AS batch_n FROM r GROUP BY 1),
     x AS (SELECT r.*, n.batch_n FROM r JOIN n USING (batch))
     SELECT obs_id, batch, CASE WHEN {_request_reasons_sql()} = '' THEN 'accepted' ELSE 'quarantined' END AS status,
            {_request_reasons_sql()} AS reasons FROM x""",
 )
 def request_validation(spark, sf_dir):
-    """Accept / quarantine split: one frame, ``status`` tells the side."""
-    r = _dirty(spark, sf_dir).withColumn("batch", F.to_date("timestamp"))
+    """Accept / quarantine split: one frame, ``status`` tells the side. A request is an order's lines; it may hold 1 to 50 records."""
+    r = _dirty(spark, sf_dir).withColumn("batch", F.split_part("obs_id", F.lit("-"), F.lit(1)).cast("bigint"))
     n = r.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_n"))
     x = r.join(n, "batch")
     reasons = _request_reasons_spark()

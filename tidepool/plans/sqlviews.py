@@ -301,10 +301,6 @@ def _scorer_sql(task: str, name: str | None = None, src: str = "obs_base") -> st
     )
 
 
-def window_filter(slice_hex: str, seed: int = 42) -> str:
-    return f"substr(md5('{seed}|' || obs_id), 1, 1) = '{slice_hex}'"
-
-
 def shift_select(scale: float = 1.0) -> str:
     from tidepool import schema as S
 
@@ -315,20 +311,19 @@ def shift_select(scale: float = 1.0) -> str:
     return ", ".join(parts)
 
 
-VIEWS["ref_window"] = (
-    "\nref_window AS (SELECT * EXCLUDE (reef_health, restoration_suitability) FROM observations WHERE "
-    + window_filter("0")
-    + ")"
-)
-DEPENDS["ref_window"] = ["observations"]
-VIEWS["prod_window"] = (
-    "\nprod_window AS (SELECT * EXCLUDE (reef_health, restoration_suitability) REPLACE ("
-    + shift_select(1.0)
-    + ") FROM observations WHERE "
-    + window_filter("1")
-    + ")"
-)
-DEPENDS["prod_window"] = ["observations"]
+_UNLABELLED = "* EXCLUDE (reef_health, restoration_suitability)"
+
+
+def _sample(seed: int) -> str:
+    return f"(SELECT * FROM observations ORDER BY md5('{seed}|' || obs_id), obs_id LIMIT {S.SAMPLE_WINDOW_ROWS})"
+
+
+VIEWS["ref_sample"] = f"\nref_sample AS (SELECT {_UNLABELLED} FROM {_sample(42)})"
+VIEWS["prod_sample"] = f"\nprod_sample AS (SELECT {_UNLABELLED} REPLACE ({shift_select(1.0)}) FROM {_sample(43)})"
+VIEWS["ref_window"] = f"\nref_window AS (SELECT {_UNLABELLED} FROM observations WHERE timestamp < TIMESTAMP '{S.WINDOW_CUT}')"
+VIEWS["prod_window"] = f"\nprod_window AS (SELECT {_UNLABELLED} REPLACE ({shift_select(1.0)}) FROM observations WHERE timestamp >= TIMESTAMP '{S.WINDOW_CUT}')"
+for _w in ("ref_sample", "prod_sample", "ref_window", "prod_window"):
+    DEPENDS[_w] = ["observations"]
 for _t in ("health", "restoration"):
     VIEWS[f"predictions_{_t}"] = _scorer_sql(_t)
     DEPENDS[f"predictions_{_t}"] = ["obs_base"]

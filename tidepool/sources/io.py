@@ -1,12 +1,13 @@
 """Sources and sinks (group A): explicit schemas, shared-storage outputs.
 
-Every sink writes under the cluster's shared ``spark.checkpoint.dir`` (read
-from the session; a local default is set only when it is unset, as in
-tests), never under a machine-local temporary folder.
+Every sink writes under the cluster's shared ``spark.checkpoint.dir``, read
+from the session. It must be set on a cluster; a single local JVM that leaves
+it unset gets a folder of its own for the session.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,22 @@ from tidepool import schema as S
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "/tmp/tidepool-checkpoints"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tidepool-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidepool/{name}/{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: computed once, lineage ends at the files."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def require_columns(df: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
