@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir
+from .common import cut, map_texts, shared_dir
 from .memo import Memo, per_process, spread
 
 MAGIC = b"TIDPLN01"
@@ -211,7 +211,7 @@ def write_ids(
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = F.col("doc_id").asc_nulls_last()
     dealt = own.repartitionByRange(order).sortWithinPartitions(order, F.xxhash64("text"))
-    manifest = cut(dealt.mapInArrow(write, "part long, path string, n_docs long, n_ids long"), "token-manifest")
+    manifest = cut(map_texts(dealt, write, "part long, path string, n_docs long, n_ids long"), "token-manifest")
     before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 

@@ -89,6 +89,18 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["q"]
 
 
+#: Rows of an Arrow batch of whole texts: bounds what a task buffers on either side of Python.
+TEXT_ROWS = 1000
+
+
+def map_texts(docs: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow over rows that hold whole texts, with at most TEXT_ROWS rows a batch in this session from now on."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, TEXT_ROWS)
+    return docs.mapInArrow(run, schema)
+
+
 class Words:
     """Words of several UTF-8 texts laid end to end: byte starts and ends, text number, 64-bit hash."""
 

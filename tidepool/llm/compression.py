@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, extend, mix64, plus, steps, windows_hash
+from .common import Words, extend, map_texts, mix64, plus, steps, windows_hash
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -122,7 +122,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", out_col: str = "quali
             struct = pa.StructArray.from_arrays([pa.array(found[n], types[t]) for n, t in fields], [n for n, _ in fields])
             yield extend(batch, names, {out_col: struct})
 
-    return docs.mapInArrow(run, plus(docs.schema, f"{out_col} struct<{', '.join(f'{n}: {t}' for n, t in fields)}>"))
+    return map_texts(docs, run, plus(docs.schema, f"{out_col} struct<{', '.join(f'{n}: {t}' for n, t in fields)}>"))
 
 
 def reject_low_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_pairs, cut, grouped, local_components, mix64, shield, steps, windows_hash
+from .common import Words, block_pairs, cut, grouped, local_components, map_texts, mix64, shield, steps, windows_hash
 from .components import connected_components
 
 #: Words of a shingle, least similarity, bands and samples of a band.
@@ -38,7 +38,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """IDF of every bucket of word hashes over all texts: 1 + ln((1 + N) / (1 + df)) / ln(1 + N), from 1 to 2. DF_BUCKETS numbers at any size of input."""
     n = docs.count()
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_word_counts, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()
+    rows = map_texts(docs.select(F.col(text_col).cast("string").alias("text")), _word_counts, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(DF_BUCKETS)
     df[rows.column("bucket").to_numpy()] = rows.column("df").to_numpy()
     return (1 + np.log((1 + n) / (1 + df)) / np.log(1 + max(n, 1))).astype(np.float32)
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = own.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(own, "text"))
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = cut(own.mapInArrow(_signatures(idf), "doc long, h1 long, h2 long, bytes long, bands array<long>, codes binary"), "signatures")
+    signed = cut(map_texts(own, _signatures(idf), "doc long, h1 long, h2 long, bytes long, bands array<long>, codes binary"), "signatures")
 
     able = signed.where("doc is not null and size(bands) > 0")
     texts = cut(able.groupBy("h1", "h2").agg(F.min("doc").alias("node")), "representatives")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extend, plus
+from .common import extend, map_texts, plus
 
 #: n-grams of 1 to MAX_N letters with word edges, and how many ranks a profile and a document have.
 MAX_N, RANKS = 3, 300
@@ -92,7 +92,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
             yield out(lang)
 
     taught = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    total = taught.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = map_texts(taught, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return total.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < ranks).select("lang", "rank", "gram")
 
@@ -141,7 +141,7 @@ def identify(docs: DataFrame, profiles: DataFrame, text_col: str = "text", ranks
             found = [model.predict(t.as_py()) for t in batch.column(names.index(text_col))]
             yield extend(batch, names, {"lang_pred": pa.array([f[0] for f in found], pa.string()), "score": pa.array([f[1] for f in found], pa.float64())})
 
-    return docs.mapInArrow(run, plus(docs.schema, "lang_pred string, score double"))
+    return map_texts(docs, run, plus(docs.schema, "lang_pred string, score double"))
 
 
 def held_out(id_col: Column) -> Column:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_pairs, cut, extend, grouped, plus, shield
+from .common import block_pairs, cut, extend, grouped, map_texts, plus, shield
 
 #: Edits up to which lines are near copies, and the code points a line must have to be compared at all.
 THRESHOLD, MIN_CHARS = 2, 20
@@ -263,9 +263,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
 
-    found = cut(texts.mapInArrow(_occurrences(min_chars), "_id long, _th long, no long, line long, check long"), "lines")
+    found = cut(map_texts(texts, _occurrences(min_chars), "_id long, _th long, no long, line long, check long"), "lines")
     firsts = found.groupBy("line", "check").agg(F.min(F.struct("_id", "_th", "no")).alias("at"))
-    entries = texts.select("text").mapInArrow(_entries(threshold, min_chars), "key long, line long, indexed boolean, settled boolean")
+    entries = map_texts(texts.select("text"), _entries(threshold, min_chars), "key long, line long, indexed boolean, settled boolean")
     # settled rows need no company: they are spread by line, the others meet by key
     by = Window.partitionBy(F.when(F.col("settled"), F.col("line")).otherwise(F.col("key")), "settled")
     entries = entries.withColumns({"low": F.min("line").over(by), "high": F.max("line").over(by)}).where("settled or low < high")
@@ -286,5 +286,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:  # the same rows as for the lines: dealt once
         every = dealt.withColumns({text_col: F.col("text"), id_col: F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType)})
     joined = every.join(per_doc, (F.col("_id") == F.col("_fid")) & (F.col("_th") == F.col("_fth")), "left").select(*docs.columns, "_firsts")
-    out = joined.mapInArrow(_rewrite(joined.columns, text_col, min_chars), plus(joined.schema, "n_lines long, n_removed long, n_near long, kept_text string"))
+    out = map_texts(joined, _rewrite(joined.columns, text_col, min_chars), plus(joined.schema, "n_lines long, n_removed long, n_near long, kept_text string"))
     return back(out, "n_lines", "n_removed", "n_near", "kept_text")

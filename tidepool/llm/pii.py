@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, extend, plus, shield
+from .common import cut, extend, map_texts, plus, shield
 
 #: Base kinds and their patterns, then the kinds that the method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -236,7 +236,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", least: float = 0
     """
     docs, (text_col,), back = shield(docs, text_col)
     kind = "_spans array<struct<kind: string, start: bigint, end: bigint, features: string>>"
-    found = cut(docs.mapInArrow(_scan(docs.columns, text_col), plus(docs.drop(text_col).schema, kind)), "spans")
+    found = cut(map_texts(docs, _scan(docs.columns, text_col), plus(docs.drop(text_col).schema, kind)), "spans")
     rows = found.select(F.explode("_spans.features").alias("f")).where("f is not null").groupBy("f").count().collect()
     model = SpanClassifier({r["f"]: float(r["count"]) for r in rows})
     known = {r["f"]: model.probability(r["f"]) for r in rows}

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import extend, plus
+from .common import extend, map_texts, plus
 from .memo import Memo, per_process, spread
 
 MARK = "▁"
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", threads: in
                 back = [None if t is None else t == d for t, d in zip(texts, codec.decode(flat, sizes))]
                 yield extend(batch, names, {"ids": pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))), "n_tokens": pa.array(sizes, mask=missing), "round_trip": pa.array(back, pa.bool_()), "parity": pa.array(parity, pa.bool_())})
 
-    return docs.mapInArrow(run, plus(docs.schema, "ids array<int>, n_tokens long, round_trip boolean, parity boolean"))
+    return map_texts(docs, run, plus(docs.schema, "ids array<int>, n_tokens long, round_trip boolean, parity boolean"))
 
 
 def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded", threads: int = 2, rows: int = 1000) -> DataFrame:
@@ -224,4 +224,4 @@ def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", out_col: st
                 texts = codec.decode(ids.flatten().to_numpy(zero_copy_only=False), sizes)
                 yield extend(batch, names, {out_col: pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))})
 
-    return tokens.mapInArrow(run, plus(tokens.schema, f"{out_col} string"))
+    return map_texts(tokens, run, plus(tokens.schema, f"{out_col} string"))

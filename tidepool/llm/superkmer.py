@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, _power_tables, cut, extend, grouped, mix64, plus, shield, steps, windows_hash, words_of
+from .common import Words, _power_tables, cut, extend, grouped, map_texts, mix64, plus, shield, steps, windows_hash, words_of
 
 #: Words of a window, and of the sub-windows whose least hash is a window's minimiser.
 WINDOW, SEED = 50, 8
@@ -203,7 +203,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     docs, (id_col, text_col), back = shield(docs, id_col, text_col)
     own = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.xxhash64(F.col(text_col))})
-    light = own.select("_id", "_th", F.col(text_col).cast("string").alias("text")).mapInArrow(_scan(window, seed), "_id long, _th long, first long, n long, least long, digest long")
+    light = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
+    light = map_texts(light, _scan(window, seed), "_id long, _th long, first long, n long, least long, digest long")
     light = cut(light, "super-kmers")
     key = ["least", "digest", "n"]
     shared = light.groupBy("least").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high").select("least")
@@ -238,5 +239,5 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         every = texts.select("_id", "_th", F.col("text").alias(text_col))
         every = every.withColumn(id_col, F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType))
     joined = every.join(found, (F.col("_id") == F.col("_fid")) & F.col("_th").eqNullSafe(F.col("_fth")), "left").select(*docs.columns, "_found")
-    out = joined.mapInArrow(_remove(window, joined.columns, text_col), plus(joined.schema, "n_words long, n_removed long, kept_text string"))
+    out = map_texts(joined, _remove(window, joined.columns, text_col), plus(joined.schema, "n_words long, n_removed long, kept_text string"))
     return back(out, "n_words", "n_removed", "kept_text")
