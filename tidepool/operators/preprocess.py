@@ -4,10 +4,14 @@ divides by the sample std)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool import schema as S
 from tidepool.operators import ordered as O
+from tidepool.operators import scalar as B
 
 
 def fit_medians(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -16,13 +20,6 @@ def fit_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     return q.agg(*[F.round(F.max(F.when(F.col("column") == c, F.col("median"))), 6).alias(c) for c in cols])
 
 
-def impute(df: DataFrame, fitted: DataFrame, cols: list[str]) -> DataFrame:
-    f = F.broadcast(fitted.select(*[F.col(c).alias(f"__fill_{c}") for c in cols]))  # one row
-    return df.crossJoin(f).select(
-        *[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns]
-    )
-
-
 def fit_mode(df: DataFrame, col: str) -> DataFrame:
     """Most frequent category; ties -> smallest."""
     return df.agg(F.mode(col, deterministic=True).alias(col), F.countDistinct(col).alias("categories"))
@@ -71,3 +68,42 @@ def one_hot(df: DataFrame, col: str, categories: list[str]) -> DataFrame:
     return df.withColumns(
         {onehot_name(col, c): F.when(F.col(col) == c, 1.0).otherwise(0.0) for c in categories}
     )
+
+
+@dataclass(frozen=True)
+class Preparation:
+    """What a training set fixes: fill values, means and population deviations, categories. A few numbers per column, whatever the rows."""
+
+    medians: dict[str, float]
+    mode: str
+    means: dict[str, float]
+    stds: dict[str, float]
+    categories: list[str]
+
+    @property
+    def feature_columns(self) -> list[str]:
+        return [*[f"num__{c}" for c in S.NUMERIC_FEATURES], *[onehot_name("region", c) for c in self.categories]]
+
+    def impute(self, df: DataFrame) -> DataFrame:
+        """Missing or NaN sensors become the training median, a missing region the training mode."""
+        sensors = {c: F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")), F.lit(self.medians[c])) for c in S.SENSOR_COLUMNS}
+        return df.withColumns({**sensors, "region": F.coalesce("region", F.lit(self.mode))})
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """df with imputed inputs, derived features and the feature columns; an unknown region has all indicators 0, a constant column is centred only."""
+        full = B.add_derived_features(self.impute(df))
+        scaled = {f"num__{c}": (F.col(c) - F.lit(self.means[c])) / F.lit(self.stds[c] or 1.0) for c in S.NUMERIC_FEATURES}
+        return one_hot(full.withColumns(scaled), "region", self.categories)
+
+
+def fit_preparation(train: DataFrame) -> Preparation:
+    """Fitted on the training rows only: exact medians, the mode, then means and population deviations of the imputed features."""
+    clean = train.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in S.SENSOR_COLUMNS})
+    q = {r["column"]: r["median"] for r in O.exact_quantiles(clean, [], S.SENSOR_COLUMNS, {"median": 0.5}).collect()}
+    mode = fit_mode(train, "region").first()["region"]
+    first = Preparation({c: q.get(c, 0.0) for c in S.SENSOR_COLUMNS}, mode, {}, {}, [])
+    full = B.add_derived_features(first.impute(train))
+    m = fit_scaler(full, S.NUMERIC_FEATURES).first()
+    means = {c: m[f"{c}__mean"] or 0.0 for c in S.NUMERIC_FEATURES}
+    stds = {c: m[f"{c}__std"] or 0.0 for c in S.NUMERIC_FEATURES}
+    return Preparation(first.medians, mode, means, stds, fit_categories(full, "region"))

@@ -198,24 +198,24 @@ def time_step_gaps(spark, sf_dir):
 
 @register(
     "axis_step",
-    """WITH la AS (SELECT DISTINCT lat FROM grid_elevation), lo AS (SELECT DISTINCT lon FROM grid_elevation),
-    a AS (SELECT 'lat' AS axis, lat - lag(lat) OVER (ORDER BY lat) AS step FROM la
-          UNION ALL SELECT 'lon', lon - lag(lon) OVER (ORDER BY lon) FROM lo)
-    SELECT axis, round(quantile_cont(step, 0.5), 9) AS median_step, count(*) AS n, true AS ascending FROM a GROUP BY axis""",
+    """WITH a AS (SELECT DISTINCT 'lat' AS axis, lat_idx AS i, lat AS v FROM grid_elevation UNION SELECT DISTINCT 'lon', lon_idx, lon FROM grid_elevation),
+    s AS (SELECT axis, v - lag(v) OVER (PARTITION BY axis ORDER BY i) AS step FROM a)
+    SELECT axis, round(quantile_cont(abs(step), 0.5), 9) AS median_step, count(*) AS n, min(step) > 0 AS ascending FROM s GROUP BY axis""",
 )
 def axis_step(spark, sf_dir):
-    """Median step of each axis from its distinct values (an axis has one
-    value per grid line, so the window spans grid lines, not cells)."""
+    """Median step of each axis and whether its values rise with its index. An
+    axis has one value per grid line, so the window spans grid lines, not cells."""
     e = X.grid_elevation(spark, sf_dir)
-    out = None
+    lines = None
     for axis in ("lat", "lon"):
-        d = e.select(F.col(axis).alias("v")).distinct().withColumn("axis", F.lit(axis))
-        w = Window.partitionBy("axis").orderBy("v")
-        s = d.withColumn("step", F.col("v") - F.lag("v").over(w)).groupBy("axis").agg(
-            F.round(F.percentile("step", 0.5), 9).alias("median_step"), F.count(F.lit(1)).alias("n")
-        )
-        out = s if out is None else out.unionByName(s)
-    return out.withColumn("ascending", F.lit(True))
+        d = e.select(F.lit(axis).alias("axis"), F.col(f"{axis}_idx").alias("i"), F.col(axis).alias("v")).distinct()
+        lines = d if lines is None else lines.unionByName(d)
+    step = F.col("v") - F.lag("v").over(Window.partitionBy("axis").orderBy("i"))
+    return lines.withColumn("step", step).groupBy("axis").agg(
+        F.round(F.percentile(F.abs("step"), 0.5), 9).alias("median_step"),
+        F.count(F.lit(1)).alias("n"),
+        (F.min("step") > 0).alias("ascending"),
+    )
 
 
 @register(
@@ -394,5 +394,3 @@ def trailing_accumulation(spark, sf_dir):
     c = grid_history_cells(spark, sf_dir)
     return G.trailing_accumulation(c, "value", 1.0, 84).select("time", "lat_idx", "lon_idx", "accumulation")
 
-
-__all__ = ["S"]

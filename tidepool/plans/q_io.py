@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
-from tidepool.operators import metrics as M
-from tidepool.plans import q_ml, q_ordered, q_validate
+from tidepool.plans import q_ml, q_ordered
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
 from tidepool.sources import io as IO
@@ -130,6 +129,3 @@ def file_profile(spark, sf_dir):
     return fp.withColumn("columns", F.lit(len(obs.columns))).withColumn(
         "checksum_prefix", F.substring(F.sha2(F.concat_ws("|", "rows", "hash_sum_a", "hash_sum_b"), 256), 1, 12)
     )
-
-
-__all__ = ["M", "q_validate"]

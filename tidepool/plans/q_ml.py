@@ -187,12 +187,12 @@ def impute_mode(spark, sf_dir):
     "SELECT obs_id, "
     + ", ".join(
         f"round(({c} - (SELECT avg({c}) FROM observations)) / (SELECT stddev_pop({c}) FROM observations), 6) AS {c}"
-        for c in ["water_temperature_c", "ph", "coral_cover_percentage"]
+        for c in S.SENSOR_COLUMNS
     )
     + " FROM observations",
 )
 def standard_scale(spark, sf_dir):
-    cols = ["water_temperature_c", "ph", "coral_cover_percentage"]
+    cols = S.SENSOR_COLUMNS
     obs = X.observations(spark, sf_dir)
     return P.standard_scale(obs, P.fit_scaler(obs, cols), cols).select(
         "obs_id", *[F.round(c, 6).alias(c) for c in cols]
@@ -213,15 +213,28 @@ def one_hot(spark, sf_dir):
     return P.one_hot(dirty, "region", cats).select("obs_id", *[P.onehot_name("region", c) for c in cats])
 
 
+_MEANS = ", ".join(f"avg({c}) AS {c}" for c in S.SENSOR_COLUMNS)
+
+
 @register(
     "scaler_integrity",
-    "SELECT " + ", ".join(
-        f"abs(avg({c}) - avg({c})) <= 1e-4 * greatest(abs(avg({c})), 1e-12) AS {c}_ok" for c in ["ph", "depth_m"]
-    ) + " FROM observations",
+    f"""WITH w AS (SELECT 'training' AS data, {_MEANS} FROM ref_window UNION ALL SELECT 'production', {_MEANS} FROM prod_window),
+    l AS (SELECT data, "column", value FROM w UNPIVOT (value FOR "column" IN ({", ".join(S.SENSOR_COLUMNS)})))
+    SELECT l.data, l."column", abs(l.value - t.value) <= 1e-4 * greatest(abs(l.value), 1e-12) AS ok
+    FROM l JOIN l t ON t."column" = l."column" AND t.data = 'training'""",
 )
 def scaler_integrity(spark, sf_dir):
-    obs = X.observations(spark, sf_dir)
-    return P.scaler_integrity(P.fit_scaler(obs, ["ph", "depth_m"]), obs, ["ph", "depth_m"])
+    """Means fitted on the rows before the cut date hold for those rows and fail for columns that the production shift moves."""
+    from tidepool.plans.q_drift import windows
+
+    train, production = windows(spark, sf_dir)
+    fitted = P.fit_scaler(train, S.SENSOR_COLUMNS)
+    out = None
+    for name, data in (("training", train), ("production", production)):
+        flags = P.scaler_integrity(fitted, data, S.SENSOR_COLUMNS).withColumn("data", F.lit(name))
+        out = flags if out is None else out.unionByName(flags)
+    long = out.unpivot(["data"], [f"{c}_ok" for c in S.SENSOR_COLUMNS], "column", "ok")
+    return long.select("data", F.regexp_replace("column", "_ok$", "").alias("column"), "ok")
 
 
 # --- I21: champion vs challenger gates ---------------------------------------
@@ -347,18 +360,21 @@ def _train_test(spark, sf_dir, task="health"):
     return d.filter(F.col("split") == "train").drop("split"), d.filter(F.col("split") == "test").drop("split"), label
 
 
+def _evaluated(fitted, test, label, algorithm):
+    from tidepool.operators import ml as ML
+
+    preds = ML.score(fitted, test).join(test.select("obs_id", label), "obs_id")
+    return M.classification_metrics(preds, label, "predicted_class").withColumn("algorithm", F.lit(algorithm))
+
+
 @register("train_logistic")
 def train_logistic(spark, sf_dir):
-    """Multinomial LR (balanced weights) fitted on the
-    training split; test-split metrics from the confusion counts."""
+    """Multinomial LR (balanced weights) fitted on the training split; metrics of the test split from the confusion counts."""
     from tidepool.operators import ml as ML
 
     train, test, label = _train_test(spark, sf_dir)
-    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
-    preds = ML.score(model, test, label).join(test.select("obs_id", label), "obs_id")
-    return M.classification_metrics(preds, label, "predicted_class").withColumns(
-        {"algorithm": F.lit("logistic_regression"), "iterations": F.lit(model.stages[-1].summary.totalIterations)}
-    )
+    fitted = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
+    return _evaluated(fitted, test, label, "logistic_regression").withColumn("iterations", F.lit(fitted.model.summary.totalIterations))
 
 
 @register("score_batch")
@@ -367,8 +383,7 @@ def score_batch(spark, sf_dir):
     from tidepool.operators import ml as ML
 
     train, test, label = _train_test(spark, sf_dir, "restoration")
-    model = ML.fit_logistic(train, label, S.RESTORATION_CLASSES)
-    return ML.score(model, test.drop(*S.TARGET_COLUMNS), label)
+    return ML.score(ML.fit_logistic(train, label, S.RESTORATION_CLASSES), test.drop(*S.TARGET_COLUMNS))
 
 
 @register("feature_importance")
@@ -376,8 +391,34 @@ def feature_importance(spark, sf_dir):
     from tidepool.operators import ml as ML
 
     train, _, label = _train_test(spark, sf_dir)
-    model = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
-    return ML.coefficient_importance(model, spark)
+    return ML.importance(spark, ML.fit_logistic(train, label, S.HEALTH_CLASSES))
+
+
+@register("train_forest")
+def train_forest(spark, sf_dir):
+    """Random forest (balanced weights) fitted on the training split; metrics of the test split."""
+    from tidepool.operators import ml as ML
+
+    train, test, label = _train_test(spark, sf_dir, "restoration")
+    return _evaluated(ML.fit_forest(train, label, S.RESTORATION_CLASSES), test, label, "random_forest")
+
+
+def _assemble_sql() -> str:
+    sensors = S.SENSOR_COLUMNS
+    fills = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__fill, avg({c}) AS {c}__mean, stddev_pop({c}) AS {c}__std" for c in sensors)
+    scaled = ", ".join(f"round((coalesce({c}, {c}__fill) - {c}__mean) / {c}__std, 6) AS {c}" for c in sensors)
+    hot = ", ".join(f"CASE WHEN region = {V.q(r)} THEN 1.0 ELSE 0.0 END AS {P.onehot_name('region', r)}" for r in sorted(S.REGIONS))
+    return f"WITH f AS (SELECT {fills} FROM ref_window) SELECT obs_id, {scaled}, {hot} FROM observations_dirty, f"
+
+
+@register("assemble_features", _assemble_sql())
+def assemble_features(spark, sf_dir):
+    """Imputed, scaled and one-hot sensor features of damaged rows, everything fitted on the rows before the cut date."""
+    from tidepool.plans.q_drift import windows
+
+    fitted = P.fit_preparation(windows(spark, sf_dir)[0])
+    out = fitted.apply(X.observations_dirty(spark, sf_dir))
+    return out.select("obs_id", *[F.round(f"num__{c}", 6).alias(c) for c in S.SENSOR_COLUMNS], *[P.onehot_name("region", r) for r in fitted.categories])
 
 
 def _promotion_sql(approver: str, reason: str, force: bool, dry_run: bool) -> str:

@@ -7,7 +7,6 @@ import itertools
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
-from tidepool.operators import metrics as M
 from tidepool.operators import ordered as O
 from tidepool.operators import profile as PR
 from tidepool.plans import sqlviews as V
@@ -116,19 +115,30 @@ def time_correlation(spark, sf_dir):
     return obs.agg(*[F.round(F.corr(c, "_t"), 6).alias(c) for c in S.SENSOR_COLUMNS])
 
 
+_GROUPINGS = {"month": ("month(timestamp)", lambda: F.month("timestamp")), "year": ("year(timestamp)", lambda: F.year("timestamp")), "region": ("region", lambda: F.col("region"))}
+
+
 @register(
     "eta_squared",
-    """WITH g AS (SELECT month(timestamp) AS grp, count(*) AS n, avg(water_temperature_c) AS m FROM observations GROUP BY 1),
-    t AS (SELECT avg(water_temperature_c) AS gm, var_pop(water_temperature_c) * count(*) AS sst FROM observations)
-    SELECT round(sum(n * (m - gm) * (m - gm)) / max(sst), 6) AS eta_squared_month FROM g, t""",
+    """WITH l AS (SELECT timestamp, region, "column", value FROM observations UNPIVOT (value FOR "column" IN ("""
+    + ", ".join(S.SENSOR_COLUMNS)
+    + """))),
+    k AS ("""
+    + " UNION ALL ".join(f"""SELECT '{name}' AS grouping, CAST({sql} AS VARCHAR) AS grp, "column", value FROM l""" for name, (sql, _) in _GROUPINGS.items())
+    + """),
+    g AS (SELECT grouping, "column", grp, count(*) AS n, avg(value) AS m FROM k GROUP BY ALL),
+    t AS (SELECT "column", avg(value) AS gm, var_pop(value) * count(*) AS sst FROM l GROUP BY 1)
+    SELECT grouping, g."column", round(sum(n * (m - gm) * (m - gm)) / max(sst), 6) AS eta_squared FROM g JOIN t ON g."column" = t."column" GROUP BY ALL""",
 )
 def eta_squared(spark, sf_dir):
-    obs = _obs(spark, sf_dir)
-    g = obs.groupBy(F.month("timestamp").alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.avg("water_temperature_c").alias("m"))
-    t = F.broadcast(obs.agg(F.avg("water_temperature_c").alias("gm"), (F.var_pop("water_temperature_c") * F.count(F.lit(1))).alias("sst")))
-    return g.crossJoin(t).agg(
-        F.round(F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))) / F.max("sst"), 6).alias("eta_squared_month")
-    )
+    """Share of each sensor's variance between months, years and regions; 0 for a constant column."""
+    keys = [f().cast("string").alias(name) for name, (_, f) in _GROUPINGS.items()]
+    long = _obs(spark, sf_dir).select(*keys, *S.SENSOR_COLUMNS).unpivot(list(_GROUPINGS), S.SENSOR_COLUMNS, "column", "value")
+    grouping = F.explode(F.array(*[F.struct(F.lit(k).alias("grouping"), F.col(k).alias("grp")) for k in _GROUPINGS]))
+    g = long.select("column", "value", grouping.alias("k")).groupBy("k.grouping", "column", "k.grp").agg(F.count("value").alias("n"), F.avg("value").alias("m"))
+    t = long.groupBy("column").agg(F.avg("value").alias("gm"), (F.var_pop("value") * F.count("value")).alias("sst"))
+    between = F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm")))
+    return g.join(t, "column").groupBy("grouping", "column").agg(F.round(F.coalesce(F.try_divide(between, F.max("sst")), F.lit(0.0)), 6).alias("eta_squared"))
 
 
 _LABELS_SQL = "l AS (SELECT year(timestamp) AS year, label, class FROM observations UNPIVOT (class FOR label IN (reef_health, restoration_suitability)))"
@@ -412,26 +422,28 @@ def mutual_information(spark, sf_dir):
 
 @register(
     "ks_uniform",
-    """WITH c AS (SELECT region, latitude AS v, count(*) AS n FROM observations GROUP BY 1, 2),
-    e AS (SELECT c.region, v, n, sum(n) OVER (PARTITION BY c.region ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum,
-                 sum(n) OVER (PARTITION BY c.region) AS total, b.lat_min, b.lat_max
+    """WITH c AS (SELECT region, 'latitude' AS axis, latitude AS v, count(*) AS n FROM observations GROUP BY ALL
+               UNION ALL SELECT region, 'longitude', longitude, count(*) FROM observations GROUP BY ALL),
+    e AS (SELECT c.region, axis, v, n, sum(n) OVER (PARTITION BY c.region, axis ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum,
+                 sum(n) OVER (PARTITION BY c.region, axis) AS total,
+                 CASE axis WHEN 'latitude' THEN (v - b.lat_min) / (b.lat_max - b.lat_min) ELSE (v - b.lon_min) / (b.lon_max - b.lon_min) END AS u
           FROM c JOIN region_bounds b ON c.region = b.region)
-    SELECT region, round(max(greatest(cum / total - (v - lat_min) / (lat_max - lat_min),
-                                      (v - lat_min) / (lat_max - lat_min) - (cum - n) / total)), 6) AS ks_statistic,
+    SELECT region, axis, round(max(greatest(cum / total - u, u - (cum - n) / total)), 6) AS ks_statistic,
            CAST(max(total) AS BIGINT) AS n
-    FROM e GROUP BY region""",
+    FROM e GROUP BY region, axis""",
 )
 def ks_uniform(spark, sf_dir):
-    """One-sample KS of latitude against the uniform distribution on the
-    region's box: distinct values per region, bucketed prefix counts, then
+    """One-sample KS of latitude and longitude against the uniform distribution
+    on the region's box: distinct values, prefix counts, then
     D = max(F_n(v) - U(v), U(v) - F_n(v-))."""
     from tidepool.operators.validate import join_region_bounds
 
-    obs = _obs(spark, sf_dir)
-    c = obs.groupBy("region", F.col("latitude").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    pre = O.value_prefix(c, "region", "v", ["n"])
-    tot = c.groupBy("region").agg(F.sum("n").alias("total"))
-    e = join_region_bounds(spark, pre.join(tot, "region"))
-    u = (F.col("v") - F.col("lat_min")) / (F.col("lat_max") - F.col("lat_min"))
+    long = _obs(spark, sf_dir).select("region", "latitude", "longitude").unpivot(["region"], ["latitude", "longitude"], "axis", "v")
+    c = long.groupBy("region", "axis", "v").agg(F.count(F.lit(1)).alias("n"))
+    pre = O.value_prefix(c, ["region", "axis"], "v", ["n"])
+    tot = pre.groupBy("region", "axis").agg(F.max("cum_n").alias("total"))
+    e = join_region_bounds(spark, pre.join(tot, ["region", "axis"]))
+    low, high = (F.when(F.col("axis") == "latitude", F.col(f"lat_{x}")).otherwise(F.col(f"lon_{x}")) for x in ("min", "max"))
+    u = (F.col("v") - low) / (high - low)
     d = F.greatest(F.col("cum_n") / F.col("total") - u, u - (F.col("cum_n") - F.col("n")) / F.col("total"))
-    return e.groupBy("region").agg(F.round(F.max(d), 6).alias("ks_statistic"), F.max("total").cast("long").alias("n"))
+    return e.groupBy("region", "axis").agg(F.round(F.max(d), 6).alias("ks_statistic"), F.max("total").cast("long").alias("n"))

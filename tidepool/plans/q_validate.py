@@ -271,6 +271,3 @@ def join_region_bounds(spark, sf_dir):
         "obs_id", "region", "lat_min", "lat_max", "lon_min", "lon_max",
         F.when(F.col("lat_min").isNull(), F.lit(True)).otherwise(F.coalesce(inside, F.lit(False))).alias("in_bounds"),
     )
-
-
-__all__ = ["A", "Window"]
