@@ -29,10 +29,11 @@ def per_class(df: DataFrame, t: str, p: str, group: list[str] | None = None) ->
     """precision, recall, f1, support per class present in truth or prediction."""
     g = group or []
     cc = confusion_counts(df, t, p, g)
-    tp = cc.filter(F.col("y_true") == F.col("y_pred")).groupBy(*g, F.col("y_true").alias("class")).agg(F.sum("n").alias("tp"))
-    sup = cc.groupBy(*g, F.col("y_true").alias("class")).agg(F.sum("n").alias("support"))
-    prd = cc.groupBy(*g, F.col("y_pred").alias("class")).agg(F.sum("n").alias("predicted"))
-    x = sup.join(prd, [*g, "class"], "full").join(tp, [*g, "class"], "left").na.fill(0, ["tp", "support", "predicted"])
+    # a cell counts once for its true class and once for its predicted one
+    none = F.lit(0).cast("long")
+    as_true = F.struct(F.col("y_true").alias("class"), F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(none).alias("tp"), F.col("n").alias("support"), none.alias("predicted"))
+    as_pred = F.struct(F.col("y_pred").alias("class"), none.alias("tp"), none.alias("support"), F.col("n").alias("predicted"))
+    x = cc.select(*g, F.explode(F.array(as_true, as_pred)).alias("c")).groupBy(*g, "c.class").agg(*[F.sum(f"c.{k}").alias(k) for k in ("tp", "support", "predicted")])
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     x = x.withColumns({"precision": prec, "recall": rec})

@@ -92,15 +92,15 @@ _ALGO_SQL = """algo AS (
 
 
 def algorithm_predictions(spark, sf_dir):
+    """(algorithm, y_true, y_pred): the table is scored once; only the k-row majority table is joined to it."""
     from tidepool.operators.profile import majority_by_group
 
-    pairs = X.scored_pairs(spark, sf_dir, "health")
-    preds = X.predictions(spark, sf_dir, "health").select("obs_id", F.col("predicted_class").alias("p2"))
-    maj = majority_by_group(pairs, "region", "y_true", S.HEALTH_CLASSES).withColumnRenamed("majority", "p3")
-    a = pairs.select(F.lit("threshold_rule").alias("algorithm"), "y_true", "y_pred")
-    b = pairs.join(preds, "obs_id").select(F.lit("centre_scorer").alias("algorithm"), "y_true", F.col("p2").alias("y_pred"))
-    c = pairs.join(F.broadcast(maj), "region").select(F.lit("region_majority").alias("algorithm"), "y_true", F.col("p3").alias("y_pred"))
-    return a.unionByName(b).unionByName(c)
+    scored = X.scored_pairs(spark, sf_dir, "health", with_scorer=True)
+    maj = majority_by_group(X.scored_pairs(spark, sf_dir, "health"), "region", "y_true", S.HEALTH_CLASSES)
+    one = scored.join(F.broadcast(maj), "region")
+    names = {"threshold_rule": "y_pred", "centre_scorer": "predicted_class", "region_majority": "majority"}
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("algorithm"), F.col(c).alias("y_pred")) for a, c in names.items()]))
+    return one.select("y_true", each.alias("a")).select("a.algorithm", "y_true", "a.y_pred")
 
 
 _MODEL_METRICS_SQL = "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + "\n" + _metrics_select("algorithm")

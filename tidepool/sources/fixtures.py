@@ -147,19 +147,18 @@ def truth_offset() -> Column:
     return ((F.col("_ep") * 31 + F.col("_ok")) % 151 - 75).cast("double") / 1000
 
 
-def scored_pairs(spark: SparkSession, sf_dir: str, task: str = "health") -> DataFrame:
-    """(obs_id, region, y_true, y_pred): truth from score+offset, prediction from score."""
+def scored_pairs(spark: SparkSession, sf_dir: str, task: str = "health", with_scorer: bool = False) -> DataFrame:
+    """(obs_id, region, y_true, y_pred): truth from score+offset, prediction from score;
+    with_scorer adds the fixture scorer's ``predicted_class`` from the same pass."""
     b = observations_base(spark, sf_dir)
     if task == "health":
         b, to_class = C.with_health_score(b, "__s", None, False), C.health_class
     else:
         b, to_class = C.with_restoration_score(b, "__s", None, False), C.restoration_class
-    return b.select(
-        "obs_id",
-        "region",
-        to_class(F.round(F.col("__s") + truth_offset(), 9)).alias("y_true"),
-        to_class(F.round(F.col("__s"), 9)).alias("y_pred"),
-    )
+    pairs = {"y_true": to_class(F.round(F.col("__s") + truth_offset(), 9)), "y_pred": to_class(F.round(F.col("__s"), 9))}
+    if with_scorer:
+        return fixture_scorer(b.withColumns(pairs), task).select("obs_id", "region", *pairs, "predicted_class")
+    return b.select("obs_id", "region", *[v.alias(k) for k, v in pairs.items()])
 
 
 def observations_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
