@@ -267,7 +267,7 @@ def test_blocks_round_trip():
 @pytest.mark.parametrize("planes", ["bit", "byte"])
 def test_files_hold_what_the_library_encodes(spark, edges, planes):
     docs = spark.read.parquet(DOCS).select("doc_id", "text").unionByName(edges.select("doc_id", "text")).repartition(5)
-    got = bitplane.ids_digest(bitplane.encode_to_files(spark, docs, WORD_BPE, planes=planes)).orderBy("start").collect()
+    got = bitplane.ids_digest(bitplane.encode_to_files(docs, WORD_BPE, as_bytes=True, planes=planes)).orderBy("start").collect()
     t = Tokenizer.from_file(WORD_BPE)
     own = sorted(docs.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
     assert [r.doc_id for r in got] == [r.doc_id for r in own]
@@ -281,10 +281,12 @@ def test_files_hold_what_the_library_encodes(spark, edges, planes):
         ids = t.encode(r.text or "", add_special_tokens=False).ids + [2]
         expected[r.doc_id, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())] += 1
     assert sums == expected
+    arrays = {tuple(r.ids) for r in bitplane.encode_to_files(edges.select("doc_id", "text"), WORD_BPE).collect()}
+    assert arrays == {(*t.encode(r.text or "", add_special_tokens=False).ids, 2) for r in edges.collect()}
 
 
-def test_no_documents_make_no_files(spark, nothing):
-    assert bitplane.encode_to_files(spark, nothing, WORD_BPE).count() == 0
+def test_no_documents_make_no_files(nothing):
+    assert bitplane.encode_to_files(nothing, WORD_BPE).count() == 0
 
 
 def test_word_encoder_equals_whole_texts():

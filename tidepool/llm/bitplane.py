@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, map_texts, shared_dir
@@ -216,8 +216,11 @@ def write_ids(
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def read_ids(manifest: DataFrame, id_type: str = "long") -> DataFrame:
-    """(doc_id, start, ids) of every document in the files of a manifest; start counts the ids of all documents before."""
+def read_ids(manifest: DataFrame, id_type: str = "long", as_bytes: bool = False) -> DataFrame:
+    """(doc_id, start, ids) of every document in the files of a manifest; start counts the ids of all documents before.
+
+    ids are an array of int or, as_bytes, little-endian unsigned 32-bit integers.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
@@ -236,33 +239,24 @@ def read_ids(manifest: DataFrame, id_type: str = "long") -> DataFrame:
                         if n:
                             used = int(ends[n - 1])
                             offsets = np.concatenate(([0], ends[:n])).astype(np.int32)
-                            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(rest[:used].astype(np.int32)))
+                            if as_bytes:
+                                ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets * 4), pa.py_buffer(rest[:used].astype("<u4").tobytes())])
+                            else:
+                                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(rest[:used].astype(np.int32)))
                             yield pa.RecordBatch.from_arrays([pa.array(names[doc : doc + n], kind), pa.array(start + offsets[:-1].astype(np.int64)), ids], ["doc_id", "start", "ids"])
                             start, doc, rest = start + used, doc + n, rest[used:]
 
     # as many tasks as files, of which there are as many as the writing job had tasks
     files = manifest.select("path", "start").repartition(max(1, manifest.count()), "path")
-    return files.mapInArrow(read, f"doc_id {id_type}, start long, ids array<int>")
+    return files.mapInArrow(read, f"doc_id {id_type}, start long, ids {'binary' if as_bytes else 'array<int>'}")
 
 
 def ids_digest(ids: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32): crc32 of the ids as little-endian unsigned 32-bit integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zlib import crc32
-
-        for batch in batches:
-            lists = batch.column(2)
-            offsets = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy().astype("<u4")
-            sums = [crc32(flat[offsets[i] : offsets[i + 1]].tobytes()) for i in range(len(lists))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(offsets).astype(np.int64)), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.select("doc_id", "start", "ids").mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    """(doc_id, start, n_tokens, ids_crc32) of ids read as bytes."""
+    return ids.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
-def encode_to_files(spark: SparkSession, docs: DataFrame, tokenizer_path: str, **how) -> DataFrame:
+def encode_to_files(docs: DataFrame, tokenizer_path: str, as_bytes: bool = False, **how) -> DataFrame:
     """write_ids, then read_ids of what was written."""
     kind = docs.schema[how.get("id_col", "doc_id")].dataType.simpleString()
-    return read_ids(write_ids(docs, tokenizer_path, **how), kind)
+    return read_ids(write_ids(docs, tokenizer_path, **how), kind, as_bytes)

@@ -118,7 +118,7 @@ SELECT doc_id, n::BIGINT AS n_words, g::BIGINT AS n_removed, sha256(coalesce(arr
 @query
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bitplane.ids_digest(bitplane.encode_to_files(spark, docs, public_tokenizers.path("word_bpe_49k.json")))
+    return bitplane.ids_digest(bitplane.encode_to_files(docs, public_tokenizers.path("word_bpe_49k.json"), as_bytes=True))
 
 
 @query
