@@ -202,7 +202,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     empty table stays empty.
     """
     docs, (id_col, text_col), back = shield(docs, id_col, text_col)
-    own = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.xxhash64(F.col(text_col))})
+    own = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "_th": F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))})
     light = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
     light = map_texts(light, _scan(window, seed), "_id long, _th long, first long, n long, least long, digest long")
     light = cut(light, "super-kmers")
@@ -219,7 +219,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def packed(some: DataFrame) -> DataFrame:
         wanted = some.groupBy(F.col("one._id").alias("_wid"), F.col("one._th").alias("_wth")).agg(F.collect_list(F.struct("least", "digest", "n", "low", F.col("one.first").alias("first"))).alias("wanted"))
-        found = texts.join(wanted, (F.col("_id") == F.col("_wid")) & F.col("_th").eqNullSafe(F.col("_wth")))
+        found = texts.join(wanted, (F.col("_id") == F.col("_wid")) & (F.col("_th") == F.col("_wth")))
         return found.select("text", "wanted").mapInArrow(_extract(window), "least long, digest long, n long, low long, packed string")
 
     alone = kinds.where("kinds = 1").select(*key, F.array_repeat("low", F.col("n").cast("int")).alias("lows"))
@@ -238,6 +238,6 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     else:
         every = texts.select("_id", "_th", F.col("text").alias(text_col))
         every = every.withColumn(id_col, F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType))
-    joined = every.join(found, (F.col("_id") == F.col("_fid")) & F.col("_th").eqNullSafe(F.col("_fth")), "left").select(*docs.columns, "_found")
+    joined = every.join(found, (F.col("_id") == F.col("_fid")) & (F.col("_th") == F.col("_fth")), "left").select(*docs.columns, "_found")
     out = map_texts(joined, _remove(window, joined.columns, text_col), plus(joined.schema, "n_words long, n_removed long, kept_text string"))
     return back(out, "n_words", "n_removed", "kept_text")
