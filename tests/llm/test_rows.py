@@ -14,7 +14,8 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidepool.llm import bitplane, compression, langid, pii, sentencepiece_codec
+import corpus_pipeline
+from tidepool.llm import bitplane, compression, langid, pii, queries, sentencepiece_codec
 from tidepool.llm.common import WORD
 
 from .conftest import EDGES, prose
@@ -50,6 +51,13 @@ def test_codec_with_other_columns_and_no_rows(clashing, nothing):
     assert sentencepiece_codec.encode(nothing, MODEL).count() == 0
 
 
+def test_registered_uses_compare_every_text(spark):
+    docs = spark.read.parquet(DOCS)
+    texts = docs.where("text is not null").count()
+    for done in (queries.op1_sentencepiece(spark, DOCS.rpartition("/")[0]), corpus_pipeline.tokens(spark, docs, "")):
+        assert done.where("parity").count() == texts
+
+
 def _field(number, value):
     def varint(n):
         out = b""
