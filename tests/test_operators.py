@@ -10,9 +10,12 @@ from tidepool.operators import aggregate as A
 from tidepool.operators import drift as D
 from tidepool.operators import ordered as O
 from tidepool.operators import scalar as B
+from tidepool.plans import registry
 from tidepool.sources import fixtures as X
 from tests.conftest import SMALL
 
+registry.load_all()
+
 
 def test_shift_identity_and_negative(spark):
     obs = X.observations(spark, SMALL)
@@ -212,3 +215,21 @@ def test_models_train_on_rows_with_nulls_and_score_unknown_regions(spark):
         again = ML.score(fit(train, "reef_health", S.HEALTH_CLASSES, **params), obs.withColumn("region", F.lit("Atlantis")).drop("reef_health"))
         assert sorted((r["obs_id"], r["predicted_class"]) for r in again.collect()) == sorted((r["obs_id"], r["predicted_class"]) for r in scored)
         assert ML.importance(spark, fitted).count() == len(fitted.preparation.feature_columns)
+
+
+def test_correlations_cover_all_numeric_features(spark):
+    x = B.add_derived_features(X.observations(spark, SMALL)).select(*S.NUMERIC_FEATURES).toPandas().to_numpy()
+    at = {c: i for i, c in enumerate(S.NUMERIC_FEATURES)}
+
+    def average_rank(v):
+        _, which, n = np.unique(v, return_inverse=True, return_counts=True)
+        return (np.cumsum(n) - (n - 1) / 2)[which]
+
+    ranks = np.column_stack([average_rank(x[:, i]) for i in range(x.shape[1])])
+    for name, value, data in (("pearson_matrix_features", "r", x), ("spearman_matrix_features", "rho", ranks)):
+        exact = np.corrcoef(data, rowvar=False)
+        got = registry.QUERIES[name](spark, SMALL).collect()
+        assert len({(r.col_a, r.col_b) for r in got}) == len(got) == len(at) * (len(at) - 1) // 2
+        for r in got:
+            assert r[value] == pytest.approx(exact[at[r.col_a], at[r.col_b]], abs=2e-6)
+            assert r.strong == (abs(exact[at[r.col_a], at[r.col_b]]) > 0.8)

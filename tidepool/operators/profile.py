@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,3 +16,11 @@ def majority_by_group(df: DataFrame, group: str, label: str, classes: list[str])
     return c.groupBy(group).agg(
         F.max_by(F.col(label), F.struct(F.col("n"), -order[F.col(label)])).alias("majority")
     )
+
+
+def correlation_pairs(df: DataFrame, cols: list[str], value: str) -> DataFrame:
+    """(col_a, col_b, value, strong) of every pair of cols: one pass of moment sums, strong if the absolute value is above 0.8."""
+    pairs = list(itertools.combinations(cols, 2))
+    row = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs]))
+    return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.r", 6).alias(value), (F.abs("s.r") > 0.8).alias("strong"))

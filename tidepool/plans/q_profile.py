@@ -271,6 +271,45 @@ def spearman_matrix(spark, sf_dir):
     return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.rho", 6).alias("rho"))
 
 
+# the whole 21 x 21 triangle: sensor columns and the derived features
+_ALL_PAIRS = list(itertools.combinations(S.NUMERIC_FEATURES, 2))
+_FEATURES_SQL = f"f AS (SELECT obs_id, {', '.join(S.SENSOR_COLUMNS)}, {V.derived_select()} FROM observations)"
+
+
+def _pair_rows_sql(source: str, value: str) -> str:
+    """One row per pair from one aggregate row of `source`."""
+    corrs = ", ".join(f"corr({a}, {b}) AS p{i}" for i, (a, b) in enumerate(_ALL_PAIRS))
+    each = " UNION ALL ".join(f"SELECT {V.q(a)} AS col_a, {V.q(b)} AS col_b, p{i} AS r FROM m" for i, (a, b) in enumerate(_ALL_PAIRS))
+    return f"m AS (SELECT {corrs} FROM {source}) SELECT col_a, col_b, round(r, 6) AS {value}, abs(r) > 0.8 AS strong FROM ({each})"
+
+
+def _features(spark, sf_dir):
+    from tidepool.operators.scalar import add_derived_features
+
+    return add_derived_features(_obs(spark, sf_dir)).select("obs_id", *S.NUMERIC_FEATURES)
+
+
+@register("pearson_matrix_features", f"WITH {_FEATURES_SQL}, {_pair_rows_sql('f', 'r')}")
+def pearson_matrix_features(spark, sf_dir):
+    """M15 over all 21 numeric features: 210 pairs from one pass, strong if abs r > 0.8."""
+    return PR.correlation_pairs(_features(spark, sf_dir), S.NUMERIC_FEATURES, "r")
+
+
+@register(
+    "spearman_matrix_features",
+    f"WITH {_FEATURES_SQL}, r AS (SELECT "
+    + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in S.NUMERIC_FEATURES)
+    + f" FROM f), {_pair_rows_sql('r', 'rho')}",
+)
+def spearman_matrix_features(spark, sf_dir):
+    """M16 over all 21 numeric features: average ranks from split value counts, then Pearson on ranks."""
+    cols = S.NUMERIC_FEATURES
+    long = _features(spark, sf_dir).unpivot(["obs_id"], cols, "column", "value")
+    ranks = O.average_ranks(long, "column", "value")
+    ranked = long.join(ranks, ["column", "value"]).groupBy("obs_id").pivot("column", cols).agg(F.first("avg_rank"))
+    return PR.correlation_pairs(ranked, cols, "rho")
+
+
 @register(
     "closed_form_benchmark",
     """SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS exact_match,
