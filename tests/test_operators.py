@@ -15,6 +15,10 @@ from tidepool.sources import fixtures as X
 from tests.conftest import SMALL
 
 registry.load_all()
+LABEL_QUERIES = [
+    f"{n}_by_task" for n in ("confusion_matrix", "classification_metrics", "per_class_metrics", "model_metrics", "leaderboard",
+                             "quality_gate", "compare_champion", "promotion_decision", "closed_form_benchmark", "mutual_information")
+]
 
 
 def test_shift_identity_and_negative(spark):
@@ -233,3 +237,16 @@ def test_correlations_cover_all_numeric_features(spark):
         for r in got:
             assert r[value] == pytest.approx(exact[at[r.col_a], at[r.col_b]], abs=2e-6)
             assert r.strong == (abs(exact[at[r.col_a], at[r.col_b]]) > 0.8)
+
+
+def test_label_queries_cover_both_tasks(spark):
+    got = {n: [r.task for r in registry.QUERIES[n](spark, SMALL).collect()] for n in LABEL_QUERIES}
+    assert {n: set(t) for n, t in got.items()} == {n: set(S.TASK_CLASSES) for n in LABEL_QUERIES}
+    assert [got["confusion_matrix_by_task"].count(t) for t in S.TASK_CLASSES] == [16, 9]
+    gates = {(r.task, r.gate): r.threshold for r in registry.QUERIES["compare_champion_by_task"](spark, SMALL).collect()}
+    assert gates == {(t, g): v for t, own in S.COMPARISON_GATES.items() for g, v in own.items()}
+
+
+@pytest.mark.parametrize("name", ["train_logistic", "train_forest", "score_batch"])
+def test_fits_cover_both_tasks(spark, name):
+    assert {r.task for r in registry.QUERIES[name](spark, SMALL).select("task").distinct().collect()} == set(S.TASK_CLASSES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
@@ -16,13 +18,15 @@ def _dim(classes, a="class_order", b="class"):
     return "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {V.q(c)})" for i, c in enumerate(classes)) + f") t({a}, {b}))"
 
 
-@register(
-    "confusion_matrix",
+_CONFUSION_SQL = (
     f"""WITH c AS (SELECT y_true, y_pred, count(*) AS n FROM scored_health GROUP BY 1, 2)
     SELECT t.true_order, t.y_true, p.pred_order, p.y_pred, CAST(coalesce(c.n, 0) AS BIGINT) AS n
     FROM {_dim(S.HEALTH_CLASSES, 'true_order', 'y_true')} t CROSS JOIN {_dim(S.HEALTH_CLASSES, 'pred_order', 'y_pred')} p
-    LEFT JOIN c ON c.y_true = t.y_true AND c.y_pred = p.y_pred""",
+    LEFT JOIN c ON c.y_true = t.y_true AND c.y_pred = p.y_pred"""
 )
+
+
+@register("confusion_matrix", _CONFUSION_SQL)
 def confusion_matrix(spark, sf_dir):
     return M.confusion_matrix(spark, X.scored_pairs(spark, sf_dir, "health"), "y_true", "y_pred", S.HEALTH_CLASSES)
 
@@ -367,23 +371,35 @@ def _evaluated(fitted, test, label, algorithm):
     return M.classification_metrics(preds, label, "predicted_class").withColumn("algorithm", F.lit(algorithm))
 
 
+def _each_task(of):
+    """The rows that `of` gives for each task, with the task."""
+    frames = [of(task).withColumn("task", F.lit(task)) for task in S.TASK_CLASSES]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 @register("train_logistic")
 def train_logistic(spark, sf_dir):
-    """Multinomial LR (balanced weights) fitted on the training split; metrics of the test split from the confusion counts."""
+    """Multinomial LR (balanced weights) of each task fitted on its training split; metrics of the test split from the confusion counts."""
     from tidepool.operators import ml as ML
 
-    train, test, label = _train_test(spark, sf_dir)
-    fitted = ML.fit_logistic(train, label, S.HEALTH_CLASSES)
-    return _evaluated(fitted, test, label, "logistic_regression").withColumn("iterations", F.lit(fitted.model.summary.totalIterations))
+    def of(task):
+        train, test, label = _train_test(spark, sf_dir, task)
+        fitted = ML.fit_logistic(train, label, S.TASK_CLASSES[task])
+        return _evaluated(fitted, test, label, "logistic_regression").withColumn("iterations", F.lit(fitted.model.summary.totalIterations))
+
+    return _each_task(of)
 
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    """Fitted pipeline applied to the test split: class, probability map, confidence."""
+    """Fitted pipeline of each task applied to its test split: class, probability map, confidence."""
     from tidepool.operators import ml as ML
 
-    train, test, label = _train_test(spark, sf_dir, "restoration")
-    return ML.score(ML.fit_logistic(train, label, S.RESTORATION_CLASSES), test.drop(*S.TARGET_COLUMNS))
+    def of(task):
+        train, test, label = _train_test(spark, sf_dir, task)
+        return ML.score(ML.fit_logistic(train, label, S.TASK_CLASSES[task]), test.drop(*S.TARGET_COLUMNS))
+
+    return _each_task(of)
 
 
 @register("feature_importance")
@@ -396,11 +412,14 @@ def feature_importance(spark, sf_dir):
 
 @register("train_forest")
 def train_forest(spark, sf_dir):
-    """Random forest (balanced weights) fitted on the training split; metrics of the test split."""
+    """Random forest (balanced weights) of each task fitted on its training split; metrics of the test split."""
     from tidepool.operators import ml as ML
 
-    train, test, label = _train_test(spark, sf_dir, "restoration")
-    return _evaluated(ML.fit_forest(train, label, S.RESTORATION_CLASSES), test, label, "random_forest")
+    def of(task):
+        train, test, label = _train_test(spark, sf_dir, task)
+        return _evaluated(ML.fit_forest(train, label, S.TASK_CLASSES[task]), test, label, "random_forest")
+
+    return _each_task(of)
 
 
 def _assemble_sql() -> str:
@@ -438,14 +457,9 @@ def _promotion_sql(approver: str, reason: str, force: bool, dry_run: bool) -> st
 _PROMOTION = {"approver": "reef-ops", "reason": "scheduled review", "force": False, "dry_run": True}
 
 
-@register("promotion_decision", _promotion_sql(**_PROMOTION))
-def promotion_decision(spark, sf_dir):
-    """Promotion gate over the comparison: missing approver/reason blocks,
-    reject blocks, review_required needs force, gates re-checked, dry run."""
-    c = compare_champion(spark, sf_dir)
-    o = c.agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
+def _decision():
     a, r, force, dry = (_PROMOTION[k] for k in ("approver", "reason", "force", "dry_run"))
-    decision = (
+    return (
         F.when(F.lit(a.strip() == "" or r.strip() == ""), "blocked_missing_approval")
         .when(F.col("outcome") == "reject", "blocked_rejected")
         .when((F.col("outcome") == "review_required") & F.lit(not force), "blocked_review_required")
@@ -453,4 +467,150 @@ def promotion_decision(spark, sf_dir):
         .when(F.lit(dry), "dry_run_ok")
         .otherwise("promote")
     )
-    return o.select("outcome", "gates_ok", decision.alias("decision"))
+
+
+@register("promotion_decision", _promotion_sql(**_PROMOTION))
+def promotion_decision(spark, sf_dir):
+    """Promotion gate over the comparison: missing approver/reason blocks,
+    reject blocks, review_required needs force, gates re-checked, dry run."""
+    c = compare_champion(spark, sf_dir)
+    o = c.agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
+    return o.select("outcome", "gates_ok", _decision().alias("decision"))
+
+
+# --- the queries above for both tasks, with each task's own classes and gates --
+def _for_task(sql: str, task: str) -> str:
+    """A body over the health views, over those of `task`."""
+    def orders(t):
+        return " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.TASK_CLASSES[t]))
+
+    for name in ("scored", "predictions"):
+        sql = sql.replace(f"{name}_health", f"{name}_{task}")
+    for a, b in (("true_order", "y_true"), ("pred_order", "y_pred")):
+        sql = sql.replace(_dim(S.HEALTH_CLASSES, a, b), _dim(S.TASK_CLASSES[task], a, b))
+    return sql.replace(orders("health"), orders(task)).replace(_thresholds_sql("health"), _thresholds_sql(task))
+
+
+def _thresholds_sql(task: str) -> str:
+    g = S.COMPARISON_GATES[task]
+    return f"""CASE g.gate WHEN 'min_abs_macro_f1' THEN {g['min_abs_macro_f1']} WHEN 'max_macro_f1_regression' THEN {g['max_macro_f1_regression']}
+                        WHEN 'min_balanced_accuracy' THEN {g['min_balanced_accuracy']} ELSE {g['max_per_class_recall_regression']} END AS threshold"""
+
+
+assert _thresholds_sql("health") in _COMPARE_SQL
+
+
+def both_tasks_sql(body) -> str:
+    return " UNION ALL ".join(f"SELECT {V.q(t)} AS task, * FROM ({body(t)})" for t in S.TASK_CLASSES)
+
+
+def task_predictions(spark, sf_dir):
+    """(task, algorithm, y_true, y_pred) of every row and task from one scored pass; only the majority table is joined to it."""
+    from tidepool.operators.profile import majority_by_group
+
+    scored = X.scored_tasks(spark, sf_dir).withColumn("place", F.struct("task", "region"))
+    maj = majority_by_group(scored, "place", "y_true", S.HEALTH_CLASSES + S.RESTORATION_CLASSES)
+    one = scored.join(F.broadcast(maj), "place")
+    names = {"threshold_rule": "y_pred", "centre_scorer": "predicted_class", "region_majority": "majority"}
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("algorithm"), F.col(c).alias("y_pred")) for a, c in names.items()]))
+    return one.select("task", "y_true", each.alias("a")).select("task", "a.algorithm", "y_true", "a.y_pred")
+
+
+@register("confusion_matrix_by_task", both_tasks_sql(lambda t: _for_task(_CONFUSION_SQL, t)))
+def confusion_matrix_by_task(spark, sf_dir):
+    counts = M.confusion_counts(X.scored_tasks(spark, sf_dir), "y_true", "y_pred", ["task"])
+    cells = [(t, i, a, j, b) for t, cs in S.TASK_CLASSES.items() for i, a in enumerate(cs) for j, b in enumerate(cs)]
+    grid = F.broadcast(spark.createDataFrame(cells, "task string, true_order int, y_true string, pred_order int, y_pred string"))
+    out = grid.join(counts, ["task", "y_true", "y_pred"], "left").na.fill(0, ["n"])
+    return out.select("task", "true_order", "y_true", "pred_order", "y_pred", F.col("n").cast("long"))
+
+
+@register("classification_metrics_by_task", both_tasks_sql(lambda t: f"WITH {_per_class_sql(f'scored_{t}')} {_metrics_select()}"))
+def classification_metrics_by_task(spark, sf_dir):
+    return M.classification_metrics(X.scored_tasks(spark, sf_dir), "y_true", "y_pred", ["task"])
+
+
+@register(
+    "per_class_metrics_by_task",
+    both_tasks_sql(lambda t: f"""WITH {_per_class_sql(f'scored_{t}')} SELECT class, round(precision, 4) AS precision, round(recall, 4) AS recall,
+        round(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM pcf"""),
+)
+def per_class_metrics_by_task(spark, sf_dir):
+    pc = M.per_class(X.scored_tasks(spark, sf_dir), "y_true", "y_pred", ["task"])
+    return pc.select("task", "class", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")], F.col("support").cast("long").alias("support"))
+
+
+@register("model_metrics_by_task", both_tasks_sql(lambda t: _for_task(_MODEL_METRICS_SQL, t)))
+def model_metrics_by_task(spark, sf_dir):
+    return M.classification_metrics(task_predictions(spark, sf_dir), "y_true", "y_pred", ["task", "algorithm"])
+
+
+@register(
+    "leaderboard_by_task",
+    both_tasks_sql(lambda t: f"""SELECT CAST(row_number() OVER w AS INTEGER) AS position, algorithm, macro_f1, balanced_accuracy, accuracy,
+        row_number() OVER w = 1 AS champion FROM ({_for_task(_MODEL_METRICS_SQL, t)})
+        WINDOW w AS (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm)"""),
+)
+def leaderboard_by_task(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("task").orderBy(F.desc("macro_f1"), F.desc("balanced_accuracy"), "algorithm")
+    m = model_metrics_by_task(spark, sf_dir).withColumn("position", F.row_number().over(w).cast("int"))
+    return m.select("task", "position", "algorithm", "macro_f1", "balanced_accuracy", "accuracy", (F.col("position") == 1).alias("champion"))
+
+
+def _gate_sql(task: str) -> str:
+    f1, balanced = S.QUALITY_GATES[task]
+    return f"""SELECT algorithm, macro_f1 >= {f1} AS f1_ok, balanced_accuracy >= {balanced} AS balanced_accuracy_ok,
+        macro_f1 >= {f1} AND balanced_accuracy >= {balanced} AS passed,
+        concat_ws(',', CASE WHEN macro_f1 < {f1} THEN 'macro_f1' END, CASE WHEN balanced_accuracy < {balanced} THEN 'balanced_accuracy' END) AS failures
+        FROM ({_for_task(_MODEL_METRICS_SQL, task)})"""
+
+
+@register("quality_gate_by_task", both_tasks_sql(_gate_sql))
+def quality_gate_by_task(spark, sf_dir):
+    least = F.create_map(*[x for t, gates in S.QUALITY_GATES.items() for x in (F.lit(t), F.array(*map(F.lit, gates)))])[F.col("task")]
+    low = {c: F.col(c) < least[i] for i, c in enumerate(("macro_f1", "balanced_accuracy"))}
+    return model_metrics_by_task(spark, sf_dir).select(
+        "task", "algorithm", (~low["macro_f1"]).alias("f1_ok"), (~low["balanced_accuracy"]).alias("balanced_accuracy_ok"),
+        (~low["macro_f1"] & ~low["balanced_accuracy"]).alias("passed"),
+        F.concat_ws(",", *[F.when(x, F.lit(c)) for c, x in low.items()]).alias("failures"),
+    )
+
+
+@register("compare_champion_by_task", both_tasks_sql(lambda t: _for_task(_COMPARE_SQL, t)))
+def compare_champion_by_task(spark, sf_dir):
+    """compare_champion with the gates of each task; one row per task and gate."""
+    from pyspark.sql import Window
+
+    preds = task_predictions(spark, sf_dir)
+    m = M.classification_metrics(preds, "y_true", "y_pred", ["task", "algorithm"])
+    old, new = (F.col("algorithm") == a for a in ("threshold_rule", "centre_scorer"))
+    f1 = m.groupBy("task").agg(F.max(F.when(old, F.col("macro_f1"))).alias("ch_f1"), F.max(F.when(new, F.col("macro_f1"))).alias("cl_f1"), F.max(F.when(new, F.col("balanced_accuracy"))).alias("cl_bal"))
+    hit = (F.col("y_pred") == F.col("y_true")).cast("double")
+    recall = preds.groupBy("task", "y_true").agg(F.avg(F.when(old, hit)).alias("ch"), F.avg(F.when(new, hit)).alias("cl"))
+    drop = recall.groupBy("task").agg(F.max(F.greatest(F.col("ch") - F.col("cl"), F.lit(0.0))).alias("drop"))
+    values = {
+        "min_abs_macro_f1": F.col("cl_f1"),
+        "max_macro_f1_regression": F.round(F.greatest(F.col("ch_f1") - F.col("cl_f1"), F.lit(0.0)), 6),
+        "min_balanced_accuracy": F.col("cl_bal"),
+        "max_per_class_recall_regression": F.round("drop", 6),
+    }
+
+    def limit(gate):
+        return F.create_map(*[x for t, g in S.COMPARISON_GATES.items() for x in (F.lit(t), F.lit(g[gate]))])[F.col("task")]
+
+    gates = F.array(*[
+        F.struct(F.lit(i).alias("gate_order"), F.lit(g).alias("gate"), v.alias("value"), limit(g).alias("threshold"), (v >= limit(g) if g.startswith("min") else v <= limit(g)).alias("passed"))
+        for i, (g, v) in enumerate(values.items(), 1)
+    ])
+    t = f1.join(drop, "task").select("task", F.round(F.col("cl_f1") - F.col("ch_f1"), 6).alias("f1_diff"), F.explode(gates).alias("g")).select("task", "f1_diff", "g.*")
+    all_ok = F.bool_and("passed").over(Window.partitionBy("task"))  # over the 4 gate rows
+    outcome = F.when(~all_ok, "reject").when(F.col("f1_diff") <= 0, "review_required").otherwise("eligible")
+    return t.select("task", "gate_order", "gate", "value", "threshold", "passed", outcome.alias("outcome"))
+
+
+@register("promotion_decision_by_task", both_tasks_sql(lambda t: _promotion_sql(**_PROMOTION).replace(_COMPARE_SQL, _for_task(_COMPARE_SQL, t))))
+def promotion_decision_by_task(spark, sf_dir):
+    o = compare_champion_by_task(spark, sf_dir).groupBy("task").agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
+    return o.select("task", "outcome", "gates_ok", _decision().alias("decision"))

@@ -10,6 +10,7 @@ from tidepool import schema as S
 from tidepool.operators import ordered as O
 from tidepool.operators import profile as PR
 from tidepool.plans import sqlviews as V
+from tidepool.plans.q_ml import _for_task, both_tasks_sql
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
 from tidepool.sources.io import cut
@@ -310,15 +311,17 @@ def spearman_matrix_features(spark, sf_dir):
     return PR.correlation_pairs(ranked, cols, "rho")
 
 
-@register(
-    "closed_form_benchmark",
+_CLOSED_FORM_SQL = (
     """SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS exact_match,
        round(avg(CASE WHEN abs(t - p) <= 1 THEN 1.0 ELSE 0.0 END), 6) AS within_one_class
     FROM (SELECT y_true, y_pred, """
     + "CASE y_true " + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + " END AS t, "
     + "CASE y_pred " + " ".join(f"WHEN {V.q(c)} THEN {i}" for i, c in enumerate(S.HEALTH_CLASSES)) + " END AS p "
-    + "FROM scored_health)",
+    + "FROM scored_health)"
 )
+
+
+@register("closed_form_benchmark", _CLOSED_FORM_SQL)
 def closed_form_benchmark(spark, sf_dir):
     """Formula labels vs stored labels: exact match and within one ordinal class."""
     from tidepool.functions.columns import ordinal_map
@@ -414,8 +417,7 @@ def time_gap_profile(spark, sf_dir):
 _MI_COLS = S.SENSOR_COLUMNS
 
 
-@register(
-    "mutual_information",
+_MI_SQL = (
     """WITH l AS (SELECT reef_health AS y, "column", value FROM observations UNPIVOT (value FOR "column" IN ("""
     + ", ".join(_MI_COLS)
     + """))),
@@ -430,35 +432,63 @@ _MI_COLS = S.SENSOR_COLUMNS
     mi AS (SELECT j."column", sum(n / total * log2((n * total) / (nx * ny))) AS mi
            FROM j JOIN t USING ("column") JOIN px USING ("column", bin) JOIN py USING ("column", y) GROUP BY 1)
     SELECT mi."column", round(mi, 6) AS mutual_information_bits, round(100 * mi / hy, 4) AS pct_of_label_entropy
-    FROM mi JOIN h USING ("column")""",
+    FROM mi JOIN h USING ("column")"""
 )
+
+
+@register("mutual_information", _MI_SQL)
 def mutual_information(spark, sf_dir):
     """Binned plug-in mutual information of each feature with the health label
     (10 equal-width bins; differs from a kNN estimator by construction)."""
     long = _obs(spark, sf_dir).select(F.col("reef_health").alias("y"), *_MI_COLS).unpivot(["y"], _MI_COLS, "column", "value")
+    return _mutual_information(long, ["column"])
+
+
+def _mutual_information(long, keys):
     r = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi0"))
     r = r.withColumn("hi", F.when(F.col("hi0") <= F.col("lo"), F.col("lo") + 1.0).otherwise(F.col("hi0")))
     b = long.join(F.broadcast(r), "column").select(  # one row per feature column
-        "column", "y",
+        *keys, "y",
         F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("value") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 10)))).cast("int").alias("bin"),
     )
-    j = b.groupBy("column", "bin", "y").agg(F.count(F.lit(1)).alias("n"))
-    t = j.groupBy("column").agg(F.sum("n").alias("total"))
-    px = j.groupBy("column", "bin").agg(F.sum("n").alias("nx"))
-    py = j.groupBy("column", "y").agg(F.sum("n").alias("ny"))
-    hy = py.join(t, "column").groupBy("column").agg(
+    j = b.groupBy(*keys, "bin", "y").agg(F.count(F.lit(1)).alias("n"))
+    t = j.groupBy(*keys).agg(F.sum("n").alias("total"))
+    px = j.groupBy(*keys, "bin").agg(F.sum("n").alias("nx"))
+    py = j.groupBy(*keys, "y").agg(F.sum("n").alias("ny"))
+    hy = py.join(t, keys).groupBy(*keys).agg(
         (-F.sum(F.col("ny") / F.col("total") * F.log2(F.col("ny") / F.col("total")))).alias("hy")
     )
     mi = (
-        j.join(t, "column").join(px, ["column", "bin"]).join(py, ["column", "y"])
-        .groupBy("column")
+        j.join(t, keys).join(px, [*keys, "bin"]).join(py, [*keys, "y"])
+        .groupBy(*keys)
         .agg(F.sum(F.col("n") / F.col("total") * F.log2((F.col("n") * F.col("total")) / (F.col("nx") * F.col("ny")))).alias("mi"))
     )
-    return mi.join(hy, "column").select(
-        "column", F.round("mi", 6).alias("mutual_information_bits"), F.round(100 * F.col("mi") / F.col("hy"), 4).alias("pct_of_label_entropy")
+    return mi.join(hy, keys).select(
+        *keys, F.round("mi", 6).alias("mutual_information_bits"), F.round(100 * F.col("mi") / F.col("hy"), 4).alias("pct_of_label_entropy")
     )
 
 
+# both labels
+@register("closed_form_benchmark_by_task", both_tasks_sql(lambda t: _for_task(_CLOSED_FORM_SQL, t)))
+def closed_form_benchmark_by_task(spark, sf_dir):
+    from tidepool.functions.columns import ordinal_map
+
+    om = {t: ordinal_map(c) for t, c in S.TASK_CLASSES.items()}
+    far = F.coalesce(*[F.when(F.col("task") == t, F.abs(m[F.col("y_true")] - m[F.col("y_pred")])) for t, m in om.items()])
+    return X.scored_tasks(spark, sf_dir).groupBy("task").agg(
+        F.round(F.avg((F.col("y_true") == F.col("y_pred")).cast("double")), 6).alias("exact_match"),
+        F.round(F.avg((far <= 1).cast("double")), 6).alias("within_one_class"),
+    )
+
+
+@register("mutual_information_by_task", both_tasks_sql(lambda t: _MI_SQL.replace("reef_health", S.TASK_TARGET[t])))
+def mutual_information_by_task(spark, sf_dir):
+    """mutual_information of each feature with both labels, from one pass."""
+    labels = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(c).alias("y")) for t, c in S.TASK_TARGET.items()])).alias("l")
+    long = _obs(spark, sf_dir).select(labels, *_MI_COLS).select("l.task", "l.y", *_MI_COLS).unpivot(["task", "y"], _MI_COLS, "column", "value")
+    return _mutual_information(long, ["task", "column"])
+
+
 @register(
     "ks_uniform",
     """WITH c AS (SELECT region, 'latitude' AS axis, latitude AS v, count(*) AS n FROM observations GROUP BY ALL

@@ -161,6 +161,19 @@ def scored_pairs(spark: SparkSession, sf_dir: str, task: str = "health", with_sc
     return b.select("obs_id", "region", *[v.alias(k) for k, v in pairs.items()])
 
 
+def scored_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(obs_id, region, task, y_true, y_pred, predicted_class): scored_pairs of both tasks with the scorer, from one pass."""
+    b = observations_base(spark, sf_dir)
+    own = b.columns
+    for task, score, to_class in (("health", C.with_health_score, C.health_class), ("restoration", C.with_restoration_score, C.restoration_class)):
+        scored = fixture_scorer(score(b, "__s", None, False), task)
+        s = F.col("__s")
+        row = F.struct(F.lit(task).alias("task"), to_class(F.round(s + truth_offset(), 9)).alias("y_true"), to_class(F.round(s, 9)).alias("y_pred"), "predicted_class")
+        own = [*own, f"__{task}"]
+        b = scored.withColumn(f"__{task}", row).select(*own)
+    return b.select("obs_id", "region", F.explode(F.array("__health", "__restoration")).alias("t")).select("obs_id", "region", "t.*")
+
+
 def observations_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule-based damage by ``_ep % 97`` (see FIXTURES.md §3); keeps ``_ep``."""
     b = labelled_base(spark, sf_dir)
