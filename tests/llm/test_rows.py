@@ -1,5 +1,6 @@
 """Operators that judge each text by itself: codec, language, quality, personal data, token files."""
 
+import base64
 import random
 import re
 import struct
@@ -189,6 +190,19 @@ def test_compression_rejects_repetition_and_noise(spark):
     assert got[4].n_bad_chunks > 0 and not got[4].kept
 
 
+def test_the_remainder_is_judged(spark):
+    full = prose(21, 1000)[: compression.CHUNK_BYTES].encode().decode("ascii", "ignore").ljust(compression.CHUNK_BYTES, "e")
+    coded = base64.b64encode(random.Random(6).randbytes(3100)).decode()[:4095]
+    docs = spark.createDataFrame([(1, full + coded), (2, full + prose(22, 9)[:14]), (3, prose(23, 60)), (4, full)], "doc_id long, text string")
+    got = {x.doc_id: x.quality for x in compression.quality_rules(docs).collect()}
+    assert compression.band_of(8191)[0] <= got[1].ratio <= compression.band_of(8191)[1]
+    assert (got[1].n_chunks, got[1].n_bad_chunks, got[1].kept) == (2, 1, False)
+    assert [(got[i].n_chunks, got[i].n_bad_chunks, got[i].kept) for i in (2, 3, 4)] == [(1, 0, True)] * 3
+    for size in [1, 99, 4095, 4096, 4195, 4196, 8191, 8192, 20_000]:
+        edges = compression._chunks(size)
+        assert edges[0][0] == 0 and edges[-1][1] == size and all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+
+
 # 10: personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

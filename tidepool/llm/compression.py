@@ -16,6 +16,9 @@ CHUNK_BYTES = 4096
 BANDS = ((100, 0.60, 1.60), (200, 0.45, 1.25), (800, 0.33, 1.00), (3200, 0.27, 0.80), (20000, 0.22, 0.70), (float("inf"), 0.18, 0.65))
 #: Limits of a full chunk; a document goes if more than this share of its chunks lies outside.
 CHUNK_BAND, CHUNK_SHARE = (0.22, 0.70), 0.25
+#: A remainder of fewer bytes is judged as the end of the chunk before it: the frame's own bytes alone
+#: would put the shortest beyond any band.
+LEAST_TAIL = 100
 #: Base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
@@ -52,15 +55,25 @@ def band_of(size: int) -> tuple[float, float]:
     return next((low, high) for below, low, high in BANDS if size < below)
 
 
+def _chunks(size: int) -> list[tuple[int, int]]:
+    """Start and end of each chunk of a text: every byte lies in one."""
+    edges = [*range(0, size, CHUNK_BYTES), size]
+    if len(edges) > 2 and edges[-1] - edges[-2] < LEAST_TAIL:
+        del edges[-2]
+    return list(zip(edges, edges[1:]))
+
+
 def _ratios(raw: bytes, z) -> tuple[float, int, int, bool]:
-    """(whole ratio, full chunks, chunks outside their limits, verdict)."""
+    """(whole ratio, chunks, chunks outside their limits, verdict). The remainder is held to the band of its own length."""
     ratio = len(z.compress(raw)) / len(raw)
     low, high = band_of(len(raw))
-    chunks = bad = 0
-    for at in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES):
-        chunks += 1
-        bad += not CHUNK_BAND[0] <= len(z.compress(raw[at : at + CHUNK_BYTES])) / CHUNK_BYTES <= CHUNK_BAND[1]
-    return ratio, chunks, bad, low <= ratio <= high and bad <= CHUNK_SHARE * chunks
+    chunks = _chunks(len(raw))
+    bad = 0
+    for start, end in chunks:
+        least, most = CHUNK_BAND if end - start >= CHUNK_BYTES else band_of(end - start)
+        own = ratio if end - start == len(raw) else len(z.compress(raw[start:end])) / (end - start)
+        bad += not least <= own <= most
+    return ratio, len(chunks), bad, low <= ratio <= high and bad <= CHUNK_SHARE * len(chunks)
 
 
 def _measure(text: pa.Array) -> dict[str, list]:
@@ -104,8 +117,10 @@ def quality_rules(docs: DataFrame, text_col: str = "text", out_col: str = "quali
 
     A document goes if it fails a base rule, if its whole ratio (compressed bytes
     over UTF-8 bytes) lies outside the band of its length, or if more than
-    CHUNK_SHARE of its full CHUNK_BYTES chunks lie outside CHUNK_BAND. Each row
-    is judged by itself in one pass without a shuffle; texts of any length are
+    CHUNK_SHARE of its chunks are bad: those of CHUNK_BYTES outside CHUNK_BAND,
+    the remainder, or a text shorter than a chunk, outside the band of its own
+    length. A remainder under LEAST_TAIL bytes lengthens the chunk before it.
+    Each row is judged by itself in one pass without a shuffle; texts of any length are
     compressed whole.
 
     Null and empty texts count 0 words and go; equal rows get equal verdicts; an
