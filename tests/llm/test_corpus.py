@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidepool.llm import cap_filters, icws, line_dedup, mixing, superkmer
+from tidepool.llm import cap_filters, icws, line_dedup, mixing, queries, superkmer
 from tidepool.llm.common import WORD, Words, grouped, local_components
 from tidepool.llm.components import connected_components
 
@@ -199,6 +199,35 @@ def test_lines_equal_brute_force(spark, edges, clashing, nothing, monkeypatch):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_short_lines_go_if_equal(spark, edges, clashing, nothing):
+    rows = [(i, t) for i, t, _, _ in EDGES if i != 7]
+    for i in range(30):
+        rows.append((3000 + i, f"Menu\n \t\n{prose(970 + i, 9)}\n\n短い行です。\nMenus {i % 3}\nMenu\nown {i}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen, exact = set(), {}
+    for i, t in sorted(set(rows), key=lambda x: (key(x[0]), x[1] is not None, x[1] or "")):
+        kept = [] if t is None else t.split("\n")
+        own = kept
+        kept = [x for x in own if not (len(x) < 20 and WORD.search(x)) or not (x in seen or seen.add(x))]
+        exact[i, t] = len(own) - len(kept)
+    long = {(x.doc_id, x.text): x.n_removed for x in line_dedup.dedup_lines(df).collect()}
+    got = line_dedup.dedup_lines(df, short=True).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert x.n_removed == long[x.doc_id, x.text] + exact[x.doc_id, x.text], x
+    lines = [y for x in got for y in (x.kept_text or "").split("\n")]
+    assert lines.count("Menu") == lines.count("短い行です。") == 1 and lines.count(" \t") == 30 + 1
+    assert line_dedup.dedup_lines(clashing, short=True).count() == len(EDGES)
+    assert line_dedup.dedup_lines(nothing, short=True).count() == 0
+
+
+def test_registered_line_dedup_takes_short_lines(spark, tmp_path):
+    docs = spark.read.parquet(DOCS)
+    extra = docs.limit(6).withColumn("text", F.concat(F.lit("Home | About\n"), "text")).withColumn("doc_id", F.col("doc_id") + 10_000)
+    extra.write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.op3_line_dedup(spark, str(tmp_path)).where("n_removed > 0").count() >= 5
+
+
 # 4: mixing
 
 

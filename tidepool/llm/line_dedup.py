@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import block_pairs, cut, extend, grouped, map_texts, plus, shield
 
-#: Edits up to which lines are near copies, and the code points a line must have to be compared at all.
+#: Edits up to which lines are near copies, and the code points a line must have for that.
 THRESHOLD, MIN_CHARS = 2, 20
 #: Lines of a chunk of a crowded segment.
 CHUNK = 512
@@ -122,8 +122,13 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _occurrences(min_chars: int):
-    """(_id, _th, no, line, check) of every line long enough."""
+def _judged(line: str, min_chars: int, short: bool) -> bool:
+    """Whether a line is compared at all: long enough, or with a word if short ones are too."""
+    return len(line) >= min_chars or (short and bool(line.strip(" \t\x0b\x0c\r")))
+
+
+def _occurrences(min_chars: int, short: bool):
+    """(_id, _th, no, line, check) of every line that is judged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -132,7 +137,7 @@ def _occurrences(min_chars: int):
             hashes: list[tuple[int, int]] = []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 for no, line in enumerate((text or "").split("\n")):
-                    if len(line) >= min_chars:
+                    if _judged(line, min_chars, short):
                         rows.append(row)
                         numbers.append(no)
                         hashes.append(line_hash(line))
@@ -221,14 +226,14 @@ def _verify(most: int):
     return run
 
 
-def _rewrite(names: list[str], text_col: str, min_chars: int):
+def _rewrite(names: list[str], text_col: str, min_chars: int, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"n_lines": [], "n_removed": [], "n_near": [], "kept_text": []}
             for text, firsts in zip(batch.column(names.index(text_col)).to_pylist(), batch.column(names.index("_firsts")).to_pylist()):
                 lines = [] if text is None else text.split("\n")
                 stays = {f["no"] for f in firsts or () if f["stays"]}
-                kept = [line for no, line in enumerate(lines) if len(line) < min_chars or no in stays]
+                kept = [line for no, line in enumerate(lines) if no in stays or not _judged(line, min_chars, short)]
                 out["n_lines"].append(len(lines))
                 out["n_removed"].append(len(lines) - len(kept))
                 out["n_near"].append(len({f["no"] for f in firsts or ()}) - len(stays))
@@ -238,13 +243,14 @@ def _rewrite(names: list[str], text_col: str, min_chars: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """All columns of docs with n_lines, n_removed, n_near (removed though no equal line comes before) and kept_text.
 
     A line (between \\n) of at least `min_chars` code points goes if an earlier
     line, in order of document id and line, equals it or is within `threshold`
     edits of it. All lines are judged on the input, also against lines that go
-    themselves; shorter lines always stay.
+    themselves. With `short`, a shorter line with a word goes if it equals an
+    earlier one; otherwise shorter lines always stay.
 
     Lines are counted as 128-bit hashes; copies merge before the shuffle. Each
     different line is split into threshold + 1 segments and probes the segments
@@ -263,7 +269,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = own.select("_id", "_th", F.col(text_col).cast("string").alias("text"))
 
-    found = cut(map_texts(texts, _occurrences(min_chars), "_id long, _th long, no long, line long, check long"), "lines")
+    found = cut(map_texts(texts, _occurrences(min_chars, short), "_id long, _th long, no long, line long, check long"), "lines")
     firsts = found.groupBy("line", "check").agg(F.min(F.struct("_id", "_th", "no")).alias("at"))
     entries = map_texts(texts.select("text"), _entries(threshold, min_chars), "key long, line long, indexed boolean, settled boolean")
     # settled rows need no company: they are spread by line, the others meet by key
@@ -286,5 +292,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:  # the same rows as for the lines: dealt once
         every = dealt.withColumns({text_col: F.col("text"), id_col: F.when(F.col("_id") < _LAST, F.col("_id")).cast(docs.schema[id_col].dataType)})
     joined = every.join(per_doc, (F.col("_id") == F.col("_fid")) & (F.col("_th") == F.col("_fth")), "left").select(*docs.columns, "_firsts")
-    out = map_texts(joined, _rewrite(joined.columns, text_col, min_chars), plus(joined.schema, "n_lines long, n_removed long, n_near long, kept_text string"))
+    out = map_texts(joined, _rewrite(joined.columns, text_col, min_chars, short), plus(joined.schema, "n_lines long, n_removed long, n_near long, kept_text string"))
     return back(out, "n_lines", "n_removed", "n_near", "kept_text")

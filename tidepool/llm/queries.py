@@ -54,7 +54,7 @@ FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
 
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
     return found.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
