@@ -10,7 +10,7 @@ from tidepool.operators import aggregate as A
 from tidepool.operators import drift as D
 from tidepool.operators import ordered as O
 from tidepool.operators import scalar as B
-from tidepool.plans import registry
+from tidepool.plans import q_profile, registry
 from tidepool.sources import fixtures as X
 from tests.conftest import SMALL
 
@@ -250,3 +250,11 @@ def test_label_queries_cover_both_tasks(spark):
 @pytest.mark.parametrize("name", ["train_logistic", "train_forest", "score_batch"])
 def test_fits_cover_both_tasks(spark, name):
     assert {r.task for r in registry.QUERIES[name](spark, SMALL).select("task").distinct().collect()} == set(S.TASK_CLASSES)
+
+
+def test_every_implausibility_rule_counts(spark):
+    base = dict.fromkeys(S.SENSOR_COLUMNS, 1.0) | {"water_temperature_c": 28.0, "ph": 8.1, "salinity_ppt": 35.0, "dissolved_oxygen_mg_l": 6.0, "coral_cover_percentage": 30.0, "bleaching_percentage": 5.0, "disease_percentage": 0.0}
+    rows = [base, base | {"coral_cover_percentage": 0.0, "bleaching_percentage": 0.0, "disease_percentage": 3.0}, base | {"bleaching_percentage": 80.0}, base | {"bleaching_percentage": 70.0}]
+    got = q_profile.count_rules(spark.createDataFrame(rows)).first().asDict()
+    assert {n: c for n, c in got.items() if c} == {"cover0_disease_pos": 1, "bleaching_cover_gt_100": 1}
+    assert set(registry.QUERIES["implausible_rows_all"](spark, SMALL).columns) == set(got)

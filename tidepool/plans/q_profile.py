@@ -45,6 +45,29 @@ def implausible_rows(spark, sf_dir):
     return _obs(spark, sf_dir).agg(*[F.sum(f().cast("long")).alias(n) for n, (_, f) in RULES.items()])
 
 
+# the rest of the audit's list; its exact-value rows are clip_pileups
+ALL_RULES = RULES | {
+    "cover0_disease_pos": ("coral_cover_percentage = 0 AND disease_percentage > 0",
+                           lambda: (F.col("coral_cover_percentage") == 0) & (F.col("disease_percentage") > 0)),
+    "bleaching_cover_gt_100": ("bleaching_percentage + coral_cover_percentage > 100",
+                               lambda: F.col("bleaching_percentage") + F.col("coral_cover_percentage") > 100),
+}
+
+
+def count_rules(df):
+    return df.agg(*[F.sum(f().cast("long")).alias(n) for n, (_, f) in ALL_RULES.items()])
+
+
+@register(
+    "implausible_rows_all",
+    "SELECT " + ", ".join(f"CAST(sum(CASE WHEN {s} THEN 1 ELSE 0 END) AS BIGINT) AS {n}" for n, (s, _) in ALL_RULES.items())
+    + " FROM observations",
+)
+def implausible_rows_all(spark, sf_dir):
+    """M02 with every rule of the audit's list."""
+    return count_rules(_obs(spark, sf_dir))
+
+
 _PILE_COLS = S.SENSOR_COLUMNS
 
 
