@@ -258,3 +258,9 @@ def test_every_implausibility_rule_counts(spark):
     got = q_profile.count_rules(spark.createDataFrame(rows)).first().asDict()
     assert {n: c for n, c in got.items() if c} == {"cover0_disease_pos": 1, "bleaching_cover_gt_100": 1}
     assert set(registry.QUERIES["implausible_rows_all"](spark, SMALL).columns) == set(got)
+
+
+def test_every_run_is_looked_up(spark):
+    got = registry.QUERIES["duplicate_registration_all"](spark, SMALL).collect()
+    assert sum(r.runs for r in got) == X.table(spark, SMALL, "events").count()
+    assert {(r.model_name, r.registered) for r in got} == {(m, x) for m in ("reef_health_model", "restoration_model") for x in (True, False)}

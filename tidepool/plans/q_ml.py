@@ -354,6 +354,21 @@ def duplicate_registration(spark, sf_dir):
     )
 
 
+@register(
+    "duplicate_registration_all",
+    """SELECT CASE WHEN user_id % 2 = 0 THEN 'reef_health_model' ELSE 'restoration_model' END AS model_name,
+           EXISTS (SELECT 1 FROM alias_events a WHERE a.run_id = 'run-' || CAST(e.event_id AS VARCHAR) AND a.version % 7 <> 0) AS registered,
+           count(*) AS runs
+    FROM events e GROUP BY 1, 2""",
+)
+def duplicate_registration_all(spark, sf_dir):
+    """I24 for every run: the runs of all events, each looked up in a registration table that holds six of seven."""
+    runs = X.alias_events(spark, sf_dir)
+    known = runs.filter(F.col("version") % 7 != 0).select("run_id").distinct().withColumn("_known", F.lit(True))
+    found = runs.select("model_name", "run_id").join(known, "run_id", "left")
+    return found.groupBy("model_name", F.col("_known").isNotNull().alias("registered")).agg(F.count(F.lit(1)).alias("runs"))
+
+
 def _train_test(spark, sf_dir, task="health"):
     from tidepool.plans.q_ordered import stratified_split
 
