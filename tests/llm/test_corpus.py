@@ -4,8 +4,10 @@ import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -353,6 +355,17 @@ def test_classes_equal_brute_force(corpus, chunk):
     assert len(set(exact.values())) < len(exact) - 50
 
 
+def test_pairs_of_one_shared_band_are_compared():
+    codes = np.arange(1, 1 + 3 * icws.BANDS * icws.ROWS, dtype=np.uint32).reshape(3, -1)
+    codes[1:, : icws.ROWS] = codes[0, : icws.ROWS]  # one band of all
+    near = prose(31, 200).split()
+    texts = [" ".join(near), " ".join([*near[:-1], "other"]), prose(32, 200)]
+    columns = {"group": [1] * 3, "_a": [0] * 3, "_b": [0] * 3, "_c": [0] * 3, "node": [5, 6, 7], "codes": [c.tobytes() for c in codes], "text": texts}
+    idf = SimpleNamespace(value=np.ones(icws.DF_BUCKETS))
+    out = [x.to_pydict() for x in icws._verify(idf, icws.SIMILARITY)(iter([pa.RecordBatch.from_pydict(columns)]))]
+    assert [x for o in out for x in zip(o["node"], o["root"])] == [(5, 5), (6, 5), (7, 7)]
+
+
 def test_one_of_each_class_stays(corpus, clashing, nothing):
     exact = brute_classes([(x.doc_id, x.text) for x in corpus.collect()])
     kept = icws.keep_one(corpus).collect()

@@ -15,8 +15,6 @@ from .components import connected_components
 #: Words of a shingle, least similarity, bands and samples of a band.
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
-#: Share of equal samples below which a pair can't be similar but with a chance under 1 in 10,000.
-LEAST_SHARE = 0.55
 #: Document frequencies are kept for so many buckets of word hashes.
 DF_BUCKETS = 1 << 18
 #: Texts of a chunk of a large candidate group.
@@ -206,10 +204,6 @@ def _verify(idf, similarity: float):
                 likely = np.zeros((n, n), dtype=bool)
                 for k in range(BANDS):
                     likely |= keys[i:j, k][:, None] == keys[None, i:j, k]
-                equal = np.zeros((n, n), dtype=np.int16)
-                for k in range(codes.shape[1]):
-                    equal += codes[i:j, k][:, None] == codes[None, i:j, k]
-                likely &= equal >= LEAST_SHARE * codes.shape[1]
                 if a[i] != b[i]:
                     likely &= chunk[i:j, None] != chunk[None, i:j]
                 np.fill_diagonal(likely, False)
