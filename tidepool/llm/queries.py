@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, sentencepiece_codec, superkmer
+from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, prefix_trie, sentencepiece_codec, superkmer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -143,3 +143,37 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.span_text(True), 256).alias("base_sha256"), pii.span_text(False).alias("spans"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.encode_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
+
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'k': k, 'w': w} ORDER BY turn NULLS FIRST, k) AS s FROM t GROUP BY c),
+h AS (
+  SELECT c, s, (4294967295 - list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 4 AS h
+  FROM o),
+r AS (SELECT a.c, list_concat(coalesce(b.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM h a LEFT JOIN o b ON b.c = a.c - a.c % 20),
+p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM r),
+q AS (
+  SELECT c, d, d = len(s) AS stops, CASE WHEN d > 0 THEN s[d].w ELSE 0 END AS w,
+    list_transform(range(0, d + 1), lambda e: sha256(array_to_string(list_transform(s[1:e], lambda x: x.k), ','))) AS path
+  FROM p),
+n AS (
+  SELECT path[-1] AS k, path[-2] AS up, any_value(path) AS path, d, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (stops) AS ends
+  FROM q GROUP BY path[-1], path[-2], d),
+m AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN m ON m.up = n.k),
+b AS (SELECT unnest(path) AS k, n_children, (n_convs - 1) * w AS saved FROM x),
+a AS (SELECT k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM b GROUP BY k)
+SELECT x.conv_id, x.d::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM x JOIN a USING (k) LEFT JOIN n y ON y.k = x.up
+"""
