@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, prefix_trie, sentencepiece_codec, superkmer
+from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, prefix_trie, rank_index, sentencepiece_codec, superkmer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -177,3 +177,31 @@ a AS (SELECT k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS save
 SELECT x.conv_id, x.d::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
 FROM x JOIN a USING (k) LEFT JOIN n y ON y.k = x.up
 """
+
+
+@query
+def op12_fim_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = rank_index.restored(rank_index.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLE["op12_fim_rank_index"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('42:', doc_id::VARCHAR)) AS h FROM documents),
+k AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+    [('0x' || h[8 * i + 1:8 * i + 8])::BIGINT for i in [0, 1, 2, 3]] AS r FROM d),
+c AS (
+  SELECT doc_id, t, w, len(w)::BIGINT AS n, least(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) AS a, greatest(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM k),
+p AS (SELECT *, coalesce(array_to_string(w[1:a], ''), '') AS prefix, coalesce(array_to_string(w[a + 1:b], ''), '') AS middle, coalesce(array_to_string(w[b + 1:], ''), '') AS suffix FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END AS output FROM p),
+m AS (SELECT *, strpos(output, '<P>') AS xp, strpos(output, '<S>') AS xs, strpos(output, '<M>') AS xm FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN concat(output[4:xs - 1], output[xm + 3:], output[xs + 3:xm - 1])
+    ELSE concat(output[xp + 3:xm - 1], output[xm + 3:], output[4:xp - 1]) END) AS restored_sha256
+FROM m
+"""
