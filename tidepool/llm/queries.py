@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, pii, prefix_trie, rank_index, sentencepiece_codec, superkmer
+from . import bitplane, cap_filters, compression, icws, langid, line_dedup, mixing, notices, pii, prefix_trie, rank_index, sentencepiece_codec, superkmer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -205,3 +205,9 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT EN
     ELSE concat(output[xp + 3:xm - 1], output[xm + 3:], output[4:xp - 1]) END) AS restored_sha256
 FROM m
 """
+
+
+@query
+def op13_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = notices.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
