@@ -319,3 +319,56 @@ def test_word_encoder_equals_whole_texts():
     ids, sizes = encode(pa.array(texts))
     for text, own in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
         assert own.tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_memo_that_forgets_rare_words_gives_the_same_ids():
+    encode = bitplane.word_encoder(open(WORD_BPE, encoding="utf-8").read())
+    texts = pa.array([prose(k, 400) for k in range(40)])
+    whole = encode(texts)
+    encode.limit = 50
+    for k in range(0, 40, 5):
+        ids, sizes = encode(texts.slice(k, 5))
+        first = int(whole[1][:k].sum())
+        assert np.array_equal(ids, whole[0][first : first + len(ids)]) and np.array_equal(sizes, whole[1][k : k + 5])
+        encode._drop()
+        assert len(encode.size) == len(encode.hash) == len(encode.uses) <= 25
+        assert np.array_equal(encode.hash, np.sort(encode.hash))
+
+
+def test_words_of_equal_hash_stay_apart(monkeypatch):
+    from tidepool.llm import memo
+
+    class Same(memo.Words):
+        def __init__(self, *a):
+            super().__init__(*a)
+            self.hash = self.hash & np.uint64(1)
+
+    encode = bitplane.word_encoder(open(WORD_BPE, encoding="utf-8").read())
+    expected = [encode(pa.array([w]))[0].tolist() for w in WORDS_ALIKE]
+    monkeypatch.setattr(memo, "Words", Same)
+    crowded = bitplane.word_encoder(open(WORD_BPE, encoding="utf-8").read())
+    for _ in range(2):
+        assert [crowded(pa.array([w]))[0].tolist() for w in WORDS_ALIKE] == expected
+
+
+WORDS_ALIKE = ["ander", "onin", "the", "wh", "reat", "lys", "öst", "x.", "ion"]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import json
+
+    told = json.load(open(WORD_BPE, encoding="utf-8"))
+    assert bitplane.word_bound(json.dumps(told))
+    told["normalizer"] = {"type": "Lowercase"}
+    other = json.dumps(told)
+    assert not bitplane.word_bound(other)
+    texts = ["Don't  STOP", "", "é́ x", None]
+    ids, sizes = bitplane.word_encoder(other)(pa.array(texts))
+    own = [Tokenizer.from_str(other).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(own, []) and sizes.tolist() == [len(o) for o in own]
+
+
+def test_ids_of_rows_with_other_columns(clashing):
+    wide = clashing.withColumns({c: F.lit("own") for c in ("start", "n_tokens", "part", "path", "text_hash")})
+    done = bitplane.ids_digest(bitplane.encode_to_files(wide, WORD_BPE, as_bytes=True))
+    assert done.count() == len(EDGES) and done.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]

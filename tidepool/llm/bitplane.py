@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, map_texts, shared_dir
-from .memo import Memo, per_process, spread
+from .memo import Memo, decoded, per_process, spread
 
 MAGIC = b"TIDPLN01"
 BLOCK_IDS = 1 << 16
@@ -105,52 +104,121 @@ def read_blocks(source, index: dict) -> Iterator[np.ndarray]:
         yield unpack_block([data[ends[i] : ends[i + 1]] for i in range(len(sizes))], n, index["planes"], z)
 
 
-#: Letters that no normal form changes, then signs: one run for the tokenizer each.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&*#$]*)")
 #: Words a call encodes as one text: longer texts cost more a word.
 TOGETHER = 64
+#: What a tokenizer file must say for texts to be encoded by their words: fixed values of its format.
+NORMAL_FORM = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+WORD_END = "</w>"
+
+
+def word_bound(tokenizer_json: str) -> bool:
+    """True if the tokenizer drops white space, never joins across it, folds case, and ends every run of letters or other signs with a piece in WORD_END."""
+    t = json.loads(tokenizer_json)
+    splits = (t.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    rest = [(p.get("type"), p.get("add_prefix_space"), p.get("use_regex")) for p in splits[1:]]
+    model, added = t["model"], t.get("added_tokens") or []
+    return (
+        t.get("normalizer") == NORMAL_FORM
+        and splits[0] == PIECES
+        and rest == [("ByteLevel", False, False)]
+        and model.get("type") == "BPE"
+        and model.get("end_of_word_suffix") == WORD_END
+        and not model.get("continuing_subword_prefix")
+        and not model.get("dropout")
+        and bool(added)
+        and all(a["special"] and not (a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"]) and a["content"].startswith("<|") for a in added)
+    )
+
+
+def _plain(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words laid end to end: which are letters that no normal form changes and then signs, and where each's signs start (or it ends); the byte classes."""
+    kind = np.full(256, 2, dtype=np.uint8)  # 0 letter, 1 sign, 2 other
+    kind[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 0
+    kind[list(b".,!?;:%&*#$")] = 1
+    of = kind[data]
+    # U+00C0 to U+00FF but the signs in it: two bytes, the first of them C3
+    lead = np.flatnonzero(data[:-1] == 0xC3) if len(data) else np.zeros(0, np.int64)
+    second = data[lead + 1]
+    letter = lead[(second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)]
+    of[letter] = of[letter + 1] = 0
+    # a word is plain if it starts with a letter and no byte is less than the one before, or an other
+    bad = of == 2
+    bad[1:] |= of[1:] < of[:-1]
+    bad[starts] = of[starts] != 0
+    sums = np.concatenate(([0], np.cumsum(bad)))
+    signs = np.concatenate(([0], np.cumsum(of == 1)))
+    plain = sums[ends] == sums[starts]
+    return plain, ends - (signs[ends] - signs[starts]), of
+
+
+class WholeTexts:
+    """Ids of texts encoded one by one, for tokenizers of any kind."""
+
+    def __init__(self, tokenizer):
+        self.t = tokenizer
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, dtype=np.uint32) for e in self.t.encode_batch_fast([x or "" for x in texts.to_pylist()], add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(f) for f in found], dtype=np.int64)
+
+
+def word_encoder(tokenizer_json: str) -> Memo | WholeTexts:
+    """Ids of whole texts, from the ids of their different words where `word_bound` holds.
 
-
-def word_encoder(tokenizer_json: str, split_marker: str = "<|endoftext|>") -> Memo:
-    """Ids of whole texts, from the ids of their different words.
-
-    Holds for tokenizers that drop white space and never join across it, fold
-    case, end every run of letters and every run of other signs with a piece in
-    "</w>", and match the special token `split_marker` before anything else.
     Plain words are encoded together and cut after the pieces that end them;
-    others are joined by the marker and cut at its id.
+    others are joined by a special token and cut at its id.
     """
     from tokenizers import Tokenizer, pre_tokenizers
 
-    t, fast = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    t = Tokenizer.from_str(tokenizer_json)
+    if not word_bound(tokenizer_json):
+        return WholeTexts(t)
+    split_marker = max(json.loads(tokenizer_json)["added_tokens"], key=lambda a: a["id"])["content"]
+    fast = Tokenizer.from_str(tokenizer_json)
     fast.normalizer = None
     fast.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     marker, vocab = t.token_to_id(split_marker), t.get_vocab()
     closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
-    closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+    closes[[i for w, i in vocab.items() if w.endswith(WORD_END)]] = True
 
     def joined(tok, texts: list[str]) -> np.ndarray:
         return np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, dtype=np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False))])
 
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        matches = list(map(PLAIN.fullmatch, words))
-        plain = [" ".join(m.groups()) if m[2] else m[1] for m in matches if m]
-        runs = np.array([2 if m[2] else 1 for m in matches if m], dtype=np.int64)
-        ids = joined(fast, [" ".join(plain[i : i + TOGETHER]).lower() for i in range(0, len(plain), TOGETHER)])
-        ends = np.flatnonzero(closes[ids])[np.cumsum(runs) - 1] + 1 if len(plain) else np.zeros(0, np.int64)
-        odd = [w for w, m in zip(words, matches) if not m]
-        rare = [w for w in odd if "<|" in w]  # may hold the marker itself
-        common = [w for w in odd if "<|" not in w]
+    def encode(blob: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length = ends - starts
+        every = np.arange(len(starts))
+        data = spread(every, starts, length, np.frombuffer(blob, dtype=np.uint8))
+        to = np.cumsum(length)
+        plain, signs, _ = _plain(data, to - length, to)
+        signed = (signs < to)[plain]
+        # the plain words' runs, a space after each: letters, then signs where there are some
+        edges = np.stack([(to - length)[plain], signs[plain], signs[plain], to[plain]], axis=1).reshape(-1, 2)
+        edges = edges[edges[:, 0] < edges[:, 1]]
+        size = edges[:, 1] - edges[:, 0]
+        spaced = np.insert(spread(np.arange(len(edges)), edges[:, 0], size, data), np.cumsum(size), 0x20).tobytes()
+        runs = 1 + signed.astype(np.int64)
+        last = np.cumsum(runs) - 1  # each word's last run
+        word_end = (np.cumsum(size) + np.arange(1, len(size) + 1))[last]
+        cuts = [0, *word_end[TOGETHER - 1 :: TOGETHER].tolist()]
+        if cuts[-1] != len(spaced):
+            cuts.append(len(spaced))
+        ids = joined(fast, [spaced[a : b - 1].decode().lower() for a, b in zip(cuts, cuts[1:])])
+        stops = np.flatnonzero(closes[ids])[last] + 1
+        odd = decoded(blob, starts[~plain], ends[~plain])
+        rare = np.array(["<|" in w for w in odd], dtype=bool)  # may hold a special token
+        common = [w for w, r in zip(odd, rare) if not r]
         other = joined(t, [split_marker + split_marker.join(common[i : i + TOGETHER]) for i in range(0, len(common), TOGETHER)])
         marks = np.flatnonzero(other == marker)
-        lone = [joined(t, [w]) for w in rare]
+        lone = [joined(t, [w]) for w, r in zip(odd, rare) if r]
         flat = np.concatenate([ids, other[other != marker], *lone])
         # where each word's ids lie in flat, in the order: plain, common, rare
-        size = np.concatenate([np.diff(ends, prepend=0), np.diff(marks, append=len(other)) - 1, np.array([len(x) for x in lone], dtype=np.int64)]).astype(np.int64)
-        kind = np.array([0 if m else 2 if "<|" in w else 1 for w, m in zip(words, matches)])
-        place = np.empty(len(words), dtype=np.int64)
-        place[np.argsort(kind, kind="stable")] = np.arange(len(words))
-        return spread(place, np.cumsum(size) - size, size, flat), size[place]
+        n = np.concatenate([np.diff(stops, prepend=0), np.diff(marks, append=len(other)) - 1, np.array([len(x) for x in lone], dtype=np.int64)]).astype(np.int64)
+        where = np.concatenate([every[plain], every[~plain][~rare], every[~plain][rare]])
+        place = np.empty(len(every), dtype=np.int64)
+        place[where] = every
+        return spread(place, np.cumsum(n) - n, n, flat), n[place]
 
     return Memo(encode)
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import extend, map_texts, plus
-from .memo import Memo, per_process, spread
+from .memo import Memo, decoded, per_process, spread
 
 MARK = "▁"
 #: Fixed values of the model format: piece types and model types.
@@ -112,7 +112,8 @@ class Codec:
         self.t = self.model.tokenizer()
         opens = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces], dtype=bool)
 
-        def parts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def parts(blob: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            words = decoded(blob, starts, ends)
             groups = [" ".join(words[i : i + 64]) for i in range(0, len(words), 64)]
             ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.t.encode_batch_fast(groups, add_special_tokens=False)])
             return ids, np.diff(np.flatnonzero(opens[ids]), append=len(ids))
