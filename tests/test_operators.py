@@ -204,23 +204,6 @@ def test_preparation_fills_scales_and_ignores_unknown_regions(spark):
         assert all(np.isfinite(r[c]) for c in fitted.feature_columns)
 
 
-def test_models_train_on_rows_with_nulls_and_score_unknown_regions(spark):
-    from tidepool.operators import ml as ML
-
-    obs = X.observations(spark, SMALL)
-    holes = F.when(F.col("depth_m") % 3 < 1, F.lit(None).cast("double")).otherwise(F.col("ph"))
-    train = obs.withColumn("ph", holes)
-    for fit, params in ((ML.fit_logistic, {"maxIter": 15}), (ML.fit_forest, {"numTrees": 5, "maxDepth": 4})):
-        fitted = fit(train, "reef_health", S.HEALTH_CLASSES, **params)
-        scored = ML.score(fitted, obs.withColumn("region", F.lit("Atlantis")).drop("reef_health")).collect()
-        assert len(scored) == obs.count()
-        assert {r["predicted_class"] for r in scored} <= set(S.HEALTH_CLASSES)
-        assert all(abs(sum(r["probabilities"].values()) - 1) < 1e-4 for r in scored)
-        again = ML.score(fit(train, "reef_health", S.HEALTH_CLASSES, **params), obs.withColumn("region", F.lit("Atlantis")).drop("reef_health"))
-        assert sorted((r["obs_id"], r["predicted_class"]) for r in again.collect()) == sorted((r["obs_id"], r["predicted_class"]) for r in scored)
-        assert ML.importance(spark, fitted).count() == len(fitted.preparation.feature_columns)
-
-
 def test_correlations_cover_all_numeric_features(spark):
     x = B.add_derived_features(X.observations(spark, SMALL)).select(*S.NUMERIC_FEATURES).toPandas().to_numpy()
     at = {c: i for i, c in enumerate(S.NUMERIC_FEATURES)}

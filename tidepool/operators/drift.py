@@ -215,7 +215,12 @@ def prediction_drift(both: DataFrame, tasks: dict[str, tuple[str, list[str]]], t
 
 def confidence_drift(spark: SparkSession, both: DataFrame, columns: dict[str, str], threshold: float = 0.1) -> DataFrame:
     """Two-sample KS on each task's confidence column: D (exact), asymptotic p, means and their difference."""
-    d = distances(spark, value_counts(both, list(columns.values())), list(columns.values()))
+    return confidence_of(distances(spark, value_counts(both, list(columns.values())), list(columns.values())), columns, threshold)
+
+
+def confidence_of(d: DataFrame, columns: dict[str, str], threshold: float = 0.1) -> DataFrame:
+    """confidence_drift from distances that hold the confidence columns."""
+    d = d.where(F.col("column").isin(list(columns.values())))
     name = F.create_map(*[F.lit(x) for task, c in columns.items() for x in (c, task)])
     return d.select(
         name[F.col("column")].alias("task"),

@@ -27,8 +27,12 @@ def confusion_matrix(spark: SparkSession, df: DataFrame, t: str, p: str, classes
 
 def per_class(df: DataFrame, t: str, p: str, group: list[str] | None = None) -> DataFrame:
     """precision, recall, f1, support per class present in truth or prediction."""
+    return per_class_of_counts(confusion_counts(df, t, p, group), group)
+
+
+def per_class_of_counts(cc: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """per_class from confusion counts (y_true, y_pred, n)."""
     g = group or []
-    cc = confusion_counts(df, t, p, g)
     # a cell counts once for its true class and once for its predicted one
     none = F.lit(0).cast("long")
     as_true = F.struct(F.col("y_true").alias("class"), F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(none).alias("tp"), F.col("n").alias("support"), none.alias("predicted"))
@@ -41,18 +45,23 @@ def per_class(df: DataFrame, t: str, p: str, group: list[str] | None = None) ->
     return x.withColumn("f1", f1)
 
 
-def classification_metrics(df: DataFrame, t: str, p: str, group: list[str] | None = None, digits: int = 4) -> DataFrame:
+def classification_metrics(df: DataFrame, t: str, p: str, group: list[str] | None = None, digits: int | None = 4) -> DataFrame:
+    """Scalar metrics, rounded to ``digits``; None keeps them whole, as gates must compare them."""
+    return metrics_of_counts(confusion_counts(df, t, p, group), group, digits)
+
+
+def metrics_of_counts(cc: DataFrame, group: list[str] | None = None, digits: int | None = 4) -> DataFrame:
     g = group or []
-    pc = per_class(df, t, p, g)
-    return pc.groupBy(*g).agg(
-        F.round(F.sum("tp") / F.sum("support"), digits).alias("accuracy"),
-        F.round(F.avg(F.when(F.col("support") > 0, F.col("recall"))), digits).alias("balanced_accuracy"),
-        F.round(F.avg("precision"), digits).alias("macro_precision"),
-        F.round(F.avg("recall"), digits).alias("macro_recall"),
-        F.round(F.avg("f1"), digits).alias("macro_f1"),
-        F.round(F.sum(F.col("f1") * F.col("support")) / F.sum("support"), digits).alias("weighted_f1"),
-        F.sum("support").alias("n"),
-    )
+    scalars = {
+        "accuracy": F.sum("tp") / F.sum("support"),
+        "balanced_accuracy": F.avg(F.when(F.col("support") > 0, F.col("recall"))),
+        "macro_precision": F.avg("precision"),
+        "macro_recall": F.avg("recall"),
+        "macro_f1": F.avg("f1"),
+        "weighted_f1": F.sum(F.col("f1") * F.col("support")) / F.sum("support"),
+    }
+    shown = [(v if digits is None else F.round(v, digits)).alias(n) for n, v in scalars.items()]
+    return per_class_of_counts(cc, g).groupBy(*g).agg(*shown, F.sum("support").alias("n"))
 
 
 def per_class_recall(df: DataFrame, t: str, p: str) -> DataFrame:

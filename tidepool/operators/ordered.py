@@ -2,9 +2,9 @@
 
 Exact ranks inside a group are computed in two passes so no task ever holds
 a whole group: (1) count rows per (group, hash bucket) -- a table of at most
-groups x 65,536 rows -- and turn the counts into bucket offsets with a
-window over that small table; (2) rank rows inside their (group, bucket)
-and add the offset. Hash buckets are uniform, so even a group holding a
+groups x 65,536 rows, aggregated map-side -- and turn the counts into bucket
+offsets with a window over that small table; (2) rank rows inside their (group,
+bucket) and add the offset, which is the one shuffle of the rows. Hash buckets are uniform, so even a group holding a
 third of all rows is spread over 65,536 tasks-worth of slices.
 
 Cumulative distributions over values (KS, Wasserstein, Spearman ranks, exact
@@ -40,9 +40,9 @@ def rank_within(
     adds the group size.
     """
     bkt = F.conv(F.substring(F.col(key), 1, _BUCKET_HEX), 16, 10).cast("int")
-    # one shuffle on (groups, bucket): the bucket counts, the offset join and
-    # the rank window all reuse this partitioning, so the input is read once
-    d = df.withColumn("__bkt", bkt).repartition(*groups, "__bkt")
+    d = df.withColumn("__bkt", bkt)
+    # counted map-side: only (groups, bucket) counts are shuffled here; the join
+    # and the rank window share the one shuffle of the rows
     counts = d.groupBy(*groups, "__bkt").agg(F.count(F.lit(1)).alias("__n"))
     wg = Window.partitionBy(*groups).orderBy("__bkt")
     offs = counts.withColumn(
@@ -56,17 +56,68 @@ def rank_within(
     return d.withColumn(out, (F.col("__off") + F.row_number().over(wr)).cast("long")).drop("__bkt", "__off")
 
 
+def order_cuts(df: DataFrame, labels: dict[str, str], ranks, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
+    """(task, class, cuts): the (key, id) at given ranks of the md5 order inside each class of each task's label column.
+
+    ``ranks`` maps the class size (a column) to an array column of ascending
+    ranks; rank 0 gives a cut below every key. Counts per key prefix (at most
+    16**5 a class) name the prefix that holds each rank, and only the rows of
+    those prefixes are ranked: no pass shuffles the rows. One row per class.
+    """
+    tasks = F.array(*[F.struct(F.lit(t).alias("task"), F.col(c).alias("class"), _salted_key(seed, t, id_col).alias("__h")) for t, c in labels.items()])
+    long = df.select(F.col(id_col).alias("__id"), F.explode(tasks).alias("t")).select("__id", "t.*").withColumn("__p", F.substring("__h", 1, 5))
+    groups = Window.partitionBy("task", "class")
+    counts = long.groupBy("task", "class", "__p").agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumns({"__upto": F.sum("__n").over(groups.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)), "__total": F.sum("__n").over(groups)})
+    counts = counts.withColumn("__ranks", ranks(F.col("__total")))
+    sought = counts.select("task", "class", "__p", "__upto", "__n", "__total", F.posexplode("__ranks").alias("__j", "__rank"))
+    edges = sought.where((F.col("__rank") > F.col("__upto") - F.col("__n")) & (F.col("__rank") <= F.col("__upto")))
+    edges = edges.select(F.col("task").alias("__t"), F.col("class").alias("__c"), F.col("__p").alias("__e"), "__j", (F.col("__rank") - F.col("__upto") + F.col("__n")).alias("__left"))
+    # as many rows as classes and ranks
+    prefixes = F.broadcast(edges.select("__t", "__c", "__e").distinct())
+    near = long.join(prefixes, (F.col("task") == F.col("__t")) & F.col("class").eqNullSafe(F.col("__c")) & (F.col("__p") == F.col("__e"))).drop("__t", "__c", "__e")
+    near = near.withColumn("__place", F.row_number().over(Window.partitionBy("task", "class", "__p").orderBy("__h", "__id")))
+    on = (F.col("task") == F.col("__t")) & F.col("class").eqNullSafe(F.col("__c")) & (F.col("__p") == F.col("__e")) & (F.col("__place") == F.col("__left"))
+    found = near.join(F.broadcast(edges), on).select("__t", "__c", "__j", F.struct(F.col("__h").alias("h"), F.col("__id").cast("string").alias("id")).alias("__cut"))
+    wanted = counts.select("task", "class", F.posexplode("__ranks").alias("__j2", "__rank")).distinct()
+    cuts = wanted.join(found, (F.col("task") == F.col("__t")) & F.col("class").eqNullSafe(F.col("__c")) & (F.col("__j2") == F.col("__j")), "left")
+    lowest = F.struct(F.lit("").alias("h"), F.lit("").alias("id"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("__j2"), F.coalesce("__cut", lowest).alias("cut"))))
+    return cuts.groupBy("task", "class").agg(F.transform(listed, lambda x: x["cut"]).alias("cuts"))
+
+
+def _salted_key(seed: int | str, salt: str, id_col: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|{salt}|"), F.col(id_col).cast("string")))
+
+
+def parts_by_cuts(df: DataFrame, cuts: DataFrame, labels: dict[str, str], names: dict[str, str], seed: int = 42, id_col: str = "obs_id") -> DataFrame:
+    """df with, for each task, how many of its class's cuts lie before the row (column ``names[task]``): a filter against one row per class, no shuffle."""
+    for task, label in labels.items():
+        own = F.broadcast(cuts.where(F.col("task") == task).select(F.col("class").alias("__class"), F.col("cuts").alias("__cuts")))
+        key = F.struct(_salted_key(seed, task, id_col).alias("h"), F.col(id_col).cast("string").alias("id"))
+        df = df.withColumn("__key", key).join(own, F.col(label).eqNullSafe(F.col("__class")), "left")
+        df = df.withColumn(names[task], F.size(F.filter("__cuts", lambda c: c < F.col("__key")))).drop("__key", "__class", "__cuts")
+    return df
+
+
+def n_test_rows(total: Column, test_size: float = 0.2) -> Column:
+    """How many rows of a class of ``total`` are test rows."""
+    return F.floor(total * test_size + 0.5)
+
+
 def stratified_split(
     df: DataFrame, label: str, test_size: float = 0.2, seed: int = 42, salt: str = "", id_col: str = "obs_id"
 ) -> DataFrame:
     """Exact per-class split: the ``floor(test_size * n_c + 0.5)`` rows of each
     class with the smallest md5(seed|salt|id) go to ``test``."""
-    d = df.withColumn("__salt", F.lit(salt)).withColumn("__h", hash_key(seed, "__salt", id_col))
-    r = rank_within(d, [label], "__h", id_col, "__r", total="__nc")
-    k = F.floor(F.col("__nc") * test_size + 0.5)
-    return r.withColumn("split", F.when(F.col("__r") <= k, "test").otherwise("train")).drop(
-        "__salt", "__h", "__r", "__nc"
-    )
+    return stratified_splits(df, {salt: label}, {salt: "split"}, test_size, seed, id_col)
+
+
+def stratified_splits(df: DataFrame, labels: dict[str, str], names: dict[str, str], test_size: float = 0.2, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
+    """stratified_split for several label columns, each salted by its task: counts and cuts come from two scans of ids and labels, the rows from one more, and none is shuffled."""
+    cuts = order_cuts(df.select(id_col, *dict.fromkeys(labels.values())), labels, lambda n: F.array(n_test_rows(n, test_size)), seed, id_col)
+    done = parts_by_cuts(df, cuts, labels, names, seed, id_col)
+    return done.withColumns({n: F.when(F.col(n) == 0, "test").otherwise("train") for n in names.values()})
 
 
 def stratified_kfold(
@@ -78,6 +129,22 @@ def stratified_kfold(
     return r.withColumn("fold", ((F.col("__r") - 1) % k).cast("int")).drop("__salt", "__h", "__r")
 
 
+def split_and_folds(df: DataFrame, labels: dict[str, str], names: dict[str, str], k: int = 5, test_size: float = 0.2, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
+    """df with, for each task, 0 for test rows and the fold 1..k of training rows, both stratified.
+
+    A class's md5 order is cut after its test rows and then into k runs whose
+    sizes differ by one at most. The order is random, so a run of it is as good
+    a fold as every k-th row, and it needs no rank of each row.
+    """
+
+    def ranks(n: Column) -> Column:
+        first = n_test_rows(n, test_size)
+        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: first + F.floor((n - first) * j / k))
+
+    cuts = order_cuts(df.select(id_col, *dict.fromkeys(labels.values())), labels, ranks, seed, id_col)
+    return parts_by_cuts(df, cuts, labels, names, seed, id_col)
+
+
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "obs_id") -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement: the n smallest (md5 key, id).
 

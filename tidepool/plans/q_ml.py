@@ -369,74 +369,6 @@ def duplicate_registration_all(spark, sf_dir):
     return found.groupBy("model_name", F.col("_known").isNotNull().alias("registered")).agg(F.count(F.lit(1)).alias("runs"))
 
 
-def _train_test(spark, sf_dir, task="health"):
-    from tidepool.plans.q_ordered import stratified_split
-
-    label = S.TASK_TARGET[task]
-    obs = X.observations(spark, sf_dir)
-    split = stratified_split(spark, sf_dir).filter(F.col("task") == task).select("obs_id", "split")
-    d = obs.join(split, "obs_id")
-    return d.filter(F.col("split") == "train").drop("split"), d.filter(F.col("split") == "test").drop("split"), label
-
-
-def _evaluated(fitted, test, label, algorithm):
-    from tidepool.operators import ml as ML
-
-    preds = ML.score(fitted, test).join(test.select("obs_id", label), "obs_id")
-    return M.classification_metrics(preds, label, "predicted_class").withColumn("algorithm", F.lit(algorithm))
-
-
-def _each_task(of):
-    """The rows that `of` gives for each task, with the task."""
-    frames = [of(task).withColumn("task", F.lit(task)) for task in S.TASK_CLASSES]
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-@register("train_logistic")
-def train_logistic(spark, sf_dir):
-    """Multinomial LR (balanced weights) of each task fitted on its training split; metrics of the test split from the confusion counts."""
-    from tidepool.operators import ml as ML
-
-    def of(task):
-        train, test, label = _train_test(spark, sf_dir, task)
-        fitted = ML.fit_logistic(train, label, S.TASK_CLASSES[task])
-        return _evaluated(fitted, test, label, "logistic_regression").withColumn("iterations", F.lit(fitted.model.summary.totalIterations))
-
-    return _each_task(of)
-
-
-@register("score_batch")
-def score_batch(spark, sf_dir):
-    """Fitted pipeline of each task applied to its test split: class, probability map, confidence."""
-    from tidepool.operators import ml as ML
-
-    def of(task):
-        train, test, label = _train_test(spark, sf_dir, task)
-        return ML.score(ML.fit_logistic(train, label, S.TASK_CLASSES[task]), test.drop(*S.TARGET_COLUMNS))
-
-    return _each_task(of)
-
-
-@register("feature_importance")
-def feature_importance(spark, sf_dir):
-    from tidepool.operators import ml as ML
-
-    train, _, label = _train_test(spark, sf_dir)
-    return ML.importance(spark, ML.fit_logistic(train, label, S.HEALTH_CLASSES))
-
-
-@register("train_forest")
-def train_forest(spark, sf_dir):
-    """Random forest (balanced weights) of each task fitted on its training split; metrics of the test split."""
-    from tidepool.operators import ml as ML
-
-    def of(task):
-        train, test, label = _train_test(spark, sf_dir, task)
-        return _evaluated(ML.fit_forest(train, label, S.TASK_CLASSES[task]), test, label, "random_forest")
-
-    return _each_task(of)
-
-
 def _assemble_sql() -> str:
     sensors = S.SENSOR_COLUMNS
     fills = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__fill, avg({c}) AS {c}__mean, stddev_pop({c}) AS {c}__std" for c in sensors)

@@ -33,13 +33,10 @@ def _split_sql(task: str, label: str) -> str:
     _split_sql("health", "reef_health") + " UNION ALL " + _split_sql("restoration", "restoration_suitability"),
 )
 def stratified_split(spark, sf_dir):
-    obs = _obs(spark, sf_dir)
-    out = None
-    for task, label in S.TASK_TARGET.items():
-        s = O.stratified_split(obs.select("obs_id", label), label, 0.2, 42, salt=task)
-        s = s.select("obs_id", F.lit(task).alias("task"), F.col(label).alias("class"), "split")
-        out = s if out is None else out.unionByName(s)
-    return out
+    names = {t: f"__{t}" for t in S.TASK_TARGET}
+    done = O.stratified_splits(_obs(spark, sf_dir).select("obs_id", *S.TARGET_COLUMNS), S.TASK_TARGET, names)
+    tasks = [F.struct(F.lit(t).alias("task"), F.col(label).alias("class"), F.col(names[t]).alias("split")) for t, label in S.TASK_TARGET.items()]
+    return done.select("obs_id", F.explode(F.array(*tasks)).alias("t")).select("obs_id", "t.*")
 
 
 @register(

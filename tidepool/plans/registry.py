@@ -34,6 +34,7 @@ def load_all() -> None:
         q_drift,
         q_grid,
         q_io,
+        q_learn,
         q_ml,
         q_ordered,
         q_profile,

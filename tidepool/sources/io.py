@@ -16,14 +16,20 @@ from pyspark.sql import functions as F
 from tidepool import schema as S
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
+def shared_root(spark: SparkSession) -> str:
+    """The library's folder below the cluster's shared one."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidepool-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tidepool/{name}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidepool"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one result."""
+    return f"{shared_root(spark)}/{name}/{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
