@@ -40,5 +40,6 @@ def load_all() -> None:
         q_profile,
         q_relate,
         q_scalar,
+        q_spatial,
         q_validate,
     )
