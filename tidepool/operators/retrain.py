@@ -18,9 +18,7 @@ def input_checks(spark: SparkSession, df: DataFrame, target: str, classes: list[
         fin = fin & C.is_finite(c)
     s = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(fin, 0).otherwise(1)).alias("nonfinite_rows"),
-        F.sum(F.col(target).isNull().cast("long")).alias("null_target"),
-        F.sum(F.when(F.col("region").isin(S.REGIONS), 0).otherwise(1)).alias("bad_region"),
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(n) for n, x in (("nonfinite_rows", F.when(fin, 0).otherwise(1)), ("null_target", F.col(target).isNull().cast("long")), ("bad_region", F.when(F.col("region").isin(S.REGIONS), 0).otherwise(1)))],
     )
     d = (
         df.groupBy(*S.OBSERVATION_COLUMNS)

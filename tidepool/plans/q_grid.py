@@ -312,14 +312,14 @@ def real_vs_table_ranges(spark, sf_dir):
 
 
 def _obs_cells_sql():
-    return """(SELECT obs_id, CAST(timestamp AS DATE) AS day, CAST(round((latitude - 8.0) / 0.05) AS INTEGER) AS lat_idx,
-                CAST(round((longitude - 72.0) / 0.05) AS INTEGER) AS lon_idx FROM observations)"""
+    return """(SELECT obs_id, CAST(timestamp AS DATE) AS day, CAST(round(latitude * 4) AS INTEGER) AS lat_idx,
+                CAST(round(longitude * 4) AS INTEGER) AS lon_idx FROM observations)"""
 
 
 @register(
     "space_time_join",
     f"""WITH o AS {_obs_cells_sql()},
-    g AS (SELECT time, lat_idx, lon_idx, value FROM grid_history_cells),
+    g AS (SELECT time, lat_idx, lon_idx, value FROM survey_grid),
     c AS (SELECT o.obs_id, g.time, g.lat_idx AS g_lat, g.lon_idx AS g_lon, g.value,
                  abs(g.lat_idx - o.lat_idx) + abs(g.lon_idx - o.lon_idx) AS cell_dist, abs(datediff('day', o.day, g.time)) AS day_dist
           FROM o JOIN g ON g.lat_idx BETWEEN o.lat_idx - 1 AND o.lat_idx + 1 AND g.lon_idx BETWEEN o.lon_idx - 1 AND o.lon_idx + 1
@@ -331,13 +331,11 @@ def space_time_join(spark, sf_dir):
     """Survey -> grid: nearest cell within one cell and +-1 day. The tolerance
     join is an equi-join on exploded neighbour keys (3 x 3 cells x 3 days per
     observation), then row_number per observation picks the nearest."""
-    from tidepool.plans.q_profile import grid_history_cells
-
     obs = X.observations(spark, sf_dir).select(
         "obs_id",
         F.to_date("timestamp").alias("day"),
-        F.round((F.col("latitude") - 8.0) / 0.05).cast("int").alias("lat_idx"),
-        F.round((F.col("longitude") - 72.0) / 0.05).cast("int").alias("lon_idx"),
+        F.round(F.col("latitude") * 4).cast("int").alias("lat_idx"),
+        F.round(F.col("longitude") * 4).cast("int").alias("lon_idx"),
     )
     offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
     keys = (
@@ -353,7 +351,7 @@ def space_time_join(spark, sf_dir):
             F.abs("dday").alias("day_dist"),
         )
     )
-    g = grid_history_cells(spark, sf_dir).select("time", F.col("lat_idx").alias("g_lat"), F.col("lon_idx").alias("g_lon"), "value")
+    g = X.survey_grid(spark, sf_dir).select("time", F.col("lat_idx").alias("g_lat"), F.col("lon_idx").alias("g_lon"), "value")
     c = keys.join(g, ["time", "g_lat", "g_lon"])
     w = Window.partitionBy("obs_id").orderBy("cell_dist", "day_dist", "time", "g_lat", "g_lon")
     return c.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).select(
@@ -364,18 +362,17 @@ def space_time_join(spark, sf_dir):
 @register(
     "static_grid_join",
     """SELECT o.obs_id, e.elevation, CASE WHEN e.elevation < 0 THEN -e.elevation END AS raster_depth
-    FROM (SELECT obs_id, CAST(round((latitude - 8.0) * 240) AS INTEGER) AS lat_idx,
-                 CAST(round((longitude - 72.0) * 240) AS INTEGER) AS lon_idx FROM observations) o
-    LEFT JOIN grid_elevation e ON o.lat_idx = e.lat_idx AND o.lon_idx = e.lon_idx""",
+    FROM (SELECT obs_id, CAST(round(latitude * 20) AS INTEGER) AS lat_idx, CAST(round(longitude * 20) AS INTEGER) AS lon_idx FROM observations) o
+    LEFT JOIN survey_raster e ON o.lat_idx = e.lat_idx AND o.lon_idx = e.lon_idx""",
 )
 def static_grid_join(spark, sf_dir):
     """Survey -> raster by rounded cell index; outside the raster -> null."""
     o = X.observations(spark, sf_dir).select(
         "obs_id",
-        F.round((F.col("latitude") - 8.0) * 240).cast("int").alias("lat_idx"),
-        F.round((F.col("longitude") - 72.0) * 240).cast("int").alias("lon_idx"),
+        F.round(F.col("latitude") * 20).cast("int").alias("lat_idx"),
+        F.round(F.col("longitude") * 20).cast("int").alias("lon_idx"),
     )
-    e = X.grid_elevation(spark, sf_dir).select("lat_idx", "lon_idx", "elevation")
+    e = X.survey_raster(spark, sf_dir)
     j = o.join(e, ["lat_idx", "lon_idx"], "left")
     return j.select("obs_id", "elevation", F.when(F.col("elevation") < 0, -F.col("elevation")).alias("raster_depth"))
 

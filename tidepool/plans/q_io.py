@@ -32,6 +32,24 @@ def parse_timestamps(spark, sf_dir):
     return IO.parse_timestamps(df, "parsed").withColumn("parsed", F.col("parsed").cast("timestamp_ntz"))
 
 
+_BROKEN = "_ep % 101 = 7"
+
+
+@register(
+    "scan_observations_csv",
+    f"""SELECT o.obs_id, o.timestamp, o.region, o.latitude, o.longitude, {", ".join(f"CASE WHEN {_BROKEN} THEN NULL ELSE b.ph END AS ph" if c == "ph" else f"o.{c}" for c in S.SENSOR_COLUMNS)},
+        {", ".join(f"o.{c}" for c in S.TARGET_COLUMNS)}, {_BROKEN} AS broken FROM observations o JOIN obs_base b USING (obs_id)""",
+)
+def scan_observations_csv(spark, sf_dir):
+    """The observations written as CSV, one line of a hundred with a word for a number, and read back with the declared schema."""
+    base = X.labelled_base(spark, sf_dir)
+    text = base.withColumn("ph", F.when(F.expr(_BROKEN), "n/a").otherwise(F.col("ph").cast("string"))).select(*S.OBSERVATION_COLUMNS)
+    path = IO.shared_dir(spark, "observations-csv")
+    text.write.option("header", True).csv(path)
+    found = IO.read_observations_csv(spark, path)
+    return found.withColumn("broken", F.col("broken_line").isNotNull()).drop("broken_line")
+
+
 @register(
     "scan_json_records",
     "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
@@ -41,20 +59,51 @@ def scan_json_records(spark, sf_dir):
     return ev.select("event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.k")
 
 
-@register("evaluation_best_model")
+#: Events of one file of scan_json_files.
+_FILE_EVENTS = 500
+
+
+@register(
+    "scan_json_files",
+    f"""WITH e AS (SELECT event_id // {_FILE_EVENTS} AS file, event_id, event_type, value FROM events),
+    f AS (SELECT file, min(event_id) AS first FROM e GROUP BY file)
+    SELECT e.file, true AS readable, event_id, event_type, value FROM e JOIN f USING (file) WHERE file % 7 NOT IN (3, 4) AND (file % 7 <> 1 OR event_id = first)
+    UNION ALL SELECT file, false, NULL, NULL, NULL FROM f WHERE file % 7 IN (3, 4)""",
+)
+def scan_json_files(spark, sf_dir):
+    """Events written as one JSON document a file, read back as rows, newest file first. Of seven files one holds a single object, one is cut short and one is empty."""
+    ev = X.table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.floor(F.col("event_id") / _FILE_EVENTS).alias("file"))
+    kind = F.col("file") % 7
+    doc = F.array_sort(F.collect_list(F.struct("event_id", "event_type", "value")))
+    files = ev.groupBy("file").agg(doc.alias("doc"))  # _FILE_EVENTS events each
+    whole = F.to_json("doc")
+    text = F.when(kind == 1, F.to_json(F.col("doc")[0])).when(kind == 3, F.expr("substring(to_json(doc), 1, length(to_json(doc)) - 9)")).when(kind == 4, "").otherwise(whole)
+    path = IO.shared_dir(spark, "json-files")
+    files.select("file", text.alias("value")).write.partitionBy("file").text(path)
+    found = IO.read_json_files(spark, f"{path}/file=*", "event_id long, event_type string, value double")
+    return found.select(F.regexp_extract("path", "file=([0-9]+)", 1).cast("long").alias("file"), "readable", "record.event_id", "record.event_type", "record.value")
+
+
+@register(
+    "evaluation_best_model",
+    f"""WITH m AS ({q_ml.ORACLE_BODIES["model_metrics"]})
+    SELECT task, algorithm AS best_model_name, macro_f1, balanced_accuracy, accuracy FROM m
+    QUALIFY row_number() OVER (PARTITION BY task ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm DESC) = 1""",
+)
 def evaluation_best_model(spark, sf_dir):
     """Nested evaluation document (map algorithm -> metrics) serialised to
     JSON, parsed back, and the best model's metrics looked up by name."""
     m = q_ml.model_metrics(spark, sf_dir)
-    doc = m.agg(
-        F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy")).alias("best_model_name"),
+    doc = m.groupBy("task").agg(
+        F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy", "algorithm")).alias("best_model_name"),
         F.map_from_entries(F.collect_list(F.struct("algorithm", F.struct("macro_f1", "balanced_accuracy", "accuracy")))).alias("models"),
     )
-    js = doc.select(F.to_json(F.struct("best_model_name", "models")).alias("json"))
+    js = doc.select("task", F.to_json(F.struct("best_model_name", "models")).alias("json"))
     schema = "best_model_name string, models map<string, struct<macro_f1: double, balanced_accuracy: double, accuracy: double>>"
-    parsed = js.select(F.from_json("json", schema).alias("d"))
+    parsed = js.select("task", F.from_json("json", schema).alias("d"))
     best = F.element_at("d.models", F.col("d.best_model_name"))
     return parsed.select(
+        "task",
         F.col("d.best_model_name").alias("best_model_name"),
         F.round(best["macro_f1"], 6).alias("macro_f1"),
         F.round(best["balanced_accuracy"], 6).alias("balanced_accuracy"),
@@ -72,20 +121,27 @@ def write_splits(spark, sf_dir):
     return spark.read.parquet(path).groupBy("task", "split", "class").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("write_if_valid")
+@register(
+    "write_if_valid",
+    """SELECT 'clean' AS input, count(*) AS rows, true AS written FROM observations UNION ALL SELECT 'damaged', 0, false""",
+)
 def write_if_valid(spark, sf_dir):
-    """Write the coerced table only when validation finds zero violations."""
-    obs = X.observations(spark, sf_dir)
+    """The table is written only when validation finds no violation: a clean input, and a damaged one."""
     from tidepool.operators import validate as VL
 
-    path = IO.shared_dir(spark, "validated")
-    ok = IO.write_if_valid(obs, VL.validate_all(spark, obs), path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("written", F.lit(ok)) if ok else spark.createDataFrame(
-        [(0, False)], "rows long, written boolean"
-    )
+    out = []
+    for name, obs in (("clean", X.observations(spark, sf_dir)), ("damaged", X.observations_dirty(spark, sf_dir).select(*S.OBSERVATION_COLUMNS))):
+        path = IO.shared_dir(spark, "validated")
+        written = IO.write_if_valid(obs, VL.validate_all(spark, obs), path)
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")) if written else spark.createDataFrame([(0,)], "rows long")
+        out.append(rows.select(F.lit(name).alias("input"), "rows", F.lit(written).alias("written")))
+    return out[0].unionByName(out[1])
 
 
-@register("write_window")
+@register(
+    "write_window",
+    "SELECT 'reference' AS \"window\", obs_id FROM ref_window UNION ALL SELECT 'production', obs_id FROM prod_window",
+)
 def write_window(spark, sf_dir):
     from tidepool.plans import q_drift
 
@@ -107,25 +163,43 @@ def write_summary_json(spark, sf_dir):
     return spark.read.json(path)
 
 
-@register("receipts_latest")
+@register(
+    "receipts_latest",
+    f"""SELECT task, algorithm, passed, failures FROM ({q_ml.ORACLE_BODIES["quality_gate"]})""",
+)
 def receipts_latest(spark, sf_dir):
-    """Append-only comparison receipts (one JSON file per model), newest first."""
-    g = q_ml.quality_gate(spark, sf_dir)
+    """A10: append-only receipts, one file a gate decision, newest first by time; a file that is no JSON is skipped."""
+    g = q_ml.quality_gate(spark, sf_dir).select("task", "algorithm", F.to_json(F.struct("task", "algorithm", "passed", "failures")).alias("value"))
     base = IO.shared_dir(spark, "receipts")
-    g.repartition(3, "algorithm").write.mode("overwrite").json(base)
-    schema = "algorithm string, f1_ok boolean, balanced_accuracy_ok boolean, passed boolean, failures string"
-    return IO.read_receipts(spark, f"{base}/*.json", schema)
+    torn = spark.createDataFrame([("none", "torn", '{"task": "health", "algori')], "task string, algorithm string, value string")
+    g.unionByName(torn).write.partitionBy("task", "algorithm").text(base)
+    found = IO.read_receipts(spark, f"{base}/task=*/algorithm=*", "task string, algorithm string, passed boolean, failures string")
+    return found.select("task", "algorithm", "passed", "failures")
+
 
+_COLS = [f"coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), chr(1))" if c == "timestamp" else f"coalesce({c}, chr(1))" for c in ("obs_id", "timestamp", "region", *S.TARGET_COLUMNS)]
+_FINGERPRINT_SQL = f"""WITH h AS (SELECT md5({" || '|' || ".join(_COLS)}) AS h FROM observations)
+    SELECT count(*) AS rows, sum(('0x' || substr(h, 1, 15))::HUGEINT)::VARCHAR AS hash_sum_a, sum(('0x' || substr(h, 17, 15))::HUGEINT)::VARCHAR AS hash_sum_b FROM h"""
 
-@register("dataset_fingerprint")
+
+@register("dataset_fingerprint", _FINGERPRINT_SQL)
 def dataset_fingerprint(spark, sf_dir):
-    return IO.fingerprint(X.observations(spark, sf_dir))
+    """A11 over the columns whose text form no engine disputes."""
+    return IO.fingerprint(X.observations(spark, sf_dir).select("obs_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "region", *S.TARGET_COLUMNS))
 
 
-@register("file_profile")
+@register(
+    "file_profile",
+    f"""WITH f AS ({_FINGERPRINT_SQL}), p AS (SELECT rows, hash_sum_a, hash_sum_b, substr(sha256(rows || '|' || hash_sum_a || '|' || hash_sum_b), 1, 12) AS checksum_prefix FROM f)
+    SELECT *, 5 AS columns, true AS as_expected FROM p""",
+)
 def file_profile(spark, sf_dir):
-    obs = X.observations(spark, sf_dir)
-    fp = IO.fingerprint(obs)
-    return fp.withColumn("columns", F.lit(len(obs.columns))).withColumn(
-        "checksum_prefix", F.substring(F.sha2(F.concat_ws("|", "rows", "hash_sum_a", "hash_sum_b"), 256), 1, 12)
-    )
+    """Rows, columns and checksum of the table, compared with those of a written copy."""
+    named = X.observations(spark, sf_dir).select("obs_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "region", *S.TARGET_COLUMNS)
+
+    def profile(df):
+        return IO.fingerprint(df).withColumns({"columns": F.lit(len(df.columns)), "checksum_prefix": F.substring(F.sha2(F.concat_ws("|", "rows", "hash_sum_a", "hash_sum_b"), 256), 1, 12)})
+
+    copy = profile(IO.cut(named, "profiled")).select(F.col("checksum_prefix").alias("_copied"), F.col("columns").alias("_columns"))
+    both = profile(named).crossJoin(copy)  # one row each
+    return both.withColumn("as_expected", (F.col("checksum_prefix") == F.col("_copied")) & (F.col("columns") == F.col("_columns"))).drop("_copied", "_columns")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
 from tidepool.operators import metrics as M
 from tidepool.operators import preprocess as P
 from tidepool.plans import sqlviews as V
-from tidepool.plans.registry import register
+from tidepool.plans.registry import also, register
 from tidepool.sources import fixtures as X
 
 
@@ -26,11 +24,6 @@ _CONFUSION_SQL = (
 )
 
 
-@register("confusion_matrix", _CONFUSION_SQL)
-def confusion_matrix(spark, sf_dir):
-    return M.confusion_matrix(spark, X.scored_pairs(spark, sf_dir, "health"), "y_true", "y_pred", S.HEALTH_CLASSES)
-
-
 def _per_class_sql(src: str, group: str = "") -> str:
     g = f"{group}, " if group else ""
     gj = f" AND s.{group} = p.{group}" if group else ""
@@ -45,33 +38,19 @@ def _per_class_sql(src: str, group: str = "") -> str:
     pcf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pc)"""
 
 
-def _metrics_select(group: str = "") -> str:
+def _metrics_select(group: str = "", digits: int | None = 4) -> str:
+    """Scalar metrics; no digits keep them whole, as gates compare them."""
     g = f"{group}, " if group else ""
-    return f"""SELECT {g}round(sum(tp) / sum(support), 4) AS accuracy,
-       round(avg(CASE WHEN support > 0 THEN recall END), 4) AS balanced_accuracy,
-       round(avg(precision), 4) AS macro_precision, round(avg(recall), 4) AS macro_recall,
-       round(avg(f1), 4) AS macro_f1, round(sum(f1 * support) / sum(support), 4) AS weighted_f1,
-       CAST(sum(support) AS BIGINT) AS n
-    FROM pcf {"GROUP BY " + group if group else ""}"""
 
+    def shown(e: str) -> str:
+        return e if digits is None else f"round({e}, {digits})"
 
-@register("classification_metrics", "WITH " + _per_class_sql("scored_health") + " " + _metrics_select())
-def classification_metrics(spark, sf_dir):
-    return M.classification_metrics(X.scored_pairs(spark, sf_dir, "health"), "y_true", "y_pred")
-
-
-@register(
-    "per_class_metrics",
-    "WITH " + _per_class_sql("scored_restoration")
-    + """ SELECT class, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1,
-           CAST(support AS BIGINT) AS support FROM pcf""",
-)
-def per_class_metrics(spark, sf_dir):
-    pc = M.per_class(X.scored_pairs(spark, sf_dir, "restoration"), "y_true", "y_pred")
-    return pc.select(
-        "class", F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"),
-        F.round("f1", 4).alias("f1"), F.col("support").cast("long").alias("support"),
-    )
+    return f"""SELECT {g}{shown('sum(tp) / sum(support)')} AS accuracy,
+       {shown('avg(CASE WHEN support > 0 THEN recall END)')} AS balanced_accuracy,
+       {shown('avg(precision)')} AS macro_precision, {shown('avg(recall)')} AS macro_recall,
+       {shown('avg(f1)')} AS macro_f1, {shown('sum(f1 * support) / sum(support)')} AS weighted_f1,
+       CAST(sum(support) AS BIGINT) AS n
+    FROM pcf {"GROUP BY " + group if group else ""}"""
 
 
 @register(
@@ -95,81 +74,8 @@ _ALGO_SQL = """algo AS (
             FROM scored_health GROUP BY 1, 2) GROUP BY region) m USING (region))"""
 
 
-def algorithm_predictions(spark, sf_dir):
-    """(algorithm, y_true, y_pred): the table is scored once; only the k-row majority table is joined to it."""
-    from tidepool.operators.profile import majority_by_group
-
-    scored = X.scored_pairs(spark, sf_dir, "health", with_scorer=True)
-    maj = majority_by_group(X.scored_pairs(spark, sf_dir, "health"), "region", "y_true", S.HEALTH_CLASSES)
-    one = scored.join(F.broadcast(maj), "region")
-    names = {"threshold_rule": "y_pred", "centre_scorer": "predicted_class", "region_majority": "majority"}
-    each = F.explode(F.array(*[F.struct(F.lit(a).alias("algorithm"), F.col(c).alias("y_pred")) for a, c in names.items()]))
-    return one.select("y_true", each.alias("a")).select("a.algorithm", "y_true", "a.y_pred")
-
-
 _MODEL_METRICS_SQL = "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + "\n" + _metrics_select("algorithm")
-
-
-@register("model_metrics", _MODEL_METRICS_SQL)
-def model_metrics(spark, sf_dir):
-    return M.classification_metrics(algorithm_predictions(spark, sf_dir), "y_true", "y_pred", ["algorithm"])
-
-
-@register(
-    "leaderboard",
-    f"""WITH m AS ({_MODEL_METRICS_SQL})
-    SELECT CAST(row_number() OVER (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm) AS INTEGER) AS position,
-           algorithm, macro_f1, balanced_accuracy, accuracy,
-           row_number() OVER (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm) = 1 AS champion
-    FROM m""",
-)
-def leaderboard(spark, sf_dir):
-    from pyspark.sql import Window
-
-    m = model_metrics(spark, sf_dir)
-    w = Window.orderBy(F.desc("macro_f1"), F.desc("balanced_accuracy"), "algorithm")  # one row per algorithm
-    return m.select(
-        F.row_number().over(w).cast("int").alias("position"), "algorithm", "macro_f1", "balanced_accuracy", "accuracy"
-    ).withColumn("champion", F.col("position") == 1)
-
-
-@register(
-    "argmax_model",
-    f"""WITH m AS ({_MODEL_METRICS_SQL})
-    SELECT arg_max(algorithm, macro_f1 * 1e6 + balanced_accuracy) AS best_algorithm, max(macro_f1) AS best_macro_f1 FROM m""",
-)
-def argmax_model(spark, sf_dir):
-    m = model_metrics(spark, sf_dir)
-    return m.agg(
-        F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy")).alias("best_algorithm"),
-        F.max("macro_f1").alias("best_macro_f1"),
-    )
-
-
-@register(
-    "quality_gate",
-    f"""WITH m AS ({_MODEL_METRICS_SQL})
-    SELECT algorithm, macro_f1 >= {S.QUALITY_GATES['health'][0]} AS f1_ok,
-           balanced_accuracy >= {S.QUALITY_GATES['health'][1]} AS balanced_accuracy_ok,
-           macro_f1 >= {S.QUALITY_GATES['health'][0]} AND balanced_accuracy >= {S.QUALITY_GATES['health'][1]} AS passed,
-           concat_ws(',', CASE WHEN macro_f1 < {S.QUALITY_GATES['health'][0]} THEN 'macro_f1' END,
-                          CASE WHEN balanced_accuracy < {S.QUALITY_GATES['health'][1]} THEN 'balanced_accuracy' END) AS failures
-    FROM m""",
-)
-def quality_gate(spark, sf_dir):
-    f1_min, bal_min = S.QUALITY_GATES["health"]
-    m = model_metrics(spark, sf_dir)
-    return m.select(
-        "algorithm",
-        (F.col("macro_f1") >= f1_min).alias("f1_ok"),
-        (F.col("balanced_accuracy") >= bal_min).alias("balanced_accuracy_ok"),
-        ((F.col("macro_f1") >= f1_min) & (F.col("balanced_accuracy") >= bal_min)).alias("passed"),
-        F.concat_ws(
-            ",",
-            F.when(F.col("macro_f1") < f1_min, F.lit("macro_f1")),
-            F.when(F.col("balanced_accuracy") < bal_min, F.lit("balanced_accuracy")),
-        ).alias("failures"),
-    )
+_WHOLE_METRICS_SQL = "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + "\n" + _metrics_select("algorithm", None)
 
 
 # --- preprocessing fits (training split only in the pipeline; whole table here)
@@ -249,72 +155,25 @@ _RECALL_SQL = """rec AS (SELECT algorithm, y_true AS class, avg(CASE WHEN y_pred
 
 _COMPARE_SQL = (
     "WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm") + ",\n" + _RECALL_SQL + f""",
-    m AS ({_metrics_select("algorithm")}),
+    m AS ({_metrics_select("algorithm", None)}),
     ch AS (SELECT * FROM m WHERE algorithm = 'threshold_rule'), cl AS (SELECT * FROM m WHERE algorithm = 'centre_scorer'),
     rr AS (SELECT max(greatest(c.recall - h.recall, 0.0)) AS worst_recall_drop FROM rec c JOIN rec h ON c.class = h.class
            WHERE c.algorithm = 'threshold_rule' AND h.algorithm = 'centre_scorer'),
     g AS (SELECT * FROM (VALUES (1, 'min_abs_macro_f1'), (2, 'max_macro_f1_regression'), (3, 'min_balanced_accuracy'),
                                 (4, 'max_per_class_recall_regression')) t(gate_order, gate)),
     gx AS (SELECT g.gate_order, g.gate,
-            CASE g.gate WHEN 'min_abs_macro_f1' THEN cl.macro_f1 WHEN 'max_macro_f1_regression' THEN round(greatest(ch.macro_f1 - cl.macro_f1, 0.0), 6)
-                        WHEN 'min_balanced_accuracy' THEN cl.balanced_accuracy ELSE round(rr.worst_recall_drop, 6) END AS value,
+            CASE g.gate WHEN 'min_abs_macro_f1' THEN cl.macro_f1 WHEN 'max_macro_f1_regression' THEN greatest(ch.macro_f1 - cl.macro_f1, 0.0)
+                        WHEN 'min_balanced_accuracy' THEN cl.balanced_accuracy ELSE rr.worst_recall_drop END AS value,
             CASE g.gate WHEN 'min_abs_macro_f1' THEN {_GATES['min_abs_macro_f1']} WHEN 'max_macro_f1_regression' THEN {_GATES['max_macro_f1_regression']}
                         WHEN 'min_balanced_accuracy' THEN {_GATES['min_balanced_accuracy']} ELSE {_GATES['max_per_class_recall_regression']} END AS threshold,
-            round(cl.macro_f1 - ch.macro_f1, 6) AS f1_diff
+            cl.macro_f1 - ch.macro_f1 AS f1_diff
           FROM g, ch, cl, rr)
-    SELECT gate_order, gate, value, threshold,
+    SELECT gate_order, gate, round(value, 6) AS value, threshold,
            CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END AS passed,
            CASE WHEN bool_and(CASE WHEN gate LIKE 'min%' THEN value >= threshold ELSE value <= threshold END) OVER () = false THEN 'reject'
                 WHEN f1_diff <= 0 THEN 'review_required' ELSE 'eligible' END AS outcome
     FROM gx"""
 )
-ORACLE_BODIES = {"compare_champion": _COMPARE_SQL}
-
-
-@register("compare_champion", _COMPARE_SQL)
-def compare_champion(spark, sf_dir):
-    """Gates as a long table (one row per gate) plus the overall outcome:
-    reject if any gate fails, review_required when the challenger is not
-    better, else eligible. Champion = threshold rule, challenger = centre scorer."""
-    from pyspark.sql import Window
-
-    preds = algorithm_predictions(spark, sf_dir)
-    m = M.classification_metrics(preds, "y_true", "y_pred", ["algorithm"])
-    ch = m.filter(F.col("algorithm") == "threshold_rule").select(F.col("macro_f1").alias("ch_f1"))
-    cl = m.filter(F.col("algorithm") == "centre_scorer").select(F.col("macro_f1").alias("cl_f1"), F.col("balanced_accuracy").alias("cl_bal"))
-    rec = preds.groupBy("algorithm", F.col("y_true").alias("class")).agg(F.avg((F.col("y_pred") == F.col("y_true")).cast("double")).alias("recall"))
-    rc = rec.filter(F.col("algorithm") == "threshold_rule").select("class", F.col("recall").alias("rc"))
-    rh = rec.filter(F.col("algorithm") == "centre_scorer").select("class", F.col("recall").alias("rh"))
-    rr = rc.join(rh, "class").agg(F.max(F.greatest(F.col("rc") - F.col("rh"), F.lit(0.0))).alias("drop"))
-    x = ch.crossJoin(cl).crossJoin(rr)
-    gates = spark.createDataFrame(
-        [(1, "min_abs_macro_f1"), (2, "max_macro_f1_regression"), (3, "min_balanced_accuracy"), (4, "max_per_class_recall_regression")],
-        "gate_order int, gate string",
-    )
-    g = F.col("gate")
-    value = (
-        F.when(g == "min_abs_macro_f1", F.col("cl_f1"))
-        .when(g == "max_macro_f1_regression", F.round(F.greatest(F.col("ch_f1") - F.col("cl_f1"), F.lit(0.0)), 6))
-        .when(g == "min_balanced_accuracy", F.col("cl_bal"))
-        .otherwise(F.round("drop", 6))
-    )
-    threshold = (
-        F.when(g == "min_abs_macro_f1", F.lit(_GATES["min_abs_macro_f1"]))
-        .when(g == "max_macro_f1_regression", F.lit(_GATES["max_macro_f1_regression"]))
-        .when(g == "min_balanced_accuracy", F.lit(_GATES["min_balanced_accuracy"]))
-        .otherwise(F.lit(_GATES["max_per_class_recall_regression"]))
-    )
-    t = F.broadcast(gates).crossJoin(x).select("gate_order", "gate", value.alias("value"), threshold.alias("threshold"),
-                                               F.round(F.col("cl_f1") - F.col("ch_f1"), 6).alias("f1_diff"))
-    passed = F.when(F.col("gate").startswith("min"), F.col("value") >= F.col("threshold")).otherwise(F.col("value") <= F.col("threshold"))
-    t = t.withColumn("passed", passed)
-    all_ok = F.min(F.col("passed").cast("int")).over(Window.partitionBy())  # over the 4 gate rows
-    return t.select(
-        "gate_order", "gate", "value", "threshold", "passed",
-        F.when(all_ok == 0, "reject").when(F.col("f1_diff") <= 0, "review_required").otherwise("eligible").alias("outcome"),
-    )
-
-
 @register(
     "champion_as_of",
     """SELECT model_name, max(version) FILTER (WHERE rn = 1) AS champion_version,
@@ -338,22 +197,6 @@ def champion_as_of(spark, sf_dir):
     return top.drop("_last").join(prev, "model_name", "left").select("model_name", "champion_version", "previous_version", "alias_events")
 
 
-@register(
-    "duplicate_registration",
-    """SELECT model_name, count(*) AS registered_runs FROM alias_events a
-    WHERE EXISTS (SELECT 1 FROM events e WHERE 'run-' || CAST(e.event_id AS VARCHAR) = a.run_id AND e.event_type = 'purchase')
-    GROUP BY model_name""",
-)
-def duplicate_registration(spark, sf_dir):
-    """Runs already registered: left semi join of candidate runs (purchase
-    events) against the registration table on run id."""
-    ev = X.table(spark, sf_dir, "events")
-    cand = ev.filter(F.col("event_type") == "purchase").select(F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"))
-    return X.alias_events(spark, sf_dir).join(cand, "run_id", "left_semi").groupBy("model_name").agg(
-        F.count(F.lit(1)).alias("registered_runs")
-    )
-
-
 @register(
     "duplicate_registration_all",
     """SELECT CASE WHEN user_id % 2 = 0 THEN 'reef_health_model' ELSE 'restoration_model' END AS model_name,
@@ -388,7 +231,7 @@ def assemble_features(spark, sf_dir):
 
 
 def _promotion_sql(approver: str, reason: str, force: bool, dry_run: bool) -> str:
-    cmp_sql = ORACLE_BODIES["compare_champion"]
+    cmp_sql = _COMPARE_SQL
     return f"""WITH c AS (SELECT * FROM ({cmp_sql})),
     o AS (SELECT max(outcome) AS outcome, bool_and(passed) AS gates_ok FROM c)
     SELECT outcome, gates_ok,
@@ -416,15 +259,6 @@ def _decision():
     )
 
 
-@register("promotion_decision", _promotion_sql(**_PROMOTION))
-def promotion_decision(spark, sf_dir):
-    """Promotion gate over the comparison: missing approver/reason blocks,
-    reject blocks, review_required needs force, gates re-checked, dry run."""
-    c = compare_champion(spark, sf_dir)
-    o = c.agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
-    return o.select("outcome", "gates_ok", _decision().alias("decision"))
-
-
 # --- the queries above for both tasks, with each task's own classes and gates --
 def _for_task(sql: str, task: str) -> str:
     """A body over the health views, over those of `task`."""
@@ -487,6 +321,11 @@ def per_class_metrics_by_task(spark, sf_dir):
     return pc.select("task", "class", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")], F.col("support").cast("long").alias("support"))
 
 
+def whole_metrics(spark, sf_dir):
+    """model_metrics before rounding: what ranks and gates compare."""
+    return M.classification_metrics(task_predictions(spark, sf_dir), "y_true", "y_pred", ["task", "algorithm"], None)
+
+
 @register("model_metrics_by_task", both_tasks_sql(lambda t: _for_task(_MODEL_METRICS_SQL, t)))
 def model_metrics_by_task(spark, sf_dir):
     return M.classification_metrics(task_predictions(spark, sf_dir), "y_true", "y_pred", ["task", "algorithm"])
@@ -494,16 +333,27 @@ def model_metrics_by_task(spark, sf_dir):
 
 @register(
     "leaderboard_by_task",
-    both_tasks_sql(lambda t: f"""SELECT CAST(row_number() OVER w AS INTEGER) AS position, algorithm, macro_f1, balanced_accuracy, accuracy,
-        row_number() OVER w = 1 AS champion FROM ({_for_task(_MODEL_METRICS_SQL, t)})
-        WINDOW w AS (ORDER BY macro_f1 DESC, balanced_accuracy DESC, algorithm)"""),
+    both_tasks_sql(lambda t: f"""SELECT CAST(row_number() OVER w AS INTEGER) AS position, algorithm, round(macro_f1, 4) AS macro_f1, round(balanced_accuracy, 4) AS balanced_accuracy, round(accuracy, 4) AS accuracy,
+        row_number() OVER w = 1 AS champion FROM ({_for_task(_WHOLE_METRICS_SQL, t)}) m
+        WINDOW w AS (ORDER BY m.macro_f1 DESC, m.balanced_accuracy DESC, algorithm)"""),
 )
 def leaderboard_by_task(spark, sf_dir):
     from pyspark.sql import Window
 
     w = Window.partitionBy("task").orderBy(F.desc("macro_f1"), F.desc("balanced_accuracy"), "algorithm")
-    m = model_metrics_by_task(spark, sf_dir).withColumn("position", F.row_number().over(w).cast("int"))
-    return m.select("task", "position", "algorithm", "macro_f1", "balanced_accuracy", "accuracy", (F.col("position") == 1).alias("champion"))
+    m = whole_metrics(spark, sf_dir).withColumn("position", F.row_number().over(w).cast("int"))
+    return m.select("task", "position", "algorithm", *[F.round(c, 4).alias(c) for c in ("macro_f1", "balanced_accuracy", "accuracy")], (F.col("position") == 1).alias("champion"))
+
+
+@register(
+    "argmax_model",
+    both_tasks_sql(lambda t: f"""SELECT arg_max(algorithm, (macro_f1, balanced_accuracy, algorithm)) AS best_algorithm, round(max(macro_f1), 4) AS best_macro_f1
+        FROM ({_for_task(_WHOLE_METRICS_SQL, t)})"""),
+)
+def argmax_model(spark, sf_dir):
+    """The best algorithm of each task by whole macro-F1, then balanced accuracy."""
+    best = F.max_by("algorithm", F.struct("macro_f1", "balanced_accuracy", "algorithm")).alias("best_algorithm")
+    return whole_metrics(spark, sf_dir).groupBy("task").agg(best, F.round(F.max("macro_f1"), 4).alias("best_macro_f1"))
 
 
 def _gate_sql(task: str) -> str:
@@ -511,14 +361,14 @@ def _gate_sql(task: str) -> str:
     return f"""SELECT algorithm, macro_f1 >= {f1} AS f1_ok, balanced_accuracy >= {balanced} AS balanced_accuracy_ok,
         macro_f1 >= {f1} AND balanced_accuracy >= {balanced} AS passed,
         concat_ws(',', CASE WHEN macro_f1 < {f1} THEN 'macro_f1' END, CASE WHEN balanced_accuracy < {balanced} THEN 'balanced_accuracy' END) AS failures
-        FROM ({_for_task(_MODEL_METRICS_SQL, task)})"""
+        FROM ({_for_task(_WHOLE_METRICS_SQL, task)})"""
 
 
 @register("quality_gate_by_task", both_tasks_sql(_gate_sql))
 def quality_gate_by_task(spark, sf_dir):
     least = F.create_map(*[x for t, gates in S.QUALITY_GATES.items() for x in (F.lit(t), F.array(*map(F.lit, gates)))])[F.col("task")]
     low = {c: F.col(c) < least[i] for i, c in enumerate(("macro_f1", "balanced_accuracy"))}
-    return model_metrics_by_task(spark, sf_dir).select(
+    return whole_metrics(spark, sf_dir).select(
         "task", "algorithm", (~low["macro_f1"]).alias("f1_ok"), (~low["balanced_accuracy"]).alias("balanced_accuracy_ok"),
         (~low["macro_f1"] & ~low["balanced_accuracy"]).alias("passed"),
         F.concat_ws(",", *[F.when(x, F.lit(c)) for c, x in low.items()]).alias("failures"),
@@ -531,17 +381,19 @@ def compare_champion_by_task(spark, sf_dir):
     from pyspark.sql import Window
 
     preds = task_predictions(spark, sf_dir)
-    m = M.classification_metrics(preds, "y_true", "y_pred", ["task", "algorithm"])
+    counts = M.confusion_counts(preds, "y_true", "y_pred", ["task", "algorithm"])
+    m = M.metrics_of_counts(counts, ["task", "algorithm"], None)
     old, new = (F.col("algorithm") == a for a in ("threshold_rule", "centre_scorer"))
     f1 = m.groupBy("task").agg(F.max(F.when(old, F.col("macro_f1"))).alias("ch_f1"), F.max(F.when(new, F.col("macro_f1"))).alias("cl_f1"), F.max(F.when(new, F.col("balanced_accuracy"))).alias("cl_bal"))
-    hit = (F.col("y_pred") == F.col("y_true")).cast("double")
-    recall = preds.groupBy("task", "y_true").agg(F.avg(F.when(old, hit)).alias("ch"), F.avg(F.when(new, hit)).alias("cl"))
+    # recall from the same counts
+    right = F.when(F.col("y_pred") == F.col("y_true"), F.col("n")).otherwise(F.lit(0))
+    recall = counts.groupBy("task", "y_true").agg(*[(F.sum(F.when(a, right)) / F.sum(F.when(a, F.col("n")))).alias(c) for c, a in (("ch", old), ("cl", new))])
     drop = recall.groupBy("task").agg(F.max(F.greatest(F.col("ch") - F.col("cl"), F.lit(0.0))).alias("drop"))
     values = {
         "min_abs_macro_f1": F.col("cl_f1"),
-        "max_macro_f1_regression": F.round(F.greatest(F.col("ch_f1") - F.col("cl_f1"), F.lit(0.0)), 6),
+        "max_macro_f1_regression": F.greatest(F.col("ch_f1") - F.col("cl_f1"), F.lit(0.0)),
         "min_balanced_accuracy": F.col("cl_bal"),
-        "max_per_class_recall_regression": F.round("drop", 6),
+        "max_per_class_recall_regression": F.col("drop"),
     }
 
     def limit(gate):
@@ -551,13 +403,109 @@ def compare_champion_by_task(spark, sf_dir):
         F.struct(F.lit(i).alias("gate_order"), F.lit(g).alias("gate"), v.alias("value"), limit(g).alias("threshold"), (v >= limit(g) if g.startswith("min") else v <= limit(g)).alias("passed"))
         for i, (g, v) in enumerate(values.items(), 1)
     ])
-    t = f1.join(drop, "task").select("task", F.round(F.col("cl_f1") - F.col("ch_f1"), 6).alias("f1_diff"), F.explode(gates).alias("g")).select("task", "f1_diff", "g.*")
+    t = f1.join(drop, "task").select("task", (F.col("cl_f1") - F.col("ch_f1")).alias("f1_diff"), F.explode(gates).alias("g")).select("task", "f1_diff", "g.*")
     all_ok = F.bool_and("passed").over(Window.partitionBy("task"))  # over the 4 gate rows
     outcome = F.when(~all_ok, "reject").when(F.col("f1_diff") <= 0, "review_required").otherwise("eligible")
-    return t.select("task", "gate_order", "gate", "value", "threshold", "passed", outcome.alias("outcome"))
+    return t.select("task", "gate_order", "gate", F.round("value", 6).alias("value"), "threshold", "passed", outcome.alias("outcome"))
 
 
 @register("promotion_decision_by_task", both_tasks_sql(lambda t: _promotion_sql(**_PROMOTION).replace(_COMPARE_SQL, _for_task(_COMPARE_SQL, t))))
 def promotion_decision_by_task(spark, sf_dir):
     o = compare_champion_by_task(spark, sf_dir).groupBy("task").agg(F.max("outcome").alias("outcome"), F.bool_and("passed").alias("gates_ok"))
     return o.select("task", "outcome", "gates_ok", _decision().alias("decision"))
+
+
+# --- I21, I22 over every pair of algorithms and every kind of request -------------
+#: request -> (approver, reason, force, dry run)
+REQUESTS = {
+    "dry_run": ("reef-ops", "scheduled review", False, True),
+    "promote": ("reef-ops", "scheduled review", False, False),
+    "forced": ("reef-ops", "reviewed by hand", True, False),
+    "no_approver": ("  ", "scheduled review", True, False),
+    "no_reason": ("reef-ops", "", False, False),
+}
+
+
+def _pairs_sql(task: str) -> str:
+    g = S.COMPARISON_GATES[task]
+    requests = ", ".join(f"({V.q(n)}, {V.q(a)}, {V.q(r)}, {str(f).lower()}, {str(d).lower()})" for n, (a, r, f, d) in REQUESTS.items())
+    algo = _for_task("WITH " + _ALGO_SQL + ",\n" + _per_class_sql("algo", "algorithm"), task)
+    return f"""{algo},
+    m AS ({_metrics_select("algorithm", None)}), {_RECALL_SQL},
+    p AS (SELECT a.algorithm AS champion, b.algorithm AS challenger, a.macro_f1 AS old_f1, b.macro_f1 AS new_f1, b.balanced_accuracy AS new_balanced,
+            (SELECT max(greatest(x.recall - y.recall, 0.0)) FROM rec x JOIN rec y USING (class) WHERE x.algorithm = a.algorithm AND y.algorithm = b.algorithm) AS drop FROM m a, m b),
+    o AS (SELECT *, new_f1 >= {g['min_abs_macro_f1']} AND greatest(old_f1 - new_f1, 0.0) <= {g['max_macro_f1_regression']} AND new_balanced >= {g['min_balanced_accuracy']}
+            AND drop <= {g['max_per_class_recall_regression']} AS gates_ok FROM p),
+    c AS (SELECT *, CASE WHEN NOT gates_ok THEN 'reject' WHEN new_f1 - old_f1 <= 0 THEN 'review_required' ELSE 'eligible' END AS outcome FROM o)
+    SELECT champion, challenger, request, outcome, gates_ok, CASE WHEN trim(approver) = '' OR trim(reason) = '' THEN 'blocked_missing_approval' WHEN outcome = 'reject' THEN 'blocked_rejected'
+      WHEN outcome = 'review_required' AND NOT force THEN 'blocked_review_required' WHEN dry THEN 'dry_run_ok' ELSE 'promote' END AS decision
+    FROM c, (VALUES {requests}) r(request, approver, reason, force, dry)"""
+
+
+@register("promotion_requests", both_tasks_sql(_pairs_sql))
+def promotion_requests(spark, sf_dir):
+    """The decision on every request for every pair of champion and challenger. The pairs come from one row an algorithm and class; the predictions are counted once."""
+    counts = M.confusion_counts(task_predictions(spark, sf_dir), "y_true", "y_pred", ["task", "algorithm"])
+    m = M.metrics_of_counts(counts, ["task", "algorithm"], None).select("task", "algorithm", "macro_f1", "balanced_accuracy")
+    right = F.when(F.col("y_pred") == F.col("y_true"), F.col("n")).otherwise(F.lit(0))
+    recall = counts.groupBy("task", "algorithm", F.col("y_true").alias("class")).agg((F.sum(right) / F.sum("n")).alias("recall"))
+
+    def side(df, name):
+        return df.select("task", *[F.col(c).alias(name if c == "algorithm" else c if c == "class" else f"{name}_{c}") for c in df.columns if c != "task"])
+
+    drop = side(recall, "champion").join(side(recall, "challenger"), ["task", "class"]).groupBy("task", "champion", "challenger")
+    drop = drop.agg(F.max(F.greatest(F.col("champion_recall") - F.col("challenger_recall"), F.lit(0.0))).alias("drop"))
+    pairs = side(m, "champion").join(side(m, "challenger"), "task").join(drop, ["task", "champion", "challenger"])
+
+    def limit(gate):
+        return F.create_map(*[x for t, g in S.COMPARISON_GATES.items() for x in (F.lit(t), F.lit(g[gate]))])[F.col("task")]
+
+    old, new = F.col("champion_macro_f1"), F.col("challenger_macro_f1")
+    ok = (new >= limit("min_abs_macro_f1")) & (F.greatest(old - new, F.lit(0.0)) <= limit("max_macro_f1_regression"))
+    ok = ok & (F.col("challenger_balanced_accuracy") >= limit("min_balanced_accuracy")) & (F.col("drop") <= limit("max_per_class_recall_regression"))
+    pairs = pairs.withColumn("gates_ok", ok).withColumn("outcome", F.when(~F.col("gates_ok"), "reject").when(new - old <= 0, "review_required").otherwise("eligible"))
+    requests = spark.createDataFrame([(n, *r) for n, r in REQUESTS.items()], "request string, approver string, reason string, force boolean, dry boolean")
+    asked = pairs.crossJoin(F.broadcast(requests))  # a few rows each
+    decision = (
+        F.when((F.trim("approver") == "") | (F.trim("reason") == ""), "blocked_missing_approval")
+        .when(F.col("outcome") == "reject", "blocked_rejected")
+        .when((F.col("outcome") == "review_required") & ~F.col("force"), "blocked_review_required")
+        .when(F.col("dry"), "dry_run_ok")
+        .otherwise("promote")
+    )
+    return asked.select("task", "champion", "challenger", "request", "outcome", "gates_ok", decision.alias("decision"))
+
+
+@register(
+    "rollback_requests",
+    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts DESC, version DESC) AS rn FROM alias_events),
+    c AS (SELECT model_name, max(version) FILTER (WHERE rn = 1) AS champion, max(version) FILTER (WHERE rn = 2) AS previous, max(version) AS newest FROM r GROUP BY 1),
+    q AS (SELECT model_name, 'current' AS request, champion AS target FROM c UNION ALL SELECT model_name, 'previous', previous FROM c
+          UNION ALL SELECT model_name, 'unheard_of', newest + 1000000 FROM c UNION ALL SELECT model_name, 'unnamed', NULL FROM c
+          UNION ALL SELECT a.model_name, 'other_model', b.champion FROM c a JOIN c b ON a.model_name <> b.model_name)
+    SELECT q.model_name, request, target, champion,
+      CASE WHEN target IS NULL THEN 'blocked_no_target' WHEN NOT EXISTS (SELECT 1 FROM alias_events e WHERE e.model_name = q.model_name AND e.version = target) THEN 'blocked_unknown_version'
+           WHEN target = champion THEN 'nothing_to_do' ELSE 'roll_back' END AS decision
+    FROM q JOIN c USING (model_name)""",
+)
+def rollback_requests(spark, sf_dir):
+    """Rollbacks to a version need one that the model has had; the current one is nothing to do. Every kind of request for each model."""
+    events = X.alias_events(spark, sf_dir)
+    newest = events.groupBy("model_name").agg(F.max("version").alias("newest"))
+    c = champion_as_of(spark, sf_dir).join(newest, "model_name").select("model_name", F.col("champion_version").alias("champion"), F.col("previous_version").alias("previous"), "newest")
+    own = {"current": F.col("champion"), "previous": F.col("previous"), "unheard_of": F.col("newest") + 1000000, "unnamed": F.lit(None).cast("long")}
+    asked = c.select("model_name", F.explode(F.array(*[F.struct(F.lit(n).alias("request"), v.alias("target")) for n, v in own.items()])).alias("q")).select("model_name", "q.*")
+    other = c.select("model_name").join(c.select(F.col("model_name").alias("_other"), F.col("champion").alias("target")), F.col("model_name") != F.col("_other"))  # a row a model
+    asked = asked.unionByName(other.select("model_name", F.lit("other_model").alias("request"), "target"))
+    had = events.select("model_name", F.col("version").alias("target")).join(F.broadcast(asked.select("model_name", "target")), ["model_name", "target"], "left_semi").distinct().withColumn("_had", F.lit(True))
+    out = asked.join(had, ["model_name", "target"], "left").join(c.select("model_name", "champion"), "model_name")
+    decision = F.when(F.col("target").isNull(), "blocked_no_target").when(F.col("_had").isNull(), "blocked_unknown_version").when(F.col("target") == F.col("champion"), "nothing_to_do").otherwise("roll_back")
+    return out.select("model_name", "request", "target", "champion", decision.alias("decision"))
+
+
+#: SQL bodies that other queries' oracles read.
+ORACLE_BODIES = {"model_metrics": both_tasks_sql(lambda t: _for_task(_MODEL_METRICS_SQL, t)), "quality_gate": both_tasks_sql(_gate_sql)}
+for _name in ("confusion_matrix", "classification_metrics", "per_class_metrics", "model_metrics", "leaderboard", "quality_gate", "compare_champion", "promotion_decision"):
+    also(_name, f"{_name}_by_task")
+also("duplicate_registration", "duplicate_registration_all")
+model_metrics, quality_gate = model_metrics_by_task, quality_gate_by_task

@@ -11,7 +11,7 @@ from tidepool.operators import ordered as O
 from tidepool.operators import profile as PR
 from tidepool.plans import sqlviews as V
 from tidepool.plans.q_ml import _for_task, both_tasks_sql
-from tidepool.plans.registry import register
+from tidepool.plans.registry import also, register
 from tidepool.sources import fixtures as X
 from tidepool.sources.io import cut
 
@@ -36,15 +36,6 @@ RULES = {
 }
 
 
-@register(
-    "implausible_rows",
-    "SELECT " + ", ".join(f"CAST(sum(CASE WHEN {s} THEN 1 ELSE 0 END) AS BIGINT) AS {n}" for n, (s, _) in RULES.items())
-    + " FROM observations",
-)
-def implausible_rows(spark, sf_dir):
-    return _obs(spark, sf_dir).agg(*[F.sum(f().cast("long")).alias(n) for n, (_, f) in RULES.items()])
-
-
 # the rest of the audit's list; its exact-value rows are clip_pileups
 ALL_RULES = RULES | {
     "cover0_disease_pos": ("coral_cover_percentage = 0 AND disease_percentage > 0",
@@ -257,44 +248,6 @@ def feature_profile(spark, sf_dir):
     )
 
 
-_CORR_COLS = ["water_temperature_c", "ph", "dissolved_oxygen_mg_l", "coral_cover_percentage", "bleaching_percentage", "rugosity_index"]
-_PAIRS = list(itertools.combinations(_CORR_COLS, 2))
-
-
-@register(
-    "pearson_matrix",
-    " UNION ALL ".join(
-        f"SELECT {V.q(a)} AS col_a, {V.q(b)} AS col_b, round(corr({a}, {b}), 6) AS r, abs(corr({a}, {b})) > 0.8 AS strong FROM observations"
-        for a, b in _PAIRS
-    ),
-)
-def pearson_matrix(spark, sf_dir):
-    """Upper-triangle Pearson r from one pass of moment sums (``corr`` per pair)."""
-    obs = _obs(spark, sf_dir)
-    row = obs.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in _PAIRS])
-    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in _PAIRS]))
-    return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.r", 6).alias("r"), (F.abs("s.r") > 0.8).alias("strong"))
-
-
-@register(
-    "spearman_matrix",
-    "WITH r AS (SELECT "
-    + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _CORR_COLS)
-    + " FROM observations) "
-    + " UNION ALL ".join(f"SELECT {V.q(a)} AS col_a, {V.q(b)} AS col_b, round(corr({a}, {b}), 6) AS rho FROM r" for a, b in _PAIRS),
-)
-def spearman_matrix(spark, sf_dir):
-    """Average ranks per column (distinct-value prefix counts, bucketed -- no
-    global single-partition window), joined back, then Pearson on ranks."""
-    obs = _obs(spark, sf_dir).select("obs_id", *_CORR_COLS)
-    long = obs.unpivot(["obs_id"], _CORR_COLS, "column", "value")
-    ranks = O.average_ranks(long, "column", "value")
-    ranked = long.join(ranks, ["column", "value"]).groupBy("obs_id").pivot("column", _CORR_COLS).agg(F.first("avg_rank"))
-    row = ranked.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in _PAIRS])
-    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("rho")) for a, b in _PAIRS]))
-    return row.select(stack.alias("s")).select("s.col_a", "s.col_b", F.round("s.rho", 6).alias("rho"))
-
-
 # the whole 21 x 21 triangle: sensor columns and the derived features
 _ALL_PAIRS = list(itertools.combinations(S.NUMERIC_FEATURES, 2))
 _FEATURES_SQL = f"f AS (SELECT obs_id, {', '.join(S.SENSOR_COLUMNS)}, {V.derived_select()} FROM observations)"
@@ -344,19 +297,6 @@ _CLOSED_FORM_SQL = (
 )
 
 
-@register("closed_form_benchmark", _CLOSED_FORM_SQL)
-def closed_form_benchmark(spark, sf_dir):
-    """Formula labels vs stored labels: exact match and within one ordinal class."""
-    from tidepool.functions.columns import ordinal_map
-
-    pairs = X.scored_pairs(spark, sf_dir, "health")
-    om = ordinal_map(S.HEALTH_CLASSES)
-    return pairs.agg(
-        F.round(F.avg((F.col("y_true") == F.col("y_pred")).cast("double")), 6).alias("exact_match"),
-        F.round(F.avg((F.abs(om[F.col("y_true")] - om[F.col("y_pred")]) <= 1).cast("double")), 6).alias("within_one_class"),
-    )
-
-
 @register(
     "single_column_baseline",
     """WITH c AS (SELECT region, reef_health, count(*) AS n, """
@@ -459,14 +399,6 @@ _MI_SQL = (
 )
 
 
-@register("mutual_information", _MI_SQL)
-def mutual_information(spark, sf_dir):
-    """Binned plug-in mutual information of each feature with the health label
-    (10 equal-width bins; differs from a kNN estimator by construction)."""
-    long = _obs(spark, sf_dir).select(F.col("reef_health").alias("y"), *_MI_COLS).unpivot(["y"], _MI_COLS, "column", "value")
-    return _mutual_information(long, ["column"])
-
-
 def _mutual_information(long, keys):
     r = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi0"))
     r = r.withColumn("hi", F.when(F.col("hi0") <= F.col("lo"), F.col("lo") + 1.0).otherwise(F.col("hi0")))
@@ -539,3 +471,10 @@ def ks_uniform(spark, sf_dir):
     u = (F.col("v") - low) / (high - low)
     d = F.greatest(F.col("cum_n") / F.col("total") - u, u - (F.col("cum_n") - F.col("n")) / F.col("total"))
     return e.groupBy("region", "axis").agg(F.round(F.max(d), 6).alias("ks_statistic"), F.max("total").cast("long").alias("n"))
+
+
+also("implausible_rows", "implausible_rows_all")
+for _name in ("pearson_matrix", "spearman_matrix"):
+    also(_name, f"{_name}_features")
+for _name in ("closed_form_benchmark", "mutual_information"):
+    also(_name, f"{_name}_by_task")

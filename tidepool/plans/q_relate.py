@@ -78,14 +78,10 @@ def _recall_sql(src_expr):
     ON c.class = h.class""",
 )
 def join_class_recall(spark, sf_dir):
-    """Champion (threshold rule) vs challenger (centre scorer) recall by class, inner join."""
-    from tidepool.operators import metrics as M
-
-    pairs = X.scored_pairs(spark, sf_dir, "health")
-    champ = M.per_class_recall(pairs, "y_true", "y_pred")
-    preds = X.predictions(spark, sf_dir, "health").select("obs_id", F.col("predicted_class").alias("y_pred"))
-    chall = M.per_class_recall(pairs.select("obs_id", "y_true").join(preds, "obs_id"), "y_true", "y_pred")
-    j = champ.withColumnRenamed("recall", "c").join(chall.withColumnRenamed("recall", "h"), "class")
+    """Champion (threshold rule) against challenger (centre scorer) recall by class: both sides from one scored pass."""
+    scored = X.scored_pairs(spark, sf_dir, "health", with_scorer=True)
+    sides = {"c": "y_pred", "h": "predicted_class"}
+    j = scored.groupBy(F.col("y_true").alias("class")).agg(*[F.avg((F.col(p) == F.col("y_true")).cast("double")).alias(n) for n, p in sides.items()])
     return j.select(
         "class",
         F.round("c", 6).alias("champion_recall"),

@@ -200,39 +200,72 @@ def request_validation(spark, sf_dir):
     )
 
 
-# --- C16: retraining input checks ------------------------------------------
-def _checks_sql():
+# --- C16: retraining input checks over inputs that pass and fail ------------
+#: input -> (rows of it, columns that it changes), as SQL over the observations with their key `_ep`
+_INPUTS = {
+    "clean": ("true", {}),
+    "unlabelled": ("true", {"reef_health": "CASE WHEN _ep % 11 = 0 THEN NULL ELSE reef_health END", "restoration_suitability": "CASE WHEN _ep % 13 = 0 THEN NULL ELSE restoration_suitability END"}),
+    "few_rows": ("_ep % 1009 = 5", {}),
+    "two_classes": ("reef_health IN ('healthy', 'stressed') AND restoration_suitability <> 'unsuitable'", {}),
+    "gaps": ("true", {"ph": "CASE WHEN _ep % 17 = 0 THEN NULL ELSE ph END", "depth_m": "CASE WHEN _ep % 19 = 0 THEN CAST('inf' AS DOUBLE) ELSE depth_m END"}),
+    "unknown_regions": ("true", {"region": "CASE WHEN _ep % 23 = 0 THEN 'Unknown Reef' ELSE region END"}),
+}
+
+
+def _input_select(name: str) -> str:
+    rows, changed = _INPUTS[name]
+    return f"SELECT {', '.join(f'{changed[c]} AS {c}' if c in changed else c for c in S.OBSERVATION_COLUMNS)} FROM obs_labelled WHERE {rows}"
+
+
+def _checks_sql(source: str, task: str):
+    target, k = S.TASK_TARGET[task], len(S.TASK_CLASSES[task])
     fin = " AND ".join(f"({c} IS NOT NULL AND isfinite({c}))" for c in S.SENSOR_COLUMNS)
     allc = ", ".join(S.OBSERVATION_COLUMNS)
-    return f"""WITH s AS (SELECT count(*) AS n,
-        sum(CASE WHEN {fin} THEN 0 ELSE 1 END) AS nonfinite_rows,
-        sum(CASE WHEN reef_health IS NULL THEN 1 ELSE 0 END) AS null_target,
-        sum(CASE WHEN region IN {V.in_list(S.REGIONS)} THEN 0 ELSE 1 END) AS bad_region FROM observations),
-    d AS (SELECT coalesce(sum(c - 1), 0) AS dups FROM (SELECT count(*) AS c FROM observations GROUP BY {allc})),
-    k AS (SELECT count(DISTINCT reef_health) AS present, min(c) AS min_class FROM (SELECT reef_health, count(*) AS c FROM observations GROUP BY 1))
-    SELECT * FROM (VALUES (1, 'region_domain'), (2, 'schema'), (3, 'min_rows'), (4, 'duplicates'), (5, 'non_finite'),
+    return f"""WITH i AS ({source}), s AS (SELECT count(*) AS n,
+        coalesce(sum(CASE WHEN {fin} THEN 0 ELSE 1 END), 0) AS nonfinite_rows,
+        coalesce(sum(CASE WHEN {target} IS NULL THEN 1 ELSE 0 END), 0) AS null_target,
+        coalesce(sum(CASE WHEN region IN {V.in_list(S.REGIONS)} THEN 0 ELSE 1 END), 0) AS bad_region FROM i),
+    d AS (SELECT coalesce(sum(c - 1), 0) AS dups FROM (SELECT count(*) AS c FROM i GROUP BY {allc})),
+    k AS (SELECT count(DISTINCT {target}) AS present, min(c) AS min_class FROM (SELECT {target}, count(*) AS c FROM i GROUP BY 1)),
+    x AS (SELECT * FROM (VALUES (1, 'region_domain'), (2, 'schema'), (3, 'min_rows'), (4, 'duplicates'), (5, 'non_finite'),
                           (6, 'target_present'), (7, 'all_classes_present'), (8, 'min_per_class')) c(check_order, "check")
-    CROSS JOIN s CROSS JOIN d CROSS JOIN k"""
-
-
-@register(
-    "retrain_input_checks",
-    f"""WITH x AS ({_checks_sql()})
+    CROSS JOIN s CROSS JOIN d CROSS JOIN k)
     SELECT check_order, "check",
       CASE "check" WHEN 'region_domain' THEN bad_region = 0 WHEN 'schema' THEN true WHEN 'min_rows' THEN n >= 250
         WHEN 'duplicates' THEN dups <= n * 0.5 WHEN 'non_finite' THEN nonfinite_rows = 0
-        WHEN 'target_present' THEN null_target = 0 WHEN 'all_classes_present' THEN present = 4
+        WHEN 'target_present' THEN null_target = 0 WHEN 'all_classes_present' THEN present = {k}
         ELSE min_class >= 5 END AS passed,
       CASE "check" WHEN 'region_domain' THEN CAST(bad_region AS VARCHAR) WHEN 'schema' THEN '0'
         WHEN 'min_rows' THEN CAST(n AS VARCHAR) WHEN 'duplicates' THEN CAST(dups AS VARCHAR)
         WHEN 'non_finite' THEN CAST(nonfinite_rows AS VARCHAR) WHEN 'target_present' THEN CAST(null_target AS VARCHAR)
         WHEN 'all_classes_present' THEN CAST(present AS VARCHAR) ELSE CAST(min_class AS VARCHAR) END AS detail
-    FROM x""",
+    FROM x"""
+
+
+_REPEATED = f"SELECT {', '.join(S.OBSERVATION_COLUMNS)} FROM obs_labelled, range(3)"
+
+
+@register(
+    "retrain_input_checks",
+    " UNION ALL ".join(
+        f"SELECT {V.q(name)} AS input, {V.q(t)} AS task, * FROM ({_checks_sql(_REPEATED if name == 'repeated' else _input_select(name), t)})" for name in (*_INPUTS, "repeated") for t in S.TASK_TARGET
+    ),
 )
 def retrain_input_checks(spark, sf_dir):
+    """The eight checks of both tasks over a clean input and inputs that fail them."""
     from tidepool.operators.retrain import input_checks
 
-    return input_checks(spark, X.observations(spark, sf_dir), "reef_health", S.HEALTH_CLASSES)
+    base = X.labelled_base(spark, sf_dir)
+    out = None
+    for name in (*_INPUTS, "repeated"):
+        rows, changed = _INPUTS.get(name, ("true", {}))
+        df = base.where(F.expr(rows)).withColumns({c: F.expr(e) for c, e in changed.items()}).select(*S.OBSERVATION_COLUMNS)
+        if name == "repeated":
+            df = df.withColumn("_copy", F.explode(F.array(*map(F.lit, range(3))))).drop("_copy")
+        for t, target in S.TASK_TARGET.items():
+            own = input_checks(spark, df, target, S.TASK_CLASSES[t]).select(F.lit(name).alias("input"), F.lit(t).alias("task"), "*")
+            out = own if out is None else out.unionByName(own)
+    return out
 
 
 @register(

@@ -28,6 +28,15 @@ def register(name: str, sql: str | None = None, *ctes):
     return deco
 
 
+def also(name: str, of: str) -> None:
+    """Another name of a registered query."""
+    if name in QUERIES:
+        raise ValueError(f"duplicate query name {name}")
+    QUERIES[name] = QUERIES[of]
+    if of in ORACLE:
+        ORACLE[name] = ORACLE[of]
+
+
 def load_all() -> None:
     from tidepool.plans import (  # noqa: F401
         q_aggregate,

@@ -207,6 +207,19 @@ grid_elevation AS (
          72.0 + CAST(floor(p_partkey / 50) AS DOUBLE) / 240 AS lon,
          CAST((p_partkey * 37) % 400 - 250 AS INTEGER) AS elevation
   FROM part)""",
+    "survey_grid": """
+survey_grid AS (
+  SELECT CAST(o_orderdate AS DATE) AS time,
+         CAST(CASE o_custkey % 4 WHEN 0 THEN 40 WHEN 1 THEN 34 WHEN 2 THEN 88 ELSE 26 END + (o_custkey // 4) % 9 AS INTEGER) AS lat_idx,
+         CAST(CASE o_custkey % 4 WHEN 0 THEN 288 WHEN 1 THEN 312 WHEN 2 THEN 272 ELSE 368 END + o_orderkey % 9 AS INTEGER) AS lon_idx,
+         max(CAST(floor(o_totalprice) AS BIGINT) % 1600 / 100) AS value
+  FROM orders GROUP BY 1, 2, 3)""",
+    "survey_raster": """
+survey_raster AS (
+  SELECT CAST(CASE p_partkey % 4 WHEN 0 THEN 200 WHEN 1 THEN 170 WHEN 2 THEN 440 ELSE 130 END + (p_partkey // 4) % 41 AS INTEGER) AS lat_idx,
+         CAST(CASE p_partkey % 4 WHEN 0 THEN 1440 WHEN 1 THEN 1560 WHEN 2 THEN 1360 ELSE 1840 END + (p_partkey // 164) % 41 AS INTEGER) AS lon_idx,
+         CAST(min((p_partkey * 37) % 400 - 250) AS INTEGER) AS elevation
+  FROM part GROUP BY 1, 2)""",
     "alias_events": """
 alias_events AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'reef_health_model' ELSE 'restoration_model' END AS model_name,

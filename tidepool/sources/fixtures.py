@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool import schema as S
 from tidepool.functions import columns as C
@@ -303,21 +302,37 @@ def grid_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-__all__ = [
-    "T",
-    "table",
-    "observations",
-    "observations_base",
-    "labelled_base",
-    "observations_dirty",
-    "scored_pairs",
-    "region_bounds",
-    "run_metrics",
-    "alias_events",
-    "grid_daily",
-    "grid_history",
-    "grid_elevation",
-]
+#: South-west corner of each region's grids, by the number that picks the region (order of S.REGIONS).
+GRID_CORNERS = [(10.0, 72.0), (8.5, 78.0), (22.0, 68.0), (6.5, 92.0)]
+
+
+def _corner(number: Column, axis: int) -> Column:
+    return F.element_at(F.array(*[F.lit(c[axis]) for c in GRID_CORNERS]), (number + 1).cast("int"))
+
+
+def survey_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(time, lat_idx, lon_idx, value): daily cells of a quarter degree over the observed regions; the indices are of whole quarters, so about half the observations have a cell near in space and time."""
+    o = table(spark, sf_dir, "orders")
+    number = F.col("o_custkey") % 4
+    cells = o.select(
+        F.to_date("o_orderdate").alias("time"),
+        (F.round(_corner(number, 0) * 4) + F.floor(F.col("o_custkey") / 4) % 9).cast("int").alias("lat_idx"),
+        (F.round(_corner(number, 1) * 4) + F.col("o_orderkey") % 9).cast("int").alias("lon_idx"),
+        (F.floor(F.col("o_totalprice")) % 1600 / 100).cast("double").alias("value"),
+    )
+    return cells.groupBy("time", "lat_idx", "lon_idx").agg(F.max("value").alias("value"))
+
+
+def survey_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lat_idx, lon_idx, elevation): static cells of a twentieth of a degree over part of each observed region."""
+    p = table(spark, sf_dir, "part")
+    number, k = F.col("p_partkey") % 4, F.floor(F.col("p_partkey") / 4)
+    cells = p.select(
+        (F.round(_corner(number, 0) * 20) + k % 41).cast("int").alias("lat_idx"),
+        (F.round(_corner(number, 1) * 20) + F.floor(k / 41) % 41).cast("int").alias("lon_idx"),
+        ((F.col("p_partkey") * 37) % 400 - 250).cast("int").alias("elevation"),
+    )
+    return cells.groupBy("lat_idx", "lon_idx").agg(F.min("elevation").alias("elevation"))
 
 
 # --- fixed values: class centres of the deterministic fixture scorer --------

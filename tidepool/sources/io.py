@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool import schema as S
 
@@ -46,9 +47,38 @@ def require_columns(df: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) ->
     return df
 
 
-def read_observations_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header and the declared schema (no inference); bad numbers -> null."""
-    return require_columns(spark.read.schema(S.OBSERVATION_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path))
+def read_observations_csv(spark: SparkSession, path: str, schema: T.StructType = S.OBSERVATION_SCHEMA) -> DataFrame:
+    """CSV files with a header and the declared schema (no inference), and `broken_line`: the text of a line that does not parse, else null.
+
+    The header must name the schema's columns in order. A broken line keeps what
+    can be read; a number or time that cannot be is null. Spark wants another
+    column to be read with `broken_line`.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    require_columns(spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in header])), schema.names)
+    if header != schema.names:
+        raise ValueError(f"unexpected columns: {header}")
+    full = T.StructType([*schema.fields, T.StructField("broken_line", T.StringType())])
+    return spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken_line").csv(path)
+
+
+def read_json_files(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Files that each hold one JSON object or a list of objects: (path, file_name, modified, readable, place, record), newest file first by time.
+
+    `record` is the objects' schema (DDL). A file that is blank or does not parse
+    is one row with readable = false and a null record; an empty list has one
+    with readable = true; Spark lists no file of zero bytes. Each file is read as a whole, so these are for
+    documents and receipts, not for tables.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    text = files.select(F.decode("content", "UTF-8").alias("value"), "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("modificationTime").alias("modified"))
+    body = F.btrim("value", F.lit(" \t\r\n"))
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    whole = F.from_json(F.concat(F.lit('{"r":'), F.when(body.startswith("["), body).otherwise(F.concat(F.lit("["), body, F.lit("]"))), F.lit("}")), f"r array<struct<{record}>>, _corrupt string", how)
+    parsed = text.withColumn("_p", F.when(body != "", whole))
+    ok = F.col("_p").isNotNull() & F.col("_p._corrupt").isNull() & F.col("_p.r").isNotNull()
+    rows = parsed.select("path", "file_name", "modified", ok.alias("readable"), F.posexplode_outer(F.when(ok, F.col("_p.r"))).alias("place", "record"))
+    return rows.orderBy(F.desc("modified"), "path", "place")
 
 
 def parse_timestamps(df: DataFrame, col: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
@@ -76,25 +106,14 @@ def write_summary_json(df: DataFrame, path: str) -> str:
 
 
 def read_receipts(spark: SparkSession, path_glob: str, schema: str) -> DataFrame:
-    """Receipt files by glob: unreadable lines tolerated, file name attached, newest first."""
-    r = (
-        spark.read.schema(schema + ", _corrupt_record string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(path_glob)
-    )
-    r = r.withColumn("file_name", F.col("_metadata.file_name"))
-    return r.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record").orderBy(F.desc("file_name"))
+    """Receipt files by glob, newest first by modification time: one row per receipt with its file's name and time; unreadable files are left out."""
+    found = read_json_files(spark, path_glob, schema).where("readable and record is not null")
+    return found.select("record.*", "file_name", "modified").orderBy(F.desc("modified"), "file_name")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive table fingerprint: row count plus two 64-bit sums of
-    per-row xxhash64 values (differs from an order-sensitive file hash)."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]
-    h1 = F.xxhash64(*cols)
-    h2 = F.xxhash64(F.lit("salt"), *cols)
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(h1.cast("decimal(38,0)")).cast("string").alias("hash_sum_a"),
-        F.sum(h2.cast("decimal(38,0)")).cast("string").alias("hash_sum_b"),
-    )
+    """Order-insensitive table fingerprint: row count plus two sums of 60 bits each of per-row md5 values (differs from an order-sensitive file hash)."""
+    cols = [F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in df.columns]
+    h = F.md5(F.concat_ws("|", *cols))
+    part = [F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 17)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(p).cast("string").alias(f"hash_sum_{n}") for p, n in zip(part, "ab")])
