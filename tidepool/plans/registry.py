@@ -40,6 +40,7 @@ def also(name: str, of: str) -> None:
 def load_all() -> None:
     from tidepool.plans import (  # noqa: F401
         q_aggregate,
+        q_audit,
         q_drift,
         q_grid,
         q_io,
