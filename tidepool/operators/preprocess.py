@@ -53,10 +53,16 @@ def scaler_integrity(fitted: DataFrame, train: DataFrame, cols: list[str], rtol:
     )
 
 
+#: Indicator columns that one categorical column may give.
+MOST_CATEGORIES = 1000
+
+
 def fit_categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct categories of the training data (a small list by
-    nature of a categorical feature; collected once at fit time)."""
-    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+    """Sorted distinct categories of the training data, MOST_CATEGORIES at most: a column with more is none to encode."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()]
+    if len(found) > MOST_CATEGORIES:
+        raise ValueError(f"{col} has more than {MOST_CATEGORIES} categories")
+    return sorted(found)
 
 
 def onehot_name(col: str, value: str) -> str:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
@@ -105,21 +104,22 @@ def ordinal_encode(df: DataFrame, col: str, classes: list[str], out: str) -> Dat
     return df.withColumn(out, C.ordinal_map(classes)[F.col(col)])
 
 
-def label_encoder(df: DataFrame, col: str):
-    """Alphabetical label encoder (fit = distinct labels, sorted)."""
-    return StringIndexer(inputCol=col, outputCol=f"__{col}_idx", stringOrderType="alphabetAsc").fit(df)
+def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
+    """(col, code): the distinct non-null labels in alphabetical order from 0, one row each."""
+    distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
+    # as many rows as labels
+    return distinct.withColumn(code, (F.row_number().over(Window.partitionBy().orderBy(col)) - 1).cast("int"))
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    model = label_encoder(df, col)
-    return model.transform(df).withColumn(out, F.col(f"__{col}_idx").cast("int")).drop(f"__{col}_idx")
+    """Alphabetical code of each row's label; null for a null label."""
+    return df.join(label_codes(df, col, out), col, "left").select(*df.columns, out)
 
 
-def inverse_label(df: DataFrame, code_col: str, out: str, labels: list[str] | None = None, source: str | None = None) -> DataFrame:
-    if labels is None:
-        labels = list(label_encoder(df, source).labels)
-    arr = F.array(*[F.lit(x) for x in labels])
-    return df.withColumn(out, F.element_at(arr, F.col(code_col) + 1))
+def inverse_label(df: DataFrame, code_col: str, out: str, codes: DataFrame, code: str = "code") -> DataFrame:
+    """The label of each row's code by a table of ``label_codes``; null for an unknown code."""
+    label = next(c for c in codes.columns if c != code)
+    return df.join(codes.select(F.col(label).alias(out), F.col(code).alias(code_col)), code_col, "left").select(*df.columns, out)
 
 
 def confidence(prob_col: str = "probabilities"):
@@ -134,8 +134,6 @@ def probability_map(classes: list[str], prob_cols: list[str]):
 
 def probabilities_long(df: DataFrame, sort: bool = True) -> DataFrame:
     """Unroll the probability map to one row per class, ranked by probability."""
-    from pyspark.sql import Window
-
     long = df.select("obs_id", F.explode("probabilities").alias("class", "probability"))
     if sort:
         w = Window.partitionBy("obs_id").orderBy(F.desc("probability"), "class")
@@ -155,26 +153,6 @@ def round_coordinates(df: DataFrame) -> DataFrame:
     )
 
 
-# --- fixed values: feature catalogue (role, formula, leakage note) ----------
-_DERIVED_FORMULAS = {
-    "thermal_stress_index": "clip((water_temperature_c - 28.5) / 4.5, 0, 1)",
-    "oxygen_stress_index": "clip((6.0 - dissolved_oxygen_mg_l) / 3.5, 0, 1)",
-    "acidity_deviation": "abs(ph - 8.1)",
-    "water_quality_index": "clip(1 - (0.40*TSI + 0.30*OSI + 0.20*clip(dev/0.55) + 0.10*clip(turb/20)), 0, 1)",
-    "substrate_stability_score": "clip(0.6*hard/100 + 0.4*(rugosity-1)/9, 0, 1)",
-    "structural_complexity_score": "clip(0.5*ACI + 0.5*(rugosity-1)/9, 0, 1)",
-}
-
-
-def feature_catalogue(spark: SparkSession) -> DataFrame:
-    rows = [(c, "raw_numeric", None, "sensor reading") for c in S.SENSOR_COLUMNS]
-    rows += [(c, "derived", f, "computed from raw features only") for c, f in _DERIVED_FORMULAS.items()]
-    rows += [(c, "categorical", None, "one-hot encoded") for c in S.CATEGORICAL_FEATURES]
-    rows += [(c, "metadata_excluded", None, "identifier, not a feature") for c in S.METADATA_COLUMNS]
-    rows += [(c, "target_excluded", None, "target, never a feature") for c in S.TARGET_COLUMNS]
-    return spark.createDataFrame(rows, "column string, role string, formula string, note string")
-
-
 def prediction_envelope(
     df: DataFrame, task: str, model_name: str, model_version: str, alias: str, run_id: str
 ) -> DataFrame:
@@ -190,3 +168,11 @@ def prediction_envelope(
             "disclaimer": F.lit("Predictions on synthetic data; not for conservation decisions."),
         }
     )
+
+
+def paired(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """1:1 join on the key that fails when it runs if a row of either side has no partner."""
+    both = a.withColumn("__a", F.lit(True)).join(b.withColumn("__b", F.lit(True)), key, "full")
+    whole = F.col("__a").isNotNull() & F.col("__b").isNotNull()
+    checked = F.when(whole, F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no partner for "), F.col(key).cast("string"))))
+    return both.withColumn(key, checked).drop("__a", "__b")

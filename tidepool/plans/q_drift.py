@@ -282,7 +282,7 @@ def recommendation(spark, sf_dir):
     return f.withColumn("recommendation", C.recommendation("feature_flag", "prediction_flag"))
 
 
-_SUMMARY_SQL = (
+SUMMARY_SQL = (
     _FEATURE_DRIFT_SQL
     + f", fr AS ({_FEATURE_DRIFT_SELECT}),\n"
     + _chi2_sql("health")
@@ -299,7 +299,7 @@ _SUMMARY_SQL = (
 )
 
 
-@register("drift_summary", _SUMMARY_SQL)
+@register("drift_summary", SUMMARY_SQL)
 def drift_summary(spark, sf_dir):
     """One summary row (J08): sizes, feature and prediction drift, and the recommendation, each part computed once."""
     share = drift_share(spark, sf_dir)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidepool import schema as S
 from tidepool.operators import grid as G
 from tidepool.operators import ordered as O
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
+from tidepool.sources import io as IO
 
 KEYS = ["product", "region"]
 CELL_T = ["product", "time", "lat_idx", "lon_idx"]
@@ -103,7 +103,7 @@ def join_grid_masks(spark, sf_dir):
     FROM grid_daily_b GROUP BY 1, 2""",
 )
 def grid_stats(spark, sf_dir):
-    return G.grid_stats(_g(spark, sf_dir, "b"), KEYS)
+    return G.grid_stats(IO.cut(_g(spark, sf_dir, "b"), "grid"), KEYS)
 
 
 @register(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
-from tidepool.plans import q_ml, q_ordered
+from tidepool.operators import ordered as O
+from tidepool.operators import scalar as B
+from tidepool.plans import q_drift, q_ml, q_ordered
 from tidepool.plans.registry import register
 from tidepool.sources import fixtures as X
 from tidepool.sources import io as IO
@@ -111,14 +113,30 @@ def evaluation_best_model(spark, sf_dir):
     )
 
 
-@register("write_splits")
+@register(
+    "write_splits",
+    "WITH s AS (" + q_ordered.split_sql() + f""")
+    SELECT task, split, part, class, count(*) AS rows, CASE part WHEN 'X' THEN {len(S.ALL_FEATURES)} ELSE 1 END AS columns
+    FROM s, (VALUES ('X'), ('y')) p(part) GROUP BY ALL""",
+)
 def write_splits(spark, sf_dir):
-    """Feature/target rows per task and split, partitioned on write, read back."""
-    obs = X.observations(spark, sf_dir)
-    splits = q_ordered.stratified_split(spark, sf_dir)
-    df = splits.join(obs.select("obs_id", *S.SENSOR_COLUMNS, "region"), "obs_id")
-    path = IO.write_partitioned(df, IO.shared_dir(spark, "splits"), ["task", "split"])
-    return spark.read.parquet(path).groupBy("task", "split", "class").agg(F.count(F.lit(1)).alias("rows"))
+    """Features (derived ones included) and targets of each task and split, written apart and read back; X and y meet by their key, not by their order."""
+    obs = B.add_derived_features(X.observations(spark, sf_dir))
+    names = {t: f"__{t}" for t in S.TASK_TARGET}
+    done = O.stratified_splits(obs, S.TASK_TARGET, names)
+    out = None
+    for t, label in S.TASK_TARGET.items():
+        tables = {}
+        for part, cols in (("X", S.ALL_FEATURES), ("y", [label])):
+            path = IO.write_partitioned(done.select("obs_id", F.col(names[t]).alias("split"), *cols), IO.shared_dir(spark, f"splits-{t}-{part}"), ["split"])
+            tables[part] = spark.read.parquet(path)
+        y = tables["y"].select("obs_id", "split", F.col(label).alias("class"))
+        for part, table in tables.items():
+            n = len(table.columns) - 2  # without key and split
+            own = B.paired(table.select("obs_id"), y, "obs_id").groupBy("split", "class").agg(F.count(F.lit(1)).alias("rows"))
+            own = own.select(F.lit(t).alias("task"), "split", F.lit(part).alias("part"), "class", "rows", F.lit(n).alias("columns"))
+            out = own if out is None else out.unionByName(own)
+    return out
 
 
 @register(
@@ -143,8 +161,6 @@ def write_if_valid(spark, sf_dir):
     "SELECT 'reference' AS \"window\", obs_id FROM ref_window UNION ALL SELECT 'production', obs_id FROM prod_window",
 )
 def write_window(spark, sf_dir):
-    from tidepool.plans import q_drift
-
     ref, cur = q_drift.windows(spark, sf_dir)
     p1, p2 = IO.shared_dir(spark, "reference_window"), IO.shared_dir(spark, "production_window")
     ref.write.mode("overwrite").parquet(p1)
@@ -154,13 +170,12 @@ def write_window(spark, sf_dir):
     )
 
 
-@register("write_summary_json")
+@register("write_summary_json", q_drift.SUMMARY_SQL)
 def write_summary_json(spark, sf_dir):
-    from tidepool.plans import q_drift
-
-    s = q_drift.drift_share(spark, sf_dir).crossJoin(q_drift.drift_recommendation(spark, sf_dir))
+    """The drift summary as one JSON document, read back with its schema."""
+    s = q_drift.drift_summary(spark, sf_dir)
     path = IO.write_summary_json(s, IO.shared_dir(spark, "drift_summary"))
-    return spark.read.json(path)
+    return spark.read.schema(s.schema).json(path)
 
 
 @register(

@@ -213,21 +213,26 @@ def duplicate_registration_all(spark, sf_dir):
 
 
 def _assemble_sql() -> str:
-    sensors = S.SENSOR_COLUMNS
-    fills = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__fill, avg({c}) AS {c}__mean, stddev_pop({c}) AS {c}__std" for c in sensors)
-    scaled = ", ".join(f"round((coalesce({c}, {c}__fill) - {c}__mean) / {c}__std, 6) AS {c}" for c in sensors)
+    sensors, features = S.SENSOR_COLUMNS, S.NUMERIC_FEATURES
+    fills = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__fill" for c in sensors)
+    known = ", ".join(f"avg({c}) AS {c}__mean, stddev_pop({c}) AS {c}__std" for c in features)
+    filled = ", ".join(f"coalesce({c}, {c}__fill) AS {c}" for c in sensors)
+    # off the middle between two rounded values
+    scaled = ", ".join(f"round(({c} - {c}__mean) / {c}__std + 1e-9, 6) AS {c}" for c in features)
     hot = ", ".join(f"CASE WHEN region = {V.q(r)} THEN 1.0 ELSE 0.0 END AS {P.onehot_name('region', r)}" for r in sorted(S.REGIONS))
-    return f"WITH f AS (SELECT {fills} FROM ref_window) SELECT obs_id, {scaled}, {hot} FROM observations_dirty, f"
+    return f"""WITH f AS (SELECT {fills} FROM ref_window), t AS (SELECT {', '.join(sensors)}, {V.derived_select()} FROM ref_window), m AS (SELECT {known} FROM t),
+    i AS (SELECT obs_id, region, {filled} FROM observations_dirty, f), d AS (SELECT *, {V.derived_select()} FROM i)
+    SELECT obs_id, {scaled}, {hot} FROM d, m"""
 
 
 @register("assemble_features", _assemble_sql())
 def assemble_features(spark, sf_dir):
-    """Imputed, scaled and one-hot sensor features of damaged rows, everything fitted on the rows before the cut date."""
+    """All imputed, scaled and one-hot features of damaged rows, everything fitted on the rows before the cut date."""
     from tidepool.plans.q_drift import windows
 
     fitted = P.fit_preparation(windows(spark, sf_dir)[0])
     out = fitted.apply(X.observations_dirty(spark, sf_dir))
-    return out.select("obs_id", *[F.round(f"num__{c}", 6).alias(c) for c in S.SENSOR_COLUMNS], *[P.onehot_name("region", r) for r in fitted.categories])
+    return out.select("obs_id", *[F.round(F.col(f"num__{c}") + 1e-9, 6).alias(c) for c in S.NUMERIC_FEATURES], *[P.onehot_name("region", r) for r in fitted.categories])
 
 
 def _promotion_sql(approver: str, reason: str, force: bool, dry_run: bool) -> str:

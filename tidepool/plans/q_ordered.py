@@ -28,10 +28,11 @@ def _split_sql(task: str, label: str) -> str:
     FROM observations"""
 
 
-@register(
-    "stratified_split",
-    _split_sql("health", "reef_health") + " UNION ALL " + _split_sql("restoration", "restoration_suitability"),
-)
+def split_sql() -> str:
+    return " UNION ALL ".join(_split_sql(t, label) for t, label in S.TASK_TARGET.items())
+
+
+@register("stratified_split", split_sql())
 def stratified_split(spark, sf_dir):
     names = {t: f"__{t}" for t in S.TASK_TARGET}
     done = O.stratified_splits(_obs(spark, sf_dir).select("obs_id", *S.TARGET_COLUMNS), S.TASK_TARGET, names)

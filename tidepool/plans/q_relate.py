@@ -36,7 +36,7 @@ def join_task_predictions(spark, sf_dir):
     r = X.predictions(spark, sf_dir, "restoration").select(
         "obs_id", F.col("predicted_class").alias("restoration_class"), F.col("confidence").alias("restoration_confidence")
     )
-    return h.join(r, "obs_id")
+    return B.paired(h, r, "obs_id")
 
 
 @register(
@@ -47,7 +47,7 @@ def join_features_target(spark, sf_dir):
     obs = _obs(spark, sf_dir)
     x = obs.select("obs_id", *S.SENSOR_COLUMNS, "region")
     y = obs.select("obs_id", "reef_health")
-    return x.join(y, "obs_id")
+    return B.paired(x, y, "obs_id")
 
 
 def _shares(src, label):

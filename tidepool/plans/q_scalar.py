@@ -154,8 +154,9 @@ def ordinal_encode(spark, sf_dir):
     FROM enc""",
 )
 def inverse_label(spark, sf_dir):
-    df = O.label_encode(_obs(spark, sf_dir).select("obs_id", "reef_health"), "reef_health", "health_code")
-    df = O.inverse_label(df, "health_code", "decoded_class", source="reef_health")
+    labels = _obs(spark, sf_dir).select("obs_id", "reef_health")
+    df = O.label_encode(labels, "reef_health", "health_code")
+    df = O.inverse_label(df, "health_code", "decoded_class", O.label_codes(labels, "reef_health"))
     return df.select(
         "obs_id", "health_code", "decoded_class", (F.col("decoded_class") == F.col("reef_health")).alias("round_trip")
     )
@@ -238,8 +239,20 @@ def round_coordinates(spark, sf_dir):
     return O.round_coordinates(_obs(spark, sf_dir))
 
 
-@register("prediction_envelope")
+@register(
+    "prediction_envelope",
+    " UNION ALL ".join(
+        f"""SELECT obs_id, predicted_class, confidence, {V.q(t)} AS task, {V.q(f'reef_{t}_model')} AS model_name, '1' AS model_version, 'champion' AS alias, 'run-fixture-scorer' AS run_id,
+        true AS one_timestamp, true AS has_disclaimer FROM predictions_{t}"""
+        for t in S.TASK_CLASSES
+    ),
+)
 def prediction_envelope(spark, sf_dir):
-    """Each prediction with task, model identity and one run timestamp (rows-only: wall clock)."""
-    p = X.predictions(spark, sf_dir, "health").select("obs_id", "predicted_class", "probabilities", "confidence")
-    return O.prediction_envelope(p, "health", "reef_health_model", "1", "champion", "run-fixture-scorer")
+    """Each prediction of both tasks with task, model identity, disclaimer and one run timestamp (told as a flag: it is the wall clock)."""
+    out = None
+    for t in S.TASK_CLASSES:
+        p = X.predictions(spark, sf_dir, t).select("obs_id", "predicted_class", "confidence")
+        own = O.prediction_envelope(p, t, f"reef_{t}_model", "1", "champion", "run-fixture-scorer")
+        out = own if out is None else out.unionByName(own)
+    flags = {"one_timestamp": F.col("prediction_ts") == F.current_timestamp(), "has_disclaimer": F.length("disclaimer") > 0}
+    return out.withColumns(flags).drop("prediction_ts", "disclaimer")
