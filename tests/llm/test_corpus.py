@@ -311,20 +311,15 @@ def test_super_kmers_cover_every_window_once():
 # 8: near copies
 
 
-def buckets(words):
-    blob = " ".join(words).encode()
-    return (Words(np.frombuffer(blob, np.uint8), np.array([0, len(blob)])).hash % np.uint64(icws.DF_BUCKETS)).tolist() if words else []
-
-
 def brute_classes(rows):
     n, df, sets = len(rows), Counter(), {}
     split = [(i, WORD.findall(t or "")) for i, t in rows]
     for _, w in split:
-        df.update(set(buckets(w)))
+        df.update(set(w))
     for i, w in split:
         if i is None or not w:
             continue
-        idf = {x: 1 + math.log((1 + n) / (1 + df[b])) / math.log(1 + n) for x, b in zip(w, buckets(w))}
+        idf = {x: 1 + math.log((1 + n) / (1 + df[x])) / math.log(1 + n) for x in w}
         tf = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
         sets[i, tuple(w)] = {s: (1 + math.log(c)) * sum(idf[x] for x in s) / len(s) for s, c in tf.items()}
     where, parent = defaultdict(set), {i: i for i, _ in split if i is not None}
@@ -355,13 +350,28 @@ def test_classes_equal_brute_force(corpus, chunk):
     assert len(set(exact.values())) < len(exact) - 50
 
 
+def test_document_frequencies_are_exact_and_the_floor_is_a_rule(spark, corpus, monkeypatch):
+    texts = [set(WORD.findall(x.text or "")) for x in corpus.collect()]
+    df, n = Counter(w for t in texts for w in t), len(texts)
+    words = sorted(df)
+    blob = " ".join(words).encode()
+    hashes = Words(np.frombuffer(blob, np.uint8), np.array([0, len(blob)])).hash
+    monkeypatch.setattr(icws, "FLUSH", 500)  # counts pass on in parts
+    for most in (icws.TABLE_WORDS, sum(v > 1 for v in df.values()) // 3):
+        idf = icws.inverse_frequencies(corpus, table_words=most)
+        assert len(idf.hashes) <= most and len(idf.hashes) == sum(v > idf.floor for v in df.values())
+        expected = [1 + math.log((1 + n) / (1 + max(df[w], idf.floor))) / math.log(1 + n) for w in words]
+        assert np.allclose(idf.of(hashes), expected, atol=1e-6)
+    assert idf.floor > 1
+
+
 def test_pairs_of_one_shared_band_are_compared():
     codes = np.arange(1, 1 + 3 * icws.BANDS * icws.ROWS, dtype=np.uint32).reshape(3, -1)
     codes[1:, : icws.ROWS] = codes[0, : icws.ROWS]  # one band of all
     near = prose(31, 200).split()
     texts = [" ".join(near), " ".join([*near[:-1], "other"]), prose(32, 200)]
     columns = {"group": [1] * 3, "_a": [0] * 3, "_b": [0] * 3, "_c": [0] * 3, "node": [5, 6, 7], "codes": [c.tobytes() for c in codes], "text": texts}
-    idf = SimpleNamespace(value=np.ones(icws.DF_BUCKETS))
+    idf = SimpleNamespace(value=icws.InverseFrequencies(10, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64)))
     out = [x.to_pydict() for x in icws._verify(idf, icws.SIMILARITY)(iter([pa.RecordBatch.from_pydict(columns)]))]
     assert [x for o in out for x in zip(o["node"], o["root"])] == [(5, 5), (6, 5), (7, 7)]
 

@@ -15,34 +15,87 @@ from .components import connected_components
 #: Words of a shingle, least similarity, bands and samples of a band.
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
-#: Document frequencies are kept for so many buckets of word hashes.
-DF_BUCKETS = 1 << 18
+#: Words whose document frequencies go to every task, 12 bytes each: all that stand in more than one text, as long as they are no more.
+TABLE_WORDS = 2_000_000
+#: Words counted before a task passes its counts on.
+FLUSH = 2_000_000
 #: Texts of a chunk of a large candidate group.
 CHUNK = 192
 
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Summed counts of equal hashes."""
+    hashes, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return hashes, np.bincount(which, weights=np.concatenate([p[1] for p in parts]), minlength=len(hashes)).astype(np.int64)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, df): in how many of the partition's texts a word of the bucket stands."""
-    total = np.zeros(DF_BUCKETS, dtype=np.int64)
+    """(word, df): in how many of the partition's texts each word, known by its 64-bit hash, stands."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def out():
+        hashes, df = _merge(held)
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(df)], ["word", "df"])
+
     for batch in batches:
         for _, _, data, offsets in steps(batch.column(0)):
             words = Words(data, offsets)
-            pairs = np.unique(words.text.astype(np.uint64) * np.uint64(DF_BUCKETS) + words.hash % np.uint64(DF_BUCKETS))
-            total += np.bincount((pairs % np.uint64(DF_BUCKETS)).astype(np.int64), minlength=DF_BUCKETS)
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "df"])
-
-
-def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """IDF of every bucket of word hashes over all texts: 1 + ln((1 + N) / (1 + df)) / ln(1 + N), from 1 to 2. DF_BUCKETS numbers at any size of input."""
+            hashes, which = np.unique(words.hash, return_inverse=True)
+            if not len(hashes):
+                continue
+            pairs = np.unique(words.text * len(hashes) + which)
+            held.append((hashes, np.bincount(pairs % len(hashes), minlength=len(hashes))))
+            n += len(hashes)
+            if n > FLUSH:
+                held = [_merge(held)]
+                n = len(held[0][0])
+                if n > FLUSH // 2:
+                    yield out()
+                    held, n = [], 0
+    if held:
+        yield out()
+
+
+class InverseFrequencies:
+    """IDF of words by hash: 1 + ln((1 + N) / (1 + df)) / ln(1 + N), from 1 to 2. Words without an entry stand in `floor` texts or fewer and count as `floor`."""
+
+    def __init__(self, n: int, floor: int, hashes: np.ndarray, df: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.floor = hashes[order], floor
+
+        def idf(x):
+            return (1 + np.log((1 + n) / (1 + x)) / np.log(1 + max(n, 1))).astype(np.float32)
+
+        self.values, self.rare = idf(df[order].astype(np.float64)), idf(np.array([float(floor)]))[0]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes) or not len(hashes):
+            return np.full(len(hashes), self.rare, dtype=np.float32)
+        own, which = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == own, self.values[at], self.rare).astype(np.float32)[which]
+
+
+def inverse_frequencies(docs: DataFrame, text_col: str = "text", table_words: int = TABLE_WORDS) -> InverseFrequencies:
+    """IDF from the exact document frequencies of all words of all texts.
+
+    A word of one text needs no entry. As long as no more than `table_words`
+    words stand in two texts or more, every weight is exact; beyond that the
+    floor doubles until the words above it fit, and rarer words count as the
+    floor, which is the same rule at every size.
+    """
     n = docs.count()
-    rows = map_texts(docs.select(F.col(text_col).cast("string").alias("text")), _word_counts, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()
-    df = np.zeros(DF_BUCKETS)
-    df[rows.column("bucket").to_numpy()] = rows.column("df").to_numpy()
-    return (1 + np.log((1 + n) / (1 + df)) / np.log(1 + max(n, 1))).astype(np.float32)
+    counted = map_texts(docs.select(F.col(text_col).cast("string").alias("text")), _word_counts, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
+    counted = cut(counted.where("df > 1"), "word-frequencies")
+    floors = [1 << j for j in range(48)]
+    above = counted.agg(*[F.count(F.when(F.col("df") > f, 1)).alias(f"n{j}") for j, f in enumerate(floors)]).first()
+    floor = next(f for j, f in enumerate(floors) if above[f"n{j}"] <= table_words)
+    rows = counted.where(F.col("df") > floor).toArrow()
+    return InverseFrequencies(n, floor, rows.column("word").to_numpy().view(np.uint64), rows.column("df").to_numpy())
 
 
-def elements(words: Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def elements(words: Words, idf: InverseFrequencies) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, element, weight) sorted by both: the weighted sets of texts.
 
     A shingle of SHINGLE words weighs (1 + ln tf) times the mean IDF of its
@@ -52,7 +105,7 @@ def elements(words: Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     text of fewer words has one shingle of them all.
     """
     start, h = windows_hash(words, SHINGLE)
-    own = idf[(words.hash % np.uint64(DF_BUCKETS)).astype(np.int64)]
+    own = idf.of(words.hash)
     run = np.concatenate(([0.0], np.cumsum(own, dtype=np.float64)))
     weight = (run[start + SHINGLE] - run[start]) / SHINGLE
     text = words.text[start]
@@ -229,8 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts are linked if the weighted Jaccard similarity of their TF-IDF shingles
     is at least `similarity`; classes are the connected components. IDF comes from
-    document frequencies of all texts, by word-hash bucket (a fixed number of
-    buckets at any size). Equal texts are one representative each, so copies meet
+    exact document frequencies of all words (see `inverse_frequencies`). Equal texts are one representative each, so copies meet
     nobody. Representatives whose samples agree in a whole band are candidates;
     candidates that hang together form groups, whose texts are fetched once and
     compared in blocks of at most two chunks: every pair that shares a band has
