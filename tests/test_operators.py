@@ -247,3 +247,67 @@ def test_every_run_is_looked_up(spark):
     got = registry.QUERIES["duplicate_registration_all"](spark, SMALL).collect()
     assert sum(r.runs for r in got) == X.table(spark, SMALL, "events").count()
     assert {(r.model_name, r.registered) for r in got} == {(m, x) for m in ("reef_health_model", "restoration_model") for x in (True, False)}
+
+
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_correlations_of_gappy_columns_equal_pandas(spark, monkeypatch, most):
+    from tidepool.operators import profile as PR
+
+    monkeypatch.setattr(PR, "RANK_ROWS", most)
+    r = np.random.default_rng(3)
+    x = r.integers(0, 6, (200, 3)).astype(float)
+    x[:, 1] += x[:, 0]
+    x[r.random((200, 3)) < 0.1] = np.nan
+    rows = [(*[None if np.isnan(v) and i % 2 else float(v) for v in row], 7.0) for i, row in enumerate(x)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, flat double")
+    table = frame.toPandas()
+    got = {(p.col_a, p.col_b): p for p in PR.correlation_pairs(frame, ["a", "b", "c", "flat"], "r").collect()}
+    ranks = table.rank()  # ranks of a column's own values, as the operator's
+    by_rank = {(p.col_a, p.col_b): p for p in PR.rank_correlation_pairs(frame, ["a", "b", "c", "flat"], "r").collect()}
+    for (a, b), p in got.items():
+        if b == "flat":
+            assert p.r is None and by_rank[a, b].r is None
+            continue
+        assert p.r == pytest.approx(table[a].corr(table[b]), abs=2e-6) and p.strong == (abs(p.r) > 0.8)
+        assert by_rank[a, b].r == pytest.approx(ranks[a].corr(ranks[b]), abs=2e-6)
+
+
+def test_requests_are_judged_record_by_record(spark):
+    import json
+
+    from tidepool.plans import q_validate as Q
+
+    good = {c: sum(S.COLUMN_BOUNDS[c]) / 2 for c in S.SENSOR_COLUMNS} | {"region": S.REGIONS[0]}
+    changes = {
+        "fine": ({}, ""),
+        "placed": ({"latitude": 1.0, "timestamp": "2024-01-01"}, ""),
+        "extra": ({"reef_name": "x", "zone": 1}, "extra_field:reef_name,extra_field:zone"),
+        "high": ({"ph": 9.5}, "range:ph"),
+        "strange": ({"region": "Atlantis"}, "unknown_region"),
+    }
+    rows = [(k, 1, json.dumps(good | c)) for k, (c, _) in changes.items()]
+    rows += [("short", 1, json.dumps({k: v for k, v in good.items() if k != "depth_m"})), ("torn", 1, '{"ph": 8')]
+    rows += [(f"n{i}", 2, json.dumps(good)) for i in range(51)] + [(f"m{i}", 3, json.dumps(good)) for i in range(50)]
+    got = {r.obs_id: r for r in Q.judge_requests(spark.createDataFrame(rows, "obs_id string, batch long, json string")).collect()}
+    assert {k: got[k].reasons for k in changes} == {k: w for k, (_, w) in changes.items()}
+    assert got["short"].reasons == "missing:depth_m" and got["torn"].status == "quarantined"
+    assert all(got[f"n{i}"].reasons == "batch_size" for i in range(51)) and all(got[f"m{i}"].status == "accepted" for i in range(50))
+
+
+def test_paired_rows_need_partners(spark):
+    a, b = (spark.createDataFrame([(k, v) for k in ks], f"id string, {v} string") for v, ks in (("x", "abc"), ("y", "abc")))
+    assert B.paired(a, b, "id").count() == 3
+    with pytest.raises(Exception, match="no partner"):
+        B.paired(a, b.where("id <> 'b'"), "id").collect()
+
+
+def test_every_decision_occurs(spark):
+    decisions = {r.decision for r in registry.QUERIES["promotion_requests"](spark, SMALL).collect()}
+    assert decisions >= {"blocked_missing_approval", "blocked_rejected", "blocked_review_required", "promote", "dry_run_ok"}
+    assert {r.decision for r in registry.QUERIES["rollback_requests"](spark, SMALL).collect()} == {"roll_back", "nothing_to_do", "blocked_unknown_version", "blocked_no_target"}
+    checks = {(r.check, r.passed) for r in registry.QUERIES["retrain_input_checks"](spark, SMALL).collect()}
+    assert {c for c, p in checks if not p} >= {"region_domain", "min_rows", "duplicates", "non_finite", "target_present", "all_classes_present", "min_per_class"}
+    assert {r.written for r in registry.QUERIES["write_if_valid"](spark, SMALL).collect()} == {True, False}
+    for name in ("space_time_join", "static_grid_join"):
+        rows = registry.QUERIES[name](spark, SMALL).collect()
+        assert 0 < sum(r[1] is not None for r in rows)

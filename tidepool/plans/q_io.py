@@ -62,7 +62,7 @@ def scan_json_records(spark, sf_dir):
 
 
 #: Events of one file of scan_json_files.
-_FILE_EVENTS = 500
+_FILE_EVENTS = 200
 
 
 @register(

@@ -280,11 +280,7 @@ def pearson_matrix_features(spark, sf_dir):
 )
 def spearman_matrix_features(spark, sf_dir):
     """M16 over all 21 numeric features: average ranks from split value counts, then Pearson on ranks."""
-    cols = S.NUMERIC_FEATURES
-    long = _features(spark, sf_dir).unpivot(["obs_id"], cols, "column", "value")
-    ranks = O.average_ranks(long, "column", "value")
-    ranked = long.join(ranks, ["column", "value"]).groupBy("obs_id").pivot("column", cols).agg(F.first("avg_rank"))
-    return PR.correlation_pairs(ranked, cols, "rho")
+    return PR.rank_correlation_pairs(_features(spark, sf_dir), S.NUMERIC_FEATURES, "rho")
 
 
 _CLOSED_FORM_SQL = (

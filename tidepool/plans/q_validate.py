@@ -200,6 +200,49 @@ def request_validation(spark, sf_dir):
     )
 
 
+_REQUEST_FIELDS = [*S.SENSOR_COLUMNS, "region"]
+_REQUEST_REASONS = {"extra_field:reef_name": "_ep % 61 = 0", "missing:ph": "_ep % 67 = 0", "unknown_region": "_ep % 71 = 0"}
+
+
+@register(
+    "request_batches",
+    f"""WITH r AS (SELECT obs_id, _ep % 1201 AS batch, _ep FROM obs_base), n AS (SELECT batch, count(*) AS batch_n FROM r GROUP BY 1),
+    x AS (SELECT obs_id, batch, concat_ws(',', {", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _REQUEST_REASONS.items())}, CASE WHEN batch_n > {_API_BATCH_MAX} THEN 'batch_size' END) AS reasons FROM r JOIN n USING (batch))
+    SELECT obs_id, batch, CASE WHEN reasons = '' THEN 'accepted' ELSE 'quarantined' END AS status, reasons FROM x""",
+)
+def request_batches(spark, sf_dir):
+    """C15 on JSON records: fields that the contract does not name, missing ones and unknown regions are refused, and so is every record of a batch of more than 50."""
+    base = X.labelled_base(spark, sf_dir)
+    rule = {n: F.expr(c) for n, c in _REQUEST_REASONS.items()}
+    fields = {c: F.col(c) for c in _REQUEST_FIELDS}
+    fields["ph"] = F.when(~rule["missing:ph"], F.col("ph"))
+    fields["region"] = F.when(rule["unknown_region"], "Unknown Reef").otherwise(F.col("region"))
+    fields["reef_name"] = F.when(rule["extra_field:reef_name"], "a reef")
+    sent = base.select("obs_id", (F.col("_ep") % 1201).alias("batch"), F.to_json(F.struct(*[v.alias(c) for c, v in fields.items()])).alias("json"))
+    return judge_requests(sent)
+
+
+def judge_requests(sent):
+    """(obs_id, batch, status, reasons) of records (obs_id, batch, json)."""
+    allowed = F.array(*map(F.lit, [*_REQUEST_FIELDS, "timestamp", "latitude", "longitude"]))
+    keys = F.coalesce(F.json_object_keys("json"), F.array().cast("array<string>"))
+    r = sent.withColumns({"_keys": keys, "_p": F.from_json("json", ", ".join(f"{c} {'string' if c == 'region' else 'double'}" for c in _REQUEST_FIELDS))})
+    n = r.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_n"))
+    r = r.join(n, "batch")
+    reasons = [
+        F.transform(F.array_except("_keys", allowed), lambda k: F.concat(F.lit("extra_field:"), k)),
+        F.transform(F.array_except(F.array(*map(F.lit, _REQUEST_FIELDS)), F.col("_keys")), lambda k: F.concat(F.lit("missing:"), k)),
+        F.array(F.when(F.col("_p.region").isNotNull() & ~F.col("_p.region").isin(S.REGIONS), "unknown_region")),
+    ]
+    for c in S.SENSOR_COLUMNS:
+        lo, hi = S.COLUMN_BOUNDS[c]
+        value = F.col(f"_p.{c}")
+        reasons.append(F.array(F.when(F.isnan(value) | (value < lo) | (value > hi), f"range:{c}")))
+    reasons.append(F.array(F.when(F.col("batch_n") > _API_BATCH_MAX, "batch_size")))
+    told = F.array_join(F.filter(F.concat(*reasons), lambda x: x.isNotNull()), ",")
+    return r.select("obs_id", "batch", told.alias("reasons")).select("obs_id", "batch", F.when(F.col("reasons") == "", "accepted").otherwise("quarantined").alias("status"), "reasons")
+
+
 # --- C16: retraining input checks over inputs that pass and fail ------------
 #: input -> (rows of it, columns that it changes), as SQL over the observations with their key `_ep`
 _INPUTS = {

@@ -51,15 +51,17 @@ def read_observations_csv(spark: SparkSession, path: str, schema: T.StructType =
     """CSV files with a header and the declared schema (no inference), and `broken_line`: the text of a line that does not parse, else null.
 
     The header must name the schema's columns in order. A broken line keeps what
-    can be read; a number or time that cannot be is null. Spark wants another
-    column to be read with `broken_line`.
+    can be read; a number or time that cannot be is null.
     """
     header = spark.read.option("header", True).csv(path).columns
     require_columns(spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in header])), schema.names)
     if header != schema.names:
         raise ValueError(f"unexpected columns: {header}")
     full = T.StructType([*schema.fields, T.StructField("broken_line", T.StringType())])
-    return spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken_line").csv(path)
+    rows = spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken_line").csv(path)
+    # Spark converts only the fields that are read: the line's text is made to need them all
+    nothing = F.substring(F.xxhash64(*schema.names).cast("string"), 1, 0)
+    return rows.withColumn("broken_line", F.concat("broken_line", nothing))
 
 
 def read_json_files(spark: SparkSession, path: str, record: str) -> DataFrame:
