@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import ordered as O
 
-from tidepool.functions import columns as C
 
 CELL = ["lat_idx", "lon_idx"]
 
@@ -55,27 +54,9 @@ def cross_check(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float =
     )
 
 
-def step_gaps(df: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
-    """Median / max gap in days between consecutive distinct time steps per key
-    (window over distinct days: one row per day per key)."""
-    d = df.select(*keys, time).distinct()
-    w = Window.partitionBy(*keys).orderBy(time)
-    g = d.withColumn("gap", F.datediff(F.col(time), F.lag(time).over(w)))
-    return g.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("steps"),
-        F.percentile("gap", 0.5).alias("median_gap_days"),
-        F.max("gap").alias("max_gap_days"),
-        (F.datediff(F.max(time), F.min(time)) + 1).alias("expected_days"),
-    ).withColumn("missing_days", F.col("expected_days") - F.col("steps"))
-
-
 def trailing_accumulation(df: DataFrame, value: str, threshold: float, days: int = 84) -> DataFrame:
     """Per cell, running sum over the trailing ``days`` days of values >= threshold, / 7.
     The window is partitioned by cell, so each task holds one cell's series."""
     w = Window.partitionBy(*CELL).orderBy(F.unix_date(F.col("time"))).rangeBetween(-(days - 1), 0)
     contrib = F.when(F.col(value) >= threshold, F.col(value)).otherwise(F.lit(0.0))
     return df.withColumn("accumulation", F.round(F.sum(contrib).over(w) / 7.0, 6))
-
-
-def is_valid(c: str = "value"):
-    return C.is_finite(c)

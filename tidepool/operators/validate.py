@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
-from tidepool.functions import columns as C
 
 
 def _fmt(v: float) -> str:
@@ -155,11 +154,6 @@ def region_bound_violations(spark: SparkSession, df: DataFrame) -> DataFrame:
     return j.select("obs_id", region_bounds_check().alias("v")).filter(F.col("v").isNotNull()).select("obs_id", "v.*")
 
 
-def columns_present(df: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) -> list[str]:
-    """Missing required columns (extras allowed)."""
-    return [c for c in required if c not in df.columns]
-
-
 def null_summary(df: DataFrame) -> DataFrame:
     cols = df.columns
     return df.agg(
@@ -173,10 +167,3 @@ def retraining_permission(recommendation: Column, reason: Column) -> Column:
     return F.upper(F.coalesce(recommendation, F.lit(""))).startswith("RETRAIN") | (
         F.trim(F.coalesce(reason, F.lit(""))) != ""
     )
-
-
-def finite_all(cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & C.is_finite(c)
-    return cond
