@@ -16,7 +16,7 @@ from .components import connected_components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
 #: Words whose document frequencies go to every task, 12 bytes each: all that stand in more than one text, as long as they are no more.
-TABLE_WORDS = 2_000_000
+TABLE_WORDS = 400_000
 #: Words counted before a task passes its counts on.
 FLUSH = 2_000_000
 #: Texts of a chunk of a large candidate group.
