@@ -70,3 +70,42 @@ def test_cuts_read_counts_once(spark):
     assert cuts._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 3000") == 1
     split = O.stratified_split(rows, "kind", 0.25, salt="t")
     assert {(r["kind"], r["split"]): r["count"] for r in split.groupBy("kind", "split").count().collect()} == {(k, s): n for k in ("a", "b", None) for s, n in (("test", 250), ("train", 750))}
+
+
+def test_repeated_rows_tells_rows_apart_as_grouping_does(spark):
+    rows = [(1.0, None, "a"), (1.0, None, "a"), (None, 1.0, "a"), (0.0, 2.0, "b"), (-0.0, 2.0, "b"), (float("nan"), 2.0, "b"), (float("nan"), 2.0, "b"), (1.0, None, None), (1.0, None, "")]
+    from tidepool.operators.retrain import repeated_rows
+
+    df = spark.createDataFrame(rows, "x double, y double, s string")
+    assert repeated_rows(df, df.columns).first()["dups"] == 3
+    assert repeated_rows(df.where("false"), df.columns).first()["dups"] == 0
+    # no row travels: what is shuffled are two hashes
+    assert "repartitionbyexpression [a#" in repeated_rows(df, df.columns)._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_space_time_join_explodes_places_not_rows(spark):
+    from tidepool.plans.q_grid import nearest_cells
+
+    places = spark.createDataFrame([("2020-01-05", 10, 20), ("2020-01-09", 10, 20), ("2020-03-01", 0, 0)], "day string, lat_idx int, lon_idx int").withColumn("day", F.col("day").cast("date"))
+    g = spark.createDataFrame([("2020-01-05", 11, 20, 1.0), ("2020-01-06", 10, 20, 2.0), ("2020-01-04", 10, 20, 3.0), ("2020-01-10", 9, 21, 4.0)], "time string, g_lat int, g_lon int, value double").withColumn("time", F.col("time").cast("date"))
+    found = {str(r["day"]): r["best"].asDict() for r in nearest_cells(places, g).collect()}
+    assert set(found) == {"2020-01-05", "2020-01-09"}
+    first = found["2020-01-05"]
+    assert (first["cell_dist"], first["day_dist"], str(first["time"]), first["value"]) == (0, 1, "2020-01-04", 3.0)
+    assert found["2020-01-09"]["cell_dist"] == 2
+
+
+def test_mutual_information_counts_serve_both_tasks(spark):
+    from tidepool.plans.q_profile import _binned_counts
+
+    rows = [(*[float(i + j) if (i + j) % 7 else None for j in range(len(S.SENSOR_COLUMNS))], "ab"[i % 2], None if i % 5 == 0 else "uv"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in S.SENSOR_COLUMNS) + ", p string, q string")
+    counts = _binned_counts(df, {"one": "p", "two": "q"})
+    assert counts.where("n is null or bin is null or bin > 9").isEmpty()
+    sums = {(r["task"], r["column"]): r["s"] for r in counts.groupBy("task", "column").agg(F.sum("n").alias("s")).collect()}
+    assert sums == {(t, c): 40 for t in ("one", "two") for c in S.SENSOR_COLUMNS}
+    c = S.SENSOR_COLUMNS[0]
+    values = [r[0] for r in rows]
+    lo, hi = min(v for v in values if v is not None), max(v for v in values if v is not None)
+    for r in counts.where((F.col("column") == c) & (F.col("task") == "one")).collect():
+        assert r["n"] == sum(1 for row in rows if row[-2] == r["y"] and (0 if row[0] is None else min(9, int((row[0] - lo) / ((hi - lo) / 10)))) == r["bin"])

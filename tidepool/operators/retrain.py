@@ -7,12 +7,31 @@ from pyspark.sql import functions as F
 
 from tidepool import schema as S
 from tidepool.functions import columns as C
+from tidepool.sources.io import row_partitions
 
 MIN_ROWS = 250  # int(200 / (1 - 0.2))
 
 
-def input_checks(spark: SparkSession, df: DataFrame, target: str, classes: list[str]) -> DataFrame:
-    """Eight checks -> one row each: (check_order, check, passed, detail)."""
+def repeated_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, `dups`: how many rows of df repeat another one in all of `columns`.
+
+    Rows are told apart by two 64-bit hashes of them (128 bits), and only these
+    are shuffled, into partitions that follow the number of rows. As in grouping,
+    nulls and NaN equal themselves and -0.0 equals 0.0.
+    """
+    flat = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if t in ("double", "float") else F.col(c) for c, t in df.select(*columns).dtypes]
+    # a null leaves a hash as it is: which columns are null is hashed too
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    keys = df.select(F.xxhash64(F.lit(1), gaps, *flat).alias("a"), F.xxhash64(F.lit(2), gaps, *flat).alias("b"))
+    dealt = keys.repartition(row_partitions(df.sparkSession, df.count()), "a", "b")
+    return dealt.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("dups"))
+
+
+def input_checks(spark: SparkSession, df: DataFrame, target: str, classes: list[str], dups: int | None = None) -> DataFrame:
+    """Eight checks -> one row each: (check_order, check, passed, detail).
+
+    `dups` is what ``repeated_rows`` found, if it is known: it serves all targets.
+    """
     fin = F.lit(True)
     for c in S.SENSOR_COLUMNS:
         fin = fin & C.is_finite(c)
@@ -20,11 +39,7 @@ def input_checks(spark: SparkSession, df: DataFrame, target: str, classes: list[
         F.count(F.lit(1)).alias("n"),
         *[F.coalesce(F.sum(x), F.lit(0)).alias(n) for n, x in (("nonfinite_rows", F.when(fin, 0).otherwise(1)), ("null_target", F.col(target).isNull().cast("long")), ("bad_region", F.when(F.col("region").isin(S.REGIONS), 0).otherwise(1)))],
     )
-    d = (
-        df.groupBy(*S.OBSERVATION_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("dups"))
-    )
+    d = repeated_rows(df, S.OBSERVATION_COLUMNS) if dups is None else spark.range(1).select(F.lit(dups).cast("long").alias("dups"))
     k = (
         df.groupBy(target)
         .agg(F.count(F.lit(1)).alias("c"))

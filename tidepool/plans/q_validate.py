@@ -296,7 +296,7 @@ _REPEATED = f"SELECT {', '.join(S.OBSERVATION_COLUMNS)} FROM obs_labelled, range
 )
 def retrain_input_checks(spark, sf_dir):
     """The eight checks of both tasks over a clean input and inputs that fail them."""
-    from tidepool.operators.retrain import input_checks
+    from tidepool.operators.retrain import input_checks, repeated_rows
 
     base = X.labelled_base(spark, sf_dir)
     out = None
@@ -305,8 +305,9 @@ def retrain_input_checks(spark, sf_dir):
         df = base.where(F.expr(rows)).withColumns({c: F.expr(e) for c, e in changed.items()}).select(*S.OBSERVATION_COLUMNS)
         if name == "repeated":
             df = df.withColumn("_copy", F.explode(F.array(*map(F.lit, range(3))))).drop("_copy")
+        dups = repeated_rows(df, S.OBSERVATION_COLUMNS).first()["dups"]
         for t, target in S.TASK_TARGET.items():
-            own = input_checks(spark, df, target, S.TASK_CLASSES[t]).select(F.lit(name).alias("input"), F.lit(t).alias("task"), "*")
+            own = input_checks(spark, df, target, S.TASK_CLASSES[t], dups).select(F.lit(name).alias("input"), F.lit(t).alias("task"), "*")
             out = own if out is None else out.unionByName(own)
     return out
 
