@@ -330,20 +330,34 @@ def _obs_cells_sql():
 def space_time_join(spark, sf_dir):
     """Survey -> grid: nearest cell within one cell and +-1 day. The tolerance
     join is an equi-join on exploded neighbour keys (3 x 3 cells x 3 days per
-    observation), then row_number per observation picks the nearest."""
+    observed cell and day, not per observation); observations meet the nearest
+    cell of theirs, and an id that repeats keeps its nearest one."""
     obs = X.observations(spark, sf_dir).select(
         "obs_id",
         F.to_date("timestamp").alias("day"),
         F.round(F.col("latitude") * 4).cast("int").alias("lat_idx"),
         F.round(F.col("longitude") * 4).cast("int").alias("lon_idx"),
     )
+    g = X.survey_grid(spark, sf_dir).select("time", F.col("lat_idx").alias("g_lat"), F.col("lon_idx").alias("g_lon"), "value")
+    near = nearest_cells(obs.select("day", "lat_idx", "lon_idx").distinct(), g)
+    found = obs.join(near, ["day", "lat_idx", "lon_idx"]).select("obs_id", "best.*")
+    # partitions follow the number of rows: the window's sort stays in memory
+    w = Window.partitionBy("obs_id").orderBy("cell_dist", "day_dist", "time", "g_lat", "g_lon")
+    dealt = found.repartition(IO.row_partitions(spark, obs.count()), "obs_id")
+    return dealt.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).select(
+        "obs_id", "time", "g_lat", "g_lon", "value", "cell_dist", "day_dist"
+    )
+
+
+def nearest_cells(places, g):
+    """(day, lat_idx, lon_idx, best) of distinct places that a cell of g lies near: its distance, place and value."""
     offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
     keys = (
-        obs.withColumn("dlat", F.explode(offs))
+        places.withColumn("dlat", F.explode(offs))
         .withColumn("dlon", F.explode(offs))
         .withColumn("dday", F.explode(offs))
         .select(
-            "obs_id",
+            "day", "lat_idx", "lon_idx",
             (F.col("lat_idx") + F.col("dlat")).alias("g_lat"),
             (F.col("lon_idx") + F.col("dlon")).alias("g_lon"),
             F.date_add("day", F.col("dday")).alias("time"),
@@ -351,12 +365,8 @@ def space_time_join(spark, sf_dir):
             F.abs("dday").alias("day_dist"),
         )
     )
-    g = X.survey_grid(spark, sf_dir).select("time", F.col("lat_idx").alias("g_lat"), F.col("lon_idx").alias("g_lon"), "value")
-    c = keys.join(g, ["time", "g_lat", "g_lon"])
-    w = Window.partitionBy("obs_id").orderBy("cell_dist", "day_dist", "time", "g_lat", "g_lon")
-    return c.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).select(
-        "obs_id", "time", "g_lat", "g_lon", "value", "cell_dist", "day_dist"
-    )
+    best = F.min(F.struct("cell_dist", "day_dist", "time", "g_lat", "g_lon", "value")).alias("best")
+    return keys.join(g, ["time", "g_lat", "g_lon"]).groupBy("day", "lat_idx", "lon_idx").agg(best)
 
 
 @register(
