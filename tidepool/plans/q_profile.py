@@ -395,14 +395,27 @@ _MI_SQL = (
 )
 
 
-def _mutual_information(long, keys):
-    r = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi0"))
-    r = r.withColumn("hi", F.when(F.col("hi0") <= F.col("lo"), F.col("lo") + 1.0).otherwise(F.col("hi0")))
-    b = long.join(F.broadcast(r), "column").select(  # one row per feature column
-        *keys, "y",
-        F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("value") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 10)))).cast("int").alias("bin"),
-    )
-    j = b.groupBy(*keys, "bin", "y").agg(F.count(F.lit(1)).alias("n"))
+def _binned_counts(rows, labels):
+    """(task, column, bin, y, n): counts of ten equal bins of every sensor by each task's label.
+
+    Two passes over the rows as they are: the columns' bounds, then counts by
+    column, bin and all labels together, which are few and serve every task.
+    """
+    r = rows.agg(*[f(c).alias(f"{k}_{c}") for c in _MI_COLS for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    codes = []
+    for i, c in enumerate(_MI_COLS):
+        lo, hi = F.lit(r[f"lo_{c}"]).cast("double"), F.lit(r[f"hi_{c}"]).cast("double")
+        hi = F.when(hi <= lo, lo + 1.0).otherwise(hi)
+        bin_ = F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col(c).cast("double") - lo) / ((hi - lo) / 10)))).cast("int")
+        codes.append(F.lit(10 * i) + bin_)
+    n = rows.select(*labels.values(), F.explode(F.array(*codes)).alias("code")).groupBy(*labels.values(), "code").agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*map(F.lit, _MI_COLS))
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(c).alias("y")) for t, c in labels.items()])).alias("l")
+    few = n.select(each, F.element_at(names, F.floor(F.col("code") / 10).cast("int") + 1).alias("column"), (F.col("code") % 10).alias("bin"), "n")
+    return few.groupBy("l.task", "column", "bin", "l.y").agg(F.sum("n").alias("n"))
+
+
+def _mutual_information(j, keys):
     t = j.groupBy(*keys).agg(F.sum("n").alias("total"))
     px = j.groupBy(*keys, "bin").agg(F.sum("n").alias("nx"))
     py = j.groupBy(*keys, "y").agg(F.sum("n").alias("ny"))
@@ -434,10 +447,8 @@ def closed_form_benchmark_by_task(spark, sf_dir):
 
 @register("mutual_information_by_task", both_tasks_sql(lambda t: _MI_SQL.replace("reef_health", S.TASK_TARGET[t])))
 def mutual_information_by_task(spark, sf_dir):
-    """mutual_information of each feature with both labels, from one pass."""
-    labels = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(c).alias("y")) for t, c in S.TASK_TARGET.items()])).alias("l")
-    long = _obs(spark, sf_dir).select(labels, *_MI_COLS).select("l.task", "l.y", *_MI_COLS).unpivot(["task", "y"], _MI_COLS, "column", "value")
-    return _mutual_information(long, ["task", "column"])
+    """mutual_information of each feature with both labels, from one count of rows by bin and labels."""
+    return _mutual_information(_binned_counts(_obs(spark, sf_dir), S.TASK_TARGET), ["task", "column"])
 
 
 @register(
