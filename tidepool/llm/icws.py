@@ -15,7 +15,7 @@ from .components import connected_components
 #: Words of a shingle, least similarity, bands and samples of a band.
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
-#: Words whose document frequencies go to every task, 12 bytes each: all that stand in more than one text, as long as they are no more.
+#: Words whose document frequencies go to every task, 12 bytes each: all that stand in more than one text, as long as they are no more. Those of rarer words travel with the texts.
 TABLE_WORDS = 400_000
 #: Words counted before a task passes its counts on.
 FLUSH = 2_000_000
@@ -58,16 +58,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class InverseFrequencies:
-    """IDF of words by hash: 1 + ln((1 + N) / (1 + df)) / ln(1 + N), from 1 to 2. Words without an entry stand in `floor` texts or fewer and count as `floor`."""
+    """IDF of words by hash: 1 + ln((1 + N) / (1 + df)) / ln(1 + N), from 1 to 2. Words without an entry count as `floor`.
+
+    With a floor of 1 these are the words of one text. With a higher one, `knowing`
+    adds the exact frequencies of the rarer words that some texts brought along.
+    """
 
     def __init__(self, n: int, floor: int, hashes: np.ndarray, df: np.ndarray):
         order = np.argsort(hashes)
-        self.hashes, self.floor = hashes[order], floor
+        self.n, self.hashes, self.floor = n, hashes[order], floor
+        self.values, self.rare = self._idf(df[order].astype(np.float64)), self._idf(np.array([float(floor)]))[0]
 
-        def idf(x):
-            return (1 + np.log((1 + n) / (1 + x)) / np.log(1 + max(n, 1))).astype(np.float32)
+    def _idf(self, x: np.ndarray) -> np.ndarray:
+        return (1 + np.log((1 + self.n) / (1 + x)) / np.log(1 + max(self.n, 1))).astype(np.float32)
 
-        self.values, self.rare = idf(df[order].astype(np.float64)), idf(np.array([float(floor)]))[0]
+    def knowing(self, more: pa.ListArray) -> _Known:
+        """This table with the (word, df) lists of some texts, whose words without an entry stand in one text."""
+        flat = more.flatten()
+        hashes, first = np.unique(flat.field("word").to_numpy().view(np.uint64), return_index=True)
+        return _Known(self, hashes, self._idf(flat.field("df").to_numpy()[first].astype(np.float64)))
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes) or not len(hashes):
@@ -77,13 +86,38 @@ class InverseFrequencies:
         return np.where(self.hashes[at] == own, self.values[at], self.rare).astype(np.float32)[which]
 
 
+class _Known:
+    """A table of frequent words and the exact weights of a few texts' rarer words."""
+
+    def __init__(self, table: InverseFrequencies, hashes: np.ndarray, values: np.ndarray):
+        self.table, self.hashes, self.values = table, hashes, values
+        self.single = table._idf(np.array([1.0]))[0]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.table.of(hashes)
+        listed = np.zeros(len(hashes), dtype=bool)
+        for own, values in ((self.table.hashes, None), (self.hashes, self.values)):
+            if len(own):
+                at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                here = own[at] == hashes
+                if values is not None:
+                    found = np.where(here, values[at], found)
+                listed |= here
+        return np.where(listed, found, self.single).astype(np.float32)
+
+
 def inverse_frequencies(docs: DataFrame, text_col: str = "text", table_words: int = TABLE_WORDS) -> InverseFrequencies:
-    """IDF from the exact document frequencies of all words of all texts.
+    """The IDF table of ``word_frequencies``: exact for all words while its floor is 1."""
+    return word_frequencies(docs, text_col, table_words)[0]
+
+
+def word_frequencies(docs: DataFrame, text_col: str = "text", table_words: int = TABLE_WORDS) -> tuple[InverseFrequencies, DataFrame | None]:
+    """IDF from the exact document frequencies of all words of all texts, and (word, df) of the words that the table leaves out.
 
     A word of one text needs no entry. As long as no more than `table_words`
-    words stand in two texts or more, every weight is exact; beyond that the
-    floor doubles until the words above it fit, and rarer words count as the
-    floor, which is the same rule at every size.
+    words stand in two texts or more, the table has them all and nothing is left
+    out. Beyond that the floor doubles until the words above it fit, and those of
+    2 to `floor` texts are left out: ``rare_words`` brings them to their texts.
     """
     n = docs.count()
     counted = map_texts(docs.select(F.col(text_col).cast("string").alias("text")), _word_counts, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
@@ -92,7 +126,32 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text", table_words: in
     above = counted.agg(*[F.count(F.when(F.col("df") > f, 1)).alias(f"n{j}") for j, f in enumerate(floors)]).first()
     floor = next(f for j, f in enumerate(floors) if above[f"n{j}"] <= table_words)
     rows = counted.where(F.col("df") > floor).toArrow()
-    return InverseFrequencies(n, floor, rows.column("word").to_numpy().view(np.uint64), rows.column("df").to_numpy())
+    table = InverseFrequencies(n, floor, rows.column("word").to_numpy().view(np.uint64), rows.column("df").to_numpy())
+    return table, counted.where(F.col("df") <= floor) if floor > 1 else None
+
+
+def _untabled(idf):
+    """(h1, h2, word) of each word of a text that the table does not hold, once a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, to, data, offsets in steps(batch.column(2)):
+                words = Words(data, offsets)
+                new = ~np.isin(words.hash, idf.value.hashes)
+                text, h = words.text[new], words.hash[new]
+                order = np.lexsort((h, text))
+                text, h = text[order], h[order]
+                first = np.concatenate(([True], (text[1:] != text[:-1]) | (h[1:] != h[:-1])))[: len(h)]
+                at = pa.array(text[first] + row)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(h[first].view(np.int64))], ["h1", "h2", "word"])
+
+    return run
+
+
+def rare_words(texts: DataFrame, idf, rest: DataFrame) -> DataFrame:
+    """(h1, h2, rare): by text the (word, df) list of its words in `rest`. Texts are given as (h1, h2, text), equal ones once or more."""
+    pairs = map_texts(texts, _untabled(idf), "h1 long, h2 long, word long").join(rest, "word")
+    return pairs.groupBy("h1", "h2").agg(F.collect_set(F.struct("word", "df")).alias("rare"))
 
 
 def elements(words: Words, idf: InverseFrequencies) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,7 +266,8 @@ def _signatures(idf):
         sample = Sampler()
         for batch in batches:
             for row, to, data, offsets in steps(batch.column(3), 1 << 18):
-                codes = sample(*elements(Words(data, offsets), idf.value), to - row)
+                known = idf.value.knowing(batch.column(4).slice(row, to - row)) if batch.num_columns > 4 else idf.value
+                codes = sample(*elements(Words(data, offsets), known), to - row)
                 some = codes[:, 0] != 0
                 keys = band_keys(codes).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)), pa.array(keys[some].reshape(-1)))
@@ -265,7 +325,8 @@ def _verify(idf, similarity: float):
                     continue
                 parts = list(steps(table.column("text").slice(i, n).take(pa.array(rows)), 1 << 40))
                 _, _, data, offsets = parts[0]
-                like = weighted_similarities(*elements(Words(data, offsets), idf.value), len(rows))
+                known = idf.value.knowing(table.column("rare").slice(i, n).take(pa.array(rows))) if "rare" in table.schema.names else idf.value
+                like = weighted_similarities(*elements(Words(data, offsets), known), len(rows))
                 linked = likely[np.ix_(rows, rows)] & (like >= similarity)
                 own = node[i:j][rows]
                 by = np.argsort(own)
@@ -277,12 +338,12 @@ def _verify(idf, similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, chunk: int = CHUNK, table_words: int = TABLE_WORDS) -> DataFrame:
     """(doc, h1, class_id) of every row: the class of documents that are near copies, named by its least document id.
 
     Texts are linked if the weighted Jaccard similarity of their TF-IDF shingles
     is at least `similarity`; classes are the connected components. IDF comes from
-    exact document frequencies of all words (see `inverse_frequencies`). Equal texts are one representative each, so copies meet
+    exact document frequencies of all words (see `word_frequencies`). Equal texts are one representative each, so copies meet
     nobody. Representatives whose samples agree in a whole band are candidates;
     candidates that hang together form groups, whose texts are fetched once and
     compared in blocks of at most two chunks: every pair that shares a band has
@@ -296,7 +357,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     own = own.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
-    idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(own, "text"))
+    table, rest = word_frequencies(own, "text", table_words)
+    idf = docs.sparkSession.sparkContext.broadcast(table)
+    rare = []
+    if rest is not None:
+        # the exact way for words that the table has no room for: their frequencies travel with the texts
+        lists = cut(rare_words(own.select("h1", "h2", "text"), idf, rest), "rare-words")
+        none = F.array().cast(lists.schema["rare"].dataType)
+        own, rare = own.join(lists, ["h1", "h2"], "left").select("doc", "h1", "h2", "text", F.coalesce("rare", none).alias("rare")), ["rare"]
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = cut(map_texts(own, _signatures(idf), "doc long, h1 long, h2 long, bytes long, bands array<long>, codes binary"), "signatures")
 
@@ -312,10 +380,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a text counts as one row and one more for every 8 KB
     size = members.groupBy("group").agg((F.count("*") + F.sum(F.floor(F.col("bytes") / 8192))).alias("size"))
     members = members.join(size, "group")
-    full = members.join(own.select(F.col("doc").alias("node"), *key, "text"), ["node", *key]).dropDuplicates(["node", *key])
+    full = members.join(own.select(F.col("doc").alias("node"), *key, "text", *rare), ["node", *key]).dropDuplicates(["node", *key])
     blocks = block_pairs(full, ["group"], "size", F.xxhash64("node", "h1"), chunk)
     block = ["group", "_a", "_b"]
-    found = blocks.select(*block, "_c", "node", "codes", "text").repartition(spread, *block).sortWithinPartitions(*block).mapInArrow(_verify(idf, similarity), "node long, root long")
+    found = blocks.select(*block, "_c", "node", "codes", "text", *rare).repartition(spread, *block).sortWithinPartitions(*block).mapInArrow(_verify(idf, similarity), "node long, root long")
     classes = connected_components(found, "node", "root")
 
     named = texts.join(classes, "node", "left").select(*key, F.coalesce("component", "node").alias("class_id"))
