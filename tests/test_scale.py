@@ -109,3 +109,29 @@ def test_mutual_information_counts_serve_both_tasks(spark):
     lo, hi = min(v for v in values if v is not None), max(v for v in values if v is not None)
     for r in counts.where((F.col("column") == c) & (F.col("task") == "one")).collect():
         assert r["n"] == sum(1 for row in rows if row[-2] == r["y"] and (0 if row[0] is None else min(9, int((row[0] - lo) / ((hi - lo) / 10)))) == r["bin"])
+
+
+def test_only_columns_of_many_values_are_joined_to_ranks(spark, monkeypatch):
+    import pandas as pd
+
+    from tidepool.operators import profile as PR
+
+    rng = np.random.default_rng(2)
+    n = 400
+    few, many = rng.integers(0, 5, n).astype(float), rng.normal(size=n)
+    data = {"few": few, "many": many, "both": np.round(many + few, 2), "gaps": np.where(np.arange(n) % 9 == 0, np.nan, many * few)}
+    frame = pd.DataFrame(data)
+    df = spark.createDataFrame([tuple(float(x) for x in r) for r in frame.itertuples(index=False)], ", ".join(f"{c} double" for c in data))
+    joined = []
+    pairs_of = PR._pairs_of
+    monkeypatch.setattr(PR, "_pairs_of", lambda rows, cols, value, centres, ranks: joined.append(sorted(set(cols) - set(ranks))) or pairs_of(rows, cols, value, centres, ranks))
+    found = {}
+    for room in (10**6, 420, 5, 0):
+        monkeypatch.setattr(PR, "RANK_ROWS", room)
+        found[room] = {(r["col_a"], r["col_b"]): r["rho"] for r in PR.rank_correlation_pairs(df, list(data), "rho").collect()}
+    sizes = [len(x) for x in joined]
+    assert (sizes[0], sizes[2], sizes[3]) == (0, 3, 4) and 0 < sizes[1] < 4
+    assert found[10**6] == found[420] == found[5] == found[0]
+    whole = frame[["few", "many", "both"]].corr("spearman")
+    for a, b in (("few", "many"), ("few", "both"), ("many", "both")):
+        assert abs(found[0][a, b] - whole.loc[a, b]) < 1e-6

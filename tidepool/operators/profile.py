@@ -42,6 +42,8 @@ def _moments(cols: list[str], centres: list[float], ranks: dict | None):
             x = np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns])
             if ranks is not None:
                 for i, c in enumerate(cols):
+                    if c not in ranks:  # ranked already
+                        continue
                     values, own = ranks[c]
                     at = np.minimum(np.searchsorted(values, x[:, i]), len(values) - 1) if len(values) else np.zeros(len(x), np.int64)
                     x[:, i] = np.where(np.isnan(x[:, i]), np.nan, own[at] if len(values) else np.nan)
@@ -95,22 +97,35 @@ def rank_correlation_pairs(df: DataFrame, cols: list[str], value: str) -> DataFr
     """correlation_pairs of average ranks, ties at their mean rank.
 
     Ranks come from the counts of distinct values. A table of up to RANK_ROWS
-    values goes to every task, which looks ranks up where the rows are; more
-    values are joined to the rows by (column, value).
+    values goes to every task, which looks ranks up where the rows are: that of
+    the columns with the fewest values. Only the other columns' values are
+    joined to their ranks, by (column, value), and brought back to their rows.
     """
     from tidepool.operators import ordered as O
-    from tidepool.sources.io import cut
+    from tidepool.sources.io import cut, row_partitions
 
     long = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]).unpivot([], cols, "column", "value").where("value is not null")
     ranks = cut(O.average_ranks(long, "column", "value"), "ranks")
     # the mean rank of n rows is (n + 1) / 2
     counts = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in cols]).first()
     centres = [(counts[c] + 1) / 2 for c in cols]
-    if ranks.count() <= RANK_ROWS:
-        t = ranks.orderBy("column", "value").toArrow()
-        column, values, own = (t.column(c).to_numpy() for c in ("column", "value", "avg_rank"))
-        return _pairs_of(df, cols, value, centres, {c: (values[column == c], own[column == c]) for c in cols})
-    keyed = df.select(*cols).withColumn("__row", F.monotonically_increasing_id())
-    keyed = cut(keyed, "rank-rows")
-    wide = keyed.unpivot(["__row"], cols, "column", "value").join(ranks, ["column", "value"]).groupBy("__row").pivot("column", cols).agg(F.first("avg_rank"))
-    return _pairs_of(wide, cols, value, centres, None)
+    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}  # one row a column
+    small, room = [], RANK_ROWS
+    for c in sorted(cols, key=lambda c: sizes.get(c, 0)):
+        if sizes.get(c, 0) <= room:
+            small.append(c)
+            room -= sizes.get(c, 0)
+    large = [c for c in cols if c not in small]
+    t = ranks.where(F.col("column").isin(small)).orderBy("column", "value").toArrow()
+    column, values, own = (t.column(c).to_numpy() for c in ("column", "value", "avg_rank"))
+    looked_up = {c: (values[column == c], own[column == c]) for c in small}
+    if not large:
+        return _pairs_of(df, cols, value, centres, looked_up)
+    keyed = cut(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).withColumn("__row", F.monotonically_increasing_id()), "rank-rows")
+    # partitions follow the number of rows: the sorts by row stay in memory
+    n = row_partitions(df.sparkSession, keyed.count())
+    ranked = keyed.unpivot(["__row"], large, "column", "value").where("value is not null").join(ranks.where(F.col("column").isin(large)), ["column", "value"])
+    back = ranked.select("__row", *[F.when(F.col("column") == c, F.col("avg_rank")).alias(c) for c in large]).repartition(n, "__row")
+    back = back.groupBy("__row").agg(*[F.max(c).alias(c) for c in large])
+    wide = keyed.select("__row", *small).repartition(n, "__row").join(back, "__row", "left")
+    return _pairs_of(wide, cols, value, centres, looked_up)
