@@ -51,3 +51,17 @@ def test_classes_do_not_depend_on_the_table(texts, most):
     whole = sorted(map(tuple, icws.near_duplicates(texts).collect()), key=str)
     assert sorted(map(tuple, icws.near_duplicates(texts, table_words=most).collect()), key=str) == whole
     assert len({c for _, _, c in whole}) < len(whole) - 4
+
+
+def test_texts_are_not_dealt_out_again_for_their_rare_words(spark, texts, monkeypatch):
+    seen = []
+    join = type(texts).join
+
+    def watched(self, other, *how, **more):
+        seen.append((set(self.columns), set(other.columns)))
+        return join(self, other, *how, **more)
+
+    monkeypatch.setattr(type(texts), "join", watched)
+    icws.near_duplicates(texts, table_words=0)
+    assert not [b for _, b in seen if {"text", "rare"} <= b]  # such a side is made anew, with a shuffle of all texts, where it is joined
+    assert sum("text" in a and "rare" in b for a, b in seen) == 1

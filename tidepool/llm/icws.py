@@ -359,14 +359,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = own.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     table, rest = word_frequencies(own, "text", table_words)
     idf = docs.sparkSession.sparkContext.broadcast(table)
-    rare = []
+    rare, known = [], lambda df: df
     if rest is not None:
         # the exact way for words that the table has no room for: their frequencies travel with the texts
         lists = cut(rare_words(own.select("h1", "h2", "text"), idf, rest), "rare-words")
         none = F.array().cast(lists.schema["rare"].dataType)
-        own, rare = own.join(lists, ["h1", "h2"], "left").select("doc", "h1", "h2", "text", F.coalesce("rare", none).alias("rare")), ["rare"]
+        rare, known = ["rare"], lambda df: df.join(lists, ["h1", "h2"], "left").select(*df.columns, F.coalesce("rare", none).alias("rare"))
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = cut(map_texts(own, _signatures(idf), "doc long, h1 long, h2 long, bytes long, bands array<long>, codes binary"), "signatures")
+    signed = cut(map_texts(known(own), _signatures(idf), "doc long, h1 long, h2 long, bytes long, bands array<long>, codes binary"), "signatures")
 
     able = signed.where("doc is not null and size(bands) > 0")
     texts = cut(able.groupBy("h1", "h2").agg(F.min("doc").alias("node")), "representatives")
@@ -379,8 +379,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = reps.drop("bands").join(groups, "node")
     # a text counts as one row and one more for every 8 KB
     size = members.groupBy("group").agg((F.count("*") + F.sum(F.floor(F.col("bytes") / 8192))).alias("size"))
-    members = members.join(size, "group")
-    full = members.join(own.select(F.col("doc").alias("node"), *key, "text", *rare), ["node", *key]).dropDuplicates(["node", *key])
+    # the lists of a few candidates join them here, so that texts are dealt out once more only
+    members = known(members.join(size, "group"))
+    full = members.join(own.select(F.col("doc").alias("node"), *key, "text"), ["node", *key]).dropDuplicates(["node", *key])
     blocks = block_pairs(full, ["group"], "size", F.xxhash64("node", "h1"), chunk)
     block = ["group", "_a", "_b"]
     found = blocks.select(*block, "_c", "node", "codes", "text", *rare).repartition(spread, *block).sortWithinPartitions(*block).mapInArrow(_verify(idf, similarity), "node long, root long")
