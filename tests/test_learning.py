@@ -245,3 +245,25 @@ def test_scored_features_are_those_of_the_scalar_operators(spark):
     got = {r.obs_id: r.probabilities for r in ML.score(m, obs).collect()}
     for i, obs_id in enumerate(x.obs_id):
         assert [got[obs_id][c] for c in S.HEALTH_CLASSES] == pytest.approx(p[i], abs=1e-6)
+
+
+def test_cell_moments_are_those_of_all_rows_of_the_cell(spark, monkeypatch):
+    import numpy as np
+
+    from tidepool import schema as S
+    from tidepool.operators import learning as L
+
+    monkeypatch.setattr(L, "CHUNK_ROWS", 7)
+    rng = np.random.default_rng(3)
+    keys = [(-1, None if i % 5 == 0 else "abc"[i % 3], i % 4 if i % 7 else None) for i in range(90)]
+    values = 1e6 + rng.random((90, len(S.NUMERIC_FEATURES)))
+    values[:, 0] = 0.1
+    rows = [(*k, *map(float, v)) for k, v in zip(keys, values)]
+    design = spark.createDataFrame(rows, "set int, region string, y_health int, " + ", ".join(f"{c} double" for c in S.NUMERIC_FEATURES)).repartition(4)
+    found = {tuple(cell.values()): rest for cell, *rest in L._moments(design, ["set", "region", "y_health"])}
+    assert set(found) == set(keys) and sum(n for n, _, _ in found.values()) == 90
+    for key, (n, mean, m2) in found.items():
+        own = values[[k == key for k in keys]]
+        assert n == len(own) and np.allclose(mean, own.mean(axis=0), rtol=1e-13) and np.allclose(m2, own.var(axis=0) * n, rtol=1e-8, atol=1e-18)
+    empty = L._moments(design.where("set = 5"), ["set", "region", "y_health"])
+    assert empty == []
