@@ -101,16 +101,24 @@ def map_texts(docs: DataFrame, run, schema) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+#: The bytes between words.
+BLANKS = b" \t\n\x0b\x0c\r"
+
+
 class Words:
     """Words of several UTF-8 texts laid end to end: byte starts and ends, text number, 64-bit hash."""
 
     __slots__ = ("ends", "first", "hash", "starts", "text")
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, blanks: bytes = b" \t\n\x0b\x0c\r"):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, blanks: bytes = BLANKS):
         n_text = len(offsets) - 1
-        ink = np.ones(256, dtype=bool)
-        ink[list(blanks)] = False
-        black = ink[data]
+        if blanks == BLANKS:
+            # 9 to 13 and 32; uint8 wraps around
+            black = (data - np.uint8(9) > 4) & (data != 32)
+        else:
+            ink = np.ones(256, dtype=bool)
+            ink[list(blanks)] = False
+            black = ink[data]
         begin = black.copy()
         begin[1:] &= ~black[:-1]
         edges = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -127,8 +135,11 @@ class Words:
         self.text = np.repeat(np.arange(n_text), np.diff(self.first))
         p, q = _power_tables(len(data) + 1)
         with np.errstate(over="ignore"):
-            total = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=total[1:])
+            total = np.empty(len(data) + 1, dtype=np.uint64)
+            total[0], sums = 0, total[1:]
+            np.add(data, np.uint64(1), out=sums)
+            sums *= p[: len(data)]
+            np.cumsum(sums, out=sums)
             self.hash = mix64((total[self.ends] - total[self.starts]) * q[self.starts] ^ (self.ends - self.starts).astype(np.uint64))
 
 
@@ -160,6 +171,34 @@ def windows_hash(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return start, mix64(h[start])
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes in the order of their first places, and the number of each one."""
+    found = pa.array(hashes).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
+def find(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes in a sorted table, and whether they stand there. An empty table has none."""
+    if not len(table):
+        return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+    # sorted hashes walk the table once and stay in the cache
+    order = np.argsort(hashes)
+    at = np.empty(len(hashes), dtype=np.int64)
+    at[order] = np.minimum(np.searchsorted(table, hashes[order]), len(table) - 1)
+    return at, table[at] == hashes
+
+
+def by_text_and_hash(text: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The order of rows by text and hash, equal ones as they stand."""
+    bits = int(text.max() if len(text) else 0).bit_length()
+    order = np.argsort(text.astype(np.uint64) << np.uint64(64 - bits) | hashes >> np.uint64(bits), kind="stable") if bits else np.argsort(hashes, kind="stable")
+    t, h = text[order], hashes[order]
+    # the last bits of the hashes are not in the key: where they matter, all is sorted by both
+    if bits and np.any((t[1:] == t[:-1]) & (h[1:] < h[:-1])):
+        return np.lexsort((hashes, text))
+    return order
+
+
 def plus(schema: T.StructType, fields: str) -> T.StructType:
     """The schema with more fields (DDL), which replace those of the same name."""
     more = T.StructType.fromDDL(fields)

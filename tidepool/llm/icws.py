@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_pairs, cut, grouped, local_components, map_texts, mix64, shield, steps, windows_hash
+from .common import Words, block_pairs, by_text_and_hash, cut, distinct, find, grouped, local_components, map_texts, mix64, shield, steps, windows_hash
 from .components import connected_components
 
 #: Words of a shingle, least similarity, bands and samples of a band.
@@ -25,10 +25,19 @@ CHUNK = 192
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Summed counts of equal hashes."""
-    hashes, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    hashes, which = distinct(np.concatenate([p[0] for p in parts]))
     return hashes, np.bincount(which, weights=np.concatenate([p[1] for p in parts]), minlength=len(hashes)).astype(np.int64)
 
 
+def _words_by_text(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number) of each word of a text, once a text, and the hashes that the numbers stand for."""
+    hashes, which = distinct(words.hash)
+    bits = max(1, len(hashes)).bit_length()
+    pairs = np.sort(words.text << bits | which)
+    pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))[: len(pairs)]]
+    return pairs >> bits, pairs & ((1 << bits) - 1), hashes
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, df): in how many of the partition's texts each word, known by its 64-bit hash, stands."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -40,12 +49,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for _, _, data, offsets in steps(batch.column(0)):
-            words = Words(data, offsets)
-            hashes, which = np.unique(words.hash, return_inverse=True)
+            _, which, hashes = _words_by_text(Words(data, offsets))
             if not len(hashes):
                 continue
-            pairs = np.unique(words.text * len(hashes) + which)
-            held.append((hashes, np.bincount(pairs % len(hashes), minlength=len(hashes))))
+            held.append((hashes, np.bincount(which, minlength=len(hashes))))
             n += len(hashes)
             if n > FLUSH:
                 held = [_merge(held)]
@@ -81,9 +88,9 @@ class InverseFrequencies:
     def of(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes) or not len(hashes):
             return np.full(len(hashes), self.rare, dtype=np.float32)
-        own, which = np.unique(hashes, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == own, self.values[at], self.rare).astype(np.float32)[which]
+        own, which = distinct(hashes)
+        at, here = find(self.hashes, own)
+        return np.where(here, self.values[at], self.rare).astype(np.float32)[which]
 
 
 class _Known:
@@ -94,16 +101,13 @@ class _Known:
         self.single = table._idf(np.array([1.0]))[0]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        found = self.table.of(hashes)
-        listed = np.zeros(len(hashes), dtype=bool)
-        for own, values in ((self.table.hashes, None), (self.hashes, self.values)):
-            if len(own):
-                at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
-                here = own[at] == hashes
-                if values is not None:
-                    found = np.where(here, values[at], found)
-                listed |= here
-        return np.where(listed, found, self.single).astype(np.float32)
+        own, which = distinct(hashes)
+        found = np.full(len(own), self.single, dtype=np.float32)
+        for table, values in ((self.table.hashes, self.table.values), (self.hashes, self.values)):
+            if len(table):
+                at, here = find(table, own)
+                found = np.where(here, values[at], found)
+        return found.astype(np.float32)[which]
 
 
 def inverse_frequencies(docs: DataFrame, text_col: str = "text", table_words: int = TABLE_WORDS) -> InverseFrequencies:
@@ -136,14 +140,10 @@ def _untabled(idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, to, data, offsets in steps(batch.column(2)):
-                words = Words(data, offsets)
-                new = ~np.isin(words.hash, idf.value.hashes)
-                text, h = words.text[new], words.hash[new]
-                order = np.lexsort((h, text))
-                text, h = text[order], h[order]
-                first = np.concatenate(([True], (text[1:] != text[:-1]) | (h[1:] != h[:-1])))[: len(h)]
-                at = pa.array(text[first] + row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(h[first].view(np.int64))], ["h1", "h2", "word"])
+                text, which, hashes = _words_by_text(Words(data, offsets))
+                new = ~find(idf.value.hashes, hashes)[1][which]
+                at = pa.array(text[new] + row)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(hashes[which[new]].view(np.int64))], ["h1", "h2", "word"])
 
     return run
 
@@ -181,7 +181,7 @@ def elements(words: Words, idf: InverseFrequencies) -> tuple[np.ndarray, np.ndar
         text = np.concatenate((text, [m[0] for m in more])).astype(np.int64)
         h = np.concatenate((h, np.array([m[1] for m in more], dtype=np.uint64)))
         weight = np.concatenate((weight, [m[2] for m in more]))
-    order = np.lexsort((h, text))
+    order = by_text_and_hash(text, h)
     text, h, weight = text[order], h[order], weight[order]
     if not len(text):
         return text, h, weight
@@ -206,12 +206,18 @@ def _gamma_table() -> np.ndarray:
     return x.astype(np.float32)
 
 
+#: Of a text whose elements weigh S, the least value ln c - r (t - beta + 1) is above ln(SURE / S) with probability exp(-SURE).
+SURE = 6.0
+
+
 class Sampler:
     """BANDS * ROWS consistent weighted samples of a text's elements."""
 
     def __init__(self) -> None:
         self.r = _gamma_table()
         self.inverse, self.log = (1 / self.r).astype(np.float32), np.log(self.r)
+        # ln c - r is at least this for the first 8 bits of r's and of c's numbers; a little less, for rounding
+        self.bound = (self.log[::256][None, :] - self.r[255::256][:, None] - np.float32(0.01)).reshape(-1)
         self.seeds = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def __call__(self, text: np.ndarray, element: np.ndarray, weight: np.ndarray, n_text: int) -> np.ndarray:
@@ -219,7 +225,10 @@ class Sampler:
 
         For weight w and Gamma(2, 1) variates r, c and a uniform beta, all drawn
         from the element's hash: t = floor(ln w / r + beta), and the sample is the
-        element with the least ln c - r (t - beta + 1), together with its t.
+        element with the least ln c - r (t - beta + 1), together with its t. As
+        r (t - beta) <= ln w, that is at least ln c - r - ln w: elements for which
+        this is above their text's limit are not looked at further, and a text whose
+        least value is above the limit is looked at whole. No sample is changed.
         """
         out = np.zeros((n_text, len(self.seeds)), dtype=np.uint32)
         if not len(text):
@@ -227,31 +236,56 @@ class Sampler:
         head = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
         log_w = np.log(weight).astype(np.float32)
         count = np.diff(head, append=len(text))
-        one = np.float32(1)
+        number = np.repeat(np.arange(len(head)), count)
+        limit = np.log(SURE / np.add.reduceat(weight.astype(np.float64), head)).astype(np.float32)
+        most = log_w + limit[number]
+        u, shifted, bins = np.empty_like(element), np.empty_like(element), np.zeros(len(element), dtype=np.int64)
+        octet, of_bin = u.view(np.uint8), bins.view(np.uint8)
+        bound = np.empty(len(element), dtype=np.float32)
         for k, seed in enumerate(self.seeds):
             with np.errstate(over="ignore"):
-                u = (element ^ seed) * np.uint64(0xFF51AFD7ED558CCD)
-                u ^= u >> np.uint64(32)
+                np.bitwise_xor(element, seed, out=u)
+                u *= np.uint64(0xFF51AFD7ED558CCD)
+                u ^= np.right_shift(u, np.uint64(32), out=shifted)
                 u *= np.uint64(0xC4CEB9FE1A85EC53)
-                u ^= u >> np.uint64(29)
-            half = u.view(np.uint16).reshape(-1, 4)
-            i = half[:, 3]
-            beta = u.view(np.uint32)[::2].astype(np.float32)
-            beta *= np.float32(2.0**-32)
-            t = log_w * self.inverse[i]
-            t += beta
-            np.floor(t, out=t)
-            beta -= t
-            beta -= one
-            beta *= self.r[i]
-            beta += self.log[half[:, 2]]  # now ln c - r (t - beta + 1)
-            least = np.minimum.reduceat(beta, head)
-            first = np.flatnonzero(beta == np.repeat(least, count))
-            first = first[np.searchsorted(first, head)]
-            code = mix64(element[first] ^ mix64(t[first].astype(np.int64).view(np.uint64)))
+            of_bin[1::8], of_bin[::8] = octet[7::8], octet[5::8]
+            np.take(self.bound, bins, out=bound, mode="clip")
+            some = np.flatnonzero(bound <= most)
+            least, first, t = self._least(u[some], log_w[some], number[some], len(head))
+            first = some[first] if len(some) else first
+            again = np.flatnonzero(least > limit)
+            if len(again):
+                whole = np.concatenate([np.arange(head[j], head[j] + count[j]) for j in again.tolist()])
+                _, f, t[again] = self._least(u[whole], log_w[whole], np.repeat(np.arange(len(again)), count[again]), len(again))
+                first[again] = whole[f]
+            code = mix64(element[first] ^ mix64(t.astype(np.int64).view(np.uint64)))
             out[text[head], k] = (code >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
         return out
 
+    def _least(self, u: np.ndarray, log_w: np.ndarray, number: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The least value of each of n texts, the first place where it stands, and its t. A text without an element has an infinite value and any place."""
+        least, place, level = np.full(n, np.inf, dtype=np.float32), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.float32)
+        if not len(u):
+            return least, place, level
+        u = u ^ (u >> np.uint64(29))
+        half = u.view(np.uint16).reshape(-1, 4)
+        i = half[:, 3]
+        beta = u.view(np.uint32)[::2].astype(np.float32)
+        beta *= np.float32(2.0**-32)
+        t = log_w * self.inverse[i]
+        t += beta
+        np.floor(t, out=t)
+        beta -= t
+        beta -= np.float32(1)
+        beta *= self.r[i]
+        beta += self.log[half[:, 2]]  # now ln c - r (t - beta + 1)
+        head = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+        least[number[head]] = np.minimum.reduceat(beta, head)
+        first = np.flatnonzero(beta == least[number])
+        first = first[np.searchsorted(first, head)]
+        place[number[head]], level[number[head]] = first, t[first]
+        return least, place, level
+
 
 def band_keys(codes: np.ndarray) -> np.ndarray:
     """(texts, BANDS) hashes of each band's samples."""
