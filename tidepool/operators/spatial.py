@@ -42,9 +42,11 @@ def nearest(rows: DataFrame, group: str, id_col: str, y: str, x: str, carry: lis
     first = own.groupBy("group", "y", "x").agg(F.min_by(who, "id").alias("first"), F.count(F.lit(1)).alias("n"))
     points = cut(first, "distinct-points")
     # a point of several rows: the nearest is the smallest other id, at distance 0
-    shared = own.join(points.where("n > 1").drop("n"), ["group", "y", "x"])
-    second = shared.where(F.col("id") > F.col("first.id")).groupBy("group", "y", "x").agg(F.min_by(who, "id").alias("second"))
-    near = shared.join(second, ["group", "y", "x"], "left").withColumn("nn", F.when(F.col("id") > F.col("first.id"), F.col("first")).otherwise(F.col("second")))
+    several, point = points.where("n > 1").drop("n"), ["group", "y", "x"]
+    second = own.join(several, point).where(F.col("id") > F.col("first.id")).groupBy(*point).agg(F.min_by(who, "id").alias("second"))
+    # both ids are brought together by points, so that the rows meet them in one join
+    twins = cut(several.join(second, point, "left"), "shared-points")
+    near = own.join(twins, point).withColumn("nn", F.when(F.col("id") > F.col("first.id"), F.col("first")).otherwise(F.col("second")))
     settled = [near.select("group", "id", "info", "nn", F.lit(0.0).alias("distance"))]
 
     todo = points.where("n = 1").select("group", "y", "x", F.col("first.id").alias("id"), F.col("first.info").alias("info"))
@@ -83,15 +85,17 @@ def neighbour_agreement(found: DataFrame, group: str, labels: dict[str, str]) ->
     """(group, task, rows, agreement, chance, excess, median_distance) of a ``nearest`` frame that carries the labels.
 
     Agreement is the share of rows with a neighbour and both labels whose labels
-    are equal; chance the sum of squared class shares of these rows.
+    are equal; chance the sum of squared class shares of these rows. Labels and
+    distances are written once, so that neighbours are not searched for each part.
     """
+    found = cut(found.where("nn_id is not null").select(group, *labels.values(), *[f"nn_{c}" for c in labels.values()], "distance"), "neighbour-labels")
     each = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(c).alias("own"), F.col(f"nn_{c}").alias("other")) for t, c in labels.items()]))
-    pairs = found.where("nn_id is not null").select(group, each.alias("p")).select(group, "p.*").where("own is not null and other is not null")
+    pairs = found.select(group, each.alias("p")).select(group, "p.*").where("own is not null and other is not null")
     counts = pairs.groupBy(group, "task", "own").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("own") == F.col("other")).cast("long")).alias("same"))
     shares = counts.groupBy(group, "task").agg(
         F.sum("n").alias("rows"), (F.sum("same") / F.sum("n")).alias("agreement"), (F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance")
     )
-    medians = O.exact_quantiles(found.where("nn_id is not null"), [group], ["distance"], {"median_distance": 0.5}).drop("column")
+    medians = O.exact_quantiles(found, [group], ["distance"], {"median_distance": 0.5}).drop("column")
     out = shares.join(medians, group).withColumn("excess", F.col("agreement") - F.col("chance"))
     return out.select(group, "task", "rows", *[F.round(c, 6).alias(c) for c in ("agreement", "chance", "excess", "median_distance")])
 
