@@ -47,7 +47,8 @@ def scan_observations_csv(spark, sf_dir):
     base = X.labelled_base(spark, sf_dir)
     text = base.withColumn("ph", F.when(F.expr(_BROKEN), "n/a").otherwise(F.col("ph").cast("string"))).select(*S.OBSERVATION_COLUMNS)
     path = IO.shared_dir(spark, "observations-csv")
-    text.write.option("header", True).csv(path)
+    # as text the rows are four times the table at rest; a compressed file is read by one task, and there are as many as partitions
+    text.write.option("header", True).option("compression", "gzip").csv(path)
     found = IO.read_observations_csv(spark, path)
     return found.withColumn("broken", F.col("broken_line").isNotNull()).drop("broken_line")
 
