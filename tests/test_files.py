@@ -1,9 +1,11 @@
 """CSV, JSON and receipt files: broken lines, whole files, order by time."""
 
+import glob
 import os
 import time
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from tidepool import schema as S
@@ -65,3 +67,24 @@ def test_file_queries(spark):
     csv = registry.QUERIES["scan_observations_csv"](spark, SMALL)
     assert {r.broken for r in csv.select("broken", "region").collect()} == {True, False}
     assert {r.readable for r in registry.QUERIES["scan_json_files"](spark, SMALL).select("readable").distinct().collect()} == {True, False}
+
+
+def test_splits_are_paired_by_key_from_one_shuffle_of_targets(spark, monkeypatch):
+    """Compressed tables, whose keys meet: each table's keys are shuffled once, and a row without a partner is not passed over."""
+    registry.load_all()
+    folders, written = [], IO.write_partitioned
+    monkeypatch.setattr(IO, "write_partitioned", lambda df, path, by: folders.append(written(df, path, by)) or path)
+    got = registry.QUERIES["write_splits"](spark, "/root/testdata/sf0.001")
+    assert sum(r["rows"] for r in got.collect()) == 4 * spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert len(folders) == 4 and all(glob.glob(f"{f.removeprefix('file:')}/split=*/*.zstd.parquet") for f in folders)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    keys = [line for line in plan if "Exchange hashpartitioning(obs_id" in line]
+    # X and y of each task; y's other two uses are the same shuffle
+    assert sum("ReusedExchange" not in line for line in keys) == 4 and sum("ReusedExchange" in line for line in keys) == 4
+
+    def half(df, path, by):
+        return written(df.where("crc32(obs_id) % 2 = 0") if "-y/" in path else df, path, by)
+
+    monkeypatch.setattr(IO, "write_partitioned", half)
+    with pytest.raises(SparkRuntimeException, match="no partner"):
+        registry.QUERIES["write_splits"](spark, "/root/testdata/sf0.001").collect()

@@ -131,10 +131,19 @@ def write_splits(spark, sf_dir):
         for part, cols in (("X", S.ALL_FEATURES), ("y", [label])):
             path = IO.write_partitioned(done.select("obs_id", F.col(names[t]).alias("split"), *cols), IO.shared_dir(spark, f"splits-{t}-{part}"), ["split"])
             tables[part] = spark.read.parquet(path)
-        y = tables["y"].select("obs_id", "split", F.col(label).alias("class"))
+        # no task's sort of keys spills, however many rows
+        parts = IO.row_partitions(spark, tables["y"].count())
+        y = tables["y"].select("obs_id", "split", F.col(label).alias("class")).repartition(parts, "obs_id")
         for part, table in tables.items():
             n = len(table.columns) - 2  # without key and split
-            own = B.paired(table.select("obs_id"), y, "obs_id").groupBy("split", "class").agg(F.count(F.lit(1)).alias("rows"))
+            # counting the key keeps the check that every row has a partner; y is used
+            # with all its columns, so that it is shuffled once for both its sides and for X
+            if part == "X":
+                both, key = B.paired(table.select("obs_id").repartition(parts, "obs_id"), y, "obs_id"), F.col("obs_id")
+            else:
+                both = B.paired(y, y, "obs_id").toDF("obs_id", "_split", "_class", "split", "class")
+                key = F.when(F.col("obs_id").isNotNull(), F.coalesce("_split", "_class", "obs_id"))
+            own = both.groupBy("split", "class").agg(F.count(key).alias("rows"))
             own = own.select(F.lit(t).alias("task"), "split", F.lit(part).alias("part"), "class", "rows", F.lit(n).alias("columns"))
             out = own if out is None else out.unionByName(own)
     return out
